@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,8 +92,10 @@ def describe(df: DataFrame, value: Column, buckets: int = 1000) -> DataFrame:
 def _values_at_ranks(values: DataFrame, cuts: list[float], ranks: list[int]) -> dict[int, float]:
     """Value at each 0-based rank."""
     counted = values.groupBy("v").agg(F.count("*").alias("n"))
-    bounds = F.array(*[F.lit(float(c)) for c in cuts])
-    bucketed = counted.withColumn("bucket", F.size(F.filter(bounds, lambda b: b <= F.col("v"))))
+    splits = [-math.inf, *[c for c in cuts if math.isfinite(c)], math.inf]
+    if len(splits) < 3:
+        splits.insert(1, 0.0)
+    bucketed = Bucketizer(splits=splits, inputCol="v", outputCol="bucket").transform(counted)
     # One row per bucket.
     totals = sorted(bucketed.groupBy("bucket").agg(F.sum("n").alias("n")).collect())
     start, offsets = 0, {}
