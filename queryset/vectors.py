@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from queryset.adapter import CENTROIDS, table, with_sql
 from queryset.registry import query
 from turnlens.operators import vectors
+from turnlens.operators.sampling import sample_rows
 from turnlens.sources.tables import pin
 
 
@@ -36,19 +37,35 @@ def centroid_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    """WITH d AS (SELECT a.vec_id, a.label AS own, b.label AS other, count(*) AS n,
-        sum(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS total
-      FROM embeddings a, embeddings b GROUP BY 1, 2, 3),
+def silhouette_sql(points: str, distance: str) -> str:
+    """Brute force over all pairs."""
+    return f"""WITH points AS ({points}),
+    d AS (SELECT a.vec_id, a.label AS own, b.label AS other, count(*) AS n, sum({distance}) AS total
+      FROM points a, points b GROUP BY 1, 2, 3),
     s AS (SELECT vec_id, own, max(CASE WHEN own = other THEN n END) AS size,
         max(CASE WHEN own = other THEN total END) AS inside, min(CASE WHEN own <> other THEN total / n END) AS outside
       FROM d GROUP BY vec_id, own)
     SELECT vec_id, round(CASE WHEN size = 1 THEN 0 ELSE (outside - inside / (size - 1))
       / greatest(outside, inside / (size - 1)) END, 6) AS silhouette FROM s"""
-)
+
+
+DISTANCE = "list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])"
+
+
+@query(silhouette_sql("SELECT * FROM embeddings ORDER BY md5('42|' || vec_id), vec_id LIMIT 5000", DISTANCE))
 def silhouette_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Euclidean silhouettes of a seeded sample, whose size is a parameter of the clustering."""
+    points = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "topic_id")
+    sample = pin(sample_rows(points, 5000, 42, ["vec_id"]), "sample")
+    return vectors.silhouettes(sample, "euclidean").select("vec_id", F.round("silhouette", 6).alias("silhouette"))
+
+
+@query(silhouette_sql("SELECT * FROM embeddings", f"{DISTANCE} * {DISTANCE}"))
+def silhouette_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouettes for squared distances: topic means only, for any number of rows."""
     points = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "topic_id")
-    return vectors.silhouettes(points).select("vec_id", F.round("silhouette", 6).alias("silhouette"))
+    scored = vectors.silhouettes(points, "squaredEuclidean")
+    return scored.select("vec_id", F.round("silhouette", 6).alias("silhouette"))
 
 
 @query()
@@ -60,7 +77,7 @@ def kmeans_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = pin(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "points")
-    return vectors.select_k(points, 4, 10, metric="squaredEuclidean")
+    return vectors.select_k(points, 4, 10)
 
 
 @query()

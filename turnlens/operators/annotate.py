@@ -13,15 +13,15 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnlens.schemas import KEY
 from turnlens.sources.replies import append_cache, latest, read_cache, usable
 from turnlens.sources.tables import pin, scratch_path
 
-#: Takes a prompt, returns the reply as JSON text or as a dict.
-ModelFn = Callable[[str], "str | dict"]
+#: Takes a prompt (or the task's raw inputs), returns the reply as JSON text or as a dict.
+ModelFn = Callable[..., "str | dict"]
 
 
 @dataclass(frozen=True)
@@ -30,9 +30,10 @@ class CallPolicy:
 
     ``on_error``: ``"fail"`` ends the job when all retries are used up, ``"fallback"``
     records the error name instead of a reply. The wait before retry ``a`` is
-    ``min(base_sleep * 2**(a - 1), max_sleep)`` seconds. ``parallelism`` bounds the
-    number of calls in flight. ``commit_batches`` splits the calls over that many
-    write jobs, so a failure loses one batch only.
+    ``min(base_sleep * 2**(a - 1), max_sleep)`` seconds. ``parallelism`` is the number of
+    tasks that call the model (default: one per core, at least the shuffle partitions).
+    ``commit_batches`` splits the calls over that many write jobs, so a failure loses one
+    batch only.
     """
 
     on_error: str = "fail"
@@ -79,12 +80,28 @@ def call_model(requests: DataFrame, fn: ModelFn, policy: CallPolicy = CallPolicy
                 }
             )
 
-    spread = requests.select("request_key", "prompt")
-    if policy.parallelism:
-        spread = spread.repartition(policy.parallelism)
+    # Prompts are small and calls are slow: without a fixed number of partitions adaptive
+    # execution would merge them into a few tasks.
+    spark = requests.sparkSession
+    default = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spread = requests.select("request_key", "prompt").repartition(policy.parallelism or default, "request_key")
     return spread.mapInPandas(run, "request_key string, response_json string, error string")
 
 
+def takes_inputs(fn: ModelFn) -> ModelFn:
+    """Model function on raw inputs -> one that reads them from a JSON array prompt."""
+
+    def call(prompt: str):
+        return fn(*json.loads(prompt))
+
+    return call
+
+
+def inputs_prompt(*texts: Column) -> Column:
+    """The raw inputs as a JSON array, for :func:`takes_inputs`."""
+    return F.to_json(F.array(*[F.coalesce(t, F.lit("")) for t in texts]))
+
+
 def distinct_requests(requests: DataFrame) -> DataFrame:
     """One row per request key, combined before the shuffle."""
     return requests.groupBy("request_key").agg(F.min("prompt").alias("prompt"))
@@ -115,7 +132,8 @@ def fetch_replies(
     """
     spark = requests.sparkSession
     path = cache_path or scratch_path(spark, "replies")
-    before = read_cache(spark, path)
+    mine = (F.col("task") == task) & (F.col("model") == model)
+    before = read_cache(spark, path).filter(mine)
     seq = (before.agg(F.max("seq")).first()[0] or 0) + 1
     asked = distinct_requests(requests)
     misses = cache_misses(asked, before) if cache_path else asked
@@ -125,7 +143,7 @@ def fetch_replies(
         )
         append_cache(fresh, path)
     source = F.when(F.col("seq") == seq, "llm").otherwise("cache")
-    return latest(read_cache(spark, path)).select("request_key", "response_json", "error", source.alias("source"))
+    return latest(read_cache(spark, path).filter(mine)).select("request_key", "response_json", "error", source.alias("source"))
 
 
 def _commit_batches(misses: DataFrame, n: int) -> Iterator[DataFrame]:

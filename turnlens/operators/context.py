@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,9 +22,14 @@ def forward_fill(
 
     Groups are filled in chunks of the integer ``order`` column. Almost every group
     fits the first chunk; for those that do not, the last value of earlier chunks
-    is carried over, so a huge group is spread over many tasks.
+    is carried over, so a huge group is spread over many tasks. Rows with a null in
+    ``group`` belong to no group: they are kept, unfilled.
     """
-    keyed = df.withColumn("_value", value).withColumn("_chunk", F.floor(F.col(order) / chunk))
+    grouped = reduce(and_, [F.col(c).isNotNull() for c in group])
+    scattered = F.pmod(F.xxhash64(order, value), F.lit(4096))
+    keyed = df.withColumn("_value", F.when(grouped, value)).withColumn(
+        "_chunk", F.when(grouped, F.floor(F.col(order) / chunk)).otherwise(scattered)
+    )
     in_chunk = Window.partitionBy(*group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = keyed.withColumn(out, F.last("_value", ignorenulls=True).over(in_chunk))
     # Only groups that leave the first chunk; the filter reaches the scan and is empty for most data.
@@ -43,11 +51,11 @@ def forward_fill(
 def add_last_system_text(turns: DataFrame, chunk: int = CHUNK_TURNS) -> DataFrame:
     """Attach the latest SYSTEM text of the conversation to every turn (its own on a SYSTEM turn).
 
-    Turns without dataset or conversation id belong to no conversation and are
-    dropped; a null SYSTEM text does not reset the value.
+    A null SYSTEM text does not reset the value. Turns without dataset or
+    conversation id belong to no conversation and get null.
     """
     require_columns(turns, [*CONV, "turn_id", "speaker", "text"], "turns")
-    base = turns.drop("last_system_text").dropna(subset=CONV)
+    base = turns.drop("last_system_text")
     system_text = F.when(F.col("speaker") == "SYSTEM", F.col("text"))
     return forward_fill(base, system_text, "last_system_text", CONV, "turn_id", chunk)
 

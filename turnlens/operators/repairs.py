@@ -10,7 +10,7 @@ from turnlens.functions.prompts import repair_prompt
 from turnlens.functions.replies import normalize_repair, parse_reply
 from turnlens.functions.text import default_topic_label, topic_description
 from turnlens.functions.values import empty_strings, normalize_list
-from turnlens.operators.annotate import CallPolicy, ModelFn, annotate
+from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, inputs_prompt, takes_inputs
 from turnlens.operators.topics import first_examples
 from turnlens.schemas import REPAIR_FIELDS, SUMMARY_COLUMNS, UNCLUSTERED_ID, ensure_column, require_columns
 
@@ -69,13 +69,18 @@ def repair_topics(
     cache_path: str | None = None,
     strict: bool = False,
     policy: CallPolicy = CallPolicy(),
+    raw_inputs: bool = False,
 ) -> DataFrame:
-    """Repair package per topic: root cause, prompt changes, snippet, guardrails, checks."""
+    """Repair package per topic: root cause, prompt changes, snippet, guardrails, checks.
+
+    ``fn`` takes a ready prompt, or with ``raw_inputs`` the topic description.
+    """
     label = F.col("topic_label") if "topic_label" in summary.columns else default_topic_label(F.col("topic_id"))
     described = describe_topics(summary, turns).withColumn("_label", label)
-    replied = annotate(
-        repair_requests(described, model, strict), fn, TASK, model, cache_path, policy, row_id=["topic_id"]
-    )
+    requests = repair_requests(described, model, strict)
+    if raw_inputs:
+        fn, requests = takes_inputs(fn), requests.withColumn("prompt", inputs_prompt(F.col("topic_description")))
+    replied = annotate(requests, fn, TASK, model, cache_path, policy, row_id=["topic_id"])
     fields = normalize_repair(parse_reply(F.col("response_json")), strict)
     return replied.select(
         "topic_id", F.col("_label").alias("topic_label"), *[fields[name].alias(name) for name in REPAIR_FIELDS]

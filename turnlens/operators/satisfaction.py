@@ -9,7 +9,7 @@ from turnlens.functions.keys import request_key, turn_key
 from turnlens.functions.prompts import satisfaction_prompt
 from turnlens.functions.replies import coerce_score, is_low_score, parse_reply, score_reason
 from turnlens.functions.values import to_numeric
-from turnlens.operators.annotate import CallPolicy, ModelFn, annotate
+from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, inputs_prompt, takes_inputs
 from turnlens.operators.context import add_last_system_text
 from turnlens.schemas import LOW_SCORE, SCORING_COLUMNS, ensure_column, require_columns
 
@@ -49,9 +49,13 @@ def score_satisfaction(
     cache_path: str | None = None,
     strict: bool = False,
     policy: CallPolicy = CallPolicy(),
+    raw_inputs: bool = False,
 ) -> DataFrame:
     """Score every scorable user turn with ``fn`` and flag the low ones.
 
+    ``fn`` takes a ready prompt, or with ``raw_inputs`` the user text and the last
+    system text.
+
     Forgiving rules write ``satisfaction_score``, ``satisfaction_reason``,
     ``satisfaction_source`` and replace ``low_satisfaction``. The strict rules write
     ``llm_satisfaction_score``, ``llm_satisfaction_reason`` and ``low_satisfaction_llm``
@@ -62,6 +66,9 @@ def score_satisfaction(
     flag_name = "low_satisfaction_llm" if strict else "low_satisfaction"
     outputs = [score_name, reason_name, "satisfaction_source", flag_name]
     requests = scoring_requests(turns.drop(*outputs), model, strict)
+    if raw_inputs:
+        inputs = inputs_prompt(F.col("text"), F.col("last_system_text"))
+        fn, requests = takes_inputs(fn), requests.withColumn("prompt", F.when(is_scorable(), inputs))
     replied = annotate(requests, fn, TASK, model, cache_path, policy)
     asked = F.col("request_key").isNotNull()
     reply = parse_reply(F.col("response_json"))

@@ -9,9 +9,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,15 +79,13 @@ def assign_topics(df: DataFrame, k: int = 6, seed: int = 42, embedding: str = "e
 
 
 def mean_vectors(df: DataFrame, group: str, embedding: str = "embedding") -> DataFrame:
-    """Mean vector per group: ``(topic_id, centroid)``. Partial sums per position, no group is collected."""
-    means = (
-        df.select(F.col(group).alias("topic_id"), F.posexplode(embedding).alias("pos", "x"))
-        .groupBy("topic_id", "pos")
-        .agg(F.avg(F.col("x").cast("double")).alias("x"))
+    """Mean vector per group: ``(topic_id, centroid)``, from partial sums."""
+    mean = Summarizer.mean(F.col("features"))
+    return (
+        with_features(df, embedding)
+        .groupBy(F.col(group).alias("topic_id"))
+        .agg(vector_to_array(mean).alias("centroid"))
     )
-    # One entry per dimension: bounded by the vector length.
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))
-    return means.groupBy("topic_id").agg(F.transform(ordered, lambda p: p["x"]).alias("centroid"))
 
 
 def nearest_centroid(
@@ -97,78 +95,114 @@ def nearest_centroid(
 
     The centroids, one row per topic, are fetched once and sent along with the tasks.
     """
-    rows = centroids.select("topic_id", "centroid").limit(SMALL_TABLE_ROWS + 1).collect()
-    if len(rows) > SMALL_TABLE_ROWS:
-        raise ValueError(f"more than {SMALL_TABLE_ROWS} centroids")
-    rows.sort(key=lambda r: r["topic_id"])
+    rows = _topic_sized(centroids.select("topic_id", "centroid"))
     ids = np.array([r["topic_id"] for r in rows], dtype="int64")
     centers = np.array([r["centroid"] for r in rows], dtype="float64")
     half_norms = (centers**2).sum(axis=1) / 2
 
     @F.arrow_udf("bigint")
     def nearest(vectors: pa.Array) -> pa.Array:
-        flat = np.asarray(vectors.flatten(), dtype="float64")
-        x = flat.reshape(len(vectors), -1)
-        return pa.array(ids[np.argmin(half_norms - x @ centers.T, axis=1)])
+        x = np.asarray(vectors.flatten(), dtype="float64").reshape(len(vectors), -1)
+        best = [np.argmin(half_norms - x[i : i + 512] @ centers.T, axis=1) for i in range(0, len(x), 512)]
+        return pa.array(ids[np.concatenate(best)] if best else ids[:0])
 
     return df.withColumn(out, nearest(F.col(embedding)))
 
 
-def mean_silhouette(df: DataFrame, metric: str = "euclidean", topic: str = "topic_id", embedding: str = "embedding"):
-    """Mean silhouette of a clustering.
+def _topic_sized(df: DataFrame) -> list:
+    """Rows of a table with one row per topic, by topic; its size is checked."""
+    rows = df.limit(SMALL_TABLE_ROWS + 1).collect()
+    if len(rows) > SMALL_TABLE_ROWS:
+        raise ValueError(f"more than {SMALL_TABLE_ROWS} topics")
+    return sorted(rows, key=lambda r: r["topic_id"])
 
-    ``euclidean`` is exact and compares all rows with all rows, so it takes up to
-    :data:`PAIRWISE_ROWS` rows. ``squaredEuclidean`` is exact for that distance, needs
-    one pass over any number of rows, and gives a different number.
-    """
-    if metric == "squaredEuclidean":
-        vectors = with_features(df, embedding)
-        return ClusteringEvaluator(featuresCol="features", predictionCol=topic, distanceMeasure=metric).evaluate(
-            vectors
-        )
-    return silhouettes(df, topic, embedding).agg(F.avg("silhouette")).first()[0]
+
+def mean_silhouette(df: DataFrame, metric: str = "auto") -> float:
+    """Mean of :func:`silhouettes`."""
+    return silhouettes(df, metric).agg(F.avg("silhouette")).first()[0]
 
 
-def silhouettes(df: DataFrame, topic: str = "topic_id", embedding: str = "embedding") -> DataFrame:
-    """Euclidean silhouette of every row, in ``silhouette``; rows alone in their topic get 0.
+def silhouettes(df: DataFrame, metric: str = "auto") -> DataFrame:
+    """Silhouette of every row of ``(topic_id, embedding)``; rows alone in their topic get 0.
 
-    The rows to compare with are sent to the tasks as one matrix of checked size;
-    distances are summed per topic inside the task, pairs are never emitted.
+    ``euclidean`` compares all rows with all rows and takes up to :data:`PAIRWISE_ROWS`
+    rows. ``squaredEuclidean`` is exact for that distance, needs topic means only and
+    takes any number of rows, but gives other numbers. ``auto`` picks by the row count.
     """
-    points = df.select(F.col(topic).cast("long"), embedding).limit(PAIRWISE_ROWS + 1).toPandas()
+    if metric == "auto":
+        small = df.limit(PAIRWISE_ROWS + 1).count() <= PAIRWISE_ROWS
+        metric = "euclidean" if small else "squaredEuclidean"
+    if metric == "euclidean":
+        return _pairwise_silhouettes(df)
+    if metric == "squaredEuclidean":
+        return _mean_based_silhouettes(df)
+    raise ValueError(f"unknown metric {metric!r}")
+
+
+def _pairwise_silhouettes(df: DataFrame) -> DataFrame:
+    # The rows to compare with are one matrix of checked size; distances are summed per
+    # topic inside the task, pairs are never emitted.
+    points = df.select(F.col("topic_id").cast("long"), "embedding").limit(PAIRWISE_ROWS + 1).toPandas()
     if len(points) > PAIRWISE_ROWS:
-        raise ValueError(f"more than {PAIRWISE_ROWS} rows: use metric='squaredEuclidean' or a sample")
-    matrix = np.array(points[embedding].tolist(), dtype="float64")
-    labels, codes, sizes = np.unique(points[topic].to_numpy(), return_inverse=True, return_counts=True)
-    if len(labels) < 2:
-        raise ValueError("a silhouette needs at least two topics")
+        raise ValueError(f"more than {PAIRWISE_ROWS} rows: use squaredEuclidean or a sample")
+    matrix = np.array(points["embedding"].tolist(), dtype="float64")
+    labels, codes, sizes = np.unique(points["topic_id"].to_numpy(), return_inverse=True, return_counts=True)
     members = np.eye(len(labels))[codes]
     norms = (matrix**2).sum(axis=1)
 
+    def mean_distances(x: np.ndarray) -> np.ndarray:
+        squared = (x**2).sum(axis=1)[:, None] + norms - 2 * x @ matrix.T
+        return np.sqrt(np.maximum(squared, 0)) @ members / sizes
+
+    return _with_silhouette(df, labels, sizes, mean_distances)
+
+
+def _mean_based_silhouettes(df: DataFrame) -> DataFrame:
+    # Mean squared distance to a topic = squared distance to its mean + its spread.
+    vectors = with_features(df)
+    squares = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    stats = vectors.groupBy("topic_id").agg(
+        vector_to_array(Summarizer.mean(F.col("features"))).alias("centroid"),
+        F.avg(squares).alias("mean_square"),
+        F.count("*").alias("size"),
+    )
+    rows = _topic_sized(stats)
+    labels, sizes = np.array([r["topic_id"] for r in rows]), np.array([r["size"] for r in rows])
+    centers = np.array([r["centroid"] for r in rows], dtype="float64")
+    mean_squares = np.array([r["mean_square"] for r in rows])
+
+    def mean_distances(x: np.ndarray) -> np.ndarray:
+        return np.maximum((x**2).sum(axis=1)[:, None] + mean_squares - 2 * x @ centers.T, 0)
+
+    return _with_silhouette(df, labels, sizes, mean_distances)
+
+
+def _with_silhouette(df: DataFrame, labels, sizes, mean_distances: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    if len(labels) < 2:
+        raise ValueError("a silhouette needs at least two topics")
+
     @F.arrow_udf("double")
     def silhouette(vectors: pa.Array, topics: pa.Array) -> pa.Array:
-        flat = np.asarray(vectors.flatten(), dtype="float64")
-        x = flat.reshape(len(vectors), -1)
+        x = np.asarray(vectors.flatten(), dtype="float64").reshape(len(vectors), -1)
         own = np.searchsorted(labels, np.asarray(topics))
-        here = np.arange(len(x))
-        sums = np.zeros((len(x), len(labels)))
+        scores = np.zeros(len(x))
         for start in range(0, len(x), 256):
-            block = x[start : start + 256]
-            squared = (block**2).sum(axis=1)[:, None] + norms[None, :] - 2 * block @ matrix.T
-            sums[start : start + 256] = np.sqrt(np.maximum(squared, 0)) @ members
-        inside = sums[here, own] / np.maximum(sizes[own] - 1, 1)
-        means = sums / sizes
-        means[here, own] = np.inf
-        outside = means.min(axis=1)
-        spread = np.maximum(inside, outside)
-        score = np.where((sizes[own] > 1) & (spread > 0), (outside - inside) / np.where(spread > 0, spread, 1), 0.0)
-        return pa.array(score)
+            part = slice(start, start + 256)
+            topic, means = own[part], mean_distances(x[part])
+            at, size = np.arange(len(topic)), sizes[topic]
+            inside = means[at, topic] * size / np.maximum(size - 1, 1)
+            means[at, topic] = np.inf
+            outside = means.min(axis=1)
+            spread = np.maximum(inside, outside)
+            known = (size > 1) & (spread > 0)
+            scores[part] = np.where(known, (outside - inside) / np.where(known, spread, 1), 0)
+        return pa.array(scores)
 
-    return df.withColumn("silhouette", silhouette(F.col(embedding), F.col(topic).cast("long")))
+    return df.withColumn("silhouette", silhouette(F.col("embedding"), F.col("topic_id").cast("long")))
 
 
 def select_k(
-    df: DataFrame, k_min: int = 4, k_max: int = 10, seed: int = 42, metric: str = "euclidean"
+    df: DataFrame, k_min: int = 4, k_max: int = 10, seed: int = 42, metric: str = "auto"
 ) -> DataFrame:
     """Silhouette for every k of the range, best first (ties: the smaller k).
 

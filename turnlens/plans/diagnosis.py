@@ -20,7 +20,11 @@ STAGES = ("satisfaction", "issues", "topics", "repairs")
 
 @dataclass(frozen=True)
 class Models:
-    """The user's model functions and the model names that go into request keys."""
+    """The user's model functions and the model names that go into request keys.
+
+    The functions take ready prompts, or with ``raw_inputs`` what the prompts are made
+    from: user and last system text, snippet, topic description.
+    """
 
     score: ModelFn
     tag: ModelFn
@@ -29,6 +33,7 @@ class Models:
     score_model: str = "default"
     tag_model: str = "default"
     repair_model: str = "default"
+    raw_inputs: bool = False
 
 
 @dataclass(frozen=True)
@@ -73,7 +78,9 @@ def diagnose(
         out["satisfaction"] = materialize(
             spark,
             at.path("satisfaction"),
-            lambda: score_satisfaction(turns, models.score, models.score_model, at.cache, strict, policy),
+            lambda: score_satisfaction(
+                turns, models.score, models.score_model, at.cache, strict, policy, models.raw_inputs
+            ),
             skip_existing,
         )
     if 2 in wanted:
@@ -81,7 +88,7 @@ def diagnose(
         out["issues"] = materialize(
             spark,
             at.path("issues"),
-            lambda: tag_issues(scored, models.tag, models.tag_model, at.cache, strict, policy),
+            lambda: tag_issues(scored, models.tag, models.tag_model, at.cache, strict, policy, models.raw_inputs),
             skip_existing,
         )
     if 3 in wanted:
@@ -99,7 +106,14 @@ def diagnose(
             spark,
             at.path("repairs"),
             lambda: repair_topics(
-                summary, None if strict else turn_topics, models.repair, models.repair_model, at.cache, strict, policy
+                summary,
+                None if strict else turn_topics,
+                models.repair,
+                models.repair_model,
+                at.cache,
+                strict,
+                policy,
+                models.raw_inputs,
             ),
             skip_existing,
         )
