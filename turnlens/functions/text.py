@@ -24,9 +24,13 @@ def null_if_empty(c: Column) -> Column:
     return F.when(c != "", c)
 
 
-def tab_field(c: Column, position: int) -> Column:
-    """Tab-separated field by 0-based position, ``''`` when the line is shorter."""
-    return F.coalesce(F.get(F.split(c, "\t"), F.lit(position)), F.lit(""))
+def tab_fields(c: Column) -> Column:
+    return F.split(c, "\t")
+
+
+def field(fields: Column, position: int) -> Column:
+    """Field by 0-based position, ``''`` when the line is shorter."""
+    return F.coalesce(F.get(fields, F.lit(position)), F.lit(""))
 
 
 def is_overall_line(speaker: Column, text: Column) -> Column:

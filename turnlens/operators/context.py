@@ -27,17 +27,16 @@ def forward_fill(
     """
     grouped = reduce(and_, [F.col(c).isNotNull() for c in group])
     scattered = F.pmod(F.xxhash64(order, value), F.lit(4096))
-    keyed = df.withColumn("_value", F.when(grouped, value)).withColumn(
-        "_chunk", F.when(grouped, F.floor(F.col(order) / chunk)).otherwise(scattered)
-    )
+    member_value = F.when(grouped, value)
+    keyed = df.withColumn("_chunk", F.when(grouped, F.floor(F.col(order) / chunk)).otherwise(scattered))
     in_chunk = Window.partitionBy(*group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = keyed.withColumn(out, F.last("_value", ignorenulls=True).over(in_chunk))
+    filled = keyed.withColumn(out, F.last(member_value, ignorenulls=True).over(in_chunk))
     # Only groups that leave the first chunk; the filter reaches the scan and is empty for most data.
     long_groups = keyed.filter((F.col(order) >= chunk) | (F.col(order) < 0)).select(*group).distinct()
     ends = (
         keyed.join(long_groups, group, "left_semi")
         .groupBy(*group, "_chunk")
-        .agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_end"))
+        .agg(F.max_by(member_value, F.when(member_value.isNotNull(), F.col(order))).alias("_end"))
     )
     earlier = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = ends.select(*group, "_chunk", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))

@@ -72,13 +72,14 @@ def tag_issues(
     if raw_inputs:
         asked_for = F.when(F.col("request_key").isNotNull(), inputs_prompt(F.col("snippet")))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", asked_for)
-    replied = annotate(requests, fn, TASK, model, cache_path, policy)
-    asked = F.col("request_key").isNotNull()
-    reply = parse_reply(F.col("response_json"))
+    replied = annotate(requests, fn, TASK, model, cache_path, policy).withColumn(
+        "reply", parse_reply(F.col("response_json"))
+    )
+    asked, reply = F.col("request_key").isNotNull(), F.col("reply")
     return replied.withColumns(
         {
             "issues": F.when(asked, issue_labels(reply, strict)).otherwise(empty_strings()),
             "severity": F.when(asked, issue_severity(reply, strict)).otherwise(UNTAGGED_SEVERITY),
             "reason": F.when(asked, issue_reason(reply, strict)).otherwise(""),
         }
-    ).drop("request_key", "response_json", "error", "source", "snippet")
+    ).drop("request_key", "response_json", "error", "source", "reply", "snippet")

@@ -81,7 +81,8 @@ def repair_topics(
     if raw_inputs:
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", inputs_prompt(F.col("topic_description")))
     replied = annotate(requests, fn, TASK, model, cache_path, policy, row_id=["topic_id"])
-    fields = normalize_repair(parse_reply(F.col("response_json")), strict)
+    replied = replied.withColumn("reply", parse_reply(F.col("response_json")))
+    fields = normalize_repair(F.col("reply"), strict)
     return replied.select(
         "topic_id", F.col("_label").alias("topic_label"), *[fields[name].alias(name) for name in REPAIR_FIELDS]
     )

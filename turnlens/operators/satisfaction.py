@@ -69,9 +69,10 @@ def score_satisfaction(
     if raw_inputs:
         inputs = inputs_prompt(F.col("text"), F.col("last_system_text"))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", F.when(is_scorable(), inputs))
-    replied = annotate(requests, fn, TASK, model, cache_path, policy)
-    asked = F.col("request_key").isNotNull()
-    reply = parse_reply(F.col("response_json"))
+    replied = annotate(requests, fn, TASK, model, cache_path, policy).withColumn(
+        "reply", parse_reply(F.col("response_json"))
+    )
+    asked, reply = F.col("request_key").isNotNull(), F.col("reply")
     scored = replied.withColumns(
         {
             score_name: F.when(asked, coerce_score(reply, strict)),
@@ -80,5 +81,5 @@ def score_satisfaction(
         }
     )
     return scored.withColumn(flag_name, is_low_score(F.col(score_name))).drop(
-        "request_key", "response_json", "error", "source"
+        "request_key", "response_json", "error", "source", "reply"
     )

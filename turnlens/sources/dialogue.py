@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnlens.functions.text import is_blank, is_overall_line, null_if_empty, tab_field, ws_strip
+from turnlens.functions.text import field, is_blank, is_overall_line, null_if_empty, tab_fields, ws_strip
 from turnlens.functions.values import array_mean, parse_scores
 from turnlens.schemas import require_columns
 
@@ -67,14 +67,15 @@ def segment_conversations(lines: DataFrame, closes: Column | None = None) -> Dat
     content = ~is_blank(F.col("value"))
     breaks = ~content if closes is None else ~content | closes
     in_split = Window.partitionBy(*_SPLIT).orderBy("pos")
+    so_far = in_split.rowsBetween(Window.unboundedPreceding, 0)
     marked = lines.withColumn("is_content", content).withColumn("breaks", breaks)
     # Starts whose predecessor lies in the same split; the first line is settled below.
     marked = marked.withColumn(
         "starts", F.col("is_content") & F.coalesce(F.lag("breaks").over(in_split), F.lit(False))
-    ).withColumn("content_no", F.count_if("is_content").over(in_split))
+    ).withColumn("content_no", F.count_if("is_content").over(so_far))
     last_start = F.last(F.when(F.col("starts"), F.col("content_no")), ignorenulls=True)
-    counted = marked.withColumn("start_no", F.count_if("starts").over(in_split)).withColumn(
-        "last_start", last_start.over(in_split)
+    counted = marked.withColumn("start_no", F.count_if("starts").over(so_far)).withColumn(
+        "last_start", last_start.over(so_far)
     )
     offsets = _split_offsets(counted)
     conv_id = F.col("start_offset") + F.col("start_no") + F.col("opens").cast("long") - 1
@@ -123,11 +124,13 @@ def _split_offsets(counted: DataFrame) -> DataFrame:
 def parse_dialogue(lines: DataFrame, fmt: str) -> DataFrame:
     """Turn table of one corpus from ordered lines."""
     spec = FORMATS[fmt]
-    value = F.col("value")
-    speaker, text, tag = (tab_field(value, i) for i in range(3))
-    closes = is_overall_line(speaker, text) if spec.overall_closes else None
-    raw = tab_field(value, 3) if spec.scores else F.lit(None).cast("string")
-    return segment_conversations(lines, closes).select(
+    line = tab_fields(F.col("value"))
+    closes = is_overall_line(field(line, 0), field(line, 1)) if spec.overall_closes else None
+    numbered = segment_conversations(lines, closes).withColumn("fields", line)
+    speaker, text, tag, raw = (field(F.col("fields"), i) for i in range(4))
+    if not spec.scores:
+        raw = F.lit(None).cast("string")
+    return numbered.select(
         "conv_id",
         "turn_id",
         speaker.alias("speaker"),
