@@ -17,7 +17,7 @@ def ws_strip(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    return ws_strip(c) == ""
+    return F.ltrim(c, F.lit(WHITESPACE)) == ""
 
 
 def null_if_empty(c: Column) -> Column:

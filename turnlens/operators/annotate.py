@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnlens.schemas import KEY
-from turnlens.sources.replies import append_cache, latest, read_cache, usable
+from turnlens.sources.replies import append_cache, read_cache, usable
 from turnlens.sources.tables import pin, scratch_path
 
 #: Takes a prompt (or the task's raw inputs), returns the reply as JSON text or as a dict.
@@ -125,36 +125,35 @@ def fetch_replies(
     cache_path: str | None = None,
     policy: CallPolicy = CallPolicy(),
 ) -> DataFrame:
-    """Reply table ``(request_key, response_json, error, source)`` for all requests.
+    """Reply table ``(request_key, response_json, error, source)``, one row per request key.
 
     Keys found in the cache are not called again (``source`` is ``cache``); the others
-    are called once per distinct key (``source`` is ``llm``) and appended.
+    are called once per distinct key (``source`` is ``llm``) and appended. The result is
+    the union of both tables, each read from storage.
     """
     spark = requests.sparkSession
     path = cache_path or scratch_path(spark, "replies")
-    mine = (F.col("task") == task) & (F.col("model") == model)
-    before = read_cache(spark, path).filter(mine)
+    before = read_cache(spark, path).filter((F.col("task") == task) & (F.col("model") == model))
     seq = (before.agg(F.max("seq")).first()[0] or 0) + 1
-    asked = distinct_requests(requests)
-    misses = cache_misses(asked, before) if cache_path else asked
-    for batch in _commit_batches(misses, policy.commit_batches):
-        fresh = call_model(batch, fn, policy).withColumns(
+    known = distinct_requests(requests).withColumn("response_json", F.lit(None).cast("string"))
+    if cache_path:
+        stored = usable(before).select("request_key", "response_json")
+        known = known.drop("response_json").join(stored, "request_key", "left")
+    if cache_path or policy.commit_batches > 1:
+        known = pin(known, "requests")
+    misses = known.filter(F.col("response_json").isNull())
+    replies = known.filter(F.col("response_json").isNotNull()).select(
+        "request_key", "response_json", F.lit(None).cast("string").alias("error"), F.lit("cache").alias("source")
+    )
+    batch = F.pmod(F.xxhash64("request_key"), F.lit(policy.commit_batches))
+    for i in range(policy.commit_batches):
+        asked = misses.filter(batch == i) if policy.commit_batches > 1 else misses
+        answered = call_model(asked, fn, policy).withColumns(
             {"task": F.lit(task), "model": F.lit(model), "seq": F.lit(seq).cast("long")}
         )
-        append_cache(fresh, path)
-    source = F.when(F.col("seq") == seq, "llm").otherwise("cache")
-    return latest(read_cache(spark, path).filter(mine)).select("request_key", "response_json", "error", source.alias("source"))
-
-
-def _commit_batches(misses: DataFrame, n: int) -> Iterator[DataFrame]:
-    if n <= 1:
-        yield misses
-        return
-    # Prompts are built once; each job then reads only its own batch.
-    batch = F.pmod(F.xxhash64("request_key"), F.lit(n)).cast("int")
-    stored = pin(misses.withColumn("batch", batch).repartition(n, "batch"), "requests")
-    for i in range(n):
-        yield stored.filter(F.col("batch") == i)
+        fresh = append_cache(answered, path).select("request_key", "response_json", "error", F.lit("llm").alias("source"))
+        replies = replies.unionByName(fresh) if cache_path or i else fresh
+    return replies
 
 
 def annotate(

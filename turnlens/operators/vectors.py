@@ -31,7 +31,7 @@ def l2_normalize(c: Column) -> Column:
 
 
 def embed_texts(
-    df: DataFrame, embed_fn: EmbedFn | None = None, text: str = "text", batch_size: int = 64, features: int = 1024
+    df: DataFrame, embed_fn: EmbedFn | None = None, text: str = "text", batch_size: int = 64, features: int = 384
 ) -> DataFrame:
     """Add ``embedding`` (``array<float>``, length one per row).
 

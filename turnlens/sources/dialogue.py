@@ -74,8 +74,8 @@ def segment_conversations(lines: DataFrame, closes: Column | None = None) -> Dat
         "starts", F.col("is_content") & F.coalesce(F.lag("breaks").over(in_split), F.lit(False))
     ).withColumn("content_no", F.count_if("is_content").over(so_far))
     last_start = F.last(F.when(F.col("starts"), F.col("content_no")), ignorenulls=True)
-    counted = marked.withColumn("start_no", F.count_if("starts").over(so_far)).withColumn(
-        "last_start", last_start.over(so_far)
+    counted = marked.withColumns(
+        {"start_no": F.count_if("starts").over(so_far), "last_start": last_start.over(so_far)}
     )
     offsets = _split_offsets(counted)
     conv_id = F.col("start_offset") + F.col("start_no") + F.col("opens").cast("long") - 1

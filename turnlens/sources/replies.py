@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,11 +17,17 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """All rows ever appended; an empty table when nothing was written yet."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], REPLIES_SCHEMA)
-    return spark.read.schema(REPLIES_SCHEMA).parquet(path)
+    return spark.read.schema(REPLIES_SCHEMA).parquet(path).select(*REPLIES_SCHEMA.fieldNames())
+
 
+def append_cache(df: DataFrame, path: str) -> DataFrame:
+    """Append rows as a part of their own and read that part back.
 
-def append_cache(df: DataFrame, path: str) -> None:
-    df.select(*REPLIES_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+    Parallel runs do not see each other's unfinished parts.
+    """
+    part = f"{path.rstrip('/')}/part_id={uuid.uuid4().hex}"
+    df.select(*REPLIES_SCHEMA.fieldNames()).write.parquet(part)
+    return df.sparkSession.read.schema(REPLIES_SCHEMA).parquet(part)
 
 
 def import_cache_jsonl(spark: SparkSession, path: str, task: str = "satisfaction_score") -> DataFrame:
