@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from turnlens.sources import dialogue
 from turnlens.sources.dialogue import FORMATS, ingest, load_dialogue, parse_dialogue
 
 LINES = [
@@ -96,6 +97,16 @@ def test_numbering_does_not_depend_on_splits(spark, tmp_path, conf, fmt, split_b
     assert got == [(c, t, *line.split("\t")[:2]) for c, t, line in want]
 
 
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_numbering_does_not_depend_on_blocks(spark, tmp_path, monkeypatch, bits):
+    rng = random.Random(bits)
+    lines = [rng.choice(["", "USER\tOVERALL", "USER\tu{}", "SYSTEM\ts{}"]).format(i) for i in range(120)]
+    monkeypatch.setattr(dialogue, "BLOCK_BITS", bits)
+    df = load_dialogue(spark, write(tmp_path / "blocks.txt", lines), "ccpe")
+    got = rows(df, "conv_id", "turn_id", "speaker", "text")
+    assert got == [(c, t, *line.split("\t")[:2]) for c, t, line in sequential(lines, True)]
+
+
 def test_conversation_longer_than_many_splits(spark, tmp_path, conf):
     lines = ["USER\tfirst", ""] + [f"USER\tline {i}" for i in range(300)] + ["", "USER\tlast"]
     conf("spark.sql.files.maxPartitionBytes", "100")

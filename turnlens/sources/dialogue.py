@@ -1,8 +1,9 @@
 """Dialogue text files: one utterance per line, blank lines between conversations.
 
-The files are read in splits, in parallel. Conversation and turn numbers come from
-counts inside each split plus offsets carried over from the splits before it, so
-neither a large file nor a long conversation ends up in one task.
+The files are read in splits, in parallel, and cut further into blocks of lines.
+Conversation and turn numbers come from counts inside each block plus offsets carried
+over from the blocks before it, so neither a large file nor a long conversation ends
+up in one task.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from turnlens.functions.values import array_mean, parse_scores
 from turnlens.schemas import require_columns
 
 LINE_COLUMNS = ("file", "split", "pos", "value")
-_SPLIT = ["file", "split"]
+#: Lines per block, as a power of two.
+BLOCK_BITS = 16
+_BLOCK = ["file", "split", "block"]
 
 
 @dataclass(frozen=True)
@@ -66,18 +69,20 @@ def segment_conversations(lines: DataFrame, closes: Column | None = None) -> Dat
     require_columns(lines, LINE_COLUMNS, "lines")
     content = ~is_blank(F.col("value"))
     breaks = ~content if closes is None else ~content | closes
-    in_split = Window.partitionBy(*_SPLIT).orderBy("pos")
-    so_far = in_split.rowsBetween(Window.unboundedPreceding, 0)
-    marked = lines.withColumn("is_content", content).withColumn("breaks", breaks)
-    # Starts whose predecessor lies in the same split; the first line is settled below.
+    in_block = Window.partitionBy(*_BLOCK).orderBy("pos")
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    marked = lines.withColumns(
+        {"block": F.shiftright("pos", BLOCK_BITS), "is_content": content, "breaks": breaks}
+    )
+    # Starts whose predecessor lies in the same block; the first line is settled below.
     marked = marked.withColumn(
-        "starts", F.col("is_content") & F.coalesce(F.lag("breaks").over(in_split), F.lit(False))
+        "starts", F.col("is_content") & F.coalesce(F.lag("breaks").over(in_block), F.lit(False))
     ).withColumn("content_no", F.count_if("is_content").over(so_far))
     last_start = F.last(F.when(F.col("starts"), F.col("content_no")), ignorenulls=True)
     counted = marked.withColumns(
         {"start_no": F.count_if("starts").over(so_far), "last_start": last_start.over(so_far)}
     )
-    offsets = _split_offsets(counted)
+    offsets = _block_offsets(counted)
     conv_id = F.col("start_offset") + F.col("start_no") + F.col("opens").cast("long") - 1
     started_at = F.coalesce(
         F.col("content_offset") + F.col("last_start"),
@@ -86,27 +91,27 @@ def segment_conversations(lines: DataFrame, closes: Column | None = None) -> Dat
     )
     turn_id = F.col("content_offset") + F.col("content_no") - started_at + 1
     return (
-        counted.join(offsets, _SPLIT)
+        counted.join(offsets, _BLOCK)
         .filter("is_content")
         .select(conv_id.cast("long").alias("conv_id"), turn_id.cast("long").alias("turn_id"), "value")
     )
 
 
-def _split_offsets(counted: DataFrame) -> DataFrame:
-    """One row per split: how many starts and lines precede it, and where the open conversation began."""
-    per_split = counted.groupBy(*_SPLIT).agg(
+def _block_offsets(counted: DataFrame) -> DataFrame:
+    """One row per block: how many starts and lines precede it, and where the open conversation began."""
+    per_block = counted.groupBy(*_BLOCK).agg(
         F.min_by("is_content", "pos").alias("first_is_content"),
         F.max_by("breaks", "pos").alias("last_breaks"),
         F.max("content_no").alias("n_content"),
         F.max("start_no").alias("n_starts"),
         F.max("last_start").alias("last_start"),
     )
-    # One row per split (at most input size / split size), so one ordered pass is bounded.
-    ordered = Window.partitionBy(F.lit(0)).orderBy(*_SPLIT)
+    # One narrow row per block of lines, so one ordered pass stays small.
+    ordered = Window.partitionBy(F.lit(0)).orderBy(*_BLOCK)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     previous = F.lag(F.struct("file", "last_breaks")).over(ordered)
     continues = (previous["file"] == F.col("file")) & ~previous["last_breaks"]
-    opened = per_split.withColumn("opens", F.col("first_is_content") & ~F.coalesce(continues, F.lit(False)))
+    opened = per_block.withColumn("opens", F.col("first_is_content") & ~F.coalesce(continues, F.lit(False)))
     placed = opened.withColumn(
         "start_offset",
         F.coalesce(F.sum(F.col("n_starts") + F.col("opens").cast("long")).over(before), F.lit(0)),
@@ -117,7 +122,7 @@ def _split_offsets(counted: DataFrame) -> DataFrame:
     )
     carried = F.last(latest, ignorenulls=True).over(before)
     return placed.withColumn("carried_start", carried).select(
-        *_SPLIT, "opens", "start_offset", "content_offset", "carried_start"
+        *_BLOCK, "opens", "start_offset", "content_offset", "carried_start"
     )
 
 
