@@ -239,6 +239,13 @@ def test_tagging_stage(spark, turns):
     assert got[(2, 3)] == (["LOOP", "odd"], "HIGH", "Bot: [No previous system turn available]\nUser:")
 
 
+def test_caps_ask_for_a_sample_and_keep_all_turns(spark, turns):
+    scored = score_satisfaction(turns, lambda p: {"score": 1}, policy=QUICK, max_turns=2)
+    assert scored.count() == 7 and scored.filter("satisfaction_score is not null").count() == 2
+    tagged = tag_issues(scored, lambda p: {"issues": ["LOOP"]}, policy=QUICK, max_rows=1)
+    assert tagged.count() == 7 and tagged.filter("size(issues) > 0").count() == 1
+
+
 def test_no_low_turns_gives_defaults(spark, turns):
     none = turns.withColumn("low_satisfaction", F.lit(False))
     got = by_turn(tag_issues(none, lambda p: {}, policy=QUICK), "issues", "severity", "reason")

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from turnlens.operators.sampling import sample_rows
 from turnlens.schemas import KEY
 from turnlens.sources.replies import append_cache, read_cache, usable
 from turnlens.sources.tables import pin, scratch_path
@@ -107,6 +108,16 @@ def distinct_requests(requests: DataFrame) -> DataFrame:
     return requests.groupBy("request_key").agg(F.min("prompt").alias("prompt"))
 
 
+def cap_requests(rows: DataFrame, n: int | None, seed: int = 42) -> DataFrame:
+    """Ask for a seeded sample of ``n`` turns only (all with ``None``); the other rows stay, unasked."""
+    if n is None:
+        return rows
+    picked = sample_rows(rows.filter(F.col("request_key").isNotNull()).select(*KEY), n, seed, KEY)
+    marked = rows.join(picked.withColumn("_picked", F.lit(True)), KEY, "left")
+    kept = {c: F.when(F.col("_picked"), F.col(c)) for c in ("request_key", "prompt")}
+    return marked.withColumns(kept).drop("_picked")
+
+
 def cache_hits(requests: DataFrame, cache: DataFrame) -> DataFrame:
     """Requests with a stored reply that parses."""
     return requests.join(usable(cache).drop("task", "model", "error", "seq"), "request_key")
@@ -133,12 +144,13 @@ def fetch_replies(
     """
     spark = requests.sparkSession
     path = cache_path or scratch_path(spark, "replies")
-    before = read_cache(spark, path).filter((F.col("task") == task) & (F.col("model") == model))
-    seq = (before.agg(F.max("seq")).first()[0] or 0) + 1
-    known = distinct_requests(requests).withColumn("response_json", F.lit(None).cast("string"))
+    known, seq = distinct_requests(requests), 1
     if cache_path:
-        stored = usable(before).select("request_key", "response_json")
-        known = known.drop("response_json").join(stored, "request_key", "left")
+        before = read_cache(spark, path).filter((F.col("task") == task) & (F.col("model") == model))
+        seq = (before.agg(F.max("seq")).first()[0] or 0) + 1
+        known = known.join(usable(before).select("request_key", "response_json"), "request_key", "left")
+    else:
+        known = known.withColumn("response_json", F.lit(None).cast("string"))
     if cache_path or policy.commit_batches > 1:
         known = pin(known, "requests")
     misses = known.filter(F.col("response_json").isNull())

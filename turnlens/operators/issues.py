@@ -10,7 +10,7 @@ from turnlens.functions.prompts import issue_prompt
 from turnlens.functions.replies import issue_labels, issue_reason, issue_severity, parse_reply
 from turnlens.functions.text import scored_snippet, snippet
 from turnlens.functions.values import empty_strings
-from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, inputs_prompt, takes_inputs
+from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, cap_requests, inputs_prompt, takes_inputs
 from turnlens.operators.context import ensure_last_system_text
 from turnlens.schemas import TAGGING_COLUMNS, UNTAGGED_SEVERITY, ensure_column, require_columns
 
@@ -61,18 +61,20 @@ def tag_issues(
     strict: bool = False,
     policy: CallPolicy = CallPolicy(),
     raw_inputs: bool = False,
+    max_rows: int | None = None,
+    seed: int = 42,
 ) -> DataFrame:
     """Add ``issues``, ``severity`` and ``reason``: model tags on low user turns, defaults elsewhere.
 
     Earlier columns of those names are replaced. The strict rules keep taxonomy labels
     only and give a failed call a fallback tag. ``fn`` takes a ready prompt, or with
-    ``raw_inputs`` the snippet.
+    ``raw_inputs`` the snippet. ``max_rows`` tags a seeded sample only.
     """
     requests = tagging_requests(turns.drop("issues", "severity", "reason"), model, strict)
     if raw_inputs:
         asked_for = F.when(F.col("request_key").isNotNull(), inputs_prompt(F.col("snippet")))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", asked_for)
-    replied = annotate(requests, fn, TASK, model, cache_path, policy).withColumn(
+    replied = annotate(cap_requests(requests, max_rows, seed), fn, TASK, model, cache_path, policy).withColumn(
         "reply", parse_reply(F.col("response_json"))
     )
     asked, reply = F.col("request_key").isNotNull(), F.col("reply")

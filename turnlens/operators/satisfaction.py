@@ -9,7 +9,7 @@ from turnlens.functions.keys import request_key, turn_key
 from turnlens.functions.prompts import satisfaction_prompt
 from turnlens.functions.replies import coerce_score, is_low_score, parse_reply, score_reason
 from turnlens.functions.values import to_numeric
-from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, inputs_prompt, takes_inputs
+from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, cap_requests, inputs_prompt, takes_inputs
 from turnlens.operators.context import add_last_system_text
 from turnlens.schemas import LOW_SCORE, SCORING_COLUMNS, ensure_column, require_columns
 
@@ -50,11 +50,13 @@ def score_satisfaction(
     strict: bool = False,
     policy: CallPolicy = CallPolicy(),
     raw_inputs: bool = False,
+    max_turns: int | None = None,
+    seed: int = 42,
 ) -> DataFrame:
     """Score every scorable user turn with ``fn`` and flag the low ones.
 
     ``fn`` takes a ready prompt, or with ``raw_inputs`` the user text and the last
-    system text.
+    system text. ``max_turns`` scores a seeded sample only.
 
     Forgiving rules write ``satisfaction_score``, ``satisfaction_reason``,
     ``satisfaction_source`` and replace ``low_satisfaction``. The strict rules write
@@ -69,7 +71,7 @@ def score_satisfaction(
     if raw_inputs:
         inputs = inputs_prompt(F.col("text"), F.col("last_system_text"))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", F.when(is_scorable(), inputs))
-    replied = annotate(requests, fn, TASK, model, cache_path, policy).withColumn(
+    replied = annotate(cap_requests(requests, max_turns, seed), fn, TASK, model, cache_path, policy).withColumn(
         "reply", parse_reply(F.col("response_json"))
     )
     asked, reply = F.col("request_key").isNotNull(), F.col("reply")
