@@ -15,7 +15,6 @@ from queryset.adapter import (
     TURNS,
     joined,
     quote,
-    rated_turns,
     repair_stub,
     score_stub,
     sql_fill,
@@ -28,7 +27,9 @@ from queryset.adapter import (
 )
 from queryset.registry import query
 from turnlens.functions.prompts import REPAIR_SHORT
+from turnlens.functions.replies import normalize_repair, parse_reply
 from turnlens.operators import dashboard
+from turnlens.operators.annotate import annotate
 from turnlens.operators.repairs import describe_topics, rank_topics, repair_requests, repair_topics
 from turnlens.operators.topics import attach_labels, attach_topics, build_topics, label_topics, summarize_topics
 from turnlens.operators.topics import topic_counts as count_topics
@@ -165,12 +166,9 @@ def repairs_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def repairs_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strict reply rules on the replies to the short prompts."""
-    from turnlens.functions.replies import normalize_repair, parse_reply
-    from turnlens.operators.annotate import annotate
-
     _, summary, attached = flow(spark, sf_dir)
     asked = repair_requests(describe_topics(summary, attached), "default")
-    replied = annotate(asked, repair_stub(), "prompt_repair", "default", policy=STUB_POLICY, row_id=["topic_id"])
+    replied = annotate(asked, repair_stub(), "prompt_repair", "default", policy=STUB_POLICY)
     fields = normalize_repair(parse_reply(F.col("response_json")), strict=True)
     named = replied.select("topic_id", *[fields[name].alias(name) for name in REPAIR_FIELDS])
     return flatten_lists(named).select("topic_id", "root_cause", "suggested_prompt_changes")

@@ -35,7 +35,7 @@ def test_second_run_calls_nothing_and_agrees(spark, tmp_path):
     path = str(tmp_path / "cache")
 
     def run():
-        out = annotate.annotate(rows, fn, "t", "m", path, QUICK, row_id=["turn_id"])
+        out = annotate.annotate(rows, fn, "t", "m", path, QUICK)
         return {r["turn_id"]: (r["response_json"], r["source"]) for r in out.collect()}
 
     first, after_first = run(), calls.value
@@ -49,7 +49,7 @@ def test_second_run_calls_nothing_and_agrees(spark, tmp_path):
 
 def test_using_the_result_twice_calls_the_model_once(spark):
     fn, calls = counting(spark)
-    out = annotate.annotate(requests(spark, [("a", "A"), ("b", "B")]), fn, "t", "m", None, QUICK, row_id=["turn_id"])
+    out = annotate.annotate(requests(spark, [("a", "A"), ("b", "B")]), fn, "t", "m", None, QUICK)
     out.collect()
     out.join(out.select("turn_id"), "turn_id").collect()
     assert calls.value == 2
@@ -59,7 +59,7 @@ def test_batches_ask_every_key_once(spark, tmp_path):
     fn, calls = counting(spark)
     rows = requests(spark, [(f"k{i % 20}", f"p{i % 20}") for i in range(60)])
     policy = CallPolicy(max_retries=1, base_sleep=0.0, commit_batches=3, parallelism=2)
-    out = annotate.annotate(rows, fn, "t", "m", str(tmp_path / "c"), policy, row_id=["turn_id"])
+    out = annotate.annotate(rows, fn, "t", "m", str(tmp_path / "c"), policy)
     assert out.filter(F.col("response_json").isNull()).count() == 0
     assert calls.value == 20
 
@@ -68,7 +68,7 @@ def test_cache_of_another_model_is_not_used(spark, tmp_path):
     fn, calls = counting(spark)
     rows, path = requests(spark, [("a", "A")]), str(tmp_path / "c")
     for model in ("m1", "m2", "m1"):
-        annotate.annotate(rows, fn, "t", model, path, QUICK, row_id=["turn_id"]).collect()
+        annotate.annotate(rows, fn, "t", model, path, QUICK).collect()
     assert calls.value == 2
 
 
@@ -155,7 +155,7 @@ def test_hot_request_is_split_by_adaptive_execution(spark, conf):
     rows = spark.range(0, n, 1, 8).select(
         F.col("id").alias("turn_id"), hot.alias("request_key"), hot.alias("prompt"), F.sha2(F.col("id").cast("string"), 256).alias("pad")
     )
-    out = annotate.annotate(rows, lambda p: {"p": p}, "t", "m", None, QUICK, row_id=["turn_id"])
+    out = annotate.annotate(rows, lambda p: {"p": p}, "t", "m", None, QUICK)
     plan = executed_plan(out)
     assert "skew=true" in plan
     assert out.count() == n and out.filter("response_json is null").count() == 0

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -175,18 +175,18 @@ def annotate(
     model: str,
     cache_path: str | None = None,
     policy: CallPolicy = CallPolicy(),
-    row_id: Sequence[str] = KEY,
+    asked: Column | None = None,
 ) -> DataFrame:
     """Attach replies to a table with ``request_key`` and ``prompt`` (null where nothing is asked).
 
-    Adds ``response_json``, ``error`` and ``source``. Rows without a request get a
-    stand-in join key made from ``row_id``, which spreads them over all tasks; a request that very
-    many rows share is one skewed key of a left join, which adaptive execution splits.
+    Adds ``response_json``, ``error`` and ``source``. Only the rows with a request are
+    shuffled to their replies; the others pass by. A request that very many rows share
+    is one skewed key of that left join, which adaptive execution splits. ``asked``
+    says which rows have a request, for a condition that filters better than the key.
     """
-    asked = rows.filter(F.col("request_key").isNotNull()).select("request_key", "prompt")
-    replies = fetch_replies(asked, fn, task, model, cache_path, policy)
-    stand_in = F.concat(F.lit("-"), F.xxhash64(*row_id).cast("string"))
-    keyed = rows.withColumn("_join_key", F.coalesce("request_key", stand_in))
-    return keyed.join(replies.withColumnRenamed("request_key", "_join_key"), "_join_key", "left").drop(
-        "_join_key", "prompt"
-    )
+    asked = F.col("request_key").isNotNull() if asked is None else asked
+    requests = rows.filter(asked)
+    replies = fetch_replies(requests.select("request_key", "prompt"), fn, task, model, cache_path, policy)
+    answered = requests.drop("prompt").join(replies, "request_key", "left")
+    nothing = {c: F.lit(None).cast("string") for c in ("request_key", "response_json", "error", "source")}
+    return answered.unionByName(rows.filter(~asked).drop("prompt").withColumns(nothing))

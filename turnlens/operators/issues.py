@@ -18,10 +18,10 @@ TASK = "issue_tagging"
 
 
 def is_low_user_turn(strict: bool = False) -> Column:
-    low = F.col("speaker") == "USER"
+    user = F.col("speaker").eqNullSafe("USER")
     if strict:
-        return F.coalesce(low & ~F.col("is_overall") & F.col("low_satisfaction_llm"), F.lit(False))
-    return F.coalesce(low & F.col("low_satisfaction"), F.lit(False))
+        return user & F.col("is_overall").eqNullSafe(False) & F.col("low_satisfaction_llm").eqNullSafe(True)
+    return user & F.col("low_satisfaction").eqNullSafe(True)
 
 
 def tagging_requests(turns: DataFrame, model: str, strict: bool = False) -> DataFrame:
@@ -74,7 +74,9 @@ def tag_issues(
     if raw_inputs:
         asked_for = F.when(F.col("request_key").isNotNull(), inputs_prompt(F.col("snippet")))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", asked_for)
-    replied = annotate(cap_requests(requests, max_rows, seed), fn, TASK, model, cache_path, policy).withColumn(
+    capped = cap_requests(requests, max_rows, seed)
+    condition = is_low_user_turn(strict) if max_rows is None else None
+    replied = annotate(capped, fn, TASK, model, cache_path, policy, condition).withColumn(
         "reply", parse_reply(F.col("response_json"))
     )
     asked, reply = F.col("request_key").isNotNull(), F.col("reply")

@@ -80,7 +80,7 @@ def repair_topics(
     requests = repair_requests(described, model, strict)
     if raw_inputs:
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", inputs_prompt(F.col("topic_description")))
-    replied = annotate(requests, fn, TASK, model, cache_path, policy, row_id=["topic_id"])
+    replied = annotate(requests, fn, TASK, model, cache_path, policy, F.lit(True))
     replied = replied.withColumn("reply", parse_reply(F.col("response_json")))
     fields = normalize_repair(F.col("reply"), strict)
     return replied.select(

@@ -25,7 +25,7 @@ def flag_rated_turns(turns: DataFrame, dataset: str | None = None) -> DataFrame:
 
 
 def is_scorable() -> Column:
-    return F.coalesce((F.col("speaker") == "USER") & ~F.col("is_overall"), F.lit(False))
+    return F.col("speaker").eqNullSafe("USER") & F.col("is_overall").eqNullSafe(False)
 
 
 def scoring_requests(turns: DataFrame, model: str, strict: bool = False) -> DataFrame:
@@ -71,7 +71,9 @@ def score_satisfaction(
     if raw_inputs:
         inputs = inputs_prompt(F.col("text"), F.col("last_system_text"))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", F.when(is_scorable(), inputs))
-    replied = annotate(cap_requests(requests, max_turns, seed), fn, TASK, model, cache_path, policy).withColumn(
+    capped = cap_requests(requests, max_turns, seed)
+    condition = is_scorable() if max_turns is None else None
+    replied = annotate(capped, fn, TASK, model, cache_path, policy, condition).withColumn(
         "reply", parse_reply(F.col("response_json"))
     )
     asked, reply = F.col("request_key").isNotNull(), F.col("reply")

@@ -58,7 +58,7 @@ def embed_texts(
 def _tfidf(df: DataFrame, text: str, features: int) -> DataFrame:
     filled = df.withColumn("_text", F.coalesce(text, F.lit("")))
     stages = [
-        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\W+"),
+        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+"),
         HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
         IDF(inputCol="_tf", outputCol="_tfidf"),
         Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0),
