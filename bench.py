@@ -1,8 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 Every query runs on ``$BENCH_SF_DIR`` (default sf0.1) with ``local[$BENCH_CPUS]``; the
-core ones run again on the conversations repeated ``$BENCH_COPIES`` times (200 copies
-of sf0.1 are about a million turns), under names ending in ``@copies``.
+core ones run again on the conversations repeated ``$BENCH_COPIES`` times (100 copies
+of sf0.1 are about half a million turns), under names ending in ``@copies``.
 """
 
 from __future__ import annotations
@@ -24,23 +24,19 @@ from queryset import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-COPIES = int(os.environ.get("BENCH_COPIES", "200"))
+COPIES = int(os.environ.get("BENCH_COPIES", "100"))
 
 HEADLINE = (
     "parse_dialogue_sgd",
     "corpus_summary",
     "describe_text_length",
     "last_system_text",
-    "last_error_value",
     "conversation_transcripts",
     "sample_conversations",
     "satisfaction_lenient",
-    "satisfaction_strict",
     "issues_lenient",
     "annotate_cached",
     "topic_summary",
-    "turns_topics",
-    "repairs_normalized",
     "dashboard_topics",
     "sandbox_cases",
     "centroid_assign",

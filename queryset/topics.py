@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queryset.adapter import (
+    CONTEXT,
     KEY_SQL,
     RATED,
     STUB_POLICY,
@@ -26,14 +27,15 @@ from queryset.adapter import (
     with_sql,
 )
 from queryset.registry import query
-from turnlens.functions.prompts import REPAIR_SHORT
+from queryset.scoring import SCORED, SNIPPET
+from turnlens.functions.prompts import ISSUES_SHORT, REPAIR_SHORT
 from turnlens.functions.replies import normalize_repair, parse_reply
 from turnlens.operators import dashboard
 from turnlens.operators.annotate import annotate
 from turnlens.operators.repairs import describe_topics, rank_topics, repair_requests, repair_topics
 from turnlens.operators.topics import attach_labels, attach_topics, build_topics, label_topics, summarize_topics
 from turnlens.operators.topics import topic_counts as count_topics
-from turnlens.plans.diagnosis import Models, dashboard_from, diagnose
+from turnlens.plans.diagnosis import Models, diagnose
 from turnlens.schemas import KEY, REPAIR_FIELDS
 from turnlens.sources.exports import export_json_array, flatten_lists, read_json_array
 from turnlens.sources.tables import pin, scratch_path, write_table
@@ -282,10 +284,33 @@ def sandbox_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+STAGED = f"""staged AS (
+  SELECT *, low AND n % 11 <> 0 AS tagged,
+    low AND n % 11 <> 0 AND (n % 13 = 0 OR n % 17 = 0 OR n % 8 <> 7 OR n // 8 % 8 <> 7) AS clustered
+  FROM (SELECT *, coalesce(satisfaction_score < 3, false) AS low,
+    length({sql_fill(ISSUES_SHORT, snippet=strip(SNIPPET))}) AS n FROM (SELECT * EXCLUDE (n) FROM scored)))"""
+
+
+@query(
+    with_sql(TURNS, CONTEXT, SCORED, STAGED)
+    + """SELECT dataset, count(*) AS n_turns, count(satisfaction_score) AS n_scored, sum(low::INT)::BIGINT AS n_low,
+      sum(tagged::INT)::BIGINT AS n_tagged, sum(clustered::INT)::BIGINT AS n_clustered, 4 AS n_repairs
+    FROM staged GROUP BY dataset"""
+)
 def staged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All four stages with stub models, then the dashboard topics."""
+    """All four stages with stub models, counted per dataset."""
     base = scratch_path(spark, "run")
     source = write_table(turns(spark, sf_dir), f"{base}/turns")
-    diagnose(spark, source, base, Models(score_stub(), tag_stub(), repair_stub()), k=4, policy=STUB_POLICY)
-    return shown(dashboard_from(spark, base).topics, "top_issues", "example_texts")
+    out = diagnose(spark, source, base, Models(score_stub(), tag_stub(), repair_stub()), k=4, policy=STUB_POLICY)
+    return (
+        out["turn_topics"]
+        .groupBy("dataset")
+        .agg(
+            F.count("*").alias("n_turns"),
+            F.count("satisfaction_score").alias("n_scored"),
+            F.count_if("low_satisfaction").alias("n_low"),
+            F.count_if(F.size("issues") > 0).alias("n_tagged"),
+            F.count_if(F.col("topic_id") >= 0).alias("n_clustered"),
+        )
+        .withColumn("n_repairs", out["repairs"].agg(F.count("*")).scalar())
+    )

@@ -80,10 +80,12 @@ def select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.select_k(points, 4, 10)
 
 
-@query()
+@query("SELECT doc_id, 384 AS dims, 1.0::DOUBLE AS norm FROM documents")
 def embed_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Default text features: every document gets a vector of length one."""
     embedded = vectors.embed_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return embedded.select("doc_id", F.size("embedding").alias("dims"))
+    norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return embedded.select("doc_id", F.size("embedding").alias("dims"), F.round(norm, 4).alias("norm"))
 
 
 @query(

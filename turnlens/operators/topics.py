@@ -31,7 +31,7 @@ class Topics(NamedTuple):
 def is_clusterable(strict: bool = False) -> Column:
     """Low user turns with a real failure; the strict rules take any non-empty issue list."""
     flag, wanted = ("low_satisfaction_llm", has_issues) if strict else ("low_satisfaction", has_real_issue)
-    return F.coalesce((F.col("speaker") == "USER") & F.col(flag) & wanted(F.col("issues")), F.lit(False))
+    return F.col("speaker").eqNullSafe("USER") & F.col(flag).eqNullSafe(True) & wanted(F.col("issues"))
 
 
 def select_cluster_rows(
@@ -114,14 +114,23 @@ def attach_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(broadcast_if_small(labels.select("topic_id", "topic_label")), "topic_id", "left")
 
 
-def attach_topics(turns: DataFrame, rows: DataFrame, labels: DataFrame) -> DataFrame:
+def attach_topics(
+    turns: DataFrame, rows: DataFrame, labels: DataFrame, candidates: Column | None = None
+) -> DataFrame:
     """``topic_id`` and ``topic_label`` on all turns, sentinels where unclustered.
 
-    Labels join the clustered rows first, so the full turn table is shuffled once, on
-    its key, and never on the topic id, where most rows would share one value.
+    Labels join the clustered rows first, so turns are shuffled once, on their key, and
+    never on the topic id, where most rows would share one value. With ``candidates``,
+    a condition that every clustered turn meets, the other turns are not shuffled.
     """
     labelled = attach_labels(rows.select(*KEY, "topic_id").dropDuplicates(KEY), labels)
-    joined = turns.drop("topic_id", "topic_label").join(labelled, KEY, "left")
+    base = turns.drop("topic_id", "topic_label")
+    if candidates is None:
+        joined = base.join(labelled, KEY, "left")
+    else:
+        nothing = {f.name: F.lit(None).cast(f.dataType) for f in labelled.schema.fields if f.name not in KEY}
+        found = base.filter(candidates).join(labelled, KEY, "left")
+        joined = found.unionByName(base.filter(~candidates).withColumns(nothing))
     return joined.withColumns(
         {
             "topic_id": F.coalesce("topic_id", F.lit(UNCLUSTERED_ID)),
@@ -137,11 +146,16 @@ def topic_counts(turns: DataFrame) -> DataFrame:
 
 
 def build_topics(
-    tagged: DataFrame, rows: DataFrame, n_issues: int = 3, n_examples: int = 3, strict: bool = False
+    tagged: DataFrame,
+    rows: DataFrame,
+    n_issues: int = 3,
+    n_examples: int = 3,
+    strict: bool = False,
+    candidates: Column | None = None,
 ) -> Topics:
     """Summary and attachment for rows that already have a ``topic_id``."""
     summary = pin(summarize_topics(rows, n_issues, n_examples, strict), "topics-summary")
-    turns = attach_topics(tagged, rows, summary)
+    turns = attach_topics(tagged, rows, summary, candidates)
     if strict:
         kept = attach_labels(rows, summary).withColumnRenamed("text", "cluster_text")
         out = kept.select(*KEY, "topic_id", "topic_label", "issues", "severity", "reason", "cluster_text")
@@ -172,4 +186,4 @@ def cluster_topics(
         raise ValueError("no rows to cluster: check the low satisfaction flag and the issue lists")
     rows = pin(assign_topics(embedded, k, seed).drop("embedding"), "topic-rows")
     n = 5 if strict else 3
-    return build_topics(tagged, rows, n, n, strict)
+    return build_topics(tagged, rows, n, n, strict, is_clusterable(strict))
