@@ -65,14 +65,14 @@ def describe(df: DataFrame, value: Column, buckets: int = 1000) -> DataFrame:
     the buckets are, never the result.
     """
     values = df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    steps = [i / buckets for i in range(1, buckets)]
+    steps = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     stats = values.agg(
         F.count("*").alias("count"),
         F.avg("v").alias("mean"),
         F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-        F.percentile_approx("v", steps, 10 * buckets).alias("cuts"),
+        F.expr(f"percentile_approx(v, array({steps}), {10 * buckets})").alias("cuts"),
     ).first()
     spark, n = df.sparkSession, stats["count"]
     fields = "count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
