@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from turnlens.llm.common import table
 from turnlens.llm.exact_dups import exact_duplicates
+from turnlens.llm.html import extract_main_text
 from turnlens.llm.licenses import IN_PLACE, TEMPLATES, WORD, scan_licenses
+from turnlens.llm.packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,3 +73,16 @@ WITH n AS (
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
     doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY t)"""
+
+
+@query
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
