@@ -13,6 +13,7 @@ from turnlens.llm.exact_dups import exact_duplicates
 from turnlens.llm.html import extract_main_text
 from turnlens.llm.licenses import IN_PLACE, TEMPLATES, WORD, scan_licenses
 from turnlens.llm.packing import pack
+from turnlens.llm.quality import Voting, in_fold, score_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +87,20 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+def predicted(score: str, threshold: float):
+    return (F.col(score) >= threshold).cast("int").alias("predicted")
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = in_fold("doc_id", 5, 0)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_quality(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("quality_score").alias("score"),
+        predicted("quality_score", Voting().threshold),
+    )
