@@ -14,6 +14,7 @@ from turnlens.llm.html import extract_main_text
 from turnlens.llm.licenses import IN_PLACE, TEMPLATES, WORD, scan_licenses
 from turnlens.llm.packing import pack
 from turnlens.llm.quality import Voting, in_fold, score_quality
+from turnlens.llm.toxicity import Ftrl, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -104,3 +105,16 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("quality_score").alias("score"),
         predicted("quality_score", Voting().threshold),
     )
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = in_fold("doc_id", 4, 2)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("toxicity_score").alias("score"),
+        predicted("toxicity_score", Ftrl().threshold),
+    )
