@@ -29,10 +29,10 @@ class Ftrl:
     """``sample`` bounds the labelled texts that are learned from."""
 
     sample: int = 20_000
-    epochs: int = 3
-    alpha: float = 0.3
+    epochs: int = 4
+    alpha: float = 0.5
     beta: float = 1.0
-    l1: float = 1.5
+    l1: float = 4.0
     l2: float = 0.1
     threshold: float = 0.3
 
