@@ -12,6 +12,7 @@ from turnlens.llm.common import table
 from turnlens.llm.exact_dups import exact_duplicates
 from turnlens.llm.html import extract_main_text
 from turnlens.llm.licenses import IN_PLACE, TEMPLATES, WORD, scan_licenses
+from turnlens.llm.line_dups import dedup_lines
 from turnlens.llm.near_dups import near_duplicates
 from turnlens.llm.packing import pack
 from turnlens.llm.quality import Voting, in_fold, score_quality
@@ -124,3 +125,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
+@query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
