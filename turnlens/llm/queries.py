@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlens.llm.common import table
+from turnlens.llm.decontaminate import contaminated
 from turnlens.llm.exact_dups import exact_duplicates
 from turnlens.llm.html import extract_main_text
 from turnlens.llm.licenses import IN_PLACE, TEMPLATES, WORD, scan_licenses
@@ -130,3 +131,8 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
