@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,42 +32,69 @@ WIDTH = 4
 LEVEL_BITS, GROUP_BITS = 55, 27
 #: Characters that Python's split() takes for white space but the tokenizer does not.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
+#: Marks that the tokenizer parts from the letters before them.
+MARKS = ".,;:!?"
 
 
 class WordTokens:
     """Token ids of texts, as bytes, with a bounded cache per white-space-separated chunk.
 
-    For tokenizers that never join characters across white space and drop white space, the ids
-    of a text are those of its chunks, one after the other.
+    For lower-casing tokenizers with word ends that drop white space and part letters from
+    marks, the ids of a text are those of its chunks, one after the other, and those of a chunk
+    are those of its word and its closing mark.
     """
 
-    def __init__(self, path: str, end_id: int, cache_chunks: int = 400_000, chunk_chars: int = 40):
+    def __init__(
+        self, path: str, end_id: int, cache_chunks: int = 800_000, chunk_chars: int = 40, word_end: str = "</w>"
+    ):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end_id.to_bytes(WIDTH, "little")
         self.cache: dict[str, bytes] = {}
         self.limit, self.chunk_chars = cache_chunks, chunk_chars
+        self.marks = {mark: self.ids(mark) for mark in MARKS}
+
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(word_end)]] = True
+
+    def ids(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn_words(self, found: list[str]) -> None:
+        """Lower-case words of letters, joined into a few texts and told apart by word ends."""
+        parts = [found[i : i + 500] for i in range(0, len(found), 500)]
+        coded = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, code in zip(parts, coded):
+            ids = np.asarray(code.ids, "<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * WIDTH
+            if len(stops) != len(part):
+                self.cache.update((w, self.ids(w)) for w in part)
+                continue
+            raw, start = ids.tobytes(), 0
+            for word, stop in zip(part, stops.tolist()):
+                self.cache[word] = raw[start:stop]
+                start = stop
 
     @staticmethod
-    def packed(ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(WIDTH, "little") for i in ids)
-
-    def learn(self, chunks: list[str]) -> None:
-        """One call for all new chunks; their ids are told apart by word number."""
-        import numpy as np
-
-        coded = self.tokenizer.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-        ids = np.asarray(coded.ids, dtype="<u4").tobytes()
-        counts = np.bincount(np.asarray(coded.word_ids, dtype=np.int64), minlength=len(chunks)) if coded.ids else [0] * len(chunks)
-        at = 0
-        for chunk, count in zip(chunks, counts):
-            self.cache[chunk] = ids[at : at + WIDTH * int(count)]
-            at += WIDTH * int(count)
+    def split(chunk: str) -> tuple[str, str]:
+        """(word, closing mark) of a chunk that is a Latin-1 word of letters and at most one mark."""
+        word, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in MARKS else (chunk, "")
+        return (word.lower(), mark) if word.isalpha() and max(word) < "\u0100" else ("", "")
+
+    def learn(self, chunks: set[str]) -> None:
+        parts = {c: self.split(c) for c in chunks}
+        self.learn_words(sorted({w for w, _ in parts.values() if w and w not in self.cache}))
+        for chunk, (word, mark) in parts.items():
+            if not word:
+                self.cache[chunk] = self.ids(chunk)
+            elif chunk not in self.cache:
+                self.cache[chunk] = self.cache[word] + (self.marks[mark] if mark else b"")
 
     def encode(self, text: str) -> bytes:
         if any(c in text for c in ODD_SPACE):
-            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
+            return self.ids(text) + self.end
         chunks = text.split()
         cache = self.cache
         try:
@@ -77,8 +105,8 @@ class WordTokens:
             cache.clear()
         new = {c for c in chunks if c not in cache}
         long = {c for c in new if len(c) > self.chunk_chars}
-        self.learn(sorted(new - long))
-        own = {c: self.packed(self.tokenizer.encode(c, add_special_tokens=False).ids) for c in long}
+        self.learn(new - long)
+        own = {c: self.ids(c) for c in long}
         return b"".join([own[c] if c in own else cache[c] for c in chunks]) + self.end
 
 

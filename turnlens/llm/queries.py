@@ -16,6 +16,7 @@ from turnlens.llm.licenses import IN_PLACE, TEMPLATES, WORD, scan_licenses
 from turnlens.llm.line_dups import dedup_lines
 from turnlens.llm.near_dups import near_duplicates
 from turnlens.llm.packing import pack
+from turnlens.llm.pii import replace_entities
 from turnlens.llm.quality import Voting, in_fold, score_quality
 from turnlens.llm.toxicity import Ftrl, score_toxicity
 
@@ -136,3 +137,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
