@@ -34,14 +34,21 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def mix(values: np.ndarray, seed: int) -> np.ndarray:
-    """Another well-spread unsigned hash of each value, one per seed."""
-    x = values.astype(np.uint64) + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)
+def offset(seed: int) -> np.uint64:
+    return np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)
+
+
+def scramble(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
+def mix(values: np.ndarray, seed: int) -> np.ndarray:
+    """Another well-spread unsigned hash of each value, one per seed."""
+    return scramble(values.astype(np.uint64) + offset(seed))
+
+
 def rolling(values: np.ndarray, size: int) -> np.ndarray:
     """One hash per run of ``size`` values, in order; empty if there are fewer."""
     n = len(values) - size + 1

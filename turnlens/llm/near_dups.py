@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from turnlens.llm.alignment import similar
 from turnlens.llm.common import text_or_empty, with_row
-from turnlens.llm.hashing import WordHashes, mix, rolling, words
+from turnlens.llm.hashing import WordHashes, mix, offset, rolling, scramble, words
 from turnlens.llm.linking import components, verified_links
 from turnlens.sources.tables import pin
 
@@ -53,61 +53,18 @@ def order_keys(tokens: np.ndarray, omh: OrderMinHash) -> np.ndarray:
         return np.empty(0, np.int64)
     marked = labelled(rolling(tokens, min(omh.k, len(tokens))))
     take = min(omh.sampled, len(marked))
-    keys = np.empty(omh.keys, np.uint64)
-    for i in range(omh.keys):
-        hashed = mix(marked, 100 + i)
-        smallest = np.argpartition(hashed, take - 1)[:take] if take < len(hashed) else np.arange(take)
-        smallest.sort()
-        key = np.uint64(i)
-        for value in marked[smallest]:
-            key = mix(np.array([key ^ value]), 31)[0]
-        keys[i] = key
-    return np.unique(keys.view(np.int64))
-
-
-def token_match(threshold: float):
-    """Scalar function: do two binary columns of 32-bit tokens align well enough?"""
-
-    @F.pandas_udf("boolean")
-    def match(left: pd.Series, right: pd.Series) -> pd.Series:
-        def one(x: bytes, y: bytes) -> bool:
-            return similar(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), threshold)
-
-        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype=bool)
-
-    return match
-
-
-def aligned(pairs: DataFrame, content: DataFrame, threshold: float) -> DataFrame:
-    """Those pairs (a, b) whose content (id, tokens) has an edit similarity of ``threshold``.
-
-    Lengths that already rule a match out are left out before the alignment.
-    """
-    match = token_match(threshold)
-    size = F.octet_length("tokens")
-    left = content.select(F.col("id").alias("a"), F.col("tokens").alias("x"), size.alias("m"))
-    right = content.select(F.col("id").alias("b"), F.col("tokens").alias("y"), size.alias("n"))
-    both = pairs.join(right, "b").join(left, "a")
-    fitting = both.filter(F.least("m", "n") >= F.greatest("m", "n") * threshold - 0.001)
-    return fitting.filter(match("x", "y"))
-
-
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", omh: OrderMinHash = OrderMinHash()
-) -> DataFrame:
-    """One row per input row: row, id, class_id, class_size, kept.
-
-    Texts of equal words are one class, and so are those that links connect. class_id is the
-    smallest id of a class; the row with it (of repeated rows one) is kept. A null id comes
-    after all others. Texts without any word, null and empty among them, are in a class only
-    with identical texts. Very long texts are read whole. An empty table gives an empty result;
-    other columns are not read. Rows are told apart by ``row``, so repeated rows stay apart.
-    """
-    source = with_row(docs, F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    made = pin(sketches(source.select("row", "text", "id"), omh), "sketches")
-    return classes(made, made.select("row", "digest", "id"), omh).select(
-        "row", F.col("id").alias(id_col), "class_id", "class_size", "kept"
-    )
+    together = max(1, (1 << 20) // len(marked))  # hash functions at once, so that very long texts fit
+    keys = []
+    for first in range(0, omh.keys, together):
+        numbers = np.arange(first, min(omh.keys, first + together))
+        seeds = np.array([offset(100 + int(i)) for i in numbers], np.uint64)
+        hashed = scramble(marked[None, :] + seeds[:, None])
+        smallest = np.sort(np.argpartition(hashed, take - 1, axis=1)[:, :take], axis=1)
+        key = numbers.astype(np.uint64)
+        for place in range(take):
+            key = mix(key ^ marked[smallest[:, place]], 31)
+        keys.append(key)
+    return np.unique(np.concatenate(keys).view(np.int64))
 
 
 def sketches(source: DataFrame, omh: OrderMinHash) -> DataFrame:
