@@ -23,9 +23,10 @@ TEXTS = [
 
 def test_cached_chunks_equal_the_tokenizer(tokenizer):
     tokens = WordTokens(PATH, 1, cache_chunks=5)
-    for text in TEXTS * 2 + [" ".join(TEXTS)]:
-        want = tokenizer.encode(text, add_special_tokens=False).ids + [1]
-        assert tokens.encode(text) == b"".join(i.to_bytes(4, "little") for i in want)
+    texts = TEXTS * 2 + [" ".join(TEXTS)]
+    want = [tokenizer.encode(text, add_special_tokens=False).ids + [1] for text in texts]
+    want = [b"".join(i.to_bytes(4, "little") for i in ids) for ids in want]
+    assert tokens.encode(texts) == want == [tokens.encode([t])[0] for t in texts]
 
 
 def check(rows, got, tokenizer, length):

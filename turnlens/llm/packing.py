@@ -92,22 +92,22 @@ class WordTokens:
             elif chunk not in self.cache:
                 self.cache[chunk] = self.cache[word] + (self.marks[mark] if mark else b"")
 
-    def encode(self, text: str) -> bytes:
-        if any(c in text for c in ODD_SPACE):
-            return self.ids(text) + self.end
-        chunks = text.split()
-        cache = self.cache
-        try:
-            return b"".join([cache[c] for c in chunks]) + self.end
-        except KeyError:
-            pass
-        if len(cache) > self.limit:
-            cache.clear()
-        new = {c for c in chunks if c not in cache}
-        long = {c for c in new if len(c) > self.chunk_chars}
-        self.learn(new - long)
-        own = {c: self.ids(c) for c in long}
-        return b"".join([own[c] if c in own else cache[c] for c in chunks]) + self.end
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text and the end id; new chunks of all texts are learned together."""
+        split = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
+        if len(self.cache) > self.limit:
+            self.cache.clear()
+        new = set().union(*filter(None, split)).difference(self.cache)
+        self.learn(new)
+        ids = self.cache.__getitem__
+        made = [
+            (self.ids(text) if chunks is None else b"".join(map(ids, chunks))) + self.end
+            for text, chunks in zip(texts, split)
+        ]
+        for chunk in new:
+            if len(chunk) > self.chunk_chars:
+                del self.cache[chunk]
+        return made
 
 
 class Packer:
@@ -186,6 +186,7 @@ def pack(
     windows: int = 64,
     end_id: int = 1,
     merge: int = 32,
+    together: int = 200,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids, doc_tokens, sequence_id, offset.
 
@@ -204,9 +205,11 @@ def pack(
 
         def rows() -> Iterator[tuple]:
             for batch in arrow:
-                for ident, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    ids = tokens.encode(text.as_py())
-                    yield from packer.add(ident, 0, ids, len(ids) // WIDTH)
+                for start in range(0, len(batch), together):
+                    part = batch.slice(start, together)
+                    coded = tokens.encode(part.column(1).to_pylist())
+                    for ident, ids in zip(part.column(0).to_pylist(), coded):
+                        yield from packer.add(ident, 0, ids, len(ids) // WIDTH)
             yield from packer.finish()
 
         yield from batches(rows())
