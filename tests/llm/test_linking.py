@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from turnlens.llm.linking import components, verified_links
+from turnlens.llm.linking import components, verified_groups
 
 
 def brute_roots(edges):
@@ -40,15 +40,16 @@ def test_every_similar_pair_ends_in_one_group_even_under_one_popular_key(spark):
     frame = spark.createDataFrame(rows, "id long, key long, value long")
     values = frame.select("id", "value").distinct()
 
+    keyed = frame.groupBy("id").agg(F.collect_set("key").alias("keys"))
+
     def verify(pairs):
         x, y = values.toDF("a", "x"), values.toDF("b", "y")
         return pairs.join(x, "a").join(y, "b").filter("x = y")
 
-    links = verified_links(frame.select("id", "key"), verify, refine=0)
-    roots = {r.id: r.root for r in components(links).collect()}
+    roots = {r.id: r.root for r in verified_groups(keyed, verify, refine=0).collect()}
     assert roots == {101 + 2 * i: 100 + 2 * i for i in range(20)}
 
 
 def test_no_keys(spark):
-    none = spark.createDataFrame([(1, None)], "id long, key long").filter(F.col("key").isNotNull())
-    assert components(verified_links(none, lambda p: p)).collect() == []
+    none = spark.createDataFrame([(1, [])], "id long, keys array<long>")
+    assert verified_groups(none, lambda p: p).collect() == []

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnlens.sources.tables import scratch_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -17,3 +19,39 @@ def text_or_empty(column: str = "text") -> Column:
 def with_row(docs: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, and a number that tells repeated rows apart."""
     return docs.select(F.monotonically_increasing_id().alias("row"), *columns)
+
+
+class Scratch:
+    """Intermediate tables in the shared folder, deleted together when their owner is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+        self.tables: list[str] = []
+
+    def pin(self, df: DataFrame, name: str) -> DataFrame:
+        """Write and read back: cuts the lineage, and survives lost executors."""
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def bucketed(self, df: DataFrame, key: str, name: str) -> DataFrame:
+        """Like ``pin``, laid out by ``key``: later joins on it move the other side only."""
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = scratch_path(self.spark, name)
+        table_name = path.rpartition("/")[2].replace("-", "_")
+        self.paths.append(path)
+        self.tables.append(table_name)
+        writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+        writer.format("parquet").option("path", path).saveAsTable(table_name)
+        return self.spark.table(table_name)
+
+    def drop(self, keep: int = 0) -> None:
+        """Delete all tables but the last ``keep`` pinned ones."""
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for name in self.paths[: len(self.paths) - keep]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths, self.tables = [], []

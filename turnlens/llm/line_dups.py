@@ -19,9 +19,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnlens.llm.common import text_or_empty
+from turnlens.llm.common import Scratch, text_or_empty
 from turnlens.llm.hashing import WordHashes, mix, words
-from turnlens.llm.linking import components, verified_links
+from turnlens.llm.linking import verified_groups
 from turnlens.llm.near_dups import aligned
 from turnlens.sources.tables import pin
 
@@ -145,9 +145,11 @@ def line_groups(lines: DataFrame, texts: DataFrame, rule: LineRule) -> DataFrame
     heads = distinct.join(named, ["d1", "d2"]).select("first.row", F.struct(F.col("first.line").alias("line"), F.col("d1").alias("id")).alias("x"))
     wanted = heads.groupBy("row").agg(F.collect_list("x").alias("wanted"))
     made = pin(distinct_lines(texts.join(wanted, "row").select("text", "wanted"), rule), "blocks")
-    entries = made.select("id", F.explode(F.array_distinct("keys")).alias("key"))
-    links = verified_links(entries, lambda pairs: aligned(pairs, made.select("id", "tokens"), rule.similarity))
-    roots = components(links).withColumnRenamed("id", "d1")
+    scratch = Scratch(lines.sparkSession)
+    content = scratch.bucketed(made.select("id", "tokens"), "id", "content")
+    roots = verified_groups(made.select("id", "keys"), lambda pairs: aligned(pairs, content, rule.similarity))
+    scratch.drop()
+    roots = roots.withColumnRenamed("id", "d1")
     grouped = distinct.join(named.withColumn("in", F.lit(True)), ["d1", "d2"], "left").join(roots, "d1", "left")
     group = F.when(F.col("in") & F.col("root").isNotNull(), F.col("root")).otherwise(F.col("d1"))
     apart = F.when(F.col("in"), F.lit(0)).otherwise(F.col("d2"))

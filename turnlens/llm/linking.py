@@ -1,10 +1,11 @@
-"""Verified links between rows that share a key, and the connected groups of such links.
+"""Groups of rows connected by verified links between rows that share a key.
 
-Rows that share a key are not compared with each other in pairs. Each key names a few
-representatives among its rows, and every row is compared with those; rows that no
-representative matched go on to the next round, where the key chooses representatives among
-them. Keys are reduced by partial aggregation and rows meet their representatives in a join
-that adaptive execution can split, so a key that a third of all rows share is no single task.
+Rows that share a key are not compared with each other in pairs. Each key names a
+representative among its rows, and every row is compared with those; rows that no
+representative matched meet again in finer keys, where other representatives are chosen. Keys
+are reduced by partial aggregation, rows of one known group count once per key, and rows meet
+their representatives in a join that adaptive execution can split, so a key that a third of all
+rows share is no single task.
 """
 
 from __future__ import annotations
@@ -14,18 +15,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnlens.sources.tables import pin
+from turnlens.llm.common import Scratch
 
 
 def _meetings(entries: DataFrame, choices: int) -> DataFrame:
     """id, key, rep for every key with two rows or more; ``choices`` representatives a key."""
     if choices == 1:
         named = entries.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-        return entries.join(named.filter("n > 1").select("key", "rep"), "key")
+        return entries.join(named.filter("n > 1").select("key", "rep"), "key").select("id", "key", "rep")
     share = F.pmod(F.xxhash64("id", "key"), F.lit(choices))
     named = entries.groupBy("key", share).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
     alone = named.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
-    return entries.join(named.select("key", "rep").join(alone, "key"), "key")
+    return entries.join(named.select("key", "rep").join(alone, "key"), "key").select("id", "key", "rep")
 
 
 def _finer(rest: DataFrame) -> DataFrame:
@@ -39,51 +40,90 @@ def _finer(rest: DataFrame) -> DataFrame:
     return keys.select("id", F.explode(pairs).alias("key"))
 
 
-def verified_links(
-    entries: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: int = 2
+def _apart(met: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Rows (id, rep, ...) that are not yet known to be of one group."""
+    if roots is None:
+        return met.filter("id <> rep")
+    both = met.filter("id <> rep").join(roots.toDF("id", "root_id"), "id", "left").join(roots.toDF("rep", "root_rep"), "rep", "left")
+    apart = F.coalesce("root_id", "id") != F.coalesce("root_rep", "rep")
+    return both.filter(apart).select(*met.columns)
+
+
+def verified_groups(
+    rows: DataFrame, verify: Callable[[DataFrame], DataFrame], batches: int = 4, refine: int = 2
 ) -> DataFrame:
-    """Links a < b among rows of ``entries`` (id, key) that share a key and pass ``verify``.
+    """id, root: the groups of rows (id, keys) that verified links connect; others are left out.
 
-    ``verify`` takes distinct pairs (a, b) and returns those that match. Every row first meets
-    the smallest row of each of its keys. Rows that did not match it meet again by pairs of
-    keys, ``refine`` times over, which parts unlike texts that share one popular passage; what
-    still shares a key then meets ever more representatives until no key has two rows left, so
-    no row is dropped for the size of its key.
+    ``verify`` takes distinct pairs (a, b), a < b, that share a key and returns those that match.
+    Keys are taken in ``batches`` by their hash; within a batch the rows of a known group that
+    share a key count as one. Every row meets the smallest row of each of its keys: first the
+    smallest of these, then those that are still in another group. Rows that stayed apart meet
+    again by pairs of keys, ``refine`` times over, which parts unlike texts that share one popular
+    passage; what still shares a key then meets ever more representatives until no key has rows
+    of two groups left, so no row is dropped for the size of its key.
     """
-    found: list[DataFrame] = []
+    spark = rows.sparkSession
+    scratch, left = Scratch(spark), None
+    roots: DataFrame | None = None
+
+    def link(pairs: DataFrame) -> None:
+        nonlocal roots
+        ordered = pairs.select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
+        links = verify(ordered).select("a", "b")
+        roots = components(links if roots is None else links.union(roots.select("id", "root")))
+
+    def round_of(entries: DataFrame, choices: int = 1, first_only: bool = False) -> DataFrame:
+        """Compare, and return the meetings of rows that stay apart."""
+        met = scratch.pin(_meetings(entries, choices), "met")
+        if met.isEmpty():
+            return met
+        pairs = _apart(met, roots)
+        link(pairs.groupBy("id").agg(F.min("rep").alias("rep")) if first_only else pairs.select("id", "rep"))
+        apart = _apart(met, roots)
+        if choices > 1:  # a representative has met every row of its key and need not come again
+            apart = apart.join(met.filter("id = rep").select("id", "key"), ["id", "key"], "left_anti")
+        return scratch.pin(apart.select("id", "key", "rep"), "apart")
+
+    for batch in range(batches):
+        own = rows if roots is None else rows.join(roots, "id", "left")
+        group = F.col("id") if roots is None else F.coalesce("root", "id")
+        part = F.filter("keys", lambda k: F.pmod(k, F.lit(batches)) == batch)
+        entries = own.select("id", group.alias("group"), F.explode(part).alias("key"))
+        entries = entries.groupBy("key", "group").agg(F.min("id").alias("id")).select("id", "key")
+        rest = round_of(entries, first_only=True)
+        left = rest if left is None else left.union(rest)
+    if roots is not None:  # the other representatives of rows that are still in another group
+        left = scratch.pin(_apart(left, roots), "left")
+        if not left.isEmpty():
+            link(left.select("id", "rep"))
+            left = _apart(left, roots)
     turn = 0
     while True:
-        met = pin(_meetings(entries, 1 << max(0, turn - refine)), "met")
-        if met.isEmpty():
+        entries = left.select("id", "key").distinct()
+        entries = scratch.pin(_finer(entries) if turn < refine else entries, "entries")
+        if entries.isEmpty():
             break
-        pairs = met.filter("id <> rep").select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b"))
-        links = pin(verify(pairs.distinct()).select("a", "b"), "links")
-        found.append(links)
-        ends = links.select(F.col("a").alias("id"), F.col("b").alias("rep")).union(
-            links.select(F.col("b").alias("id"), F.col("a").alias("rep"))
-        )
-        reps = met.filter("id = rep").select("id", "key")
-        matched = met.join(ends, ["id", "rep"], "left_semi").select("id", "key").union(reps)
-        rest = met.select("id", "key").distinct().join(matched, ["id", "key"], "left_anti")
-        entries = pin(_finer(rest) if turn < refine else rest, "entries")
+        left = round_of(entries, 1 << max(0, turn - refine))
         turn += 1
-    if not found:
-        return entries.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    return every.distinct()
+    if roots is None:
+        return rows.select("id", F.col("id").alias("root")).limit(0)
+    kept = Scratch(spark).pin(roots, "groups")
+    scratch.drop()
+    return kept
 
 
 def components(links: DataFrame) -> DataFrame:
-    """id, root: each linked row with the smallest id of its connected group.
+    """id, root: each linked row (a, b) with the smallest id of its connected group.
 
     Large-star and small-star rounds; every round is a pair of partial aggregations and joins,
     written to the shared folder, until no link changes.
     """
-    edges = pin(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    before = None
-    while True:
+    spark = links.sparkSession
+    scratch = Scratch(spark)
+    a, b = links.columns
+    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
+    edges = scratch.pin(edges, "edges")
+    while not _stars(edges):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # Large star: neighbours above a row point to the row's smallest neighbour.
@@ -94,8 +134,16 @@ def components(links: DataFrame) -> DataFrame:
         small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             low.select("u", F.col("m").alias("v"))
         )
-        edges = pin(small.filter("u <> v").distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before == now:
-            return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
-        before = now
+        edges = scratch.pin(small.filter("u <> v").distinct(), "edges")
+    # The last table is the result; those before it go.
+    scratch.drop(keep=1)
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every row points to one row only, which points to none."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("in")).union(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("in"))
+    )
+    degrees = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+    return degrees.filter((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("in") > 0))).isEmpty()

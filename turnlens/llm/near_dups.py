@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnlens.llm.alignment import similar
-from turnlens.llm.common import text_or_empty, with_row
+from turnlens.llm.common import Scratch, text_or_empty, with_row
 from turnlens.llm.hashing import WordHashes, mix, offset, rolling, scramble, words
-from turnlens.llm.linking import components, verified_links
+from turnlens.llm.linking import verified_groups
 from turnlens.sources.tables import pin
 
 
@@ -67,6 +67,54 @@ def order_keys(tokens: np.ndarray, omh: OrderMinHash) -> np.ndarray:
     return np.unique(np.concatenate(keys).view(np.int64))
 
 
+def token_match(threshold: float):
+    """Scalar function: do two binary columns of 32-bit tokens align well enough?"""
+
+    @F.pandas_udf("boolean")
+    def match(left: pd.Series, right: pd.Series) -> pd.Series:
+        def one(x: bytes, y: bytes) -> bool:
+            return similar(np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32), threshold)
+
+        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype=bool)
+
+    return match
+
+
+def aligned(pairs: DataFrame, content: DataFrame, threshold: float) -> DataFrame:
+    """Those pairs (a, b) whose content (id, tokens) has an edit similarity of ``threshold``.
+
+    ``content`` is laid out by id, so that only pairs move to it; the few texts that many pairs
+    name as ``a`` are picked out first. Lengths that already rule a match out go before the
+    alignment.
+    """
+    match = token_match(threshold)
+    size = F.octet_length("tokens")
+    right = content.select(F.col("id").alias("b"), F.col("tokens").alias("y"), size.alias("n"))
+    named = pairs.select(F.col("a").alias("id")).distinct()
+    left = content.join(named, "id", "left_semi").select(F.col("id").alias("a"), F.col("tokens").alias("x"), size.alias("m"))
+    both = pairs.join(right, "b").join(left, "a")
+    fitting = both.filter(F.least("m", "n") >= F.greatest("m", "n") * threshold - 0.001)
+    return fitting.filter(match("x", "y"))
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", omh: OrderMinHash = OrderMinHash()
+) -> DataFrame:
+    """One row per input row: row, id, class_id, class_size, kept.
+
+    Texts of equal words are one class, and so are those that links connect. class_id is the
+    smallest id of a class; the row with it (of repeated rows one) is kept. A null id comes
+    after all others. Texts without any word, null and empty among them, are in a class only
+    with identical texts. Very long texts are read whole. An empty table gives an empty result;
+    other columns are not read. Rows are told apart by ``row``, so repeated rows stay apart.
+    """
+    source = with_row(docs, F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    made = pin(sketches(source.select("row", "text", "id"), omh), "sketches")
+    return classes(made, made.select("row", "digest", "id"), omh).select(
+        "row", F.col("id").alias(id_col), "class_id", "class_size", "kept"
+    )
+
+
 def sketches(source: DataFrame, omh: OrderMinHash) -> DataFrame:
     """row, id, digest of the words, their 32-bit hashes and the keys, from (row, text, id)."""
 
@@ -94,10 +142,11 @@ def classes(made: DataFrame, members: DataFrame, omh: OrderMinHash) -> DataFrame
     """members with class_id, class_size and kept, from their sketches."""
     firsts = pin(made.groupBy("digest").agg(F.min("row").alias("first")), "firsts")
     distinct = made.join(firsts.select(F.col("first").alias("row")), "row", "left_semi")
-    content = distinct.select(F.col("row").alias("id"), "tokens")
-    entries = distinct.select(F.col("row").alias("id"), F.explode("keys").alias("key"))
-    links = verified_links(entries, lambda pairs: aligned(pairs, content, omh.similarity))
-    roots = components(links)
+    scratch = Scratch(made.sparkSession)
+    content = scratch.bucketed(distinct.select(F.col("row").alias("id"), "tokens"), "id", "content")
+    keys = distinct.select(F.col("row").alias("id"), "keys")
+    roots = verified_groups(keys, lambda pairs: aligned(pairs, content, omh.similarity))
+    scratch.drop()
     group = F.coalesce("root", "first").alias("group")
     placed = members.join(firsts, "digest").join(roots.withColumnRenamed("id", "first"), "first", "left")
     placed = pin(placed.select(*members.columns, group), "placed")
