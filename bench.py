@@ -69,6 +69,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="turnlens-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

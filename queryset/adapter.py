@@ -185,19 +185,20 @@ CENTROIDS = """centroids AS (
     FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings)
     GROUP BY label, pos)
   GROUP BY topic_id),
-nearest AS (
+nearest AS MATERIALIZED (
   SELECT vec_id, arg_min(topic_id, list_distance(embedding::DOUBLE[], centroid)) AS topic_id
   FROM embeddings, centroids GROUP BY vec_id)"""
 
 TOPIC_ROWS = f"""{CENTROIDS},
-clusterable AS (
+clusterable AS MATERIALIZED (
   SELECT dataset, conv_id, turn_id, text, issues, severity, reason FROM tagged
   WHERE speaker = 'USER' AND low_satisfaction
     AND len(list_filter(issues, lambda x: x <> 'SUCCESS_BEST_PRACTICE')) > 0),
-topic_rows AS (
-  SELECT c.*, n.topic_id::BIGINT AS topic_id
-  FROM clusterable c JOIN nearest n
-    ON n.vec_id = (c.conv_id * 8 + c.turn_id) % (SELECT count(*) FROM embeddings))"""
+topic_rows AS MATERIALIZED (
+  SELECT c.* EXCLUDE (vec_id), n.topic_id::BIGINT AS topic_id
+  FROM (SELECT clusterable.*, (conv_id * 8 + turn_id) % n_vectors AS vec_id
+    FROM clusterable, (SELECT count(*) AS n_vectors FROM embeddings)) c
+  JOIN nearest n USING (vec_id))"""
 
 SUMMARY = """issue_ranks AS (
   SELECT topic_id, issue, row_number() OVER (PARTITION BY topic_id ORDER BY n DESC, first_seen) AS rank

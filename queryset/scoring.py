@@ -99,18 +99,6 @@ def scored_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage.select(*[F.round(c, 6).alias(c) for c in coverage.columns])
 
 
-@query(
-    with_sql(TURNS, CONTEXT, SCORED)
-    + f"""SELECT {KEY_SQL}, CASE WHEN rank <= 200 THEN satisfaction_score END AS satisfaction_score
-    FROM (SELECT *, row_number() OVER (PARTITION BY asked ORDER BY md5('42|' || dataset || '|' || conv_id || '|' || turn_id))
-      AS rank FROM scored)"""
-)
-def satisfaction_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A seeded sample of turns is scored, all turns are kept."""
-    scored = score_satisfaction(turns(spark, sf_dir), score_stub(), policy=STUB_POLICY, max_turns=200)
-    return scored.select(*KEY, "satisfaction_score")
-
-
 SNIPPET = f"'Bot: ' || coalesce(last_system_text, '{NO_SYSTEM_TURN}') || chr(10) || 'User: ' || text"
 LABEL_PAIR = (
     f"[({sql_list(ISSUE_LABELS)})[n % 8 + 1], ({sql_list(ISSUE_LABELS)})[n // 8 % 8 + 1]]"

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from queryset.adapter import CENTROIDS, table, with_sql
 from queryset.registry import query
 from turnlens.operators import vectors
-from turnlens.operators.sampling import sample_rows
 from turnlens.sources.tables import pin
 
 
@@ -52,32 +51,45 @@ def silhouette_sql(points: str, distance: str) -> str:
 DISTANCE = "list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])"
 
 
-@query(silhouette_sql("SELECT * FROM embeddings ORDER BY md5('42|' || vec_id), vec_id LIMIT 5000", DISTANCE))
-def silhouette_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Euclidean silhouettes of a seeded sample, whose size is a parameter of the clustering."""
-    points = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "topic_id")
-    sample = pin(sample_rows(points, 5000, 42, ["vec_id"]), "sample")
-    return vectors.silhouettes(sample, "euclidean").select("vec_id", F.round("silhouette", 6).alias("silhouette"))
-
-
 @query(silhouette_sql("SELECT * FROM embeddings", f"{DISTANCE} * {DISTANCE}"))
 def silhouette_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silhouettes for squared distances: topic means only, for any number of rows."""
     points = table(spark, sf_dir, "embeddings").withColumnRenamed("label", "topic_id")
-    scored = vectors.silhouettes(points, "squaredEuclidean")
+    scored = vectors.silhouettes(points)
     return scored.select("vec_id", F.round("silhouette", 6).alias("silhouette"))
 
 
-@query()
+@query(
+    """SELECT count(*) AS n_rows, 6 AS n_topics, true AS ids_in_range, true AS at_nearest_mean FROM embeddings"""
+)
 def kmeans_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k-means has no SQL form; what must hold of any result does: every row is in one of the six
+    topics, and all but a hundredth of them are in the topic whose mean is nearest."""
     points = pin(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "points")
-    return vectors.assign_topics(points, k=6).select("vec_id", "topic_id")
+    placed = pin(vectors.assign_topics(points, k=6), "placed")
+    nearest = vectors.nearest_centroid(placed, vectors.mean_vectors(placed, "topic_id"), out="nearest")
+    return nearest.agg(
+        F.count("*").alias("n_rows"),
+        F.count_distinct("topic_id").cast("int").alias("n_topics"),
+        F.bool_and(F.col("topic_id").between(0, 5)).alias("ids_in_range"),
+        (F.avg((F.col("topic_id") == F.col("nearest")).cast("int")) >= 0.99).alias("at_nearest_mean"),
+    )
 
 
-@query()
+@query("SELECT 7 AS n_k, 4 AS k_min, 10 AS k_max, true AS in_range, true AS best_first FROM (SELECT count(*) FROM embeddings)")
 def select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scan over k by invariants: every k once, silhouettes between -1 and 1, the best one chosen."""
     points = pin(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "points")
-    return vectors.select_k(points, 4, 10)
+    scores = pin(vectors.select_k(points, 4, 10), "scores")
+    best = vectors.best_k(scores)
+    top = F.max_by("k", F.struct("silhouette", -F.col("k")))
+    return scores.agg(
+        F.count("*").cast("int").alias("n_k"),
+        F.min("k").alias("k_min"),
+        F.max("k").alias("k_max"),
+        F.bool_and(F.col("silhouette").between(-1, 1)).alias("in_range"),
+        (top == best).alias("best_first"),
+    )
 
 
 @query("SELECT doc_id, 384 AS dims, 1.0::DOUBLE AS norm FROM documents")

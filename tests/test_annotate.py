@@ -1,5 +1,7 @@
 """Model calls: cache, retries, fallbacks, skew, and the two scoring stages."""
 
+import json
+
 import pytest
 from conftest import executed_plan
 from pyspark.sql import functions as F
@@ -126,9 +128,61 @@ def test_retries_until_success(spark):
     assert row["response_json"] == '{"ok": 3}' and row["error"] is None
 
 
-def test_failure_ends_the_job(spark):
-    with pytest.raises(Exception, match="model call failed after 2 attempts: busy"):
-        one_call(spark, failing_first(5), CallPolicy(max_retries=2, base_sleep=0.0))
+def test_failure_ends_the_run_and_loses_no_other_reply(spark, tmp_path):
+    """The replies of a failed run are kept, so the second one asks only for the rest."""
+    calls = spark.sparkContext.accumulator(0)
+    rows, path = requests(spark, [(c, c.upper()) for c in "abcdef"]), str(tmp_path / "cache")
+    policy = CallPolicy(max_retries=2, base_sleep=0.0)
+
+    def model(broken):
+        def fn(prompt):
+            calls.add(1)
+            if prompt == broken:
+                raise TimeoutError("busy")
+            return {"echo": prompt}
+
+        return fn
+
+    with pytest.raises(RuntimeError, match="1 model calls failed.*TimeoutError"):
+        annotate.annotate(rows, model("C"), "t", "m", path, policy)
+    assert calls.value == 7
+    out = annotate.annotate(rows, model(None), "t", "m", path, policy)
+    assert {r["source"] for r in out.filter("request_key <> 'c'").collect()} == {"cache"} and out.count() == 6
+    assert calls.value == 8
+
+
+def test_refused_replies_are_asked_again_and_not_taken_from_the_cache(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+    rows, path = requests(spark, [("a", "A")]), str(tmp_path / "cache")
+
+    def fn(prompt):
+        calls.add(1)
+        return {"score": 9}
+
+    for run in (1, 2):
+        policy = CallPolicy(on_error="fallback", max_retries=3, base_sleep=0.0)
+        out = annotate.annotate(rows, fn, "t", "m", path, policy, valid=lambda r: r["score"] < 6).first()
+        assert (out["response_json"], out["error"], calls.value) == ('{"score": 9}', None, 3 * run)
+
+
+def test_rows_with_an_unknown_condition_stay(spark):
+    rows = requests(spark, [("a", "A"), ("b", "B"), ("c", "C")]).withColumn("ask", F.when(F.col("request_key") == "a", True))
+    out = annotate.annotate(rows, lambda p: {"x": 1}, "t", "m", None, QUICK, F.col("ask")).collect()
+    assert sorted((r["request_key"] or "-", r["response_json"]) for r in out) == [("-", None), ("-", None), ("a", '{"x": 1}')]
+
+
+def test_calls_of_one_task_at_a_time(spark):
+    """Eight calls of a fifth of a second each take less than eight fifths with eight under way."""
+    import time
+
+    def slow(prompt):
+        time.sleep(0.2)
+        return {"t": time.time()}
+
+    policy = CallPolicy(parallelism=1, concurrency=8)
+    rows = annotate.call_model(requests(spark, [(c, c) for c in "abcdefgh"]), slow, policy).collect()
+    times = [json.loads(r["response_json"])["t"] for r in rows]
+    assert max(times) - min(times) < 0.8
 
 
 def test_fallback_records_the_error(spark):
@@ -239,13 +293,6 @@ def test_tagging_stage(spark, turns):
     assert got[(2, 3)] == (["LOOP", "odd"], "HIGH", "Bot: [No previous system turn available]\nUser:")
 
 
-def test_caps_ask_for_a_sample_and_keep_all_turns(spark, turns):
-    scored = score_satisfaction(turns, lambda p: {"score": 1}, policy=QUICK, max_turns=2)
-    assert scored.count() == 7 and scored.filter("satisfaction_score is not null").count() == 2
-    tagged = tag_issues(scored, lambda p: {"issues": ["LOOP"]}, policy=QUICK, max_rows=1)
-    assert tagged.count() == 7 and tagged.filter("size(issues) > 0").count() == 1
-
-
 def test_no_low_turns_gives_defaults(spark, turns):
     none = turns.withColumn("low_satisfaction", F.lit(False))
     got = by_turn(tag_issues(none, lambda p: {}, policy=QUICK), "issues", "severity", "reason")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnlens.functions.text import ws_strip
@@ -32,8 +32,8 @@ def to_numeric(c: Column) -> Column:
 
 
 def to_numeric_id(c: Column) -> Column:
-    """Coercing cast to bigint through double, so ``"3.0"`` is 3 and ``"x"`` is null."""
-    return to_numeric(c).try_cast("bigint")
+    """Coercing cast of a text to bigint: exact for integers, ``"3.0"`` is 3, ``"x"`` is null."""
+    return F.coalesce(c.try_cast("bigint"), to_numeric(c).try_cast("bigint"))
 
 
 def nan_to_null(c: Column) -> Column:
@@ -59,6 +59,12 @@ def normalize_list_text(c: Column, literals: bool = False) -> Column:
     return F.when(s.isNull() | (s == ""), empty_strings()).otherwise(single)
 
 
+def listed(df: DataFrame, name: str) -> Column:
+    """Column as a list of texts, whether it is stored as an array or as text."""
+    is_array = df.schema[name].dataType.typeName() == "array"
+    return normalize_list(F.col(name)) if is_array else normalize_list_text(F.col(name), literals=True)
+
+
 def clean_entries(c: Column) -> Column:
     """Strip every list entry and drop the blank ones."""
     return F.filter(F.transform(c, ws_strip), lambda x: x != "")

@@ -10,15 +10,14 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnlens.operators.sampling import sample_rows
-from turnlens.schemas import KEY
-from turnlens.sources.replies import append_cache, read_cache, usable
+from turnlens.sources.replies import INVALID_REPLY, append_cache, read_cache, usable
 from turnlens.sources.tables import pin, scratch_path
 
 #: Takes a prompt (or the task's raw inputs), returns the reply as JSON text or as a dict.
@@ -29,11 +28,13 @@ ModelFn = Callable[..., "str | dict"]
 class CallPolicy:
     """How calls are made.
 
-    ``on_error``: ``"fail"`` ends the job when all retries are used up, ``"fallback"``
-    records the error name instead of a reply. The wait before retry ``a`` is
+    A call that still fails after all retries is recorded with its error name, so that no
+    other reply is lost. ``on_error``: ``"fail"`` then raises, after the replies are written;
+    a second run asks for the rest only. ``"fallback"`` goes on. The wait before retry ``a`` is
     ``min(base_sleep * 2**(a - 1), max_sleep)`` seconds. ``parallelism`` is the number of
-    tasks that call the model (default: one per core, at least the shuffle partitions).
-    ``commit_batches`` splits the calls over that many write jobs, so a failure loses one
+    tasks that call the model (default: one per core, at least the shuffle partitions), and
+    ``concurrency`` the number of calls that each of them has under way at a time.
+    ``commit_batches`` splits the calls over that many write jobs, so a lost job loses one
     batch only.
     """
 
@@ -43,43 +44,53 @@ class CallPolicy:
     max_sleep: float = 20.0
     parallelism: int | None = None
     commit_batches: int = 1
+    concurrency: int = 1
 
 
-def call_model(requests: DataFrame, fn: ModelFn, policy: CallPolicy = CallPolicy()) -> DataFrame:
+#: Takes a parsed reply; false means that the model is to be asked again.
+ValidFn = Callable[[object], bool]
+
+
+def call_model(
+    requests: DataFrame, fn: ModelFn, policy: CallPolicy = CallPolicy(), valid: ValidFn | None = None
+) -> DataFrame:
     """``(request_key, prompt)`` -> ``(request_key, response_json, error)``, one call per row.
 
-    A reply that is no JSON text counts as a failed call and is retried.
+    A reply that is no JSON text, or that ``valid`` refuses, counts as a failed call and is
+    retried. The last refused reply is kept next to the error.
     """
     if policy.on_error not in ("fail", "fallback"):
         raise ValueError(f"on_error must be 'fail' or 'fallback', not {policy.on_error!r}")
-    fail, attempts = policy.on_error == "fail", policy.max_retries
+    attempts, concurrency = policy.max_retries, policy.concurrency
     base, longest = policy.base_sleep, policy.max_sleep
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def reply_to(prompt: str) -> tuple[str | None, str | None]:
+            refused = None
             for attempt in range(1, attempts + 1):
                 try:
                     reply = fn(prompt)
                     text = reply if isinstance(reply, str) else json.dumps(reply or {}, ensure_ascii=False)
-                    json.loads(text)
-                    return text, None
+                    parsed = json.loads(text)
+                    if valid is None or valid(parsed):
+                        return text, None
+                    refused, name = text, INVALID_REPLY
                 except Exception as error:
-                    if attempt < attempts:
-                        time.sleep(min(base * 2 ** (attempt - 1), longest))
-                    elif fail:
-                        raise RuntimeError(f"model call failed after {attempts} attempts: {error}") from error
-                    else:
-                        return None, type(error).__name__
-
-        for batch in batches:
-            replies = [reply_to(prompt) for prompt in batch["prompt"]]
-            yield pd.DataFrame(
-                {
-                    "request_key": batch["request_key"],
-                    "response_json": pd.Series([r[0] for r in replies], dtype="object"),
-                    "error": pd.Series([r[1] for r in replies], dtype="object"),
-                }
-            )
+                    refused, name = None, type(error).__name__
+                if attempt < attempts:
+                    time.sleep(min(base * 2 ** (attempt - 1), longest))
+            return refused, name
+
+        with ThreadPoolExecutor(concurrency) as pool:
+            for batch in batches:
+                replies = list(pool.map(reply_to, batch["prompt"]))
+                yield pd.DataFrame(
+                    {
+                        "request_key": batch["request_key"],
+                        "response_json": pd.Series([r[0] for r in replies], dtype="object"),
+                        "error": pd.Series([r[1] for r in replies], dtype="object"),
+                    }
+                )
 
     # Prompts are small and calls are slow: without a fixed number of partitions adaptive
     # execution would merge them into a few tasks.
@@ -108,16 +119,6 @@ def distinct_requests(requests: DataFrame) -> DataFrame:
     return requests.groupBy("request_key").agg(F.min("prompt").alias("prompt"))
 
 
-def cap_requests(rows: DataFrame, n: int | None, seed: int = 42) -> DataFrame:
-    """Ask for a seeded sample of ``n`` turns only (all with ``None``); the other rows stay, unasked."""
-    if n is None:
-        return rows
-    picked = sample_rows(rows.filter(F.col("request_key").isNotNull()).select(*KEY), n, seed, KEY)
-    marked = rows.join(picked.withColumn("_picked", F.lit(True)), KEY, "left")
-    kept = {c: F.when(F.col("_picked"), F.col(c)) for c in ("request_key", "prompt")}
-    return marked.withColumns(kept).drop("_picked")
-
-
 def cache_hits(requests: DataFrame, cache: DataFrame) -> DataFrame:
     """Requests with a stored reply that parses."""
     return requests.join(usable(cache).drop("task", "model", "error", "seq"), "request_key")
@@ -135,6 +136,7 @@ def fetch_replies(
     model: str,
     cache_path: str | None = None,
     policy: CallPolicy = CallPolicy(),
+    valid: ValidFn | None = None,
 ) -> DataFrame:
     """Reply table ``(request_key, response_json, error, source)``, one row per request key.
 
@@ -160,10 +162,20 @@ def fetch_replies(
     batch = F.pmod(F.xxhash64("request_key"), F.lit(policy.commit_batches))
     for i in range(policy.commit_batches):
         asked = misses.filter(batch == i) if policy.commit_batches > 1 else misses
-        answered = call_model(asked, fn, policy).withColumns(
+        answered = call_model(asked, fn, policy, valid).withColumns(
             {"task": F.lit(task), "model": F.lit(model), "seq": F.lit(seq).cast("long")}
         )
-        fresh = append_cache(answered, path).select("request_key", "response_json", "error", F.lit("llm").alias("source"))
+        written = append_cache(answered, path)
+        if policy.on_error == "fail":
+            failed = written.filter(F.col("error").isNotNull()).agg(F.count("error"), F.min("error")).first()
+            if failed[0]:
+                raise RuntimeError(f"{failed[0]} model calls failed, the first by name with {failed[1]}; the other replies are kept")
+        fresh = written.select(
+            "request_key",
+            F.when(F.col("error").isNull() | (F.col("error") == INVALID_REPLY), F.col("response_json")).alias("response_json"),
+            F.when(F.col("error") != INVALID_REPLY, F.col("error")).alias("error"),
+            F.lit("llm").alias("source"),
+        )
         replies = replies.unionByName(fresh) if cache_path or i else fresh
     return replies
 
@@ -176,6 +188,7 @@ def annotate(
     cache_path: str | None = None,
     policy: CallPolicy = CallPolicy(),
     asked: Column | None = None,
+    valid: ValidFn | None = None,
 ) -> DataFrame:
     """Attach replies to a table with ``request_key`` and ``prompt`` (null where nothing is asked).
 
@@ -184,9 +197,9 @@ def annotate(
     is one skewed key of that left join, which adaptive execution splits. ``asked``
     says which rows have a request, for a condition that filters better than the key.
     """
-    asked = F.col("request_key").isNotNull() if asked is None else asked
+    asked = F.col("request_key").isNotNull() if asked is None else F.coalesce(asked, F.lit(False))
     requests = rows.filter(asked)
-    replies = fetch_replies(requests.select("request_key", "prompt"), fn, task, model, cache_path, policy)
+    replies = fetch_replies(requests.select("request_key", "prompt"), fn, task, model, cache_path, policy, valid)
     answered = requests.drop("prompt").join(replies, "request_key", "left")
     nothing = {c: F.lit(None).cast("string") for c in ("request_key", "response_json", "error", "source")}
     return answered.unionByName(rows.filter(~asked).drop("prompt").withColumns(nothing))

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from turnlens.functions.text import transcript_line
 from turnlens.schemas import CONV, require_columns
+from turnlens.sources.tables import broadcast_if_small, pin
 
 #: Turns per window partition; longer conversations are split and the value carried over.
 CHUNK_TURNS = 100_000
 
+#: Types of the columns whose hash spreads rows without a group.
+SPREAD_BY = ("string", "long", "integer")
+
 
 def forward_fill(
     df: DataFrame, value: Column, out: str, group: list[str], order: str, chunk: int = CHUNK_TURNS
@@ -26,13 +30,18 @@ def forward_fill(
     ``group`` belong to no group: they are kept, unfilled.
     """
     grouped = reduce(and_, [F.col(c).isNotNull() for c in group])
-    scattered = F.pmod(F.xxhash64(order, value), F.lit(4096))
+    # Rows without a group are spread over all tasks; their value is not looked at.
+    scattered = F.pmod(F.xxhash64(*[c for c in df.columns if df.schema[c].dataType.typeName() in SPREAD_BY]), F.lit(4096))
     member_value = F.when(grouped, value)
     keyed = df.withColumn("_chunk", F.when(grouped, F.floor(F.col(order) / chunk)).otherwise(scattered))
     in_chunk = Window.partitionBy(*group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = keyed.withColumn(out, F.last(member_value, ignorenulls=True).over(in_chunk))
-    # Only groups that leave the first chunk; the filter reaches the scan and is empty for most data.
-    long_groups = keyed.filter((F.col(order) >= chunk) | (F.col(order) < 0)).select(*group).distinct()
+    # Groups that leave the first chunk are looked for first: the filter reaches the scan, finds
+    # none in most data, and then the rows are shuffled once, for the window above.
+    outside = df.filter(grouped & ((F.col(order) >= chunk) | (F.col(order) < 0)))
+    if outside.isEmpty():
+        return filled.select(*df.columns, out)
+    long_groups = broadcast_if_small(pin(outside.select(*group).distinct(), "long-groups"))
     ends = (
         keyed.join(long_groups, group, "left_semi")
         .groupBy(*group, "_chunk")

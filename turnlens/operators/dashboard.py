@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnlens.functions.text import default_topic_label, reason_text, repaired_prompt
-from turnlens.functions.values import nan_to_null, normalize_list, normalize_list_text, to_numeric, to_numeric_id
+from turnlens.functions.values import listed, nan_to_null, to_numeric, to_numeric_id
 from turnlens.operators.context import transcripts
 from turnlens.operators.profile import pick_flag
 from turnlens.operators.topics import attach_topics
@@ -46,12 +46,6 @@ class Dashboard(NamedTuple):
     sandbox: DataFrame
 
 
-def listed(df: DataFrame, name: str):
-    """Column as a list of texts, whether it is stored as an array or as text."""
-    is_array = df.schema[name].dataType.typeName() == "array"
-    return normalize_list(F.col(name)) if is_array else normalize_list_text(F.col(name), literals=True)
-
-
 def resolve_score(turns: DataFrame, candidates: Sequence[str] = SCORE_CANDIDATES) -> DataFrame:
     """``satisfaction_score`` and ``satisfaction_source`` from the first column the table has."""
     model_column = first_existing(turns, candidates)
@@ -146,6 +140,7 @@ def example_conversations(topic_rows: DataFrame, turns: DataFrame, per_topic: in
         .filter(F.col("rank") <= per_topic)
     )
     # At most per_topic rows per topic: the turn table is filtered in place, not shuffled.
+    picked = pin(picked, "picked")
     wanted = broadcast_if_small(picked.select(*CONV).distinct())
     texts = transcripts(turns.join(wanted, CONV, "left_semi"), max_turns)
     entry = F.struct("rank", F.struct("dataset", "conv_id", F.coalesce("snippet", F.lit("")).alias("snippet")).alias("c"))
@@ -189,8 +184,11 @@ def build_dashboard(
     )
 
 
-def export_dashboard(board: Dashboard, folder: str) -> dict[str, str]:
-    """Write turns as JSON Lines and the topic-sized tables as pretty JSON arrays."""
+def export_dashboard(board: Dashboard, folder: str, arrays: bool = False) -> dict[str, str]:
+    """Write all tables as JSON Lines; with ``arrays`` the topic-sized ones as one JSON array each."""
+    if not arrays:
+        tables = {"turns": board.turns, "repairs": board.repairs, "topics": board.topics, "sandbox_cases": board.sandbox}
+        return {name: export_jsonl(df, f"{folder}/{name}") for name, df in tables.items()}
     ranked = board.topics.withColumns({"_n": -F.col("n_examples"), "_u": -F.col("n_user_turns")})
     topics = export_json_array(ranked, f"{folder}/topics", ["_n", "_u", "topic_id"], drop=["_n", "_u"])
     return {

@@ -10,7 +10,7 @@ from turnlens.functions.prompts import issue_prompt
 from turnlens.functions.replies import issue_labels, issue_reason, issue_severity, parse_reply
 from turnlens.functions.text import scored_snippet, snippet
 from turnlens.functions.values import empty_strings
-from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, cap_requests, inputs_prompt, takes_inputs
+from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, inputs_prompt, takes_inputs
 from turnlens.operators.context import ensure_last_system_text
 from turnlens.schemas import TAGGING_COLUMNS, UNTAGGED_SEVERITY, ensure_column, require_columns
 
@@ -44,15 +44,22 @@ def tagging_requests(turns: DataFrame, model: str, strict: bool = False) -> Data
         else snippet(system, text)
     )
     low = is_low_user_turn(strict)
+    # The detailed prompt is another request; the plain key stays that of the short one.
+    variant = {"prompt_variant": F.lit("detailed")} if strict else {}
     with_snippet = context.withColumn("snippet", F.when(low, shown))
     return with_snippet.withColumns(
         {
-            "request_key": F.when(low, request_key(TASK, model, snippet=F.col("snippet"))),
+            "request_key": F.when(low, request_key(TASK, model, snippet=F.col("snippet"), **variant)),
             "prompt": F.when(low, issue_prompt(F.col("snippet"), detailed=strict)),
         }
     )
 
 
+def is_valid_tag(reply: object) -> bool:
+    """What the strict rules take: an object whose issues, if given, can be read as a list."""
+    return isinstance(reply, dict) and isinstance(reply.get("issues"), (list, dict, str, type(None)))
+
+
 def tag_issues(
     turns: DataFrame,
     fn: ModelFn,
@@ -61,22 +68,19 @@ def tag_issues(
     strict: bool = False,
     policy: CallPolicy = CallPolicy(),
     raw_inputs: bool = False,
-    max_rows: int | None = None,
-    seed: int = 42,
 ) -> DataFrame:
     """Add ``issues``, ``severity`` and ``reason``: model tags on low user turns, defaults elsewhere.
 
     Earlier columns of those names are replaced. The strict rules keep taxonomy labels
     only and give a failed call a fallback tag. ``fn`` takes a ready prompt, or with
-    ``raw_inputs`` the snippet. ``max_rows`` tags a seeded sample only.
+    ``raw_inputs`` the snippet. To tag a sample, take it first (``sample_conversations``).
     """
     requests = tagging_requests(turns.drop("issues", "severity", "reason"), model, strict)
     if raw_inputs:
         asked_for = F.when(F.col("request_key").isNotNull(), inputs_prompt(F.col("snippet")))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", asked_for)
-    capped = cap_requests(requests, max_rows, seed)
-    condition = is_low_user_turn(strict) if max_rows is None else None
-    replied = annotate(capped, fn, TASK, model, cache_path, policy, condition).withColumn(
+    valid = is_valid_tag if strict else None
+    replied = annotate(requests, fn, TASK, model, cache_path, policy, is_low_user_turn(strict), valid).withColumn(
         "reply", parse_reply(F.col("response_json"))
     )
     asked, reply = F.col("request_key").isNotNull(), F.col("reply")

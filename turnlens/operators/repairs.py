@@ -9,7 +9,7 @@ from turnlens.functions.keys import request_key
 from turnlens.functions.prompts import repair_prompt
 from turnlens.functions.replies import normalize_repair, parse_reply
 from turnlens.functions.text import default_topic_label, topic_description
-from turnlens.functions.values import empty_strings, normalize_list
+from turnlens.functions.values import empty_strings, listed
 from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, inputs_prompt, takes_inputs
 from turnlens.operators.topics import first_examples
 from turnlens.schemas import REPAIR_FIELDS, SUMMARY_COLUMNS, UNCLUSTERED_ID, ensure_column, require_columns
@@ -31,7 +31,7 @@ def describe_topics(
     """
     require_columns(summary, SUMMARY_COLUMNS, "topic summary")
     summary = ensure_column(summary, "topic_label", F.lit(""))
-    examples = normalize_list(F.col("example_texts"))
+    examples = listed(summary, "example_texts")
     if turns is not None:
         clustered = turns.filter((F.col("speaker") == "USER") & (F.col("topic_id") != UNCLUSTERED_ID))
         more = first_examples(clustered, extra).withColumnRenamed("example_texts", "extra_texts")
@@ -43,7 +43,7 @@ def describe_topics(
         F.col("topic_id"),
         F.col("topic_label"),
         F.col("n_examples"),
-        normalize_list(F.col("top_issues")),
+        listed(summary, "top_issues"),
         examples,
         F.col("example_reason"),
         max_examples,
@@ -53,9 +53,11 @@ def describe_topics(
 
 def repair_requests(described: DataFrame, model: str, strict: bool = False) -> DataFrame:
     description = F.col("topic_description")
+    # The detailed prompt is another request; the plain key stays that of the short one.
+    variant = {"prompt_variant": F.lit("detailed")} if strict else {}
     return described.withColumns(
         {
-            "request_key": request_key(TASK, model, topic_description=description),
+            "request_key": request_key(TASK, model, topic_description=description, **variant),
             "prompt": repair_prompt(description, detailed=strict),
         }
     )

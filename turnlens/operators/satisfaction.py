@@ -9,7 +9,7 @@ from turnlens.functions.keys import request_key, turn_key
 from turnlens.functions.prompts import satisfaction_prompt
 from turnlens.functions.replies import coerce_score, is_low_score, parse_reply, score_reason
 from turnlens.functions.values import to_numeric
-from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, cap_requests, inputs_prompt, takes_inputs
+from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, inputs_prompt, takes_inputs
 from turnlens.operators.context import add_last_system_text
 from turnlens.schemas import LOW_SCORE, SCORING_COLUMNS, ensure_column, require_columns
 
@@ -42,6 +42,14 @@ def scoring_requests(turns: DataFrame, model: str, strict: bool = False) -> Data
     )
 
 
+def is_valid_score(reply: object) -> bool:
+    """What the strict rules take: an integer score from 1 to 5 and a text reason."""
+    if not isinstance(reply, dict):
+        return False
+    score = reply.get("score")
+    return type(score) is int and 1 <= score <= 5 and isinstance(reply.get("reason"), str)
+
+
 def score_satisfaction(
     turns: DataFrame,
     fn: ModelFn,
@@ -50,13 +58,11 @@ def score_satisfaction(
     strict: bool = False,
     policy: CallPolicy = CallPolicy(),
     raw_inputs: bool = False,
-    max_turns: int | None = None,
-    seed: int = 42,
 ) -> DataFrame:
     """Score every scorable user turn with ``fn`` and flag the low ones.
 
     ``fn`` takes a ready prompt, or with ``raw_inputs`` the user text and the last
-    system text. ``max_turns`` scores a seeded sample only.
+    system text. To score a sample, take it first (``sample_conversations``).
 
     Forgiving rules write ``satisfaction_score``, ``satisfaction_reason``,
     ``satisfaction_source`` and replace ``low_satisfaction``. The strict rules write
@@ -71,9 +77,8 @@ def score_satisfaction(
     if raw_inputs:
         inputs = inputs_prompt(F.col("text"), F.col("last_system_text"))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", F.when(is_scorable(), inputs))
-    capped = cap_requests(requests, max_turns, seed)
-    condition = is_scorable() if max_turns is None else None
-    replied = annotate(capped, fn, TASK, model, cache_path, policy, condition).withColumn(
+    valid = is_valid_score if strict else None
+    replied = annotate(requests, fn, TASK, model, cache_path, policy, is_scorable(), valid).withColumn(
         "reply", parse_reply(F.col("response_json"))
     )
     asked, reply = F.col("request_key").isNotNull(), F.col("reply")

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnlens.functions.text import topic_label
-from turnlens.functions.values import empty_strings, has_issues, has_real_issue, normalize_list
-from turnlens.operators.sampling import sample_rows
-from turnlens.operators.vectors import EmbedFn, assign_topics, embed_texts
+from turnlens.functions.values import empty_strings, has_issues, has_real_issue, listed
+from turnlens.operators.vectors import EmbedFn, assign_topics, best_k, embed_texts, select_k
 from turnlens.schemas import (
     CLUSTERING_COLUMNS,
     KEY,
@@ -34,15 +33,11 @@ def is_clusterable(strict: bool = False) -> Column:
     return F.col("speaker").eqNullSafe("USER") & F.col(flag).eqNullSafe(True) & wanted(F.col("issues"))
 
 
-def select_cluster_rows(
-    tagged: DataFrame, strict: bool = False, max_rows: int | None = None, seed: int = 42
-) -> DataFrame:
-    """Rows to cluster; with ``max_rows`` a seeded sample of them."""
+def select_cluster_rows(tagged: DataFrame, strict: bool = False) -> DataFrame:
+    """Rows to cluster. Issues may be lists, texts or list literals."""
     df = ensure_column(ensure_column(tagged, "severity", F.lit("")), "reason", F.lit(""))
-    chosen = df.filter(is_clusterable(strict)).select(
-        *KEY, "text", normalize_list(F.col("issues")).alias("issues"), "severity", "reason"
-    )
-    return chosen if max_rows is None else sample_rows(chosen, max_rows, seed, KEY)
+    read = df.withColumn("issues", listed(df, "issues"))
+    return read.filter(is_clusterable(strict)).select(*KEY, "text", "issues", "severity", "reason")
 
 
 def rank_issues(rows: DataFrame, n: int) -> DataFrame:
@@ -167,23 +162,25 @@ def build_topics(
 def cluster_topics(
     tagged: DataFrame,
     embed_fn: EmbedFn | None = None,
-    k: int = 6,
-    max_rows: int | None = None,
+    k: int | None = 6,
     seed: int = 42,
     strict: bool = False,
+    k_range: tuple[int, int] = (4, 10),
 ) -> Topics:
-    """Cluster the bad turns into ``k`` topics.
+    """Cluster the bad turns into ``k`` topics, or with None into the best ``k`` of ``k_range``.
 
-    Embeddings are written once before k-means iterates over them. ``max_rows`` caps
-    the clustered rows by a seeded sample; by default all rows are clustered. The
-    strict rules keep five issues and five examples per topic, else three.
+    Embeddings are written once before k-means iterates over them. All rows are
+    clustered. The strict rules keep five issues and five examples per topic, else three.
     """
     if not strict:
         require_columns(tagged, CLUSTERING_COLUMNS, "tagged turns")
-    chosen = select_cluster_rows(tagged, strict, max_rows, seed)
+    tagged = tagged.withColumn("issues", listed(tagged, "issues"))
+    chosen = select_cluster_rows(tagged, strict)
     embedded = pin(embed_texts(chosen, embed_fn), "embedded")
     if embedded.isEmpty():
         raise ValueError("no rows to cluster: check the low satisfaction flag and the issue lists")
+    if k is None:
+        k = best_k(select_k(embedded, *k_range, seed=seed))
     rows = pin(assign_topics(embedded, k, seed).drop("embedding"), "topic-rows")
     n = 5 if strict else 3
     return build_topics(tagged, rows, n, n, strict, is_clusterable(strict))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,9 +20,6 @@ from turnlens.sources.tables import SMALL_TABLE_ROWS
 #: Takes a list of texts, returns one vector per text (rows of a 2-d array).
 EmbedFn = Callable[[list], np.ndarray]
 
-#: Euclidean silhouettes compare all rows with all rows: exact up to this many.
-PAIRWISE_ROWS = 5_000
-
 
 def l2_normalize(c: Column) -> Column:
     """Scale an array to length one; an all-zero array stays zero."""
@@ -93,122 +90,116 @@ def nearest_centroid(
 ) -> DataFrame:
     """Id of the closest centroid per row (ties: the smaller id).
 
-    The centroids, one row per topic, are fetched once and sent along with the tasks.
+    The centroids are broadcast in blocks of bounded size, and each row keeps the best
+    of its blocks, so any number of topics works without a join.
     """
-    rows = _topic_sized(centroids.select("topic_id", "centroid"))
-    ids = np.array([r["topic_id"] for r in rows], dtype="int64")
-    centers = np.array([r["centroid"] for r in rows], dtype="float64")
-    half_norms = (centers**2).sum(axis=1) / 2
-
-    @F.arrow_udf("bigint")
+    best = None
+    for rows in _topic_blocks(centroids.select("topic_id", "centroid")):
+        ids = np.array([r["topic_id"] for r in rows], dtype="int64")
+        centers = np.array([r["centroid"] for r in rows], dtype="float64")
+        block = df.sparkSession.sparkContext.broadcast((ids, centers, (centers**2).sum(axis=1) / 2))
+        found = _nearest_in(block)(F.col(embedding))
+        best = found if best is None else F.least(best, found)
+    return df.withColumn(out, F.lit(None).cast("bigint") if best is None else best["id"])
+
+
+def _nearest_in(block):
+    @F.arrow_udf("struct<distance:double,id:bigint>")
     def nearest(vectors: pa.Array) -> pa.Array:
+        ids, centers, half_norms = block.value
         x = np.asarray(vectors.flatten(), dtype="float64").reshape(len(vectors), -1)
-        best = [np.argmin(half_norms - x[i : i + 512] @ centers.T, axis=1) for i in range(0, len(x), 512)]
-        return pa.array(ids[np.concatenate(best)] if best else ids[:0])
+        distances, best = np.empty(len(x)), np.empty(len(x), dtype="int64")
+        for i in range(0, len(x), 512):
+            part = half_norms - x[i : i + 512] @ centers.T
+            at = np.argmin(part, axis=1)
+            distances[i : i + 512], best[i : i + 512] = part[np.arange(len(at)), at], ids[at]
+        return pa.StructArray.from_arrays([pa.array(distances), pa.array(best)], ["distance", "id"])
 
-    return df.withColumn(out, nearest(F.col(embedding)))
+    return nearest
 
 
-def _topic_sized(df: DataFrame) -> list:
-    """Rows of a table with one row per topic, by topic; its size is checked."""
-    rows = df.limit(SMALL_TABLE_ROWS + 1).collect()
-    if len(rows) > SMALL_TABLE_ROWS:
-        raise ValueError(f"more than {SMALL_TABLE_ROWS} topics")
-    return sorted(rows, key=lambda r: r["topic_id"])
+def _topic_blocks(df: DataFrame, block: int = SMALL_TABLE_ROWS) -> Iterator[list]:
+    """Rows of a table with one row per topic, in topic order, about ``block`` at a time."""
+    parts = max(1, -(-df.count() // block))
+    for i in range(parts):
+        part = df if parts == 1 else df.filter(F.pmod(F.xxhash64("topic_id"), F.lit(parts)) == i)
+        rows = sorted(part.collect(), key=lambda r: r["topic_id"])
+        if rows:
+            yield rows
 
 
-def mean_silhouette(df: DataFrame, metric: str = "auto") -> float:
+def mean_silhouette(df: DataFrame) -> float:
     """Mean of :func:`silhouettes`."""
-    return silhouettes(df, metric).agg(F.avg("silhouette")).first()[0]
+    return silhouettes(df).agg(F.avg("silhouette")).first()[0]
 
 
-def silhouettes(df: DataFrame, metric: str = "auto") -> DataFrame:
+def silhouettes(df: DataFrame) -> DataFrame:
     """Silhouette of every row of ``(topic_id, embedding)``; rows alone in their topic get 0.
 
-    ``euclidean`` compares all rows with all rows and takes up to :data:`PAIRWISE_ROWS`
-    rows. ``squaredEuclidean`` is exact for that distance, needs topic means only and
-    takes any number of rows, but gives other numbers. ``auto`` picks by the row count.
+    The distance is the squared Euclidean one, whose mean to a topic follows from the
+    topic's mean and spread, so rows are compared with topics and never with each other.
+    Topics are broadcast in blocks of bounded size.
     """
-    if metric == "auto":
-        small = df.limit(PAIRWISE_ROWS + 1).count() <= PAIRWISE_ROWS
-        metric = "euclidean" if small else "squaredEuclidean"
-    if metric == "euclidean":
-        return _pairwise_silhouettes(df)
-    if metric == "squaredEuclidean":
-        return _mean_based_silhouettes(df)
-    raise ValueError(f"unknown metric {metric!r}")
-
-
-def _pairwise_silhouettes(df: DataFrame) -> DataFrame:
-    # The rows to compare with are one matrix of checked size; distances are summed per
-    # topic inside the task, pairs are never emitted.
-    points = df.select(F.col("topic_id").cast("long"), "embedding").limit(PAIRWISE_ROWS + 1).toPandas()
-    if len(points) > PAIRWISE_ROWS:
-        raise ValueError(f"more than {PAIRWISE_ROWS} rows: use squaredEuclidean or a sample")
-    matrix = np.array(points["embedding"].tolist(), dtype="float64")
-    labels, codes, sizes = np.unique(points["topic_id"].to_numpy(), return_inverse=True, return_counts=True)
-    members = np.eye(len(labels))[codes]
-    norms = (matrix**2).sum(axis=1)
-
-    def mean_distances(x: np.ndarray) -> np.ndarray:
-        squared = (x**2).sum(axis=1)[:, None] + norms - 2 * x @ matrix.T
-        return np.sqrt(np.maximum(squared, 0)) @ members / sizes
-
-    return _with_silhouette(df, labels, sizes, mean_distances)
-
-
-def _mean_based_silhouettes(df: DataFrame) -> DataFrame:
     # Mean squared distance to a topic = squared distance to its mean + its spread.
-    vectors = with_features(df)
     squares = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    stats = vectors.groupBy("topic_id").agg(
+    stats = with_features(df).groupBy("topic_id").agg(
         vector_to_array(Summarizer.mean(F.col("features"))).alias("centroid"),
         F.avg(squares).alias("mean_square"),
         F.count("*").alias("size"),
     )
-    rows = _topic_sized(stats)
-    labels, sizes = np.array([r["topic_id"] for r in rows]), np.array([r["size"] for r in rows])
-    centers = np.array([r["centroid"] for r in rows], dtype="float64")
-    mean_squares = np.array([r["mean_square"] for r in rows])
-
-    def mean_distances(x: np.ndarray) -> np.ndarray:
-        return np.maximum((x**2).sum(axis=1)[:, None] + mean_squares - 2 * x @ centers.T, 0)
-
-    return _with_silhouette(df, labels, sizes, mean_distances)
+    inside, outside, topics = [], [], 0
+    for rows in _topic_blocks(stats):
+        topics += len(rows)
+        block = df.sparkSession.sparkContext.broadcast(
+            (
+                np.array([r["topic_id"] for r in rows], dtype="int64"),
+                np.array([r["size"] for r in rows]),
+                np.array([r["centroid"] for r in rows], dtype="float64"),
+                np.array([r["mean_square"] for r in rows]),
+            )
+        )
+        found = _distances_in(block)(F.col("embedding"), F.col("topic_id").cast("long"))
+        inside.append(found["inside"])
+        outside.append(found["outside"])
+    if topics < 2:
+        raise ValueError("a silhouette needs at least two topics")
+    a, b = F.coalesce(*inside), F.least(*outside) if len(outside) > 1 else outside[0]
+    spread = F.greatest(a, b)
+    return df.withColumn("silhouette", F.when(a.isNotNull() & (spread > 0), (b - a) / spread).otherwise(0.0))
 
 
-def _with_silhouette(df: DataFrame, labels, sizes, mean_distances: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    if len(labels) < 2:
-        raise ValueError("a silhouette needs at least two topics")
+def _distances_in(block):
+    """Mean distance to the own topic (null if it is not in the block, or has one row) and to the nearest other."""
 
-    @F.arrow_udf("double")
-    def silhouette(vectors: pa.Array, topics: pa.Array) -> pa.Array:
+    @F.arrow_udf("struct<inside:double,outside:double>")
+    def distances(vectors: pa.Array, topics: pa.Array) -> pa.Array:
+        labels, sizes, centers, mean_squares = block.value
         x = np.asarray(vectors.flatten(), dtype="float64").reshape(len(vectors), -1)
-        own = np.searchsorted(labels, np.asarray(topics))
-        scores = np.zeros(len(x))
+        wanted = np.asarray(topics)
+        own = np.minimum(np.searchsorted(labels, wanted), len(labels) - 1)
+        here = labels[own] == wanted
+        inside, outside = np.full(len(x), np.nan), np.empty(len(x))
         for start in range(0, len(x), 256):
             part = slice(start, start + 256)
-            topic, means = own[part], mean_distances(x[part])
-            at, size = np.arange(len(topic)), sizes[topic]
-            inside = means[at, topic] * size / np.maximum(size - 1, 1)
+            means = np.maximum((x[part] ** 2).sum(axis=1)[:, None] + mean_squares - 2 * x[part] @ centers.T, 0)
+            at, topic = np.flatnonzero(here[part]), own[part][here[part]]
+            size = sizes[topic]
+            inside[start + at] = np.where(size > 1, means[at, topic] * size / np.maximum(size - 1, 1), np.nan)
             means[at, topic] = np.inf
-            outside = means.min(axis=1)
-            spread = np.maximum(inside, outside)
-            known = (size > 1) & (spread > 0)
-            scores[part] = np.where(known, (outside - inside) / np.where(known, spread, 1), 0)
-        return pa.array(scores)
+            outside[part] = means.min(axis=1)
+        return pa.StructArray.from_arrays(
+            [pa.array(inside, from_pandas=True), pa.array(outside)], ["inside", "outside"]
+        )
 
-    return df.withColumn("silhouette", silhouette(F.col("embedding"), F.col("topic_id").cast("long")))
+    return distances
 
 
-def select_k(
-    df: DataFrame, k_min: int = 4, k_max: int = 10, seed: int = 42, metric: str = "auto"
-) -> DataFrame:
+def select_k(df: DataFrame, k_min: int = 4, k_max: int = 10, seed: int = 42) -> DataFrame:
     """Silhouette for every k of the range, best first (ties: the smaller k).
 
     ``df`` should be a written table of embeddings, as it is read for every k.
     """
-    scores = [(k, float(mean_silhouette(assign_topics(df, k, seed), metric))) for k in range(k_min, k_max + 1)]
+    scores = [(k, float(mean_silhouette(assign_topics(df, k, seed)))) for k in range(k_min, k_max + 1)]
     return df.sparkSession.createDataFrame(scores, "k int, silhouette double").orderBy(F.desc("silhouette"), "k")
 
 

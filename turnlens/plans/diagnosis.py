@@ -58,10 +58,10 @@ def diagnose(
     from_stage: int = 1,
     to_stage: int = 4,
     skip_existing: bool = True,
-    k: int = 6,
-    max_rows: int | None = None,
+    k: int | None = 6,
     strict: bool = False,
     policy: CallPolicy = CallPolicy(),
+    k_range: tuple[int, int] = (4, 10),
 ) -> dict[str, DataFrame]:
     """Run stages ``from_stage`` to ``to_stage`` (1 score, 2 tag, 3 cluster, 4 repair).
 
@@ -95,7 +95,7 @@ def diagnose(
         names = ("topic_rows", "topic_summary", "turn_topics")
         if not (skip_existing and all(table_exists(spark, at.path(n)) for n in names)):
             tagged = require_table(spark, at.path("issues"), "stage 3")
-            topics = cluster_topics(tagged, models.embed, k, max_rows, strict=strict)
+            topics = cluster_topics(tagged, models.embed, k, strict=strict, k_range=k_range)
             for name, table in zip(names, topics):
                 write_table(table, at.path(name))
         out.update({name: require_table(spark, at.path(name), "stage 3") for name in names})

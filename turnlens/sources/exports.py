@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnlens.functions.values import join_entries
-from turnlens.sources.tables import SMALL_TABLE_ROWS
 
 
 def export_jsonl(df: DataFrame, path: str) -> str:
@@ -31,15 +30,13 @@ def json_array(df: DataFrame, order_by: list[str], drop: Sequence[str] = ()) ->
 
 
 def export_json_array(
-    df: DataFrame, path: str, order_by: list[str], max_rows: int = SMALL_TABLE_ROWS, drop: Sequence[str] = ()
+    df: DataFrame, path: str, order_by: list[str], drop: Sequence[str] = ()
 ) -> str:
     """Write a topic-sized table as one JSON array file.
 
-    A single array is one value in one task, so the row count is checked first;
-    larger tables go through :func:`export_jsonl`.
+    A single array is one value made in one task, for tables that a person reads;
+    tables that grow with the data go through :func:`export_jsonl`.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"table exceeds {max_rows} rows; use export_jsonl")
     json_array(df, order_by, drop).coalesce(1).write.mode("overwrite").text(path)
     return path
 

@@ -13,6 +13,10 @@ from turnlens.sources.dialogue import read_lines
 from turnlens.sources.tables import path_exists
 
 
+#: Error name of a reply that parses but that the caller's rules refuse.
+INVALID_REPLY = "InvalidReply"
+
+
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """All rows ever appended; an empty table when nothing was written yet."""
     if not path_exists(spark, path):
@@ -49,7 +53,7 @@ def import_cache_jsonl(spark: SparkSession, path: str, task: str = "satisfaction
 
 def import_cache_folder(spark: SparkSession, path: str, task: str, model: str) -> DataFrame:
     """Cache rows from a folder of ``<sha256>.json`` files holding one reply each."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
+    files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
     return files.select(
         F.regexp_extract("_metadata.file_name", r"^(.*)\.json$", 1).alias("request_key"),
         F.lit(task).alias("task"),
@@ -63,10 +67,13 @@ def import_cache_folder(spark: SparkSession, path: str, task: str, model: str) -
 def latest(cache: DataFrame) -> DataFrame:
     """The newest row per key (highest ``seq``), combined before the shuffle."""
     others = [c for c in REPLIES_SCHEMA.fieldNames() if c != "request_key"]
-    row = F.max_by(F.struct(*others), "seq").alias("row")
+    # Two runs at the same time may share a number: then a reply wins over an error, and the rest is by value.
+    order = F.struct("seq", F.col("error").isNull(), "response_json")
+    row = F.max_by(F.struct(*others), order).alias("row")
     return cache.groupBy("request_key").agg(row).select("request_key", "row.*")
 
 
 def usable(cache: DataFrame) -> DataFrame:
-    """Newest replies that parse; anything else counts as never asked."""
-    return latest(cache).filter(parse_reply(F.col("response_json")).isNotNull())
+    """Newest replies that parse and were not refused; anything else counts as never asked."""
+    refused = F.col("error").eqNullSafe(INVALID_REPLY)
+    return latest(cache).filter(parse_reply(F.col("response_json")).isNotNull() & ~refused)
