@@ -106,11 +106,10 @@ def _block_offsets(counted: DataFrame) -> DataFrame:
         F.max("start_no").alias("n_starts"),
         F.max("last_start").alias("last_start"),
     )
-    # One narrow row per block of lines, so one ordered pass stays small.
-    ordered = Window.partitionBy(F.lit(0)).orderBy(*_BLOCK)
+    # One narrow row per block of lines, ordered within its file; no conversation spans two files.
+    ordered = Window.partitionBy("file").orderBy(*_BLOCK)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    previous = F.lag(F.struct("file", "last_breaks")).over(ordered)
-    continues = (previous["file"] == F.col("file")) & ~previous["last_breaks"]
+    continues = ~F.lag("last_breaks").over(ordered)
     opened = per_block.withColumn("opens", F.col("first_is_content") & ~F.coalesce(continues, F.lit(False)))
     placed = opened.withColumn(
         "start_offset",
@@ -121,8 +120,16 @@ def _block_offsets(counted: DataFrame) -> DataFrame:
         F.when(F.col("opens"), F.col("content_offset") + 1),
     )
     carried = F.last(latest, ignorenulls=True).over(before)
-    return placed.withColumn("carried_start", carried).select(
-        *_BLOCK, "opens", "start_offset", "content_offset", "carried_start"
+    # Then one row per file: the starts in all files before it.
+    totals = placed.groupBy("file").agg(F.sum(F.col("n_starts") + F.col("opens").cast("long")).alias("n"))
+    files_before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = totals.select("file", F.coalesce(F.sum("n").over(files_before), F.lit(0)).alias("file_offset"))
+    return placed.withColumn("carried_start", carried).join(files, "file").select(
+        *_BLOCK,
+        "opens",
+        (F.col("start_offset") + F.col("file_offset")).alias("start_offset"),
+        "content_offset",
+        "carried_start",
     )
 
 
