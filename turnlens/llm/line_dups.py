@@ -23,7 +23,6 @@ from turnlens.llm.common import Scratch, text_or_empty
 from turnlens.llm.hashing import WordHashes, mix, words
 from turnlens.llm.linking import verified_groups
 from turnlens.llm.near_dups import aligned
-from turnlens.sources.tables import pin
 
 
 @dataclass(frozen=True)
@@ -36,8 +35,12 @@ class LineRule:
     most_blocks: int = 8
 
 
-#: A line occurrence: its place, two hashes of its words, and how many there are.
-LINE = "struct<line:int,d1:bigint,d2:bigint>"
+#: A line occurrence: its place, two hashes of its words, and its block keys.
+LINE = pa.struct([("line", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.list_(pa.int64()))])
+LINE_SQL = "struct<line:int,d1:bigint,d2:bigint,keys:array<bigint>>"
+
+#: Words whose blocks are computed at once.
+WORDS_AT_ONCE = 1 << 16
 
 
 def blocks_in(lengths: np.ndarray, rule: LineRule) -> np.ndarray:
@@ -85,70 +88,85 @@ def digests(tokens: np.ndarray) -> tuple[int, int]:
     return signed(value >> 64), signed(value & ((1 << 64) - 1))
 
 
+def keys_of(parts: list[np.ndarray], rule: LineRule) -> list[list[int]]:
+    """The distinct block keys of each line, some lines at a time."""
+    made: list[list[int]] = []
+    start = held = 0
+    for end, part in enumerate(parts, 1):
+        held += len(part)
+        if held >= WORDS_AT_ONCE or end == len(parts):
+            own: list[set[int]] = [set() for _ in range(start, end)]
+            lengths = np.array([len(p) for p in parts[start:end]])
+            numbers, keys = block_keys(np.concatenate(parts[start:end]), lengths, rule)
+            for number, key in zip(numbers.tolist(), keys.tolist()):
+                own[number].add(key)
+            made.extend(map(sorted, own))
+            start, held = end, 0
+    return made
+
+
 def hashed_lines(rows: DataFrame, rule: LineRule) -> DataFrame:
-    """row and found (line, d1, d2) of the lines long enough, from (row, text)."""
+    """row and found (LINE) of the lines long enough, from (row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
-            found = []
-            for text in batch.column(1):
-                own = []
-                for number, line in enumerate(text.as_py().split("\n")):
-                    named = words(line)
-                    if len(named) >= rule.min_words:
-                        d1, d2 = digests(hashes.of(named))
-                        own.append({"line": number, "d1": d1, "d2": d2})
-                found.append(own)
-            kind = pa.list_(pa.struct([("line", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["row", "found"])
-
-    return rows.mapInArrow(run, f"row long, found array<{LINE}>")
-
-
-def distinct_lines(rows: DataFrame, rule: LineRule) -> DataFrame:
-    """id, tokens and keys of lines, from (text, wanted): ``wanted`` holds (line, id) of the text."""
+        for whole in batches:
+            for first in range(0, len(whole), 100):
+                batch = whole.slice(first, 100)
+                places, parts = [], []
+                for number, text in enumerate(batch.column(1)):
+                    for line, content in enumerate(text.as_py().split("\n")):
+                        named = words(content)
+                        if len(named) >= rule.min_words:
+                            places.append((number, line))
+                            parts.append(hashes.of(named))
+                found: list[list[dict]] = [[] for _ in range(len(batch))]
+                for (number, line), part, keys in zip(places, parts, keys_of(parts, rule)):
+                    d1, d2 = digests(part)
+                    found[number].append({"line": line, "d1": d1, "d2": d2, "keys": keys})
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(LINE))], ["row", "found"])
+
+    return rows.mapInArrow(run, f"row long, found array<{LINE_SQL}>")
+
+
+def tokens_of_lines(rows: DataFrame) -> DataFrame:
+    """id and tokens of lines, from (text, wanted): ``wanted`` holds (line, id) of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            ids, parts = [], []
+            ids, tokens = [], []
             for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
                 lines = text.as_py().split("\n")
                 for x in wanted:
                     ids.append(x["id"])
-                    parts.append(hashes.of(words(lines[x["line"]])))
-            if not ids:
-                continue
-            lengths = np.array([len(p) for p in parts])
-            numbers, keys = block_keys(np.concatenate(parts), lengths, rule)
-            own: list[list[int]] = [[] for _ in ids]
-            for number, key in zip(numbers.tolist(), keys.tolist()):
-                own[number].append(key)
-            tokens = pa.array([p.astype(np.uint32).tobytes() for p in parts], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), tokens, pa.array(own, pa.list_(pa.int64()))], ["id", "tokens", "keys"]
-            )
+                    tokens.append(hashes.of(words(lines[x["line"]])).astype(np.uint32).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tokens, pa.binary())], ["id", "tokens"])
 
-    return rows.mapInArrow(run, "id long, tokens binary, keys array<long>")
+    return rows.mapInArrow(run, "id long, tokens binary")
 
 
-def line_groups(lines: DataFrame, texts: DataFrame, rule: LineRule) -> DataFrame:
+def line_groups(found: DataFrame, lines: DataFrame, texts: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame:
     """d1, d2, group, first: each distinct line with its group and the group's first occurrence.
 
-    ``lines`` has (rank, row, line, d1, d2), where rank orders the texts; ``texts`` (row, text).
+    ``found`` has (row, found), ``lines`` (rank, row, line, d1, d2), where rank orders the texts,
+    and ``texts`` (row, text).
     """
     place = F.struct("rank", "row", "line")
-    distinct = pin(lines.groupBy("d1", "d2").agg(F.min(place).alias("first")), "lines")
+    distinct = scratch.pin(lines.groupBy("d1", "d2").agg(F.min(place).alias("first")), "lines")
     # d1 names a line; of two lines that share d1, which is next to impossible, one stays out.
     named = distinct.groupBy("d1").agg(F.min("d2").alias("d2"))
-    heads = distinct.join(named, ["d1", "d2"]).select("first.row", F.struct(F.col("first.line").alias("line"), F.col("d1").alias("id")).alias("x"))
+    # Only lines that share a key with another one are looked at further.
+    entries = found.select(F.explode("found").alias("x")).select(F.col("x.d1").alias("id"), F.explode("x.keys").alias("key"))
+    entries = entries.groupBy("key", "id").agg(F.count(F.lit(1)).alias("n"))
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    keys = entries.select("key", "id").join(shared, "key").groupBy("id").agg(F.collect_set("key").alias("keys"))
+    keys = scratch.pin(keys, "keys")
+    heads = distinct.join(named, ["d1", "d2"]).join(keys.select(F.col("id").alias("d1")), "d1", "left_semi")
+    heads = heads.select("first.row", F.struct(F.col("first.line").alias("line"), F.col("d1").alias("id")).alias("x"))
     wanted = heads.groupBy("row").agg(F.collect_list("x").alias("wanted"))
-    made = pin(distinct_lines(texts.join(wanted, "row").select("text", "wanted"), rule), "blocks")
-    scratch = Scratch(lines.sparkSession)
-    content = scratch.bucketed(made.select("id", "tokens"), "id", "content")
-    roots = verified_groups(made.select("id", "keys"), lambda pairs: aligned(pairs, content, rule.similarity))
-    scratch.drop()
+    content = scratch.bucketed(tokens_of_lines(texts.join(wanted, "row").select("text", "wanted")), "id", "content")
+    roots = verified_groups(keys, lambda pairs: aligned(pairs, content, rule.similarity))
     roots = roots.withColumnRenamed("id", "d1")
     grouped = distinct.join(named.withColumn("in", F.lit(True)), ["d1", "d2"], "left").join(roots, "d1", "left")
     group = F.when(F.col("in") & F.col("root").isNotNull(), F.col("root")).otherwise(F.col("d1"))
@@ -171,21 +189,28 @@ def dedup_lines(
     returned as they are; a column of ``docs`` named lines_removed is replaced.
     """
     columns = [c for c in docs.columns if c != "lines_removed"]
-    source = pin(docs.select(F.monotonically_increasing_id().alias("row_"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d_")), "texts")
+    scratch, spark = Scratch(docs.sparkSession), docs.sparkSession
+    numbered = docs.select(F.monotonically_increasing_id().alias("row_"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d_"))
+    # The result reads this table, so it stays; texts are laid out by row and move only once.
+    source = Scratch(spark).bucketed(numbered, "row_", "texts")
     text = F.coalesce(F.col("d_").getField(text_col).cast("string"), F.lit(""))
     texts = source.select(F.col("row_").alias("row"), text.alias("text"))
     rank = F.struct(F.col("d_").getField(id_col).isNull().alias("no_id"), F.col("d_").getField(id_col).alias("id"))
     ranks = source.select(F.col("row_").alias("row"), rank.alias("rank"))
-    found = pin(hashed_lines(texts, rule).filter(F.size("found") > 0), "found")
-    lines = found.select("row", F.explode("found").alias("x")).select("row", "x.*").join(ranks, "row")
-    groups = line_groups(lines, texts, rule)
+    found = scratch.pin(hashed_lines(texts, rule).filter(F.size("found") > 0), "found")
+    lines = found.join(ranks, "row").select("rank", "row", F.explode("found").alias("x"))
+    lines = lines.select("rank", "row", "x.line", "x.d1", "x.d2")
+    groups = line_groups(found, lines, texts, rule, scratch)
     gone = (
-        lines.join(groups, ["d1", "d2"])
+        lines.drop("rank")
+        .join(groups, ["d1", "d2"])
         .filter(~((F.col("row") == F.col("first.row")) & (F.col("line") == F.col("first.line"))))
         .groupBy("row")
         .agg(F.collect_set("line").alias("gone"))
         .withColumnRenamed("row", "row_")
     )
+    gone = Scratch(spark).pin(gone, "gone")
+    scratch.drop()
     kept = F.filter(F.split("text_", "\n"), lambda _, i: ~F.array_contains("gone", i))
     shortened = source.join(gone, "row_", "left").withColumn("text_", F.col("d_").getField(text_col).cast("string"))
     new_text = F.when(F.col("gone").isNull(), F.col("text_")).otherwise(F.array_join(kept, "\n"))
