@@ -50,6 +50,17 @@ def test_every_similar_pair_ends_in_one_group_even_under_one_popular_key(spark):
     assert roots == {101 + 2 * i: 100 + 2 * i for i in range(20)}
 
 
+def grouped(spark, keyed, like, **how):
+    """Groups under the likeness of the pairs ``like``, which need not be transitive."""
+    rows = spark.createDataFrame([(i, list(k)) for i, k in keyed.items()], "id long, keys array<long>")
+    true = spark.createDataFrame(sorted({tuple(sorted(p)) for p in like}), "a long, b long")
+    return {r.id: r.root for r in verified_groups(rows, lambda p: p.join(true, ["a", "b"]), **how).collect()}
+
+
+def test_rows_unlike_the_smallest_of_their_only_key(spark):
+    assert grouped(spark, {0: [7], 1: [7], 2: [7]}, [(1, 2)]) == {2: 1}
+
+
 def test_no_keys(spark):
     none = spark.createDataFrame([(1, [])], "id long, keys array<long>")
     assert verified_groups(none, lambda p: p).collect() == []

@@ -2,10 +2,11 @@
 
 Rows that share a key are not compared with each other in pairs. Each key names a
 representative among its rows, and every row is compared with those; rows that no
-representative matched meet again in finer keys, where other representatives are chosen. Keys
-are reduced by partial aggregation, rows of one known group count once per key, and rows meet
-their representatives in a join that adaptive execution can split, so a key that a third of all
-rows share is no single task.
+representative matched meet again in finer keys, where other representatives are chosen. These
+rounds find most links at little cost. At the end every key is gone through until no two of its
+rows are both of different groups and uncompared. Keys are reduced by partial aggregation, and
+rows meet their representatives in a join that adaptive execution can split, so a key that a
+third of all rows share is no single task.
 """
 
 from __future__ import annotations
@@ -18,28 +19,37 @@ from pyspark.sql import functions as F
 from turnlens.llm.common import Scratch
 
 
-def _meetings(entries: DataFrame, choices: int) -> DataFrame:
-    """id, key, rep for every key with two rows or more; ``choices`` representatives a key."""
-    if choices == 1:
-        named = entries.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-        return entries.join(named.filter("n > 1").select("key", "rep"), "key").select("id", "key", "rep")
+def _meetings(entries: DataFrame) -> DataFrame:
+    """id, key, rep for every key with two rows or more."""
+    named = entries.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    return entries.join(named.filter("n > 1").select("key", "rep"), "key").select("id", "key", "rep")
+
+
+def _representatives(entries: DataFrame, choices: int) -> DataFrame:
+    """key, rep, rep_group: up to ``choices`` rows of each key, none of the key's largest group."""
     share = F.pmod(F.xxhash64("id", "key"), F.lit(choices))
-    named = entries.groupBy("key", share).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    alone = named.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key")
-    return entries.join(named.select("key", "rep").join(alone, "key"), "key").select("id", "key", "rep")
+    named = entries.filter("group <> most").groupBy("key", share).agg(F.min(F.struct("id", "group")).alias("x"))
+    return named.select("key", F.col("x.id").alias("rep"), F.col("x.group").alias("rep_group"))
 
 
 def _finer(rest: DataFrame) -> DataFrame:
-    """Keys of pairs of keys: rows meet again only if they share two of the keys left to both."""
+    """Keys of two keys that follow each other: what is left to rows that share much, but no popular key alone."""
     keys = rest.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys")).filter(F.size("keys") > 1)
-    pairs = F.flatten(
-        F.transform(
-            "keys", lambda x, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda y: F.xxhash64(x, y))
-        )
-    )
+    pairs = F.zip_with(F.slice("keys", 1, F.size("keys") - 1), F.slice("keys", 2, F.size("keys")), lambda x, y: F.xxhash64(x, y))
     return keys.select("id", F.explode(pairs).alias("key"))
 
 
+def _undecided(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """id, key, group, most: the rows of keys that hold several groups, and the group with most rows of the key."""
+    if roots is None:
+        grouped = entries.select("id", "key", F.col("id").alias("group"))
+    else:
+        grouped = entries.join(roots, "id", "left").select("id", "key", F.coalesce("root", "id").alias("group"))
+    sizes = grouped.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
+    keys = sizes.groupBy("key").agg(F.max(F.struct("n", "group")).alias("top"), F.count(F.lit(1)).alias("groups"))
+    return grouped.join(keys.filter("groups > 1").select("key", F.col("top.group").alias("most")), "key")
+
+
 def _apart(met: DataFrame, roots: DataFrame | None) -> DataFrame:
     """Rows (id, rep, ...) that are not yet known to be of one group."""
     if roots is None:
@@ -55,34 +65,42 @@ def verified_groups(
     """id, root: the groups of rows (id, keys) that verified links connect; others are left out.
 
     ``verify`` takes distinct pairs (a, b), a < b, that share a key and returns those that match.
-    Keys are taken in ``batches`` by their hash; within a batch the rows of a known group that
-    share a key count as one. Every row meets the smallest row of each of its keys: first the
-    smallest of these, then those that are still in another group. Rows that stayed apart meet
-    again by pairs of keys, ``refine`` times over, which parts unlike texts that share one popular
-    passage; what still shares a key then meets ever more representatives until no key has rows
-    of two groups left, so no row is dropped for the size of its key.
+    First come cheap rounds: keys are taken in ``batches`` by their hash, within a batch the rows
+    of a known group that share a key count as one, and every row meets the smallest row of each
+    of its keys. Rows that stayed apart meet again by pairs of keys, ``refine`` times over. Then
+    all rows, each member of a group among them, go through all their keys: the rows outside the
+    largest group of a key meet every row of the key that is of another group, some at a time and
+    ever more, until no key holds two rows of different groups that have not met. No likeness is
+    taken for granted but that of one group, and no row is dropped for the size of its key.
     """
     spark = rows.sparkSession
-    scratch, left = Scratch(spark), None
+    scratch = Scratch(spark)
+    left: DataFrame | None = None
     roots: DataFrame | None = None
+    tried: DataFrame | None = None
 
     def link(pairs: DataFrame) -> None:
-        nonlocal roots
+        nonlocal roots, tried
         ordered = pairs.select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
-        links = verify(ordered).select("a", "b")
-        roots = components(links if roots is None else links.union(roots.select("id", "root")))
-
-    def round_of(entries: DataFrame, choices: int = 1, first_only: bool = False) -> DataFrame:
-        """Compare, and return the meetings of rows that stay apart."""
-        met = scratch.pin(_meetings(entries, choices), "met")
+        if tried is not None:
+            ordered = ordered.join(tried, ["a", "b"], "left_anti")
+        ordered = scratch.pin(ordered, "pairs")
+        tried = ordered if tried is None else tried.union(ordered)
+        links = scratch.pin(verify(ordered).select("a", "b"), "links")
+        if not links.isEmpty():
+            roots = components(links if roots is None else links.union(roots.select("id", "root")))
+
+    def round_of(entries: DataFrame, first_only: bool = False) -> DataFrame:
+        """Compare with one representative a key, and return the meetings of rows that stay apart."""
+        held = Scratch(spark)
+        met = held.pin(_meetings(entries), "met")
         if met.isEmpty():
             return met
         pairs = _apart(met, roots)
         link(pairs.groupBy("id").agg(F.min("rep").alias("rep")) if first_only else pairs.select("id", "rep"))
-        apart = _apart(met, roots)
-        if choices > 1:  # a representative has met every row of its key and need not come again
-            apart = apart.join(met.filter("id = rep").select("id", "key"), ["id", "key"], "left_anti")
-        return scratch.pin(apart.select("id", "key", "rep"), "apart")
+        apart = scratch.pin(_apart(met, roots).select("id", "key", "rep"), "apart")
+        held.drop()
+        return apart
 
     for batch in range(batches):
         own = rows if roots is None else rows.join(roots, "id", "left")
@@ -92,20 +110,27 @@ def verified_groups(
         entries = entries.groupBy("key", "group").agg(F.min("id").alias("id")).select("id", "key")
         rest = round_of(entries, first_only=True)
         left = rest if left is None else left.union(rest)
-    if roots is not None:  # the other representatives of rows that are still in another group
-        left = scratch.pin(_apart(left, roots), "left")
-        if not left.isEmpty():
-            link(left.select("id", "rep"))
-            left = _apart(left, roots)
-    turn = 0
+    for _ in range(refine):
+        left = round_of(_finer(left.select("id", "key").distinct()))
+        if left.isEmpty():
+            break
+
+    entries, choices, before = rows.select("id", F.explode(F.array_distinct("keys")).alias("key")), 8, None
     while True:
-        entries = left.select("id", "key").distinct()
-        entries = scratch.pin(_finer(entries) if turn < refine else entries, "entries")
+        held = Scratch(spark)
+        entries = held.pin(_undecided(entries, roots), "entries")
+        if before is not None:
+            before.drop()
         if entries.isEmpty():
             break
-        left = round_of(entries, 1 << max(0, turn - refine))
-        turn += 1
+        reps = held.pin(_representatives(entries, choices), "reps")
+        link(entries.join(reps, "key").filter("group <> rep_group").select("id", "rep"))
+        # A representative has met every row of its key.
+        entries = entries.select("id", "key").join(reps.select(F.col("rep").alias("id"), "key"), ["id", "key"], "left_anti")
+        choices, before = choices * 8, held
+    held.drop()
     if roots is None:
+        scratch.drop()
         return rows.select("id", F.col("id").alias("root")).limit(0)
     kept = Scratch(spark).pin(roots, "groups")
     scratch.drop()
