@@ -61,6 +61,21 @@ def test_rows_unlike_the_smallest_of_their_only_key(spark):
     assert grouped(spark, {0: [7], 1: [7], 2: [7]}, [(1, 2)]) == {2: 1}
 
 
+def test_groups_meet_by_members_that_are_not_the_smallest(spark):
+    # Two groups of two, and their second members alike under a key of a later batch.
+    keyed = {1: [4, 7], 2: [4, 7], 3: [8, 7], 4: [8, 7]}
+    assert grouped(spark, keyed, [(1, 2), (3, 4), (2, 4)]) == {2: 1, 3: 1, 4: 1}
+
+
+def test_chains_under_popular_keys_with_default_rounds(spark):
+    rng = random.Random(8)
+    keyed = {i: sorted({rng.randrange(6), *rng.sample(range(50, 90), 2)}) for i in range(120)}
+    near = lambda i, j: 0 < (j - i) % 120 <= 3 and rng.random() < 0.8
+    like = [(i, j) for i in keyed for j in keyed if i < j and near(i, j)]
+    want = brute_roots([(i, j) for i, j in like if set(keyed[i]) & set(keyed[j])])
+    assert grouped(spark, keyed, like) == {x: r for x, r in want.items() if x != r}
+
+
 def test_no_keys(spark):
     none = spark.createDataFrame([(1, [])], "id long, keys array<long>")
     assert verified_groups(none, lambda p: p).collect() == []
