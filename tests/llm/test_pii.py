@@ -66,5 +66,11 @@ def test_key_decides(kind, value):
     assert surrogate(kind, value, 0, b"a") == surrogate(kind, value, 0, b"a") != surrogate(kind, value, 0, b"b")
 
 
+@pytest.mark.parametrize("length", [8, 200, 201, 5000])
+def test_secrets_are_replaced_to_their_end(length):
+    secret = ("aB3/x-Z9" * 625)[:length]
+    assert [e[:3] for e in entities(f"token={secret} and more")] == [(6, 6 + length, "secret")]
+
+
 def test_empty_table(make_docs):
     assert replace_entities(make_docs([])).collect() == []

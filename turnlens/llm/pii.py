@@ -55,7 +55,7 @@ NAMES = "|".join(sorted(KIND_OF_NAME, key=len, reverse=True))
 #: Patterns in the order in which they claim a place; group ``v`` is what is replaced.
 PATTERNS = (
     ("email", re.compile(r"(?<![\w.+-])(?P<v>[\w.%+-]{1,64}@(?:[\w-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![\w-])")),
-    ("secret", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?P<v>[\w+/.-]{8,200})")),
+    ("secret", re.compile(r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?(?P<v>[\w+/.-]{8,})")),
     ("aws_key", re.compile(r"\b(?P<v>A[KS]IA[0-9A-Z]{16})\b")),
     ("iban", re.compile(r"\b(?P<v>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b")),
     ("ip", re.compile(r"(?<![\w.])(?P<v>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?![\w]|\.\d)")),
