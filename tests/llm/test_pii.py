@@ -72,5 +72,14 @@ def test_secrets_are_replaced_to_their_end(length):
     assert [e[:3] for e in entities(f"token={secret} and more")] == [(6, 6 + length, "secret")]
 
 
+def test_later_mentions_get_the_same_surrogate(make_docs):
+    text = "Smith spoke. Mr. John Smith came; Smith's hat fell, and John replied. Smithson saw Анна Петрова, Петрова left."
+    rows = [(1, text), (2, "again Smith, Herr Smith wrote"), (3, "Smith alone is not known to be a name")]
+    got = {r.doc_id: r.text for r in replace_entities(make_docs(rows)).collect()}
+    new = re.fullmatch(r"(\w+) spoke\. Mr\. (\w+) (\w+) came; (\w+)'s hat fell, and (\w+) replied\. Smithson saw (\w+) (\w+), (\w+) left\.", got[1])
+    assert new and new[1] == new[3] == new[4] != "Smith" and new[2] == new[5] != "John" and new[7] == new[8] != "Петрова"
+    assert got[2] == f"again {new[1]}, Herr {new[1]} wrote" and got[3] == rows[2][1]
+
+
 def test_empty_table(make_docs):
     assert replace_entities(make_docs([])).collect() == []

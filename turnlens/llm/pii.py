@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -64,6 +65,8 @@ PATTERNS = (
     ("phone", re.compile(r"(?<![\w.])(?P<v>(?:\+\d{1,3} ?)?\(\d{3}\) ?\d{3}[ .-]\d{4}|\+\d{1,3}(?:[ .-]?\(?\d{1,4}\)?){2,6}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])")),
 )
 PERSON = re.compile(rf"(?<!\w)(?:(?P<title>{TITLES})\.? (?P<first>{WORD})(?: (?P<last>{WORD}))?|(?P<given>{NAMES}) (?P<family>{WORD}))(?!\w)")
+#: A whole word that may be a name, also in a double name or before an apostrophe.
+CAPITALISED = re.compile(rf"(?<!\w){WORD}(?!\w)")
 
 SPANS = "array<struct<start:int,stop:int,kind:string,value:string>>"
 
@@ -112,6 +115,17 @@ def people(text: str) -> Iterator[tuple[int, int, str, str]]:
         yield (*m.span(surname), f"surname_{script_of(m[surname])}", m[surname])
 
 
+def mentions(text: str, named: list[tuple[int, int, str, str]]) -> Iterator[tuple[int, int, str, str]]:
+    """Every other place of the names found in a text, as whole words; a name of two kinds is of the first found."""
+    kinds: dict[str, str] = {}
+    for _, _, kind, name in named:
+        kinds.setdefault(name, kind)
+    if kinds:
+        for m in CAPITALISED.finditer(text):
+            if m[0] in kinds:
+                yield (*m.span(), kinds[m[0]], m[0])
+
+
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, stop, kind, canonical value) without overlaps, in text order."""
     taken: list[tuple[int, int, str, str]] = []
@@ -120,14 +134,17 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
             value = canonical(kind, m["v"])
             if value is not None:
                 taken.append((*m.span("v"), kind, value))
-    taken.extend(people(text))
+    named = list(people(text))
+    taken.extend(named)
+    taken.extend(mentions(text, named))
     free: list[tuple[int, int, str, str]] = []
-    covered: list[tuple[int, int]] = []
+    starts: list[int] = []
     for item in taken:  # earlier patterns go first
-        if all(item[1] <= a or item[0] >= b for a, b in covered):
-            covered.append(item[:2])
-            free.append(item)
-    return sorted(free)
+        at = bisect(starts, item[0])
+        if (at == 0 or free[at - 1][1] <= item[0]) and (at == len(free) or item[1] <= free[at][0]):
+            starts.insert(at, item[0])
+            free.insert(at, item)
+    return free
 
 
 class Draw:
