@@ -28,6 +28,28 @@ def test_leaves_out_without_an_article_element(side):
     assert main_text(page) == f"Title\n{ARTICLE}\n{ARTICLE}"
 
 
+@pytest.mark.parametrize("name", ["with-sidebar", "no-sidebar", "has-comments", "widget-area content"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_wrapper_named_after_a_side_part(name, inner):
+    page = f'<body><div class="{name}"><{inner}><h1>Title</h1><p>{ARTICLE}</p></{inner}></div>{SIDES["footer"]}</body>'
+    assert main_text(page) == f"Title\n{ARTICLE}"
+    if inner != "div":
+        assert main_text(f"<body><p>Home</p>{page[6:]}") == f"Title\n{ARTICLE}"
+
+
+def test_comments_that_are_articles_stay_out():
+    comment = f'<div id="comments"><ol><li><article class="comment-body"><p>{ARTICLE} {ARTICLE}</p></article></ol></div>'
+    plain = comment.replace(' class="comment-body"', "")
+    assert main_text(f"<body><div><p>{ARTICLE}</p></div>{comment}") == ARTICLE
+    assert main_text(f"<body><article><p>{ARTICLE}</p></article>{plain}") == ARTICLE
+
+
+@pytest.mark.parametrize("start", ["<body>", "<div>", "<p>", ""])
+def test_head_without_end_tag(start):
+    assert main_text(f"<html><head><meta charset=utf-8><title>T</title><script>x()</script>{start}{ARTICLE}") == ARTICLE
+    assert main_text(f"<head><noscript><p>Please turn scripts on</p></noscript><body><p>{ARTICLE}</p>") == ARTICLE
+
+
 def test_text_rules():
     page = "<article><p>a &amp;\n b&nbsp;&#233;<br>c <b>d</b>e<p>  <p>two<ul><li>x<li>y</ul>"
     assert main_text(page) == "a & b é c de\ntwo\nx\ny"

@@ -2,7 +2,8 @@
 
 A streaming standard-library parser turns a page into lines, one per block of text, each with
 its number of characters, its number of tags and the container it stands in. Menus, forms and
-other parts that name themselves as such are marked while parsing. The text-to-tag ratio of
+other parts that name themselves as such are marked while parsing; a mark by class or id gives
+way to an article inside it if there is no other, and counts for nothing if no line is left. The text-to-tag ratio of
 the remaining lines is smoothed with a Gaussian, a threshold splits content from the rest,
 and the content lines vote for the container that is the page's article; every unmarked line
 of that container is kept, so short paragraphs are not lost to the threshold.
@@ -33,6 +34,8 @@ BLOCKS = frozenset(
     "caption blockquote pre figure figcaption address details summary hgroup fieldset hr".split()
 ) | SKIPPED
 CONTAINERS = frozenset("body main article section div td header blockquote".split())
+#: What may stand in a head; anything else ends a head whose end tag is left out.
+IN_HEAD = frozenset("head title base link meta style script noscript template basefont bgsound".split())
 CLOSES_P = BLOCKS - {"html", "body", "head"}
 #: Opening one of these ends an open element of the same set, up to the given parent.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -55,6 +58,8 @@ class Line:
     text: str
     tags: int
     path: tuple[int, ...]
+    #: 0 unmarked; 1 in an article of a block that only its class or id marks; 2 else in such a block.
+    level: int = 0
 
 
 @dataclass
@@ -62,6 +67,8 @@ class Element:
     tag: str
     number: int
     side: bool
+    #: A block that only the words of its class or id mark.
+    named: bool = False
 
 
 @dataclass
@@ -81,18 +88,32 @@ class Lines(HTMLParser):
         self.parts: list[str] = []
         self.tags = 0
         self.side = 0
+        self.named = 0
         self.path: tuple[int, ...] = ()
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append(Line(text, self.tags, self.path))
+            self.lines.append(Line(text, self.tags, self.path, self.level()))
         self.parts, self.tags = [], 0
 
+    def level(self) -> int:
+        if not self.named:
+            return 0
+        for element in reversed(self.open):
+            if element.named:
+                return 2
+            if element.tag in ("article", "main"):
+                return 1
+        return 2
+
     def pop(self, index: int) -> None:
         """Close the open elements from ``index`` on."""
+        if any(element.named for element in self.open[index:]):
+            self.end_line()
         for element in self.open[index:]:
             self.side -= element.side
+            self.named -= element.named
         del self.open[index:]
         self.path = tuple(e.number for e in self.open if e.number)
 
@@ -106,6 +127,8 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs) -> None:
         block = tag in BLOCKS
+        if tag == "body" and (at := self.last({"head"})) is not None or tag not in IN_HEAD and (at := self.in_head()) is not None:
+            self.pop(at)
         if block:
             self.end_line()
             if tag in CLOSES_P and (at := self.last({"p"}, CONTAINERS | {"li", "table"})) is not None:
@@ -119,12 +142,16 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         side = self.is_side(tag, dict(attrs))
+        named = not side and self.is_named(tag, dict(attrs))
+        if named and not block:
+            side, named = True, False
         number = 0
         if tag in CONTAINERS:
             number = len(self.kinds) + 1
             self.kinds[number] = tag
-        self.open.append(Element(tag, number, side))
+        self.open.append(Element(tag, number, side, named))
         self.side += side
+        self.named += named
         if number:
             self.path = (*self.path, number)
 
@@ -139,11 +166,18 @@ class Lines(HTMLParser):
             return False
         if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role") in SIDE_ROLES:
             return True
-        if re.search(r"display\s*:\s*none", attrs.get("style") or "", re.I):
-            return True
+        return re.search(r"display\s*:\s*none", attrs.get("style") or "", re.I) is not None
+
+    def is_named(self, tag: str, attrs: dict) -> bool:
+        """Whether class or id name a part; those of an article count inside a named block only (comments)."""
+        if not attrs or tag in ("html", "body", "main") or (tag == "article" and not self.named):
+            return False
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
         return not SIDE_WORDS.isdisjoint(WORDS.findall(names))
 
+    def in_head(self) -> int | None:
+        return len(self.open) - 1 if self.open and self.open[-1].tag == "head" else None
+
     def handle_endtag(self, tag) -> None:
         if tag in BLOCKS:
             self.end_line()
@@ -152,6 +186,8 @@ class Lines(HTMLParser):
             self.pop(at)
 
     def handle_data(self, data) -> None:
+        if (at := self.in_head()) is not None and data.strip():
+            self.pop(at)
         if not self.side:
             self.parts.append(data)
 
@@ -198,6 +234,18 @@ def region(lines: list[Line], kinds: dict[int, str], content: list[int]) -> list
     return [x for x in lines if not best or best in x.path]
 
 
+def unmarked(lines: list[Line], kinds: dict[int, str]) -> list[Line]:
+    """The lines that may be the article's.
+
+    A class or id may name what a wrapper has beside the article ("with-sidebar"). So an article
+    inside it counts if the page has no other one, and all such blocks do if no line is left.
+    """
+    free = [x for x in lines if x.level == 0]
+    if not any(kinds[n] in ("article", "main") for x in free for n in x.path):
+        free = [x for x in lines if x.level < 2]
+    return free or lines
+
+
 def main_text(page: str | None, sigma: float = 1.0) -> str:
     """The article's blocks joined by newlines; empty without any."""
     parser = Lines()
@@ -206,7 +254,8 @@ def main_text(page: str | None, sigma: float = 1.0) -> str:
     parser.end_line()
     if not parser.lines:
         return ""
-    kept = region(parser.lines, parser.kinds, content_lines(parser.lines, sigma))
+    lines = unmarked(parser.lines, parser.kinds)
+    kept = region(lines, parser.kinds, content_lines(lines, sigma))
     return "\n".join(x.text for x in kept)
 
 
