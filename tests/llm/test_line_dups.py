@@ -1,4 +1,50 @@
-from turnlens.llm.line_dups import dedup_lines
+import random
+
+import numpy as np
+import pytest
+
+from turnlens.llm.alignment import similar
+from turnlens.llm.hashing import WordHashes, words
+from turnlens.llm.line_dups import LineRule, dedup_lines, keys_of
+
+
+def with_edits(line, edits, rng):
+    named = line.split()
+    for place in sorted(rng.sample(range(len(named)), edits), reverse=True):
+        new = f"new{rng.randrange(10**6)}"
+        named[place : place + 1] = rng.choice([[new], [new], [], [named[place], new]])
+    return " ".join(named)
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.9])
+def test_every_pair_of_similar_lines_shares_a_key(prose, similarity):
+    rng, hashes, pairs = random.Random(4), WordHashes(), []
+    for length in [*range(5, 41), 60, 79, 100, 101, 150, 199, 200]:
+        for _ in range(20):
+            line = prose(length, rng.randrange(10**6))
+            most = int((1 - similarity) * length + 1e-9)
+            edited = [with_edits(line, rng.randint(0, most), rng)]
+            step = -(-length // max(1, most))  # evenly changed words touch the most grams
+            edited.append(" ".join(f"x{i}" if i % step == step // 2 else w for i, w in enumerate(line.split())))
+            pairs += [(line, e) for e in edited if len(words(e)) >= 5]
+    tokens = [[hashes.of(words(x)) for x in pair] for pair in pairs]
+    alike = [x for x in tokens if similar(*x, similarity)]
+    assert len(alike) > 1000
+    flat = [x for pair in alike for x in pair]
+    sizes = [np.array([len(w) for w in words(x)]) for pair, t in zip(pairs, tokens) if similar(*t, similarity) for x in pair]
+    keys = keys_of(flat, sizes, LineRule(similarity=similarity))
+    assert all(set(a.tolist()) & set(b.tolist()) for a, b in zip(keys[::2], keys[1::2]))
+
+
+def test_short_lines_and_long_passages_with_a_fifth_changed(make_docs, prose):
+    rng, rows = random.Random(6), []
+    for number, length in enumerate((5, 6, 10, 15, 20, 60, 100, 200)):
+        line = prose(length, 900 + number)
+        rows += [(10 * number, line)] + [(10 * number + i, with_edits(line, length // 5, rng)) for i in (1, 2, 3)]
+    tokens = {i: WordHashes().of(words(t)) for i, t in rows}
+    gone = {r.doc_id for r in dedup_lines(make_docs(rows)).collect() if r.lines_removed}
+    want = {i for i, t in rows if i % 10 and len(words(t)) >= 5 and similar(tokens[i - i % 10], tokens[i], 0.8)}
+    assert gone >= want and len(want) > 20 and not any(i % 10 == 0 for i in gone)
 
 
 def test_keeps_one_occurrence_of_each_group(make_docs, odd_rows, prose):

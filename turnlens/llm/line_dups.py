@@ -1,11 +1,12 @@
-"""Fuzzy line deduplication by SimHash blocks.
-
-A line is normalised to its lower-case words. Every word belongs to one of a few groups by
-its hash, and each group gives one 32-bit block of the line's SimHash, so an edit of one word
-touches the block of the old word and that of the new one and no other. With more groups than
-that, lines that differ in a few words agree in a whole block (the pigeonhole principle); they
-are joined on it, verified by edit similarity on words, and connected into groups. One
-occurrence of each group stays.
+"""Fuzzy line deduplication by the rarest word pairs of a line.
+
+A line is normalised to its lower-case words, and its grams are the pairs of words that follow
+each other, each labelled with how often it has occurred before in the line. One edit takes at
+most two grams away, so similar lines share a number of grams that follows from their lengths.
+Grams have one order everywhere, and of each line as many of the first are keys as make sure
+that similar lines have one of them in common (prefix filtering, the pigeonhole principle on
+grams). Lines that share a key are verified by edit similarity on words, and connected into
+groups. One occurrence of each group stays.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from turnlens.llm.common import Scratch, text_or_empty
 from turnlens.llm.hashing import WordHashes, mix, words
 from turnlens.llm.linking import verified_groups
-from turnlens.llm.near_dups import aligned
+from turnlens.llm.near_dups import aligned, with_bags
 
 
 @dataclass(frozen=True)
@@ -31,55 +32,61 @@ class LineRule:
 
     min_words: int = 5
     similarity: float = 0.8
-    words_per_block: int = 4
-    most_blocks: int = 8
 
 
-#: A line occurrence: its place, two hashes of its words, and its block keys.
+#: A line occurrence: its place, two hashes of its words, and its keys.
 LINE = pa.struct([("line", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.list_(pa.int64()))])
 LINE_SQL = "struct<line:int,d1:bigint,d2:bigint,keys:array<bigint>>"
 
-#: Words whose blocks are computed at once.
+#: Words whose keys are computed at once.
 WORDS_AT_ONCE = 1 << 16
 
 
-def blocks_in(lengths: np.ndarray, rule: LineRule) -> np.ndarray:
-    return np.clip(lengths // rule.words_per_block, 2, rule.most_blocks)
+def gram_size(rule: LineRule) -> int:
+    """Two words where similar lines of any length share such a gram, else one word."""
+    lengths = np.arange(rule.min_words, rule.min_words + 1000)
+    return 2 if (1 - rule.similarity) * 2 < 0.9 and (shared(lengths, 2, rule) >= 1).all() else 1
 
 
-def block_keys(tokens: np.ndarray, lengths: np.ndarray, rule: LineRule) -> tuple[np.ndarray, np.ndarray]:
-    """(line number, key) for the SimHash blocks of many lines at once.
+def shared(lengths: np.ndarray, size: int, rule: LineRule) -> np.ndarray:
+    """How many grams similar lines have in common at least, the longer of which has so many words."""
+    return lengths - size + 1 - size * ((1.0 - rule.similarity) * lengths + 1e-9).astype(np.int64)
 
-    ``tokens`` holds the words of all lines, one line after the other. A line also gives the
-    blocks of the next smaller number of groups that a line similar to it may have.
+
+def keys_in(lengths: np.ndarray, size: int, rule: LineRule) -> np.ndarray:
+    """How many of its first grams a line needs as keys, whatever length a similar line has."""
+    longest = (lengths / rule.similarity + 1e-6).astype(np.int64)
+    common = shared(lengths, size, rule)
+    for more in range(1, int((longest - lengths).max(initial=0)) + 1):
+        common = np.where(lengths + more <= longest, np.minimum(common, shared(lengths + more, size, rule)), common)
+    return lengths - size + 1 - common + 1
+
+
+def line_keys(tokens: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, rule: LineRule) -> tuple[np.ndarray, np.ndarray]:
+    """(line number, key), by line, for many lines at once.
+
+    ``tokens`` holds the words of all lines, one line after the other, and ``sizes`` their
+    characters. Grams of long words, which are rarer, come first; any order is a right one.
     """
     line = np.repeat(np.arange(len(lengths)), lengths)
-    own = blocks_in(lengths, rule)
-    shorter = blocks_in(np.ceil(lengths * rule.similarity).astype(np.int64), rule)
-    out = [_blocks(tokens, line, own)]
-    # Between the two counts every number of groups may be that of a similar, shorter line.
-    for step in range(1, int((own - shorter).max(initial=0)) + 1):
-        use = own - step >= shorter
-        part = use[line]
-        out.append(_blocks(tokens[part], line[part], own - step))
-    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
-
-
-def _blocks(tokens: np.ndarray, line: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(tokens):
+    gram, weight, size = mix(tokens, 41), sizes, gram_size(rule)
+    if size == 2:
+        inside = line[1:] == line[:-1]
+        gram = mix(gram[:-1] * np.uint64(0x100000001B3) + mix(tokens[1:], 43), 47)[inside]
+        weight, line = (sizes[:-1] + sizes[1:])[inside], line[1:][inside]
+    if not len(gram):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    group = (mix(tokens, 41) >> np.uint64(20)).astype(np.int64) % groups[line]
-    place = line * 16 + group
-    order = np.argsort(place, kind="stable")
-    place = place[order]
-    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-    bits = np.unpackbits(mix(tokens[order], 43).astype(np.uint32).view(np.uint8).reshape(-1, 4), axis=1)
-    ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
-    size = np.diff(np.append(first, len(place)))
-    hashed = np.packbits(2 * ones > size[:, None], axis=1).view(np.uint32).ravel().astype(np.uint64)
-    at = place[first]
-    which = (groups[at // 16] * 16 + at % 16).astype(np.uint64)
-    return at // 16, mix((which << np.uint64(32)) | hashed, 47).view(np.int64)
+    order = np.lexsort((gram, line))
+    gram, line, weight = gram[order], line[order], weight[order]
+    new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (line[1:] != line[:-1])))
+    first = np.flatnonzero(new)
+    earlier = np.arange(len(gram)) - first[np.cumsum(new) - 1]
+    key = mix(gram + earlier.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25), 53)
+    order = np.lexsort((key, -weight, line))
+    key, line = key[order], line[order]
+    start = np.searchsorted(line, np.arange(len(lengths)))
+    kept = np.arange(len(line)) - start[line] < keys_in(lengths, size, rule)[line]
+    return line[kept], key[kept].view(np.int64)
 
 
 def digests(tokens: np.ndarray) -> tuple[int, int]:
@@ -88,19 +95,16 @@ def digests(tokens: np.ndarray) -> tuple[int, int]:
     return signed(value >> 64), signed(value & ((1 << 64) - 1))
 
 
-def keys_of(parts: list[np.ndarray], rule: LineRule) -> list[list[int]]:
-    """The distinct block keys of each line, some lines at a time."""
-    made: list[list[int]] = []
+def keys_of(parts: list[np.ndarray], sizes: list[np.ndarray], rule: LineRule) -> list[np.ndarray]:
+    """The keys of each line, some lines at a time."""
+    made: list[np.ndarray] = []
     start = held = 0
     for end, part in enumerate(parts, 1):
         held += len(part)
         if held >= WORDS_AT_ONCE or end == len(parts):
-            own: list[set[int]] = [set() for _ in range(start, end)]
             lengths = np.array([len(p) for p in parts[start:end]])
-            numbers, keys = block_keys(np.concatenate(parts[start:end]), lengths, rule)
-            for number, key in zip(numbers.tolist(), keys.tolist()):
-                own[number].add(key)
-            made.extend(map(sorted, own))
+            numbers, keys = line_keys(np.concatenate(parts[start:end]), np.concatenate(sizes[start:end]), lengths, rule)
+            made.extend(np.split(keys, np.searchsorted(numbers, np.arange(1, len(lengths)))))
             start, held = end, 0
     return made
 
@@ -113,17 +117,18 @@ def hashed_lines(rows: DataFrame, rule: LineRule) -> DataFrame:
         for whole in batches:
             for first in range(0, len(whole), 100):
                 batch = whole.slice(first, 100)
-                places, parts = [], []
+                places, parts, sizes = [], [], []
                 for number, text in enumerate(batch.column(1)):
                     for line, content in enumerate(text.as_py().split("\n")):
                         named = words(content)
                         if len(named) >= rule.min_words:
                             places.append((number, line))
                             parts.append(hashes.of(named))
+                            sizes.append(np.fromiter(map(len, named), np.int64, len(named)))
                 found: list[list[dict]] = [[] for _ in range(len(batch))]
-                for (number, line), part, keys in zip(places, parts, keys_of(parts, rule)):
+                for (number, line), part, keys in zip(places, parts, keys_of(parts, sizes, rule)):
                     d1, d2 = digests(part)
-                    found[number].append({"line": line, "d1": d1, "d2": d2, "keys": keys})
+                    found[number].append({"line": line, "d1": d1, "d2": d2, "keys": keys.tolist()})
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(LINE))], ["row", "found"])
 
     return rows.mapInArrow(run, f"row long, found array<{LINE_SQL}>")
@@ -165,7 +170,7 @@ def line_groups(found: DataFrame, lines: DataFrame, texts: DataFrame, rule: Line
     heads = distinct.join(named, ["d1", "d2"]).join(keys.select(F.col("id").alias("d1")), "d1", "left_semi")
     heads = heads.select("first.row", F.struct(F.col("first.line").alias("line"), F.col("d1").alias("id")).alias("x"))
     wanted = heads.groupBy("row").agg(F.collect_list("x").alias("wanted"))
-    content = scratch.bucketed(tokens_of_lines(texts.join(wanted, "row").select("text", "wanted")), "id", "content")
+    content = scratch.bucketed(with_bags(tokens_of_lines(texts.join(wanted, "row").select("text", "wanted"))), "id", "content")
     roots = verified_groups(keys, lambda pairs: aligned(pairs, content, rule.similarity))
     roots = roots.withColumnRenamed("id", "d1")
     grouped = distinct.join(named.withColumn("in", F.lit(True)), ["d1", "d2"], "left").join(roots, "d1", "left")
