@@ -1,6 +1,10 @@
 import random
 
-from turnlens.llm.near_dups import near_duplicates
+import numpy as np
+import pytest
+
+from turnlens.llm.alignment import edit_distance
+from turnlens.llm.near_dups import OrderMinHash, bag, bags_fit, near_duplicates, order_keys
 
 
 def edited(text, share, seed):
@@ -31,5 +35,31 @@ def test_copies_are_one_class_and_others_stay_apart(make_docs, odd_rows, prose):
     assert sum(r.kept for r in got) == len({(r.class_id, r.class_size) for r in got})
 
 
+@pytest.mark.parametrize("length", [50, 100, 200, 1000])
+@pytest.mark.parametrize("similarity", [0.8, 0.82, 0.85])
+def test_texts_near_the_threshold_share_a_key(length, similarity):
+    rng, found = np.random.default_rng(length), 0
+    for _ in range(100):
+        text = rng.integers(0, 1 << 40, length)
+        other = text.copy()
+        at = rng.choice(length, int((1 - similarity) * length + 1e-9), replace=False)
+        other[at] = rng.integers(0, 1 << 40, len(at))
+        found += len(np.intersect1d(order_keys(text, OrderMinHash()), order_keys(other, OrderMinHash()))) > 0
+    assert found >= 99
+
+
+def test_bags_rule_out_no_pair_of_few_edits():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        text = rng.integers(0, rng.choice([3, 400, 1 << 32]), rng.integers(1, 900)).astype(np.uint32)
+        places = np.sort(rng.choice(len(text), rng.integers(0, len(text) // 4 + 1), replace=False))
+        other = np.delete(text, places[::2])
+        other = np.insert(other, rng.integers(0, len(other) + 1, len(places[1::2])), 7).astype(np.uint32)
+        distance = edit_distance(text, other, len(text) + len(other))
+        assert bags_fit([bag(text.tobytes())], [bag(other.tobytes())], np.array([distance])).all()
+    unlike = [bag(rng.integers(0, 1 << 32, 200).astype(np.uint32).tobytes()) for _ in range(2)]
+    assert not bags_fit(unlike[:1], unlike[1:], np.array([40])).any()
+
+
 def test_empty_table(make_docs):
     assert near_duplicates(make_docs([])).collect() == []

@@ -3,7 +3,8 @@
 A text is a sequence of words. Its k-mers are runs of five words, each labelled with how often
 it has occurred before in the text. For each of several hash functions the few smallest
 labelled k-mers are taken and put in text order; their hash is one key. Two texts share a key
-with a probability that falls with their edit distance, as order counts. Texts that share a
+with a probability that falls with their edit distance, as order counts. The smallest k-mer of
+each of more hash functions is a key as well, which texts near the threshold still share. Texts that share a
 key are aligned within a band, and linked from an edit similarity of 0.8 words on.
 """
 
@@ -28,11 +29,12 @@ from turnlens.sources.tables import pin
 
 @dataclass(frozen=True)
 class OrderMinHash:
-    """``keys`` sketches of ``sampled`` k-mers of ``k`` words each."""
+    """``keys`` sketches of ``sampled`` k-mers of ``k`` words each, and ``singles`` of one k-mer."""
 
     k: int = 5
     sampled: int = 2
     keys: int = 24
+    singles: int = 64
     similarity: float = 0.8
 
 
@@ -55,10 +57,16 @@ def order_keys(tokens: np.ndarray, omh: OrderMinHash) -> np.ndarray:
     take = min(omh.sampled, len(marked))
     together = max(1, (1 << 20) // len(marked))  # hash functions at once, so that very long texts fit
     keys = []
-    for first in range(0, omh.keys, together):
-        numbers = np.arange(first, min(omh.keys, first + together))
+    most = max(omh.keys, omh.singles)
+    for first in range(0, most, together):
+        numbers = np.arange(first, min(most, first + together))
         seeds = np.array([offset(100 + int(i)) for i in numbers], np.uint64)
         hashed = scramble(marked[None, :] + seeds[:, None])
+        single = marked[hashed[numbers < omh.singles].argmin(axis=1)]
+        keys.append(mix(single, 37))  # the same k-mer is the same key, whichever function took it
+        numbers, hashed = numbers[numbers < omh.keys], hashed[numbers < omh.keys]
+        if not len(numbers):
+            continue
         smallest = np.sort(np.argpartition(hashed, take - 1, axis=1)[:, :take], axis=1)
         key = numbers.astype(np.uint64)
         for place in range(take):
@@ -80,21 +88,55 @@ def token_match(threshold: float):
     return match
 
 
+#: Counts that a text's words are reduced to.
+BAG = 256
+
+
+def bag(tokens: bytes) -> bytes:
+    """How many words fall to each of a few numbers, up to 255."""
+    counts = np.bincount(np.frombuffer(tokens, np.uint32) % BAG, minlength=BAG)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def with_bags(content: DataFrame) -> DataFrame:
+    """``content`` (id, tokens) with n, the bytes of tokens, and bag."""
+
+    @F.pandas_udf("binary")
+    def bags(tokens: pd.Series) -> pd.Series:
+        return tokens.map(bag)
+
+    return content.select("id", "tokens", F.octet_length("tokens").alias("n"), bags("tokens").alias("bag"))
+
+
+def bags_fit(left: list[bytes], right: list[bytes], most: np.ndarray) -> np.ndarray:
+    """Whether bags differ by no more than so many edits: each edit adds and takes away one word at most."""
+    if not len(left):
+        return np.empty(0, bool)
+    x, y = (np.frombuffer(b"".join(side), np.uint8).reshape(-1, BAG).astype(np.int16) for side in (left, right))
+    differ = x - y
+    return np.maximum(differ.clip(min=0).sum(axis=1), (-differ).clip(min=0).sum(axis=1)) <= most
+
+
 def aligned(pairs: DataFrame, content: DataFrame, threshold: float) -> DataFrame:
     """Those pairs (a, b) whose content (id, tokens) has an edit similarity of ``threshold``.
 
-    ``content`` is laid out by id, so that only pairs move to it; the few texts that many pairs
-    name as ``a`` are picked out first. Lengths that already rule a match out go before the
-    alignment.
+    ``content``, made by ``with_bags``, is laid out by id, so that only pairs move to it. Pairs
+    whose lengths or bags of words already rule a match out go before any text is read.
     """
     match = token_match(threshold)
-    size = F.octet_length("tokens")
-    right = content.select(F.col("id").alias("b"), F.col("tokens").alias("y"), size.alias("n"))
-    named = pairs.select(F.col("a").alias("id")).distinct()
-    left = content.join(named, "id", "left_semi").select(F.col("id").alias("a"), F.col("tokens").alias("x"), size.alias("m"))
-    both = pairs.join(right, "b").join(left, "a")
-    fitting = both.filter(F.least("m", "n") >= F.greatest("m", "n") * threshold - 0.001)
-    return fitting.filter(match("x", "y"))
+
+    @F.pandas_udf("boolean")
+    def may_match(left: pd.Series, right: pd.Series, n: pd.Series) -> pd.Series:
+        most = ((1.0 - threshold) * (n.to_numpy() // 4) + 1e-6).astype(np.int64)
+        return pd.Series(bags_fit(left.tolist(), right.tolist(), most), dtype=bool)
+
+    small = content.select("id", "n", "bag")
+    both = pairs.join(small.toDF("b", "n", "y"), "b").join(small.toDF("a", "m", "x"), "a")
+    both = both.filter(F.least("m", "n") >= F.greatest("m", "n") * threshold - 0.001)
+    fitting = both.filter(may_match("x", "y", F.greatest("m", "n"))).select("a", "b")
+    left, right = content.select(F.col("id").alias("a"), F.col("tokens").alias("x")), content.select(F.col("id").alias("b"), F.col("tokens").alias("y"))
+    named = fitting.join(right, "b").join(left, "a")
+    return named.filter(match("x", "y"))
 
 
 def near_duplicates(
@@ -143,7 +185,7 @@ def classes(made: DataFrame, members: DataFrame, omh: OrderMinHash) -> DataFrame
     firsts = pin(made.groupBy("digest").agg(F.min("row").alias("first")), "firsts")
     distinct = made.join(firsts.select(F.col("first").alias("row")), "row", "left_semi")
     scratch = Scratch(made.sparkSession)
-    content = scratch.bucketed(distinct.select(F.col("row").alias("id"), "tokens"), "id", "content")
+    content = scratch.bucketed(with_bags(distinct.select(F.col("row").alias("id"), "tokens")), "id", "content")
     keys = distinct.select(F.col("row").alias("id"), "keys")
     roots = verified_groups(keys, lambda pairs: aligned(pairs, content, omh.similarity))
     scratch.drop()
