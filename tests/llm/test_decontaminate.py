@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+
+from turnlens.llm import decontaminate
 from turnlens.llm.decontaminate import contaminated
 
 
@@ -28,3 +31,9 @@ def test_finds_copies_and_paraphrases_and_leaves_clean_texts(spark, make_docs, o
 def test_empty_tables(spark, make_docs):
     assert contaminated(make_docs([]), bench(spark, [(1, "a b c d e f", "x")])).collect() == []
     assert contaminated(make_docs([(1, "a b c d e f")]), bench(spark, [])).collect() == []
+
+
+def test_axes_are_fitted_on_every_passage():
+    # More words than fitted the former bound of 2^20 passages, of which only a share was taken.
+    texts = (np.full(1 << 20, i, np.uint32) for i in range(34))
+    assert sum(len(columns) for columns in decontaminate._passages(texts, 32)) == 34 << 20

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnlens.llm.common import text_or_empty
-from turnlens.llm.hashing import WordHashes, mix, words
+from turnlens.llm.hashing import WordHashes, words
 from turnlens.llm.latent import idf_of, random_basis, right_singular, sum_arrays
 from turnlens.sources.tables import pin
 
@@ -29,9 +29,7 @@ COLUMNS = 1 << 14
 
 @dataclass(frozen=True)
 class Retrieval:
-    """``item_block`` bounds how many benchmark items are held at once; more come in turns.
-    ``fit_passages`` bounds the passages, drawn by a hash from all texts, that the latent axes
-    are fitted on; frequencies are counted over all texts and every window is searched."""
+    """``item_block`` bounds how many benchmark items are held at once; more come in turns."""
 
     rank: int = 96
     extra: int = 8
@@ -45,7 +43,6 @@ class Retrieval:
     growth: float = 1.5
     shortest: int = 5
     item_block: int = 2000
-    fit_passages: int = 1 << 20
 
 
 RESULT = "id long, item_id long, start_word long, n_words long, common double, answer boolean, cosine double"
@@ -78,24 +75,24 @@ def _each(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[np.nda
             yield np.frombuffer(value.as_buffer(), np.uint32)
 
 
-def frequencies(tokens: DataFrame) -> tuple[np.ndarray, float, float]:
-    """In how many texts each column occurs, how many texts and how many words there are."""
+def frequencies(tokens: DataFrame) -> tuple[np.ndarray, float]:
+    """In how many texts each column occurs, and how many texts there are."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COLUMNS + 2)
+        total = np.zeros(COLUMNS + 1)
         for text in _each(batches):
-            seen = np.zeros(COLUMNS + 2)
+            seen = np.zeros(COLUMNS + 1)
             seen[columns_of(text)] = 1
-            seen[COLUMNS:] = 1, len(text)
+            seen[COLUMNS] = 1
             total += seen
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
-    total = sum_arrays(tokens.select("tokens").mapInArrow(count, "part binary"), COLUMNS + 2)
-    return total[:COLUMNS], total[COLUMNS], total[COLUMNS + 1]
+    total = sum_arrays(tokens.select("tokens").mapInArrow(count, "part binary"), COLUMNS + 1)
+    return total[:COLUMNS], total[COLUMNS]
 
 
-def _passages(texts: Iterator[np.ndarray], length: int, share: float, size: int = 1 << 16) -> Iterator[np.ndarray]:
-    """Columns of whole passages of many texts, a ``share`` of all by the hash of their words.
+def _passages(texts: Iterator[np.ndarray], length: int, size: int = 1 << 16) -> Iterator[np.ndarray]:
+    """Columns of all passages of many texts.
 
     The last passage of a text is filled up with COLUMNS.
     """
@@ -103,11 +100,8 @@ def _passages(texts: Iterator[np.ndarray], length: int, share: float, size: int
     for text in texts:
         for start in range(0, len(text), size):
             part = text[start : start + size]
-            columns = np.append(columns_of(part), np.full(-len(part) % length, COLUMNS, np.uint16)).reshape(-1, length)
-            if share < 1:
-                sums = np.add.reduceat(part, np.arange(0, len(part), length), dtype=np.uint64)
-                columns = columns[(mix(sums, 5) >> np.uint64(11)) * 2.0**-53 < share]
-            held.append(columns.ravel())
+            columns = np.append(columns_of(part), np.full(-len(part) % length, COLUMNS, np.uint16))
+            held.append(columns)
             count += columns.size
             if count >= size:
                 yield np.concatenate(held)
@@ -116,7 +110,7 @@ def _passages(texts: Iterator[np.ndarray], length: int, share: float, size: int
         yield np.concatenate(held)
 
 
-def fit_axes(tokens: DataFrame, weight: np.ndarray, share: float, how: Retrieval) -> np.ndarray:
+def fit_axes(tokens: DataFrame, weight: np.ndarray, how: Retrieval) -> np.ndarray:
     """columns x rank: turns word counts into latent coordinates of equal spread."""
     basis = random_basis(COLUMNS, how.rank + how.extra)
     projection = np.zeros((COLUMNS + 1, basis.shape[1]), np.float32)
@@ -124,7 +118,7 @@ def fit_axes(tokens: DataFrame, weight: np.ndarray, share: float, how: Retrieval
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         product = np.zeros((basis.shape[1], COLUMNS + 1))
-        for columns in _passages(_each(batches), how.passage, share):
+        for columns in _passages(_each(batches), how.passage):
             passages = projection[columns].reshape(-1, how.passage, basis.shape[1]).sum(axis=1)
             for axis in range(basis.shape[1]):
                 product[axis] += np.bincount(columns, np.repeat(passages[:, axis], how.passage), COLUMNS + 1)
@@ -243,9 +237,8 @@ def contaminated(
     """
     spark = docs.sparkSession
     tokens = pin(tokenised(docs, id_col, text_col), "tokens")
-    counted, rows, n_words = frequencies(tokens)
-    share = how.fit_passages * how.passage / max(1.0, n_words)
-    axes = spark.sparkContext.broadcast(fit_axes(tokens, idf_of(counted, rows) ** how.idf_power, share, how))
+    counted, rows = frequencies(tokens)
+    axes = spark.sparkContext.broadcast(fit_axes(tokens, idf_of(counted, rows) ** how.idf_power, how))
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), text_or_empty(item_text_col).alias("text"))
     turns = max(1, -(-items.count() // how.item_block))
     turn_of = F.pmod(F.xxhash64("item", "text"), F.lit(turns))
