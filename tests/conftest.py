@@ -43,10 +43,3 @@ def conf(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, value)
-
-
-def executed_plan(df) -> str:
-    """The physical plan after running the query."""
-    df.write.format("noop").mode("overwrite").save()
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()

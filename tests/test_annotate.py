@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import executed_plan
+from plan_text import executed_plan
 from pyspark.sql import functions as F
 
 from turnlens.operators import annotate

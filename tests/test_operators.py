@@ -5,7 +5,7 @@ import statistics
 
 import numpy as np
 import pytest
-from conftest import executed_plan
+from plan_text import executed_plan
 from pyspark.sql import functions as F
 
 from turnlens.operators import dashboard, profile, vectors
