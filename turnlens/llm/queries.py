@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnlens.llm.collocations import collocations
 from turnlens.llm.common import table
 from turnlens.llm.decontaminate import contaminated
 from turnlens.llm.exact_dups import exact_duplicates
+from turnlens.llm.fill_in_middle import fill_in_middle, restored
 from turnlens.llm.html import extract_main_text
 from turnlens.llm.licenses import IN_PLACE, TEMPLATES, WORD, scan_licenses
 from turnlens.llm.line_dups import dedup_lines
@@ -18,6 +20,7 @@ from turnlens.llm.near_dups import near_duplicates
 from turnlens.llm.packing import pack
 from turnlens.llm.pii import replace_entities
 from turnlens.llm.quality import Voting, in_fold, score_quality
+from turnlens.llm.secrets import KINDS, scan_secrets, span_text
 from turnlens.llm.toxicity import Ftrl, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +145,86 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_entities(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+l AS (
+    SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines,
+        ('0x' || substr(h, 1, 8))::UBIGINT AS h1, ('0x' || substr(h, 9, 8))::UBIGINT AS h2,
+        ('0x' || substr(h, 17, 8))::UBIGINT AS h3, ('0x' || substr(h, 25, 8))::UBIGINT AS h4 FROM d),
+c AS (
+    SELECT *, len(lines) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1))::BIGINT AS a,
+        greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1))::BIGINT AS b FROM l),
+p AS (
+    SELECT *, array_to_string(lines[1:a], '') AS prefix, array_to_string(lines[a + 1:b], '') AS middle,
+        array_to_string(lines[b + 1:n], '') AS suffix,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+            WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM p"""
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_collocations"] = r"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (
+    SELECT lang, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+    FROM w, (SELECT unnest([1, 2, 3]) AS k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cuts AS (
+    SELECT lang, phrase, k, f AS a, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS words FROM f WHERE k > 1 AND f >= 10),
+parts AS (
+    SELECT c.*, x.f AS l, y.f AS r, 1000000::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS score FROM cuts c
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(words[1:cut], ' ') AND x.k = cut
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(words[cut + 1:], ' ') AND y.k = c.k - cut),
+best AS (
+    SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_of AS (
+    SELECT lang, array_to_string(words[i:i + 1], ' ') AS phrase, max(a) AS longer
+    FROM best, (SELECT unnest([1, 2]) AS i) WHERE k = 3 GROUP BY 1, 2),
+kept AS (
+    SELECT b.* FROM best b LEFT JOIN inner_of i ON i.lang = b.lang AND i.phrase = b.phrase AND b.k = 2
+    WHERE i.longer IS NULL OR 100 * i.longer < 50 * b.a)
+SELECT kept.lang, row_number() OVER w AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM kept JOIN total USING (lang)
+WINDOW w AS (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= 2000"""
+
+
+@query
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda x: x["layers"] == "")
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("secrets")).alias("spans")
+    )
