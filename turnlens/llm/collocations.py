@@ -5,7 +5,8 @@ of two neighbouring words is a trigger, so equal passages are cut alike wherever
 Chunks overlap by the two words of the trigger. The distinct chunks, with how often each occurs,
 form the dictionary of the parse; n-grams are counted inside distinct chunks only and weighted
 with that number. An n-gram belongs to the chunk in which it starts before the overlap with the
-next one, so none is counted twice and none is lost.
+next one, so none is counted twice and none is lost. Words and pairs are counted first; runs of
+three words are looked at only where both of their pairs are frequent enough.
 """
 
 from __future__ import annotations
@@ -35,13 +36,15 @@ OVERLAP = 2
 @dataclass(frozen=True)
 class Mining:
     """``every``: about one in so many word pairs ends a chunk. ``shares`` spreads the first
-    ranking of a group over so many tasks."""
+    ranking of a group over so many tasks. ``filter_bytes``, a power of two, is the size of the
+    filter by which runs of three words with a rare pair are left out before they are shuffled."""
 
     least: int = 10
     keep: int = 2000
     covered: int = 50
     every: int = 12
     shares: int = 64
+    filter_bytes: int = 1 << 23
     no_lang: str = "und"
 
 
@@ -72,7 +75,7 @@ def chunk_bounds(hashes: np.ndarray, breaks: np.ndarray, every: int) -> tuple[np
     return starts, np.where(last, end, following + OVERLAP), last
 
 
-def parse(texts: DataFrame, every: int, held: int = 200_000) -> DataFrame:
+def parse(texts: DataFrame, every: int, held: int = 100_000) -> DataFrame:
     """lang, chunk, last and n: the chunks of (lang, text); n is the sum over a bounded number of them.
 
     Rows with an empty chunk carry the number of words instead.
@@ -80,7 +83,7 @@ def parse(texts: DataFrame, every: int, held: int = 200_000) -> DataFrame:
     schema = pa.schema([("lang", pa.string()), ("chunk", pa.string()), ("last", pa.bool_()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(200_000)
         counts: dict[str, Counter] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -114,19 +117,100 @@ def parse(texts: DataFrame, every: int, held: int = 200_000) -> DataFrame:
     return texts.mapInArrow(run, "lang string, chunk string, last boolean, n long")
 
 
-def counted(parsed: DataFrame) -> DataFrame:
-    """lang, phrase, f: how often each run of one to three words occurs; the empty phrase has all words."""
-    dictionary = parsed.groupBy("lang", "chunk", "last").agg(F.sum("n").alias("n"))
+def short_runs(dictionary: DataFrame) -> DataFrame:
+    """lang, phrase, f of single words and pairs of them; the empty phrase has the number of all words."""
     words = F.when(F.col("chunk") == "", F.array(F.lit(""))).otherwise(F.split("chunk", " "))
-    rows = dictionary.select("lang", "n", "last", words.alias("w1"))
-    for size in range(2, OVERLAP + 2):
-        rows = NGram(n=size, inputCol="w1", outputCol=f"w{size}").transform(rows)
+    rows = NGram(n=2, inputCol="w1", outputCol="w2").transform(dictionary.select("lang", "n", "last", words.alias("w1")))
     own = F.size("w1") - F.when(F.col("last"), 0).otherwise(OVERLAP)
-    grams = F.concat(*[F.slice(f"w{size}", F.lit(1), own) for size in range(1, OVERLAP + 2)])
+    grams = F.concat(*[F.slice(w, F.lit(1), own) for w in ("w1", "w2")])
     exploded = rows.select("lang", "n", F.explode(grams).alias("phrase"))
     return exploded.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
 
+def pair_hashes(hashes: np.ndarray, langs: np.ndarray) -> np.ndarray:
+    """A hash of each word with the next one, in its language."""
+    first = mix(hashes[:-1], 71) * np.uint64(0x100000001B3)
+    return mix(first + mix(hashes[1:], 73) + langs[:-1], 79)
+
+
+def _lang_hashes(hashes: WordHashes, langs: list[str]) -> np.ndarray:
+    return mix(hashes.of([f"\n{lang}" for lang in langs]), 83)
+
+
+class PairFilter:
+    """Bloom filter of word pairs. Of fixed size: when very full it lets more through, and loses nothing."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.mask = bits, np.uint64(len(bits) * 8 - 1)
+
+    def places(self, pairs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for seed in (0, 1, 2):
+            at = mix(pairs, 89 + seed) & self.mask
+            yield (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8)
+
+    def add(self, pairs: np.ndarray) -> None:
+        for byte, bit in self.places(pairs):
+            np.bitwise_or.at(self.bits, byte, bit)
+
+    def has(self, pairs: np.ndarray) -> np.ndarray:
+        found = np.ones(len(pairs), bool)
+        for byte, bit in self.places(pairs):
+            found &= (self.bits[byte] & bit) != 0
+        return found
+
+
+def frequent_pairs(phrases: DataFrame, size: int) -> bytes:
+    """The bits of a filter, of ``size`` bytes, that holds all phrases of two words in (lang, phrase)."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, made = WordHashes(), PairFilter(np.zeros(size, np.uint8))
+        for batch in batches:
+            named = " ".join(batch.column(1).to_pylist()).split(" ") if len(batch) else []
+            langs = np.repeat(_lang_hashes(hashes, batch.column(0).to_pylist()), 2)
+            made.add(pair_hashes(hashes.of(named), langs)[::2] if named else np.empty(0, np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array([made.bits.tobytes()], pa.binary())], ["bits"])
+
+    def either(a: bytes, b: bytes) -> bytes:
+        if not a or not b:
+            return a or b
+        return (np.frombuffer(a, np.uint8) | np.frombuffer(b, np.uint8)).tobytes()
+
+    pairs = phrases.filter(size_of(F.col("phrase")) == 2).select("lang", "phrase")
+    parts = pairs.coalesce(64).mapInArrow(build, "bits binary").rdd.map(lambda row: bytes(row[0]))
+    return parts.treeReduce(either, 3)
+
+
+def long_runs(dictionary: DataFrame, bits: bytes) -> DataFrame:
+    """lang, phrase, f of three words; those with a pair that is not among the frequent ones are left out.
+
+    No run of words is more frequent than its parts, so none that is wanted goes.
+    """
+    kept = dictionary.sparkSession.sparkContext.broadcast(bits)
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, known = WordHashes(), PairFilter(np.frombuffer(kept.value, np.uint8))
+        for batch in batches:
+            langs = batch.column(0).to_pylist()
+            parts = [c.split(" ") for c in batch.column(1).to_pylist()]
+            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+            named = [w for part in parts for w in part]
+            if len(named) < 3:
+                continue
+            chunk = np.repeat(np.arange(len(parts)), sizes)
+            frequent = known.has(pair_hashes(hashes.of(named), _lang_hashes(hashes, langs)[chunk]))
+            # Every chunk holds its last three words whole, so no start needs to be left out but those at its end.
+            whole = chunk[:-2] == chunk[2:]
+            starts = np.flatnonzero(frequent[:-1] & frequent[1:] & whole)
+            phrases = [" ".join(named[i : i + 3]) for i in starts.tolist()]
+            columns = [pa.array([langs[i] for i in chunk[starts].tolist()], pa.string()), pa.array(phrases, pa.string()),
+                       batch.column(2).take(pa.array(chunk[starts]))]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    rows = dictionary.filter("chunk <> ''").select("lang", "chunk", "n").mapInArrow(run, "lang string, phrase string, n long")
+    return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+
+
 def size_of(phrase: Column) -> Column:
     """Words of a phrase."""
     return F.length(phrase) - F.length(F.replace(phrase, F.lit(" "), F.lit(""))) + 1
@@ -189,8 +273,12 @@ def collocations(
     scratch = Scratch(docs.sparkSession)
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(how.no_lang)).alias("lang")
     parsed = parse(docs.select(lang, text_or_empty(text_col).alias("text")), how.every)
+    dictionary = scratch.pin(parsed.groupBy("lang", "chunk", "last").agg(F.sum("n").alias("n")), "dictionary")
     frequent = F.col("f") >= how.least
-    counts = scratch.pin(counted(parsed).filter(frequent | (F.col("phrase") == "")), "phrases")
+    short = scratch.pin(short_runs(dictionary).filter(frequent | (F.col("phrase") == "")), "short-runs")
+    long = long_runs(dictionary, frequent_pairs(short, how.filter_bytes)).filter(frequent)
+    counts = Scratch(docs.sparkSession).pin(short.unionByName(long), "phrases")
+    scratch.drop()
     phrases = counts.filter(frequent & (F.col("phrase") != ""))
     best = best_of(maximal(scored(phrases, how), how), how)
     total = counts.filter(F.col("phrase") == "").select("lang", F.col("f").alias("n"))
