@@ -120,9 +120,10 @@ def parse_dialogue_mwoz_redial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(parse_sql("dialog_act", True, True, True, False))
 def load_dialogue_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same lines written as text files, one per dataset, and read back with the loader."""
+    """The same lines written as text files, several per dataset in path order, and read back with the loader."""
     path = scratch_path(spark, "dialogue")
-    lines = dialogue_lines(spark, sf_dir).repartition(1, "file").sortWithinPartitions("file", "split", "pos")
+    conversation = F.floor(F.col("pos") / 100)
+    lines = dialogue_lines(spark, sf_dir).repartitionByRange("file", conversation).sortWithinPartitions("file", "pos")
     lines.select("file", "value").write.partitionBy("file").text(path)
     return shown(load_dialogue(spark, path, "sgd"))
 

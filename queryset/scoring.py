@@ -28,12 +28,20 @@ from turnlens.functions.prompts import ISSUES_DETAILED, ISSUES_SHORT, SATISFACTI
 from turnlens.functions.text import scored_snippet, snippet
 from turnlens.operators import annotate
 from turnlens.operators import profile
-from turnlens.operators.context import add_last_system_text
+from turnlens.operators.context import add_last_system_text, write_turns
 from turnlens.operators.issues import tag_issues
 from turnlens.operators.satisfaction import score_satisfaction, scoring_requests
 from turnlens.schemas import ISSUE_LABELS, KEY, NO_SYSTEM_TURN, REPLIES_SCHEMA
-from turnlens.sources.replies import append_cache, latest
-from turnlens.sources.tables import scratch_path
+from turnlens.sources.replies import (
+    append_cache,
+    compact_cache,
+    import_cache_jsonl,
+    latest,
+    lookup,
+    read_cache,
+    stored_replies,
+)
+from turnlens.sources.tables import read_table, scratch_path
 
 ASKED = "speaker = 'USER' AND NOT is_overall"
 SHORT = sql_fill(SATISFACTION_SHORT, user_text=strip("text"), last_system_text=strip("last_system_text"))
@@ -262,6 +270,70 @@ def cache_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return misses.select(*KEY, "request_key")
 
 
+@query(with_sql(TURNS, CONTEXT, CACHE) + "SELECT request_key, response_json, seq FROM latest")
+def cache_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two parts of a stored cache put into one; the rows left are the newest ones."""
+    path, rows = scratch_path(spark, "cache"), earlier_cache(spark, sf_dir)
+    append_cache(rows.filter("seq = 1"), path)
+    append_cache(rows.filter("seq = 2"), path)
+    compact_cache(spark, path)
+    return read_cache(spark, path, "satisfaction_score", "default").select("request_key", "response_json", "seq")
+
+
+@query(
+    with_sql(TURNS, CONTEXT, CACHE)
+    + f"SELECT DISTINCT request_key, response_json FROM usable WHERE request_key IN (SELECT request_key FROM requests WHERE turn_id < 6)"
+)
+def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies to some requests out of a stored cache that holds other models' replies as well."""
+    path, rows = scratch_path(spark, "cache"), earlier_cache(spark, sf_dir)
+    append_cache(rows, path)
+    append_cache(rows.withColumns({"model": F.lit("other/model"), "response_json": F.lit("{}"), "seq": F.col("seq") + 9}), path)
+    asked = requests(spark, sf_dir).filter("turn_id < 6").select("request_key").distinct()
+    return lookup(asked, stored_replies(spark, path, "satisfaction_score", "default")).select("request_key", "response_json")
+
+
+IMPORTED = f"""{REQUESTS},
+lines AS (
+  SELECT request_key, length(prompt) AS n, turn_id, row_number() OVER (ORDER BY conv_id, turn_id) AS line
+  FROM requests WHERE dataset = 'SGD'),
+imported AS (
+  SELECT request_key, line - (SELECT count(*) FROM lines) AS seq,
+    '{{"score":' || (1 + n % 5) || ',"reason":"line of ' || n || '"}}' AS response_json FROM lines
+  UNION ALL SELECT request_key, 1, '{{"score":5}}' FROM lines WHERE turn_id > 5)"""
+
+
+@query(
+    with_sql(TURNS, CONTEXT, IMPORTED)
+    + """SELECT request_key, arg_max(response_json, seq) AS response_json, max(seq)::BIGINT AS seq
+    FROM imported GROUP BY request_key"""
+)
+def cache_import_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cache kept as JSON Lines in several files, imported next to replies of a run, which win."""
+    base = scratch_path(spark, "import")
+    asked, n = requests(spark, sf_dir).filter(F.col("dataset") == "SGD"), F.length("prompt")
+    entry = F.struct(
+        F.col("request_key").alias("key"),
+        F.lit("default").alias("model"),
+        (1 + n % 5).alias("score"),
+        F.concat(F.lit("line of "), n.cast("string")).alias("reason"),
+    )
+    ordered = asked.repartitionByRange("conv_id").sortWithinPartitions("conv_id", "turn_id")
+    ordered.select(F.to_json(entry).alias("value")).write.text(f"{base}/lines")
+    append_cache(import_cache_jsonl(spark, f"{base}/lines"), f"{base}/cache", 0)
+    live = {"task": "satisfaction_score", "model": "default", "response_json": '{"score":5}', "error": None}
+    fresh = asked.filter("turn_id > 5").withColumns({c: F.lit(v).cast("string") for c, v in live.items()})
+    append_cache(fresh.withColumn("seq", F.lit(1).cast("long")), f"{base}/cache")
+    return latest(read_cache(spark, f"{base}/cache")).select("request_key", "response_json", "seq")
+
+
+@query(with_sql(TURNS, CONTEXT) + f"SELECT {KEY_SQL}, last_system_text FROM ctx")
+def stored_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context of a turn table that is laid out by conversation."""
+    path = write_turns(turns(spark, sf_dir), scratch_path(spark, "turns"))
+    return add_last_system_text(read_table(spark, path)).select(*KEY, "last_system_text")
+
+
 @query(
     with_sql(TURNS, CONTEXT, CACHE)
     + f"""SELECT {KEY_SQL}, CASE WHEN speaker = 'USER' AND NOT is_overall THEN

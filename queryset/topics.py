@@ -27,18 +27,19 @@ from queryset.adapter import (
     with_sql,
 )
 from queryset.registry import query
-from queryset.scoring import SCORED, SNIPPET
+from queryset.scoring import LABEL_PAIR, SCORED, SNIPPET
 from turnlens.functions.prompts import ISSUES_SHORT, REPAIR_SHORT
 from turnlens.functions.replies import normalize_repair, parse_reply
 from turnlens.operators import dashboard
 from turnlens.operators.annotate import annotate
+from turnlens.operators.context import write_turns
 from turnlens.operators.repairs import describe_topics, rank_topics, repair_requests, repair_topics
 from turnlens.operators.topics import attach_labels, attach_topics, build_topics, label_topics, summarize_topics
 from turnlens.operators.topics import topic_counts as count_topics
 from turnlens.plans.diagnosis import Models, diagnose
 from turnlens.schemas import KEY, REPAIR_FIELDS
 from turnlens.sources.exports import export_json_array, flatten_lists, read_json_array
-from turnlens.sources.tables import pin, scratch_path, write_table
+from turnlens.sources.tables import pin, scratch_path
 
 
 def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,7 +301,7 @@ STAGED = f"""staged AS (
 def staged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All four stages with stub models, counted per dataset."""
     base = scratch_path(spark, "run")
-    source = write_table(turns(spark, sf_dir), f"{base}/turns")
+    source = write_turns(turns(spark, sf_dir), f"{base}/turns")
     out = diagnose(spark, source, base, Models(score_stub(), tag_stub(), repair_stub()), k=4, policy=STUB_POLICY)
     return (
         out["turn_topics"]
@@ -314,3 +315,21 @@ def staged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .withColumn("n_repairs", out["repairs"].agg(F.count("*")).scalar())
     )
+
+
+@query(
+    with_sql(TURNS, CONTEXT, SCORED, STAGED)
+    + f"""SELECT {KEY_SQL}, satisfaction_score, low AS low_satisfaction,
+      CASE WHEN NOT low OR n % 11 = 0 THEN '' WHEN n % 13 = 0 THEN ' loop |NOPE'
+        WHEN n % 17 = 0 THEN 'TONE_ISSUE' ELSE array_to_string({LABEL_PAIR}, '|') END AS issues,
+      CASE WHEN NOT low THEN 'NONE' WHEN n % 11 = 0 THEN 'MEDIUM' WHEN n % 13 = 0 THEN 'URGENT'
+        WHEN n % 17 = 0 THEN 'MEDIUM' ELSE (['LOW', 'HIGH', 'MEDIUM', 'URGENT'])[n % 4 + 1] END AS severity
+    FROM staged"""
+)
+def staged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores and tags of every turn after the first two stages of a run over a stored turn table."""
+    base = scratch_path(spark, "run")
+    source = write_turns(turns(spark, sf_dir), f"{base}/turns")
+    models = Models(score_stub(), tag_stub(), repair_stub())
+    out = diagnose(spark, source, base, models, to_stage=2, policy=STUB_POLICY)["issues"]
+    return out.select(*KEY, "satisfaction_score", "low_satisfaction", joined("issues").alias("issues"), "severity")

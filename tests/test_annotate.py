@@ -11,7 +11,20 @@ from turnlens.operators.annotate import CallPolicy
 from turnlens.operators.issues import tag_issues
 from turnlens.operators.satisfaction import score_satisfaction
 from turnlens.schemas import REPLIES_SCHEMA
-from turnlens.sources.replies import append_cache, import_cache_folder, import_cache_jsonl, read_cache, usable
+from turnlens.operators.context import add_last_system_text, write_turns
+from turnlens.sources.replies import (
+    append_cache,
+    compact_cache,
+    import_cache_folder,
+    import_cache_jsonl,
+    latest,
+    lookup,
+    next_number,
+    read_cache,
+    stored_replies,
+    usable,
+)
+from turnlens.sources.tables import _table_name, read_table
 
 QUICK = CallPolicy(max_retries=1, base_sleep=0.0)
 FALLBACK = CallPolicy(on_error="fallback", max_retries=2, base_sleep=0.0)
@@ -96,7 +109,7 @@ def test_empty_cache_reads_as_empty_table(spark, tmp_path):
 def test_import_of_file_caches(spark, tmp_path):
     lines = tmp_path / "cache.jsonl"
     lines.write_text('{"key":"a","model":"m","score":1,"reason":"x"}\n\n{"key":"a","model":"m","score":2,"reason":"é"}\n')
-    row = import_cache_jsonl(spark, str(lines)).first()
+    row = latest(import_cache_jsonl(spark, str(lines))).first()
     assert (row["request_key"], row["response_json"], row["model"]) == ("a", '{"score":2,"reason":"é"}', "m")
     folder = tmp_path / "files"
     folder.mkdir()
@@ -297,3 +310,90 @@ def test_no_low_turns_gives_defaults(spark, turns):
     none = turns.withColumn("low_satisfaction", F.lit(False))
     got = by_turn(tag_issues(none, lambda p: {}, policy=QUICK), "issues", "severity", "reason")
     assert set(map(str, got.values())) == {str(([], "NONE", ""))}
+
+
+def parts_of(path):
+    return sorted(p.name for p in path.iterdir() if p.name.startswith("part_id="))
+
+
+def test_lookup_reads_the_folders_of_its_task_and_model_only(spark, tmp_path, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    path = str(tmp_path / "cache")
+    append_cache(cache_rows(spark, [(f"k{i}", f'{{"x":{i}}}', 1) for i in range(50)]), path)
+    asked = spark.createDataFrame([("k3",), ("k7",), ("none",)], "request_key string")
+    found = lookup(asked, stored_replies(spark, path, "t", "m"))
+    assert {r["request_key"]: r["response_json"] for r in found.collect()} == {"k3": '{"x":3}', "k7": '{"x":7}'}
+    plan = executed_plan(found)
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line)
+    assert "task" in filters and "model" in filters
+    # The keys cut the stored rows before any of them is aggregated.
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+    assert lookup(asked, stored_replies(spark, path, "t", "other")).count() == 0
+
+
+def test_compaction_keeps_the_newest_rows_and_unfinished_parts(spark, tmp_path):
+    path = tmp_path / "cache"
+    for seq, reply in ((1, '{"x":1}'), (2, '{"x":2}'), (3, "{broken")):
+        append_cache(cache_rows(spark, [("a" if seq < 3 else "b", reply, seq), (f"only{seq}", "{}", seq)]), str(path))
+    unfinished = path / "part_id=000000000009-x"
+    unfinished.mkdir()
+    (unfinished / "junk.parquet").write_text("not a table yet")
+    before = sorted(tuple(r) for r in latest(read_cache(spark, str(path))).collect())
+    assert compact_cache(spark, str(path)) == 3
+    assert len(parts_of(path)) == 2 and unfinished.exists()
+    rows = read_cache(spark, str(path)).collect()
+    assert sorted(tuple(r) for r in rows) == before and len(rows) == 5
+    assert compact_cache(spark, str(path)) == 1
+    assert next_number(spark, str(path)) == 4
+
+
+def test_same_key_of_two_tasks_survives_compaction(spark, tmp_path):
+    path, rows = str(tmp_path / "cache"), cache_rows(spark, [("a", "{}", 1)])
+    append_cache(rows, path)
+    append_cache(rows.withColumn("task", F.lit("another")), path)
+    compact_cache(spark, path)
+    assert {r["task"] for r in read_cache(spark, path).collect()} == {"t", "another"}
+
+
+def test_import_numbers_lines_over_files_and_splits(spark, tmp_path, conf):
+    conf("spark.sql.files.maxPartitionBytes", "200")
+    conf("spark.sql.files.openCostInBytes", "0")
+    n = 0
+    for name in ("a.jsonl", "b.jsonl"):
+        lines = []
+        for _ in range(30):
+            lines.append(json.dumps({"key": f"k{n % 7}", "model": "m", "score": n, "reason": ""}))
+            n += 1
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    rows = import_cache_jsonl(spark, str(tmp_path)).collect()
+    assert sorted((r["seq"], json.loads(r["response_json"])["score"]) for r in rows) == [(i - 59, i) for i in range(60)]
+    newest = latest(import_cache_jsonl(spark, str(tmp_path))).collect()
+    assert {r["request_key"]: json.loads(r["response_json"])["score"] for r in newest} == {f"k{i % 7}": i for i in range(53, 60)}
+
+
+def test_stages_compute_the_context_once(spark, turns, tmp_path):
+    """The result of a stage reads a written context: no window is left in its plan."""
+    scored = score_satisfaction(turns, lambda p: {"score": 1, "reason": ""}, policy=QUICK)
+    assert "Window" not in executed_plan(scored)
+    tagged = tag_issues(scored, lambda p: {"issues": ["LOOP"]}, policy=QUICK)
+    assert "Window" not in executed_plan(tagged)
+    low = turns.withColumn("low_satisfaction", F.lit(True))
+    assert "Window" not in executed_plan(tag_issues(low, lambda p: {"issues": []}, policy=QUICK))
+
+
+def test_stored_turns_are_read_without_a_shuffle(spark, tmp_path):
+    rows = [("D", c, t, "SYSTEM" if t % 3 else "USER", f"{c}/{t}", False) for c in range(40) for t in range(5)]
+    rows += [("D", 99, t, "SYSTEM", f"x{t}", False) for t in (1, 150_000, 250_000)] + [("D", None, 1, "USER", "n", False)]
+    df = spark.createDataFrame(rows, TURNS)
+    path = write_turns(df, str(tmp_path / "turns"), buckets=5)
+    stored = read_table(spark, path)
+    got = add_last_system_text(stored)
+    want = add_last_system_text(df)
+    assert sorted(map(str, got.drop("turn_block").collect())) == sorted(map(str, want.collect()))
+    short = write_turns(df.filter("conv_id < 40"), str(tmp_path / "short"), buckets=5)
+    assert "Exchange" not in executed_plan(add_last_system_text(read_table(spark, short)))
+    # Another session finds the layout at the path.
+    spark.sql("DROP TABLE " + _table_name(short))
+    again = read_table(spark, short)
+    assert "Exchange" not in executed_plan(add_last_system_text(again)) and again.count() == 200
+    assert write_turns(df.limit(3), short, buckets=2) == short and read_table(spark, short).count() == 3

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnlens.sources.replies import INVALID_REPLY, append_cache, read_cache, usable
+from turnlens.sources.replies import INVALID_REPLY, append_cache, lookup, next_number, stored_replies, usable
 from turnlens.sources.tables import pin, scratch_path
 
 #: Takes a prompt (or the task's raw inputs), returns the reply as JSON text or as a dict.
@@ -148,9 +148,9 @@ def fetch_replies(
     path = cache_path or scratch_path(spark, "replies")
     known, seq = distinct_requests(requests), 1
     if cache_path:
-        before = read_cache(spark, path).filter((F.col("task") == task) & (F.col("model") == model))
-        seq = (before.agg(F.max("seq")).first()[0] or 0) + 1
-        known = known.join(usable(before).select("request_key", "response_json"), "request_key", "left")
+        seq = next_number(spark, path)
+        before = lookup(known, stored_replies(spark, path, task, model))
+        known = known.join(before.select("request_key", "response_json"), "request_key", "left")
     else:
         known = known.withColumn("response_json", F.lit(None).cast("string"))
     if cache_path or policy.commit_batches > 1:
@@ -165,7 +165,7 @@ def fetch_replies(
         answered = call_model(asked, fn, policy, valid).withColumns(
             {"task": F.lit(task), "model": F.lit(model), "seq": F.lit(seq).cast("long")}
         )
-        written = append_cache(answered, path)
+        written = append_cache(answered, path, seq)
         if policy.on_error == "fail":
             failed = written.filter(F.col("error").isNotNull()).agg(F.count("error"), F.min("error")).first()
             if failed[0]:

@@ -10,15 +10,26 @@ from pyspark.sql import functions as F
 
 from turnlens.functions.text import transcript_line
 from turnlens.schemas import CONV, require_columns
-from turnlens.sources.tables import broadcast_if_small, pin
+from turnlens.sources.tables import broadcast_if_small, pin, write_bucketed
 
 #: Turns per window partition; longer conversations are split and the value carried over.
 CHUNK_TURNS = 100_000
 
+#: Column of stored turn tables: the chunk of a turn. With the conversation it is their layout.
+TURN_BLOCK = "turn_block"
+
 #: Types of the columns whose hash spreads rows without a group.
 SPREAD_BY = ("string", "long", "integer")
 
 
+def chunk_of(df: DataFrame, group: list[str], order: str, chunk: int = CHUNK_TURNS) -> Column:
+    """Number of the chunk of a row; rows without a group, whose value is not looked at, are spread."""
+    grouped = reduce(and_, [F.col(c).isNotNull() for c in group])
+    names = [c for c in df.columns if df.schema[c].dataType.typeName() in SPREAD_BY]
+    scattered = F.pmod(F.xxhash64(*names), F.lit(4096))
+    return F.when(grouped, F.floor(F.col(order) / chunk)).otherwise(scattered)
+
+
 def forward_fill(
     df: DataFrame, value: Column, out: str, group: list[str], order: str, chunk: int = CHUNK_TURNS
 ) -> DataFrame:
@@ -30,10 +41,10 @@ def forward_fill(
     ``group`` belong to no group: they are kept, unfilled.
     """
     grouped = reduce(and_, [F.col(c).isNotNull() for c in group])
-    # Rows without a group are spread over all tasks; their value is not looked at.
-    scattered = F.pmod(F.xxhash64(*[c for c in df.columns if df.schema[c].dataType.typeName() in SPREAD_BY]), F.lit(4096))
     member_value = F.when(grouped, value)
-    keyed = df.withColumn("_chunk", F.when(grouped, F.floor(F.col(order) / chunk)).otherwise(scattered))
+    # A stored turn table is laid out by its chunks; then the window moves nothing.
+    stored = chunk == CHUNK_TURNS and TURN_BLOCK in df.columns
+    keyed = df.withColumn("_chunk", F.col(TURN_BLOCK) if stored else chunk_of(df, group, order, chunk))
     in_chunk = Window.partitionBy(*group, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     filled = keyed.withColumn(out, F.last(member_value, ignorenulls=True).over(in_chunk))
     # Groups that leave the first chunk are looked for first: the filter reaches the scan, finds
@@ -68,10 +79,26 @@ def add_last_system_text(turns: DataFrame, chunk: int = CHUNK_TURNS) -> DataFram
     return forward_fill(base, system_text, "last_system_text", CONV, "turn_id", chunk)
 
 
+def write_turns(turns: DataFrame, path: str, buckets: int | None = None) -> str:
+    """A turn table laid out by conversation and chunk of turns, so that stages read it without a shuffle.
+
+    A conversation with very many turns is spread over the buckets by its chunks.
+    """
+    blocks = turns.drop(TURN_BLOCK)
+    return write_bucketed(
+        blocks.withColumn(TURN_BLOCK, chunk_of(blocks, CONV, "turn_id")), path, [*CONV, TURN_BLOCK], buckets
+    )
+
+
 def ensure_last_system_text(turns: DataFrame) -> DataFrame:
     return turns if "last_system_text" in turns.columns else add_last_system_text(turns)
 
 
+def written_context(turns: DataFrame) -> DataFrame:
+    """Turns with their last system text as a table: both the model calls and the join back read it."""
+    return pin(add_last_system_text(turns), "context")
+
+
 def first_turns(turns: DataFrame, n: int) -> DataFrame:
     """The first ``n`` turns of every conversation, numbered in ``rank``.
 

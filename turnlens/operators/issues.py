@@ -11,7 +11,7 @@ from turnlens.functions.replies import issue_labels, issue_reason, issue_severit
 from turnlens.functions.text import scored_snippet, snippet
 from turnlens.functions.values import empty_strings
 from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, inputs_prompt, takes_inputs
-from turnlens.operators.context import ensure_last_system_text
+from turnlens.operators.context import ensure_last_system_text, written_context
 from turnlens.schemas import TAGGING_COLUMNS, UNTAGGED_SEVERITY, ensure_column, require_columns
 
 TASK = "issue_tagging"
@@ -75,7 +75,12 @@ def tag_issues(
     only and give a failed call a fallback tag. ``fn`` takes a ready prompt, or with
     ``raw_inputs`` the snippet. To tag a sample, take it first (``sample_conversations``).
     """
-    requests = tagging_requests(turns.drop("issues", "severity", "reason"), model, strict)
+    bare = turns.drop("issues", "severity", "reason")
+    if not strict:
+        require_columns(bare, TAGGING_COLUMNS, "turns")
+    # A stage table has its context; for any other it is computed once and written.
+    context = bare if "last_system_text" in bare.columns else written_context(bare)
+    requests = tagging_requests(context, model, strict)
     if raw_inputs:
         asked_for = F.when(F.col("request_key").isNotNull(), inputs_prompt(F.col("snippet")))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", asked_for)

@@ -10,7 +10,7 @@ from turnlens.functions.prompts import satisfaction_prompt
 from turnlens.functions.replies import coerce_score, is_low_score, parse_reply, score_reason
 from turnlens.functions.values import to_numeric
 from turnlens.operators.annotate import CallPolicy, ModelFn, annotate, inputs_prompt, takes_inputs
-from turnlens.operators.context import add_last_system_text
+from turnlens.operators.context import add_last_system_text, written_context
 from turnlens.schemas import LOW_SCORE, SCORING_COLUMNS, ensure_column, require_columns
 
 TASK = "satisfaction_score"
@@ -31,7 +31,12 @@ def is_scorable() -> Column:
 def scoring_requests(turns: DataFrame, model: str, strict: bool = False) -> DataFrame:
     """Turns with ``last_system_text``, and key and prompt on the scorable ones."""
     require_columns(turns, SCORING_COLUMNS, "turns")
-    context = ensure_column(add_last_system_text(turns), "is_overall", F.lit(False))
+    return with_requests(add_last_system_text(turns), model, strict)
+
+
+def with_requests(context: DataFrame, model: str, strict: bool = False) -> DataFrame:
+    """Key and prompt on the scorable turns, which have their last system text."""
+    context = ensure_column(context, "is_overall", F.lit(False))
     user, system = F.col("text"), F.col("last_system_text")
     key = turn_key(model, user, system) if strict else request_key(TASK, model, user_text=user, last_system_text=system)
     return context.withColumns(
@@ -73,7 +78,8 @@ def score_satisfaction(
     reason_name = "llm_satisfaction_reason" if strict else "satisfaction_reason"
     flag_name = "low_satisfaction_llm" if strict else "low_satisfaction"
     outputs = [score_name, reason_name, "satisfaction_source", flag_name]
-    requests = scoring_requests(turns.drop(*outputs), model, strict)
+    require_columns(turns, SCORING_COLUMNS, "turns")
+    requests = with_requests(written_context(turns.drop(*outputs)), model, strict)
     if raw_inputs:
         inputs = inputs_prompt(F.col("text"), F.col("last_system_text"))
         fn, requests = takes_inputs(fn), requests.withColumn("prompt", F.when(is_scorable(), inputs))

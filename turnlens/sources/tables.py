@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import functools
+import hashlib
+import json
 import tempfile
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+#: Folder inside a bucketed table that holds its layout.
+LAYOUT_FOLDER = "_layout"
+
 #: Tables up to this many rows may be broadcast (topic-sized tables).
 SMALL_TABLE_ROWS = 10_000
 
@@ -41,7 +47,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
-    """Overwrite a Parquet table (parent folders are created)."""
+    """Overwrite a Parquet table (parent folders are created); a bucket layout of an earlier one goes."""
+    if path_exists(df.sparkSession, f"{path.rstrip('/')}/{LAYOUT_FOLDER}"):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {_table_name(path)}")
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -50,7 +58,21 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A Parquet table, with its bucket layout if it was written with one."""
+    noted = f"{path.rstrip('/')}/{LAYOUT_FOLDER}"
+    if not table_exists(spark, noted):
+        return spark.read.parquet(path)
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        layout = json.loads(spark.read.text(noted).first()[0])
+        columns = T.StructType.fromJson(layout["schema"]).toDDL()
+        keys = ", ".join(f"`{k}`" for k in layout["keys"])
+        place = path.replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) INTO {layout['buckets']} BUCKETS LOCATION '{place}'"
+        )
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
 def pin(df: DataFrame, name: str) -> DataFrame:
@@ -79,6 +101,40 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _filesystem(spark, path).exists(spark._jvm.org.apache.hadoop.fs.Path(path))
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders right below ``path``."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = _filesystem(spark, path).listStatus(hadoop_path)
+    return [f"{path.rstrip('/')}/{x.getPath().getName()}" for x in found if x.isDirectory()]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    _filesystem(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int | None = None) -> str:
+    """Overwrite a Parquet table laid out by ``keys``, which :func:`read_table` recognises.
+
+    Rows move once, here. Windows and aggregates on the keys, also in later sessions, then read
+    their bucket and move nothing. The layout is noted last, so a half-written table has none.
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if path_exists(spark, path):
+        delete_path(spark, path)
+    name = _table_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writer = df.repartition(n, *keys).write.bucketBy(n, *keys).format("parquet")
+    writer.mode("overwrite").option("path", path).saveAsTable(name)
+    layout = json.dumps({"keys": keys, "buckets": n, "schema": spark.table(name).schema.jsonValue()})
+    spark.createDataFrame([(layout,)], "value string").coalesce(1).write.text(f"{path}/{LAYOUT_FOLDER}")
+    return path
+
+
+def _table_name(path: str) -> str:
+    return "bucketed_" + hashlib.md5(path.rstrip("/").encode()).hexdigest()
+
+
 def materialize(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], skip_existing: bool = True
 ) -> DataFrame:
