@@ -16,9 +16,10 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def with_row(docs: DataFrame, *columns: str) -> DataFrame:
-    """Only the named columns, and a number that tells repeated rows apart."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), *columns)
+def with_row(docs: DataFrame, *columns: str, row_col: str | None = None) -> DataFrame:
+    """Only the named columns, and a number that tells repeated rows apart: that of ``row_col``, or a new one."""
+    row = F.monotonically_increasing_id() if row_col is None else F.col(row_col).cast("long")
+    return docs.select(row.alias("row"), *columns)
 
 
 class Scratch:

@@ -140,7 +140,11 @@ def aligned(pairs: DataFrame, content: DataFrame, threshold: float) -> DataFrame
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", omh: OrderMinHash = OrderMinHash()
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    omh: OrderMinHash = OrderMinHash(),
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per input row: row, id, class_id, class_size, kept.
 
@@ -148,9 +152,10 @@ def near_duplicates(
     smallest id of a class; the row with it (of repeated rows one) is kept. A null id comes
     after all others. Texts without any word, null and empty among them, are in a class only
     with identical texts. Very long texts are read whole. An empty table gives an empty result;
-    other columns are not read. Rows are told apart by ``row``, so repeated rows stay apart.
+    other columns are not read. Rows are told apart by ``row``, so repeated rows stay apart; it is
+    a new number, or ``row_col``, whole numbers that differ from row to row.
     """
-    source = with_row(docs, F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    source = with_row(docs, F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), row_col=row_col)
     made = pin(sketches(source.select("row", "text", "id"), omh), "sketches")
     return classes(made, made.select("row", "digest", "id"), omh).select(
         "row", F.col("id").alias(id_col), "class_id", "class_size", "kept"
