@@ -22,31 +22,65 @@ from turnlens.sources.tables import pin
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Number of a row inside a stage; ids may be null or shared.
+ROW = "pipeline_row"
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` as a table with a number for each row, so that decisions meet the row they were made for."""
+    return pin(docs.withColumn(ROW, F.monotonically_increasing_id()), f"pipeline-{name}-rows")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject.
+
+    Each row is scored by its own text, whatever its id; null and empty texts have a score too, and
+    repeated rows the same. Very long texts are read whole. Without any document none is returned,
+    other columns are kept as they are.
+    """
     scored = score_quality(docs, table(spark, sf_dir, "labels"), ~in_fold("doc_id", 5, 0))
     return scored.filter(F.col("quality_score") >= Voting().threshold).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier document holds; none is left out."""
+    """Documents without the lines that an earlier document holds; none is left out.
+
+    Null texts stay null, empty ones empty; a null id counts as the last; of repeated rows the first
+    keeps its lines. Very long texts are read whole, other columns are kept as they are.
+    """
     return dedup_lines(docs).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class; repeated rows of the kept one count as one."""
-    gone = near_duplicates(docs).filter(~F.col("kept") & (F.col("class_id") != F.col("doc_id"))).select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(docs.columns)
+    """One row of each near-duplicate class: that with the smallest id, of repeated rows one.
+
+    Rows with a null id are in classes like others and stay only if their class has no other id.
+    Null and empty texts are equal to each other. Very long texts are read whole, other columns are
+    kept as they are.
+    """
+    rows = numbered(docs, "near_dedup")
+    kept = near_duplicates(rows, row_col=ROW).filter("kept").select(F.col("row").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item was found."""
-    leaks = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(docs.columns)
+    """Rows in which no benchmark item was found.
+
+    Each row is searched and kept by its own text, whether its id is null, shared or repeated.
+    Null and empty texts hold no item and stay. Very long texts are searched whole, other columns
+    are kept as they are.
+    """
+    rows = numbered(docs, "decontaminate")
+    leaks = contaminated(rows, table(spark, sf_dir, "benchmark"), id_col=ROW).select(ROW).distinct()
+    return rows.join(leaks, ROW, "left_anti").select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept documents as pieces of sequences of at most 2048 tokens."""
+    """The kept documents as pieces of sequences of at most 2048 tokens.
+
+    Null and empty texts are one end token each, repeated rows are packed once each, and very long
+    texts are cut over many sequences; other columns are not read.
+    """
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
