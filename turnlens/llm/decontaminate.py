@@ -25,11 +25,13 @@ from turnlens.llm.latent import idf_of, random_basis, right_singular, sum_arrays
 from turnlens.sources.tables import pin
 
 COLUMNS = 1 << 14
+#: Words of an item are looked up by so many low values of their hashes before they are compared.
+SLOTS = 1 << 12
 
 
 @dataclass(frozen=True)
 class Retrieval:
-    """``item_block`` bounds how many benchmark items are held at once; more come in turns."""
+    """``item_block`` and ``item_bytes`` bound the benchmark items that are held at once; more come in turns."""
 
     rank: int = 96
     extra: int = 8
@@ -43,6 +45,7 @@ class Retrieval:
     growth: float = 1.5
     shortest: int = 5
     item_block: int = 2000
+    item_bytes: int = 1 << 23
 
 
 RESULT = "id long, item_id long, start_word long, n_words long, common double, answer boolean, cosine double"
@@ -75,6 +78,11 @@ def _each(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[np.nda
             yield np.frombuffer(value.as_buffer(), np.uint32)
 
 
+def few(tokens: DataFrame) -> DataFrame:
+    """The words in as many partitions as tasks run at a time, twice over: each of them gives one sum."""
+    return tokens.select("tokens").coalesce(2 * tokens.sparkSession.sparkContext.defaultParallelism)
+
+
 def frequencies(tokens: DataFrame) -> tuple[np.ndarray, float]:
     """In how many texts each column occurs, and how many texts there are."""
 
@@ -87,7 +95,7 @@ def frequencies(tokens: DataFrame) -> tuple[np.ndarray, float]:
             total += seen
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
-    total = sum_arrays(tokens.select("tokens").mapInArrow(count, "part binary"), COLUMNS + 1)
+    total = sum_arrays(few(tokens).mapInArrow(count, "part binary"), COLUMNS + 1)
     return total[:COLUMNS], total[COLUMNS]
 
 
@@ -124,7 +132,7 @@ def fit_axes(tokens: DataFrame, weight: np.ndarray, how: Retrieval) -> np.ndarra
                 product[axis] += np.bincount(columns, np.repeat(passages[:, axis], how.passage), COLUMNS + 1)
         yield pa.RecordBatch.from_arrays([pa.array([product[:, :COLUMNS].T.tobytes()], pa.binary())], ["part"])
 
-    total = sum_arrays(tokens.select("tokens").mapInArrow(sketch, "part binary"), basis.size).reshape(basis.shape)
+    total = sum_arrays(few(tokens).mapInArrow(sketch, "part binary"), basis.size).reshape(basis.shape)
     axes, singular = right_singular(weight[:, None] * total, basis, how.rank)
     return (weight[:, None] * axes / np.maximum(singular, 1e-12)).astype(np.float32)
 
@@ -163,23 +171,57 @@ class Items:
         for i, tokens in enumerate(self.tokens):
             step = round(math.log(len(tokens)) / math.log(how.growth))
             classes.setdefault(max(1, round(how.growth**step)), []).append(i)
-        self.classes = [(length, np.array(own), self.vectors(own)) for length, own in sorted(classes.items())]
+        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
+        self.classes = [
+            (length, np.array(own), self.vectors(own), self.slots(own)) for length, own in sorted(classes.items())
+        ]
 
     def vectors(self, own: list[int]) -> np.ndarray:
         made = np.array([self.axes[columns_of(self.tokens[i])].sum(axis=0) for i in own], np.float32)
         return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-12)
 
+    def slots(self, own: list[int]) -> np.ndarray:
+        """item x slot: whether one of the item's words falls there."""
+        made = np.zeros((len(own), SLOTS), bool)
+        for row, i in enumerate(own):
+            made[row, self.tokens[i] % SLOTS] = True
+        return made
+
+    def enough(self, items, present, which, slots, firsts, begins, lengths, at_once: int = 1 << 20) -> np.ndarray:
+        """Whether as many words near each window may be words of its item as a match needs at least.
+
+        Slots that several words share only let more through; the rest is left to ``verified``.
+        """
+        out = np.zeros(len(items), bool)
+        if not len(items):
+            return out
+        sizes = self.sizes[items]
+        reach = np.maximum(2, sizes // 2)
+        low = firsts + np.maximum(0, begins - reach)
+        high = np.minimum(firsts + lengths, firsts + begins + sizes + reach)
+        width = int((high - low).max())
+        step = max(1, at_once // max(1, width))
+        for start in range(0, len(items), step):
+            part = slice(start, start + step)
+            places = low[part, None] + np.arange(width)
+            inside = places < high[part, None]
+            hits = present[which[part, None], slots[np.minimum(places, len(slots) - 1)]] & inside
+            out[part] = hits.sum(axis=1) >= self.how.paraphrased * sizes[part]
+        return out
+
     def matches(self, texts: list[np.ndarray]) -> Iterator[tuple]:
         """(text number, item_id, start_word, n_words, common, answer, cosine): the best place of
         each item in each of some texts. Windows are laid over the texts one after the other."""
-        ends = np.cumsum([len(t) for t in texts])
+        lengths = np.array([len(t) for t in texts], np.int64)
+        ends = np.cumsum(lengths)
         joined = np.concatenate(texts) if texts else np.empty(0, np.uint32)
         if not len(joined):
             return
         sums = np.zeros((len(joined) + 1, self.axes.shape[1]), np.float32)
         np.cumsum(self.axes[columns_of(joined)], axis=0, out=sums[1:])
+        slots = (joined % SLOTS).astype(np.int32)
         best: dict[tuple[int, int], tuple] = {}
-        for length, own, vectors in self.classes:
+        for length, own, vectors, present in self.classes:
             size = min(length, len(joined))
             starts = np.append(np.arange(0, len(joined) - size, max(1, length // self.how.step)), len(joined) - size)
             windows = sums[starts + size] - sums[starts]
@@ -187,9 +229,10 @@ class Items:
             cosines = windows @ vectors.T
             at, which = np.nonzero(cosines >= self.how.cosine * np.maximum(scale, 1e-12)[:, None])
             found_in = np.searchsorted(ends, starts[at] + size // 2, side="right")
-            for a, w, number in zip(at.tolist(), which.tolist(), found_in.tolist()):
-                first = int(ends[number]) - len(texts[number])
-                begin = max(0, int(starts[a]) - first)
+            firsts = ends[found_in] - lengths[found_in]
+            begins = np.maximum(0, starts[at] - firsts)
+            enough = self.enough(own[which], present, which, slots, firsts, begins, lengths[found_in])
+            for a, w, number, begin in zip(at[enough].tolist(), which[enough].tolist(), found_in[enough].tolist(), begins[enough].tolist()):
                 found = self.verified(int(own[w]), texts[number], begin, float(cosines[a, w] / scale[a]))
                 place = (number, int(own[w]))
                 if found and (place not in best or found[3] > best[place][3]):
@@ -231,7 +274,7 @@ def contaminated(
 
     Every window of every text is searched, with the words of very long texts too. Null and
     empty texts and items hold nothing. Items of fewer than five words must be there whole.
-    Repeated rows give repeated results; equal items are found each. Empty tables give an empty
+    Ids are whole numbers, or texts of such. Repeated rows give repeated results; equal items are found each. Empty tables give an empty
     result. Columns other than those named are not read. Of several places of an item in one
     text the one with the most common words is given, the first of equal ones.
     """
@@ -240,11 +283,12 @@ def contaminated(
     counted, rows = frequencies(tokens)
     axes = spark.sparkContext.broadcast(fit_axes(tokens, idf_of(counted, rows) ** how.idf_power, how))
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), text_or_empty(item_text_col).alias("text"))
-    turns = max(1, -(-items.count() // how.item_block))
+    count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    turns = max(1, -(-count // how.item_block), -(-size // how.item_bytes))
     turn_of = F.pmod(F.xxhash64("item", "text"), F.lit(turns))
     found = None
     for turn in range(turns):
-        rows_now = [tuple(r) for r in items.filter(turn_of == turn).collect()]  # about ``item_block`` items
+        rows_now = [tuple(r) for r in items.filter(turn_of == turn).collect()]  # about as much as the bounds allow
         part = tokens.mapInArrow(_search(spark.sparkContext.broadcast(rows_now), axes, how), RESULT)
         found = part if found is None else found.unionByName(part)
     return found.withColumnRenamed("id", id_col).withColumnRenamed("item_id", item_col)
