@@ -22,7 +22,7 @@ TEXTS = [
 
 
 def test_cached_chunks_equal_the_tokenizer(tokenizer):
-    tokens = WordTokens(PATH, 1, cache_chunks=5)
+    tokens = WordTokens(PATH, 1, cache_bytes=5)
     texts = TEXTS * 2 + [" ".join(TEXTS)]
     want = [tokenizer.encode(text, add_special_tokens=False).ids + [1] for text in texts]
     want = [b"".join(i.to_bytes(4, "little") for i in ids) for ids in want]

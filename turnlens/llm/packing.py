@@ -9,6 +9,7 @@ merged across partitions in a tree, a bounded number of windows at a time, until
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,10 @@ ODD_SPACE = "\x1c\x1d\x1e\x1f"
 MARKS = ".,;:!?"
 
 
+#: Memory of one cached chunk besides its characters: two objects and their place in the table.
+ENTRY_BYTES = 250
+
+
 class WordTokens:
     """Token ids of texts, as bytes, with a bounded cache per white-space-separated chunk.
 
@@ -45,14 +50,14 @@ class WordTokens:
     """
 
     def __init__(
-        self, path: str, end_id: int, cache_chunks: int = 800_000, chunk_chars: int = 40, word_end: str = "</w>"
+        self, path: str, end_id: int, cache_bytes: int = 1 << 26, chunk_chars: int = 40, word_end: str = "</w>"
     ):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end_id.to_bytes(WIDTH, "little")
         self.cache: dict[str, bytes] = {}
-        self.limit, self.chunk_chars = cache_chunks, chunk_chars
+        self.limit, self.chunk_chars, self.held = cache_bytes, chunk_chars, 0
         self.marks = {mark: self.ids(mark) for mark in MARKS}
 
         vocabulary = self.tokenizer.get_vocab()
@@ -85,18 +90,21 @@ class WordTokens:
 
     def learn(self, chunks: set[str]) -> None:
         parts = {c: self.split(c) for c in chunks}
+        before = len(self.cache)
         self.learn_words(sorted({w for w, _ in parts.values() if w and w not in self.cache}))
         for chunk, (word, mark) in parts.items():
             if not word:
                 self.cache[chunk] = self.ids(chunk)
             elif chunk not in self.cache:
                 self.cache[chunk] = self.cache[word] + (self.marks[mark] if mark else b"")
+        self.held += (len(self.cache) - before) * ENTRY_BYTES + sum(map(len, chunks))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id; new chunks of all texts are learned together."""
         split = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
-        if len(self.cache) > self.limit:
+        if self.held > self.limit:
             self.cache.clear()
+            self.held = 0
         new = set().union(*filter(None, split)).difference(self.cache)
         self.learn(new)
         ids = self.cache.__getitem__
@@ -110,6 +118,24 @@ class WordTokens:
         return made
 
 
+@functools.lru_cache(maxsize=1)
+def word_tokens(path: str, end_id: int) -> WordTokens:
+    """One for all tasks that a Python worker runs, with what it has learned."""
+    return WordTokens(path, end_id)
+
+
+def text_groups(texts: list[str], rows: int, chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """(start, end) of neighbouring texts to encode together: bounded in number and in characters."""
+    start = size = 0
+    for at, text in enumerate(texts):
+        if at > start and (at - start >= rows or size + len(text) > chars):
+            yield start, at
+            start, size = at, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
+
+
 class Packer:
     """Open windows of one partition or one merge group."""
 
@@ -193,22 +219,22 @@ def pack(
     ``ids`` holds unsigned little-endian 32-bit ids. A document is its ids and then ``end_id``,
     so a null or empty text is one id; very long texts are cut over many windows. Pieces of a
     sequence lie gapless from offset 0. A sequence is padded to ``length`` unless its own length
-    is a power of two; see ``padded_length``. Repeated rows are packed once each. An empty table
+    is a power of two; see ``padded_length``. Ids are whole numbers, or texts of such. Of windows
+    that a text fills equally well, the one opened first or moved to its place is taken. Repeated rows are packed once each. An empty table
     gives an empty result; other columns are not read.
     """
 
     def fill(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokens = WordTokens(tokenizer_path, end_id)
+        tokens = word_tokens(tokenizer_path, end_id)
         packer = Packer(length, windows, 0, TaskContext.get().partitionId())
 
         def rows() -> Iterator[tuple]:
             for batch in arrow:
-                for start in range(0, len(batch), together):
-                    part = batch.slice(start, together)
-                    coded = tokens.encode(part.column(1).to_pylist())
-                    for ident, ids in zip(part.column(0).to_pylist(), coded):
+                idents, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                for start, end in text_groups(texts, together):
+                    for ident, ids in zip(idents[start:end], tokens.encode(texts[start:end])):
                         yield from packer.add(ident, 0, ids, len(ids) // WIDTH)
             yield from packer.finish()
 
