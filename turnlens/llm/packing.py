@@ -50,7 +50,7 @@ class WordTokens:
     """
 
     def __init__(
-        self, path: str, end_id: int, cache_bytes: int = 1 << 26, chunk_chars: int = 40, word_end: str = "</w>"
+        self, path: str, end_id: int, cache_bytes: int = 1 << 28, chunk_chars: int = 40, word_end: str = "</w>"
     ):
         from tokenizers import Tokenizer
 
@@ -124,7 +124,7 @@ def word_tokens(path: str, end_id: int) -> WordTokens:
     return WordTokens(path, end_id)
 
 
-def text_groups(texts: list[str], rows: int, chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def text_groups(texts: list[str], rows: int, chars: int = 1 << 21) -> Iterator[tuple[int, int]]:
     """(start, end) of neighbouring texts to encode together: bounded in number and in characters."""
     start = size = 0
     for at, text in enumerate(texts):
@@ -212,7 +212,7 @@ def pack(
     windows: int = 64,
     end_id: int = 1,
     merge: int = 32,
-    together: int = 200,
+    together: int = 500,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids, doc_tokens, sequence_id, offset.
 
