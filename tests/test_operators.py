@@ -1,6 +1,8 @@
 """Context, sampling, topics, profiles, vectors, dashboard, staged run."""
 
+import hashlib
 import json
+import random
 import statistics
 
 import numpy as np
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from turnlens.operators import dashboard, profile, vectors
 from turnlens.operators.annotate import CallPolicy
 from turnlens.operators.context import add_last_system_text, first_turns, forward_fill, transcripts
+from turnlens.operators.ranks import brackets, quantile_points, values_at_ranks
 from turnlens.operators.repairs import describe_topics, rank_topics, repair_topics
 from turnlens.operators.sampling import sample_conversations, sample_rows
 from turnlens.operators.topics import attach_topics, cluster_topics, label_topics, summarize_topics
@@ -401,3 +404,64 @@ def test_repairs_without_label_get_a_default(spark):
     summary = spark.createDataFrame([(7, 1, ["A"], ["t"], "r")], "topic_id int, n_examples long, top_issues array<string>, example_texts array<string>, example_reason string")
     row = repair_topics(summary, None, lambda p: {"root_cause": " x "}, policy=QUICK).first()
     assert (row["topic_label"], row["root_cause"], row["guardrail_rules"]) == ("Topic 7", "x", [])
+
+
+def sorted_values(spark, values, parts=3):
+    return spark.createDataFrame([(float(v),) for v in values], "v double").repartition(parts)
+
+
+RANK_VALUES = {
+    "one": [5.0], "two": [2.0, 1.0], "equal": [1.0] * 500, "spread": [float(i * 7919 % 3001) for i in range(3000)],
+    "few": [float(i * 31 % 6) for i in range(2000)], "odd": [float("inf"), float("-inf"), 0.0, -0.5, 1e300],
+    "tied": [0.0 if i % 2 else i / 7 for i in range(1500)],
+}
+
+
+@pytest.mark.parametrize("name, most", [*((n, 50_000) for n in RANK_VALUES), ("spread", 30), ("tied", 30), ("odd", 3)])
+def test_ranks_against_sorting(spark, name, most):
+    values = RANK_VALUES[name]
+    n, ordered = len(values), sorted(values)
+    ranks = sorted({0, n // 4, n // 2, n - 1})
+    fractions = [(r + 0.5) / n for r in ranks]
+    df = sorted_values(spark, values)
+    around = df.agg(quantile_points(fractions).alias("q")).first()["q"]
+    got = values_at_ranks(df, n, ranks, brackets(around, fractions, n), most)
+    assert got == {r: (ordered[r], sum(x < ordered[r] for x in values)) for r in ranks}
+
+
+def test_ranks_outside_their_brackets_are_found_all_the_same(spark):
+    df = sorted_values(spark, range(1000))
+    got = values_at_ranks(df, 1000, [10, 500, 990], [(400.0, 600.0), (700.0, 710.0)])
+    assert {r: x.value for r, x in got.items()} == {10: 10.0, 500: 500.0, 990: 990.0}
+
+
+def test_only_values_inside_the_brackets_are_moved(spark):
+    df = spark.range(200_000).select(F.col("id").cast("double").alias("v"))
+    around = df.agg(quantile_points([0.5]).alias("q")).first()["q"]
+    (bracket,) = brackets(around, [0.5], 200_000)
+    assert bracket[1] - bracket[0] < 200
+
+
+def test_sample_of_rows_with_one_hot_key(spark):
+    rows = [("D", 1, 1, "USER", f"same {i}") for i in range(300)] + [("D", 2, i, "USER", f"t{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, TURNS).repartition(4)
+    order = sorted(rows, key=lambda r: (hashlib.md5(f"1|{r[0]}|{r[1]}|{r[2]}".encode()).hexdigest(), r[:3]))
+    for n in (0, 1, 100, 301, 599, 600, 900):
+        got = sorted((r["conv_id"], r["turn_id"]) for r in sample_rows(df, n, 1, KEY).collect())
+        assert got == sorted(r[1:3] for r in order[:n])
+
+
+def test_topic_summary_uses_hash_aggregates(spark):
+    rows = [("D", c, t, c % 3, ["LOOP", "TONE_ISSUE"][: 1 + t % 2], f"x{c}", "why" if t == 2 else "") for c in range(30) for t in (1, 2)]
+    df = spark.createDataFrame(rows, "dataset string, conv_id long, turn_id long, topic_id int, issues array<string>, text string, reason string")
+    plan = executed_plan(summarize_topics(df))
+    assert "SortAggregate" not in plan
+    first = summarize_topics(df).orderBy("topic_id").first()
+    assert (first["n_examples"], first["top_issues"], first["example_reason"]) == (20, ["LOOP", "TONE_ISSUE"], "why")
+
+
+def test_a_turn_with_two_topics_gets_the_smallest(spark):
+    turns = spark.createDataFrame([("D", 1, 1, "USER", "x")], TURNS)
+    rows = spark.createDataFrame([("D", 1, 1, 7), ("D", 1, 1, 3)], "dataset string, conv_id long, turn_id long, topic_id int")
+    labels = spark.createDataFrame([(7, "seven"), (3, "three")], "topic_id int, topic_label string")
+    assert [r["topic_label"] for r in attach_topics(turns, rows, labels).collect()] == ["three"]

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnlens.functions.values import has_issues
+from turnlens.operators.ranks import brackets, quantile_points, values_at_ranks
 from turnlens.schemas import CONV, KEY, UNCLUSTERED_ID, first_existing
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -59,61 +57,34 @@ def column_mean(df: DataFrame, column: str) -> DataFrame:
 def describe(df: DataFrame, value: Column, buckets: int = 1000) -> DataFrame:
     """Count, mean, standard deviation, min, exact quartiles and max of a number column.
 
-    The quartiles interpolate between neighbouring ranks. Equal values are counted
-    first; approximate quantiles then cut the value range into buckets, so only the
-    few buckets that hold a wanted rank are ordered. The cut points decide how even
-    the buckets are, never the result.
+    The quartiles interpolate between neighbouring ranks. One pass takes the figures and brackets
+    for the quartiles, a second one counts below the brackets and moves only the values inside. A bracket with more
+    than 50 times ``buckets`` different values is narrowed again; that decides no result.
     """
     values = df.select(value.cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    steps = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     stats = values.agg(
         F.count("*").alias("count"),
         F.avg("v").alias("mean"),
         F.stddev_samp("v").alias("std"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
-        F.expr(f"percentile_approx(v, array({steps}), {10 * buckets})").alias("cuts"),
+        quantile_points(list(QUARTILES)).alias("around"),
     ).first()
     spark, n = df.sparkSession, stats["count"]
     fields = "count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
     if n == 0:
         return spark.createDataFrame([(0,) + (None,) * 7], fields)
     wanted = sorted({rank for q in QUARTILES for rank in (int(q * (n - 1)), min(int(q * (n - 1)) + 1, n - 1))})
-    at = _values_at_ranks(values, sorted(set(stats["cuts"])), wanted)
+    at = values_at_ranks(values, n, wanted, brackets(stats["around"], list(QUARTILES), n), 50 * buckets)
     quartiles = []
     for q in QUARTILES:
         low = int(q * (n - 1))
         high = min(low + 1, n - 1)
-        quartiles.append(at[low] + (at[high] - at[low]) * (q * (n - 1) - low))
+        quartiles.append(at[low].value + (at[high].value - at[low].value) * (q * (n - 1) - low))
     row = (n, stats["mean"], stats["std"], stats["min"], *quartiles, stats["max"])
     return spark.createDataFrame([row], fields)
 
 
-def _values_at_ranks(values: DataFrame, cuts: list[float], ranks: list[int]) -> dict[int, float]:
-    """Value at each 0-based rank."""
-    counted = values.groupBy("v").agg(F.count("*").alias("n"))
-    splits = [-math.inf, *[c for c in cuts if math.isfinite(c)], math.inf]
-    if len(splits) < 3:
-        splits.insert(1, 0.0)
-    bucketed = Bucketizer(splits=splits, inputCol="v", outputCol="bucket").transform(counted)
-    # One row per bucket.
-    totals = sorted(bucketed.groupBy("bucket").agg(F.sum("n").alias("n")).collect())
-    start, offsets = 0, {}
-    for bucket, n in totals:
-        if any(start <= r < start + n for r in ranks):
-            offsets[bucket] = start
-        start += n
-    offset = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair])
-    in_bucket = Window.partitionBy("bucket").orderBy("v")
-    placed = bucketed.filter(F.col("bucket").isin(list(offsets))).withColumn(
-        "upto", F.try_element_at(offset, F.col("bucket")) + F.sum("n").over(in_bucket)
-    )
-    hits = placed.select("v", F.explode(F.array(*[F.lit(r) for r in ranks])).alias("rank"), "n", "upto").filter(
-        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
-    )
-    return {row["rank"]: row["v"] for row in hits.select("rank", "v").collect()}
-
-
 def null_profile(df: DataFrame) -> DataFrame:
     """Null count and null rate per column, in one pass."""
     aggregates = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]

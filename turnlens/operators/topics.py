@@ -40,12 +40,27 @@ def select_cluster_rows(tagged: DataFrame, strict: bool = False) -> DataFrame:
     return read.filter(is_clusterable(strict)).select(*KEY, "text", "issues", "severity", "reason")
 
 
+def in_turn_order(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``seq``, a number that grows with the turn key, as a table of its own.
+
+    One range shuffle orders them; then counts, first appearances and first texts need the number
+    only, which hash aggregates hold in place.
+    """
+    if "seq" in rows.columns:
+        return rows
+    wanted = rows.select("topic_id", *KEY, *[c for c in ("issues", "text", "reason") if c in rows.columns])
+    return pin(wanted.orderBy(*KEY).withColumn("seq", F.monotonically_increasing_id()), "turn-order")
+
+
 def rank_issues(rows: DataFrame, n: int) -> DataFrame:
     """Most frequent issues per topic, ties by first appearance in turn order."""
+    # Row number and place in the list as one number; a decimal has room for both.
+    place = F.col("seq").cast("decimal(20,0)") * F.lit(10**9).cast("decimal(10,0)") + F.col("pos")
     counted = (
-        rows.select("topic_id", *KEY, F.posexplode("issues").alias("pos", "issue"))
+        in_turn_order(rows)
+        .select("topic_id", "seq", F.posexplode("issues").alias("pos", "issue"))
         .groupBy("topic_id", "issue")
-        .agg(F.count("*").alias("n"), F.min(F.struct(*KEY, "pos")).alias("first_seen"))
+        .agg(F.count("*").alias("n"), F.min(place.cast("decimal(38,0)")).alias("first_seen"))
     )
     by_count = Window.partitionBy("topic_id").orderBy(F.desc("n"), "first_seen")
     ranked = counted.withColumn("rank", F.row_number().over(by_count)).filter(F.col("rank") <= n)
@@ -54,9 +69,10 @@ def rank_issues(rows: DataFrame, n: int) -> DataFrame:
 
 def first_examples(rows: DataFrame, n: int) -> DataFrame:
     """First texts per topic in turn order; groups are cut to ``n`` rows before the shuffle."""
-    in_order = Window.partitionBy("topic_id").orderBy(*KEY)
+    in_order = Window.partitionBy("topic_id").orderBy("seq")
     cut = (
-        rows.select("topic_id", *KEY, "text")
+        in_turn_order(rows)
+        .select("topic_id", "seq", "text")
         .withColumn("rank", F.row_number().over(in_order))
         .filter(F.col("rank") <= n)
     )
@@ -77,10 +93,13 @@ def summarize_topics(rows: DataFrame, n_issues: int = 3, n_examples: int = 3, st
     """
     reason = F.col("reason") if strict else F.lower("reason")
     given = (F.col("reason") != "") & (reason != "nan")
+    rows = in_turn_order(rows)
     sizes = rows.groupBy("topic_id").agg(
-        F.count("*").alias("n_examples"),
-        F.coalesce(F.min_by("reason", F.when(given, F.struct(*KEY))), F.lit("")).alias("example_reason"),
+        F.count("*").alias("n_examples"), F.min(F.when(given, F.col("seq"))).alias("seq")
     )
+    # One row for each topic looks up its reason.
+    sizes = sizes.join(rows.select("seq", F.col("reason").alias("example_reason")), "seq", "left")
+    sizes = sizes.withColumn("example_reason", F.coalesce("example_reason", F.lit("")))
     issues = F.coalesce("top_issues", empty_strings())
     return (
         sizes.join(rank_issues(rows, max(n_issues, 2)), "topic_id", "left")
@@ -118,7 +137,8 @@ def attach_topics(
     never on the topic id, where most rows would share one value. With ``candidates``,
     a condition that every clustered turn meets, the other turns are not shuffled.
     """
-    labelled = attach_labels(rows.select(*KEY, "topic_id").dropDuplicates(KEY), labels)
+    one_each = rows.groupBy(*KEY).agg(F.min("topic_id").alias("topic_id"))  # of several topics of a turn the smallest
+    labelled = attach_labels(one_each, labels)
     base = turns.drop("topic_id", "topic_label")
     if candidates is None:
         joined = base.join(labelled, KEY, "left")
