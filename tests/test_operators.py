@@ -1,8 +1,11 @@
 """Context, sampling, topics, profiles, vectors, dashboard, staged run."""
 
+import collections
 import hashlib
 import json
+import math
 import random
+import re
 import statistics
 
 import numpy as np
@@ -465,3 +468,18 @@ def test_a_turn_with_two_topics_gets_the_smallest(spark):
     rows = spark.createDataFrame([("D", 1, 1, 7), ("D", 1, 1, 3)], "dataset string, conv_id long, turn_id long, topic_id int")
     labels = spark.createDataFrame([(7, "seven"), (3, "three")], "topic_id int, topic_label string")
     assert [r["topic_label"] for r in attach_topics(turns, rows, labels).collect()] == ["three"]
+
+
+def test_tfidf_values_against_counting(spark):
+    from pyspark.ml.feature import HashingTF
+
+    texts = ["to be or not to be", "Be, as you are!", None, "", "question question question", "être ou ne pas être"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {r["id"]: r["embedding"] for r in vectors.embed_texts(rows, features=1 << 16).collect()}
+    index = HashingTF(numFeatures=1 << 16).indexOf
+    bags = [collections.Counter(re.findall(r"\w+", (t or "").lower())) for t in texts]
+    seen = collections.Counter(w for bag in bags for w in bag)
+    for i, bag in enumerate(bags):
+        want = {index(w): c * math.log((len(texts) + 1) / (seen[w] + 1)) for w, c in bag.items()}
+        norm = math.sqrt(sum(x * x for x in want.values())) or 1.0
+        assert {j: round(x, 5) for j, x in enumerate(got[i]) if x} == {j: round(x / norm, 5) for j, x in want.items()}

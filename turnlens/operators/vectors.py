@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,7 +14,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnlens.sources.tables import SMALL_TABLE_ROWS
+from turnlens.sources.tables import SMALL_TABLE_ROWS, pin
 
 #: Takes a list of texts, returns one vector per text (rows of a 2-d array).
 EmbedFn = Callable[[list], np.ndarray]
@@ -54,14 +53,13 @@ def embed_texts(
 
 def _tfidf(df: DataFrame, text: str, features: int) -> DataFrame:
     filled = df.withColumn("_text", F.coalesce(text, F.lit("")))
-    stages = [
-        RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+"),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0),
-    ]
-    out = Pipeline(stages=stages).fit(filled).transform(filled)
-    return out.withColumn("embedding", vector_to_array("_unit", "float32")).select(*df.columns, "embedding")
+    words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+").transform(filled)
+    counted = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features).transform(words)
+    # Texts are read and cut into words once: both the frequencies and the result read these counts.
+    counted = pin(counted.select(*df.columns, "_tf"), "term-counts")
+    weighted = IDF(inputCol="_tf", outputCol="_tfidf").fit(counted).transform(counted)
+    unit = Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0).transform(weighted)
+    return unit.withColumn("embedding", vector_to_array("_unit", "float32")).select(*df.columns, "embedding")
 
 
 def with_features(df: DataFrame, embedding: str = "embedding") -> DataFrame:
