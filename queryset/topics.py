@@ -317,7 +317,7 @@ def staged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
+STAGED_TURNS = (
     with_sql(TURNS, CONTEXT, SCORED, STAGED)
     + f"""SELECT {KEY_SQL}, satisfaction_score, low AS low_satisfaction,
       CASE WHEN NOT low OR n % 11 = 0 THEN '' WHEN n % 13 = 0 THEN ' loop |NOPE'
@@ -326,6 +326,9 @@ def staged_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         WHEN n % 17 = 0 THEN 'MEDIUM' ELSE (['LOW', 'HIGH', 'MEDIUM', 'URGENT'])[n % 4 + 1] END AS severity
     FROM staged"""
 )
+
+
+@query(STAGED_TURNS)
 def staged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores and tags of every turn after the first two stages of a run over a stored turn table."""
     base = scratch_path(spark, "run")
@@ -333,3 +336,14 @@ def staged_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = Models(score_stub(), tag_stub(), repair_stub())
     out = diagnose(spark, source, base, models, to_stage=2, policy=STUB_POLICY)["issues"]
     return out.select(*KEY, "satisfaction_score", "low_satisfaction", joined("issues").alias("issues"), "severity")
+
+
+@query(STAGED_TURNS)
+def staged_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after a first run over other turns at the same path: no outdated stage is reused."""
+    base, path = scratch_path(spark, "run"), scratch_path(spark, "turns")
+    models = Models(score_stub(), tag_stub(), repair_stub())
+    for rows in (turns(spark, sf_dir).withColumn("text", F.lit("other")), turns(spark, sf_dir)):
+        write_turns(rows, path)
+        out = diagnose(spark, path, base, models, to_stage=2, policy=STUB_POLICY)["issues"]
+    return out.select(*KEY, "satisfaction_score", "low_satisfaction", joined("issues").alias("issues"), "severity")

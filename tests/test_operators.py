@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from turnlens.operators import dashboard, profile, vectors
 from turnlens.operators.annotate import CallPolicy
-from turnlens.operators.context import add_last_system_text, first_turns, forward_fill, transcripts
+from turnlens.operators.context import add_last_system_text, first_turns, forward_fill, transcripts, write_turns
 from turnlens.operators.ranks import brackets, quantile_points, values_at_ranks
 from turnlens.operators.repairs import describe_topics, rank_topics, repair_topics
 from turnlens.operators.sampling import sample_conversations, sample_rows
@@ -483,3 +483,42 @@ def test_tfidf_values_against_counting(spark):
         want = {index(w): c * math.log((len(texts) + 1) / (seen[w] + 1)) for w, c in bag.items()}
         norm = math.sqrt(sum(x * x for x in want.values())) or 1.0
         assert {j: round(x, 5) for j, x in enumerate(got[i]) if x} == {j: round(x / norm, 5) for j, x in want.items()}
+
+
+def staged(spark, tmp_path, texts, **how):
+    rows = [("D", c, t, "USER" if t % 2 else "SYSTEM", f"{texts} {c} {t}") for c in range(12) for t in range(1, 5)]
+    source = write_turns(spark.createDataFrame(rows, TURNS), str(tmp_path / "turns"), buckets=2)
+    models = Models(
+        lambda p: {"score": 1, "reason": "bad"}, lambda p: {"issues": ["LOOP"], "severity": "LOW"}, lambda p: {"root_cause": p[:9]}
+    )
+    return diagnose(spark, source, str(tmp_path / "run"), models, k=2, policy=QUICK, **how)
+
+
+def built_at(tmp_path, name):
+    return (tmp_path / "run" / name / "_SUCCESS").stat().st_mtime_ns
+
+
+def test_stages_are_built_anew_when_input_or_settings_change(spark, tmp_path):
+    staged(spark, tmp_path, "first", to_stage=2)
+    before = {n: built_at(tmp_path, n) for n in ("satisfaction", "issues")}
+    again = diagnose(spark, str(tmp_path / "turns"), str(tmp_path / "run"), Models(None, None, None), to_stage=2, policy=QUICK)
+    assert {n: built_at(tmp_path, n) for n in before} == before and again["issues"].count() == 48
+    out = staged(spark, tmp_path, "second", to_stage=2)
+    assert all(r["text"].startswith("second") for r in out["issues"].collect())
+    assert all(built_at(tmp_path, n) > before[n] for n in before)
+    # Another model for the second stage: only that is built anew.
+    scored = built_at(tmp_path, "satisfaction")
+    models = Models(None, lambda p: {"issues": ["TONE_ISSUE"]}, None, tag_model="other")
+    out = diagnose(spark, str(tmp_path / "turns"), str(tmp_path / "run"), models, to_stage=2, policy=QUICK)
+    assert built_at(tmp_path, "satisfaction") == scored
+    assert {x for r in out["issues"].collect() for x in r["issues"]} == {"TONE_ISSUE"}
+
+
+def test_a_half_written_stage_is_neither_read_nor_reused(spark, tmp_path):
+    staged(spark, tmp_path, "x", to_stage=3)
+    tables.write_note(spark, str(tmp_path / "run/_stages/topics"), "unfinished")
+    with pytest.raises(FileNotFoundError, match="unfinished"):
+        diagnose(spark, str(tmp_path / "turns"), str(tmp_path / "run"), Models(None, None, None), 4, 4, policy=QUICK)
+    before = built_at(tmp_path, "topic_summary")
+    diagnose(spark, str(tmp_path / "turns"), str(tmp_path / "run"), Models(None, None, None), 1, 3, k=2, policy=QUICK)
+    assert built_at(tmp_path, "topic_summary") > before

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +16,15 @@ from turnlens.operators.repairs import repair_topics
 from turnlens.operators.satisfaction import score_satisfaction
 from turnlens.operators.topics import cluster_topics
 from turnlens.operators.vectors import EmbedFn
-from turnlens.sources.tables import materialize, require_table, table_exists, write_table
+from turnlens.sources.tables import (
+    read_note,
+    read_table,
+    require_table,
+    table_exists,
+    table_state,
+    write_note,
+    write_table,
+)
 
 STAGES = ("satisfaction", "issues", "topics", "repairs")
 
@@ -50,6 +61,53 @@ class Artifacts:
         return self.path("reply_cache")
 
 
+#: Note of a stage whose tables are being written.
+UNFINISHED = "unfinished"
+#: The tables of each stage, in stage order.
+TABLES = {
+    "satisfaction": ("satisfaction",),
+    "issues": ("issues",),
+    "topics": ("topic_rows", "topic_summary", "turn_topics"),
+    "repairs": ("repairs",),
+}
+
+
+class Manifest:
+    """Notes beside the stage tables: from which input and with which settings a stage was finished.
+
+    All tables of a stage are committed by its note, which is taken away before the first of them is
+    written. Tables without any note were put there by somebody else and count as finished.
+    """
+
+    def __init__(self, spark: SparkSession, at: Artifacts):
+        self.spark, self.at = spark, at
+
+    def note(self, stage: str) -> str | None:
+        return read_note(self.spark, self.at.path(f"_stages/{stage}"))
+
+    def state(self, stage: str) -> str:
+        """Changes whenever the stage is built anew."""
+        note = self.note(stage)
+        if note == UNFINISHED:
+            raise FileNotFoundError(f"stage {stage} was left unfinished; run it again")
+        tables = [self.at.path(name) for name in TABLES[stage]]
+        return "+".join([note or "", *(table_state(self.spark, path) for path in tables)])
+
+    def is_current(self, stage: str, fingerprint: str) -> bool:
+        there = all(table_exists(self.spark, self.at.path(t)) for t in TABLES[stage])
+        return there and self.note(stage) in (None, fingerprint)
+
+    def build(self, stage: str, fingerprint: str, tables: Callable[[], tuple[DataFrame, ...]]) -> None:
+        write_note(self.spark, self.at.path(f"_stages/{stage}"), UNFINISHED)
+        for name, table in zip(TABLES[stage], tables()):
+            write_table(table, self.at.path(name))
+        write_note(self.spark, self.at.path(f"_stages/{stage}"), fingerprint)
+
+
+def fingerprint(*parts: object) -> str:
+    return hashlib.sha256(json.dumps(parts).encode()).hexdigest()
+
+
 def diagnose(
     spark: SparkSession,
     turns_path: str,
@@ -65,58 +123,57 @@ def diagnose(
 ) -> dict[str, DataFrame]:
     """Run stages ``from_stage`` to ``to_stage`` (1 score, 2 tag, 3 cluster, 4 repair).
 
-    A finished stage table is reused with ``skip_existing``; a stage whose input is
-    missing raises ``FileNotFoundError``. Returns the tables of the stages run.
+    With ``skip_existing`` a finished stage is reused if its input and its settings are those it was
+    built from; the model function stands for itself by its name in ``models``. A stage whose input
+    is missing or unfinished raises ``FileNotFoundError``. Returns the tables of the stages run.
     """
     if not 1 <= from_stage <= to_stage <= len(STAGES):
         raise ValueError(f"stages run from 1 to {len(STAGES)}")
     at = Artifacts(base)
-    wanted = range(from_stage, to_stage + 1)
-    out: dict[str, DataFrame] = {}
-    if 1 in wanted:
-        turns = require_table(spark, turns_path, "stage 1")
-        out["satisfaction"] = materialize(
-            spark,
-            at.path("satisfaction"),
-            lambda: score_satisfaction(
-                turns, models.score, models.score_model, at.cache, strict, policy, models.raw_inputs
+    manifest = Manifest(spark, at)
+
+    def scored() -> tuple[DataFrame, ...]:
+        turns = read_table(spark, turns_path)
+        return (score_satisfaction(turns, models.score, models.score_model, at.cache, strict, policy, models.raw_inputs),)
+
+    def tagged() -> tuple[DataFrame, ...]:
+        turns = read_table(spark, at.path("satisfaction"))
+        return (tag_issues(turns, models.tag, models.tag_model, at.cache, strict, policy, models.raw_inputs),)
+
+    def clustered() -> tuple[DataFrame, ...]:
+        turns = read_table(spark, at.path("issues"))
+        return tuple(cluster_topics(turns, models.embed, k, strict=strict, k_range=k_range))
+
+    def repaired() -> tuple[DataFrame, ...]:
+        summary = read_table(spark, at.path("topic_summary"))
+        turns = None if strict else read_table(spark, at.path("turn_topics"))
+        return (
+            repair_topics(
+                summary, turns, models.repair, models.repair_model, at.cache, strict, policy, models.raw_inputs
             ),
-            skip_existing,
-        )
-    if 2 in wanted:
-        scored = require_table(spark, at.path("satisfaction"), "stage 2")
-        out["issues"] = materialize(
-            spark,
-            at.path("issues"),
-            lambda: tag_issues(scored, models.tag, models.tag_model, at.cache, strict, policy, models.raw_inputs),
-            skip_existing,
-        )
-    if 3 in wanted:
-        names = ("topic_rows", "topic_summary", "turn_topics")
-        if not (skip_existing and all(table_exists(spark, at.path(n)) for n in names)):
-            tagged = require_table(spark, at.path("issues"), "stage 3")
-            topics = cluster_topics(tagged, models.embed, k, strict=strict, k_range=k_range)
-            for name, table in zip(names, topics):
-                write_table(table, at.path(name))
-        out.update({name: require_table(spark, at.path(name), "stage 3") for name in names})
-    if 4 in wanted:
-        summary = require_table(spark, at.path("topic_summary"), "stage 4")
-        turn_topics = require_table(spark, at.path("turn_topics"), "stage 4")
-        out["repairs"] = materialize(
-            spark,
-            at.path("repairs"),
-            lambda: repair_topics(
-                summary,
-                None if strict else turn_topics,
-                models.repair,
-                models.repair_model,
-                at.cache,
-                strict,
-                policy,
-                models.raw_inputs,
-            ),
-            skip_existing,
         )
+
+    settings = {
+        "satisfaction": (scored, models.score_model, models.raw_inputs),
+        "issues": (tagged, models.tag_model, models.raw_inputs),
+        "topics": (clustered, k, list(k_range), models.embed is None),
+        "repairs": (repaired, models.repair_model, models.raw_inputs),
+    }
+    out: dict[str, DataFrame] = {}
+    for number in range(from_stage, to_stage + 1):
+        stage = STAGES[number - 1]
+        if number == 1:
+            require_table(spark, turns_path, "stage 1")
+            before = table_state(spark, turns_path)
+        else:
+            for name in TABLES[STAGES[number - 2]]:
+                require_table(spark, at.path(name), f"stage {number}")
+            before = manifest.state(STAGES[number - 2])
+        tables, *parts = settings[stage]
+        wanted = fingerprint(stage, before, strict, *parts)
+        if not (skip_existing and manifest.is_current(stage, wanted)):
+            manifest.build(stage, wanted, tables)
+        out.update({name: read_table(spark, at.path(name)) for name in TABLES[stage]})
     return out
 
 

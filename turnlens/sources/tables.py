@@ -112,6 +112,30 @@ def delete_path(spark: SparkSession, path: str) -> None:
     _filesystem(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
 
 
+def table_state(spark: SparkSession, path: str) -> str:
+    """What a rewrite of a table changes: its size, number of files and the time it was finished."""
+    fs, hadoop_path = _filesystem(spark, path), spark._jvm.org.apache.hadoop.fs.Path(path)
+    summary = fs.getContentSummary(hadoop_path)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return f"{summary.getLength()}/{summary.getFileCount()}/{fs.getFileStatus(marker).getModificationTime()}"
+
+
+def write_note(spark: SparkSession, path: str, line: str) -> None:
+    """Replace a one-line file."""
+    stream = _filesystem(spark, path).create(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+    stream.writeBytes(line + "\n")
+    stream.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    if not path_exists(spark, path):
+        return None
+    stream = _filesystem(spark, path).open(spark._jvm.org.apache.hadoop.fs.Path(path))
+    line = stream.readLine()
+    stream.close()
+    return line
+
+
 def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int | None = None) -> str:
     """Overwrite a Parquet table laid out by ``keys``, which :func:`read_table` recognises.
 
