@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queryset.adapter import CENTROIDS, table, with_sql
 from queryset.registry import query
 from turnlens.operators import vectors
+from turnlens.operators.sweep import sweep
 from turnlens.sources.tables import pin
 
 
@@ -76,19 +79,24 @@ def kmeans_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("SELECT 7 AS n_k, 4 AS k_min, 10 AS k_max, true AS in_range, true AS best_first FROM (SELECT count(*) FROM embeddings)")
+@query(
+    """SELECT 7 AS n_k, 4 AS k_min, 10 AS k_max, true AS best_first, true AS as_recomputed
+    FROM (SELECT count(*) FROM embeddings)"""
+)
 def select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scan over k by invariants: every k once, silhouettes between -1 and 1, the best one chosen."""
+    """The scan over k: every k once, best first, each silhouette as recomputed from the rows' topics."""
     points = pin(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "points")
-    scores = pin(vectors.select_k(points, 4, 10), "scores")
-    best = vectors.best_k(scores)
+    models = sweep(points, range(4, 11))
+    scores = spark.createDataFrame(list(models.silhouettes.items()), "k int, silhouette double")
+    again = [models.assign(points, k).withColumn("k", F.lit(k)) for k in models.silhouettes]
+    again = [vectors.silhouettes(df).groupBy("k").agg(F.avg("silhouette").alias("again")) for df in again]
     top = F.max_by("k", F.struct("silhouette", -F.col("k")))
-    return scores.agg(
+    return scores.join(reduce(DataFrame.unionByName, again), "k").agg(
         F.count("*").cast("int").alias("n_k"),
         F.min("k").alias("k_min"),
         F.max("k").alias("k_max"),
-        F.bool_and(F.col("silhouette").between(-1, 1)).alias("in_range"),
-        (top == best).alias("best_first"),
+        (top == models.best).alias("best_first"),
+        F.bool_and(F.abs(F.col("silhouette") - F.col("again")) < 1e-6).alias("as_recomputed"),
     )
 
 

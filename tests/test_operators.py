@@ -13,6 +13,7 @@ import pytest
 from plan_text import executed_plan
 from pyspark.sql import functions as F
 
+from turnlens.operators import sweep as sweep_module
 from turnlens.operators import dashboard, profile, vectors
 from turnlens.operators.annotate import CallPolicy
 from turnlens.operators.context import add_last_system_text, first_turns, forward_fill, transcripts, write_turns
@@ -235,15 +236,51 @@ def test_silhouettes_against_brute_force(points, monkeypatch):
         monkeypatch.undo()
 
 
-def test_nearest_centroid_and_select_k(points):
+def test_nearest_centroid(points):
     placed = vectors.nearest_centroid(points, vectors.mean_vectors(points, "topic_id"), out="near").collect()
     means = {t: np.mean([r["embedding"] for r in placed if r["topic_id"] == t], axis=0) for t in (0, 1, 2, 9)}
     for r in placed:
         assert r["near"] == min(means, key=lambda t: np.linalg.norm(means[t] - np.array(r["embedding"])))
-    scores = vectors.select_k(points.drop("topic_id"), 2, 4)
-    ordered = [tuple(r) for r in scores.collect()]
-    assert [s for _, s in ordered] == sorted((s for _, s in ordered), reverse=True)
-    assert vectors.best_k(scores) == ordered[0][0] and {k for k, _ in ordered} == {2, 3, 4}
+
+
+def lloyd(x, centers):
+    """Textbook k-means from given centres, until nothing moves."""
+    for _ in range(20):
+        topic = ((x[:, None] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+        means = np.array([x[topic == t].mean(axis=0) if (topic == t).any() else c for t, c in enumerate(centers)])
+        if ((means - centers) ** 2).sum(axis=1).max() <= 1e-8:
+            return means
+        centers = means
+    return centers
+
+
+def test_sweep_of_k_against_single_models(points):
+    """All models of one sweep are those of a run of their own; silhouettes are those of all pairs."""
+    df = points.drop("topic_id")
+    x = np.array([r["embedding"] for r in df.collect()], dtype="float64")
+    seeds = sweep_module._seeds(df.select("embedding"), 4, 42)
+    assert len(np.unique(seeds, axis=0)) == 4 and all((np.abs(x - s).max(axis=1) < 1e-6).any() for s in seeds)
+    models = sweep_module.sweep(df, range(2, 5))
+    for k in (2, 3, 4):
+        assert models.centers[k] == pytest.approx(lloyd(x, seeds[:k]), abs=1e-6)
+        rows = models.assign(df, k).collect()
+        want = statistics.mean(silhouettes_by_hand(rows, 2).values())
+        assert models.silhouettes[k] == pytest.approx(want, abs=1e-6)
+    assert models.silhouettes[models.best] == max(models.silhouettes.values())
+    again = sweep_module.sweep(df.repartition(3), range(2, 5))
+    assert all(again.centers[k] == pytest.approx(models.centers[k], abs=1e-9) for k in (2, 3, 4))
+    scores = [tuple(r) for r in sweep_module.select_k(df, 2, 4).collect()]
+    assert [s for _, s in scores] == sorted((s for _, s in scores), reverse=True) and scores[0][0] == models.best
+
+
+def test_sweep_of_few_distinct_vectors(spark):
+    same = spark.createDataFrame([([1.0, 0.0],)] * 5, "embedding array<float>")
+    with pytest.raises(ValueError, match="at least two topics"):
+        sweep_module.sweep(same, range(2, 4))
+    with pytest.raises(ValueError, match="no rows"):
+        sweep_module.sweep(same.limit(0), range(2, 4))
+    two = same.union(spark.createDataFrame([([0.0, 1.0],)] * 3, "embedding array<float>"))
+    assert sweep_module.sweep(two, range(2, 4)).silhouettes == {2: 1.0, 3: 1.0}
 
 
 def test_l2_normalize_keeps_zero_vectors(spark):

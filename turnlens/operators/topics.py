@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from turnlens.functions.text import topic_label
 from turnlens.functions.values import empty_strings, has_issues, has_real_issue, listed
-from turnlens.operators.vectors import EmbedFn, assign_topics, best_k, embed_texts, select_k
+from turnlens.operators.sweep import sweep
+from turnlens.operators.vectors import EmbedFn, assign_topics, embed_texts
 from turnlens.schemas import (
     CLUSTERING_COLUMNS,
     KEY,
@@ -200,7 +201,10 @@ def cluster_topics(
     if embedded.isEmpty():
         raise ValueError("no rows to cluster: check the low satisfaction flag and the issue lists")
     if k is None:
-        k = best_k(select_k(embedded, *k_range, seed=seed))
-    rows = pin(assign_topics(embedded, k, seed).drop("embedding"), "topic-rows")
+        models = sweep(embedded, range(k_range[0], k_range[1] + 1), seed)
+        placed = models.assign(embedded, models.best)
+    else:
+        placed = assign_topics(embedded, k, seed)
+    rows = pin(placed.drop("embedding"), "topic-rows")
     n = 5 if strict else 3
     return build_topics(tagged, rows, n, n, strict, is_clusterable(strict))

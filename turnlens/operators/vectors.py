@@ -95,13 +95,15 @@ def nearest_centroid(
     for rows in _topic_blocks(centroids.select("topic_id", "centroid")):
         ids = np.array([r["topic_id"] for r in rows], dtype="int64")
         centers = np.array([r["centroid"] for r in rows], dtype="float64")
-        block = df.sparkSession.sparkContext.broadcast((ids, centers, (centers**2).sum(axis=1) / 2))
-        found = _nearest_in(block)(F.col(embedding))
+        found = nearest_of(df, ids, centers)(F.col(embedding))
         best = found if best is None else F.least(best, found)
     return df.withColumn(out, F.lit(None).cast("bigint") if best is None else best["id"])
 
 
-def _nearest_in(block):
+def nearest_of(df: DataFrame, ids: np.ndarray, centers: np.ndarray):
+    """Function of a vector column: id of the nearest of some centres, and half its squared distance less the vector's square."""
+    block = df.sparkSession.sparkContext.broadcast((ids, centers, (centers**2).sum(axis=1) / 2))
+
     @F.arrow_udf("struct<distance:double,id:bigint>")
     def nearest(vectors: pa.Array) -> pa.Array:
         ids, centers, half_norms = block.value
@@ -190,16 +192,3 @@ def _distances_in(block):
         )
 
     return distances
-
-
-def select_k(df: DataFrame, k_min: int = 4, k_max: int = 10, seed: int = 42) -> DataFrame:
-    """Silhouette for every k of the range, best first (ties: the smaller k).
-
-    ``df`` should be a written table of embeddings, as it is read for every k.
-    """
-    scores = [(k, float(mean_silhouette(assign_topics(df, k, seed)))) for k in range(k_min, k_max + 1)]
-    return df.sparkSession.createDataFrame(scores, "k int, silhouette double").orderBy(F.desc("silhouette"), "k")
-
-
-def best_k(scores: DataFrame) -> int:
-    return scores.orderBy(F.desc("silhouette"), "k").first()["k"]
