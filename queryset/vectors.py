@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,20 +82,19 @@ def kmeans_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (SELECT count(*) FROM embeddings)"""
 )
 def select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scan over k: every k once, best first, each silhouette as recomputed from the rows' topics."""
+    """The scan over k: every k once, best first, and the best silhouette as recomputed from the rows' topics."""
     points = pin(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "points")
     models = sweep(points, range(4, 11))
     scores = spark.createDataFrame(list(models.silhouettes.items()), "k int, silhouette double")
-    again = [models.assign(points, k).withColumn("k", F.lit(k)) for k in models.silhouettes]
-    again = [vectors.silhouettes(df).groupBy("k").agg(F.avg("silhouette").alias("again")) for df in again]
+    again = vectors.silhouettes(models.assign(points, models.best)).agg(F.avg("silhouette")).scalar()
     top = F.max_by("k", F.struct("silhouette", -F.col("k")))
-    return scores.join(reduce(DataFrame.unionByName, again), "k").agg(
+    return scores.agg(
         F.count("*").cast("int").alias("n_k"),
         F.min("k").alias("k_min"),
         F.max("k").alias("k_max"),
         (top == models.best).alias("best_first"),
-        F.bool_and(F.abs(F.col("silhouette") - F.col("again")) < 1e-6).alias("as_recomputed"),
-    )
+        F.abs(F.max("silhouette") - again).alias("apart"),
+    ).select("n_k", "k_min", "k_max", "best_first", (F.col("apart") < 1e-6).alias("as_recomputed"))
 
 
 @query("SELECT doc_id, 384 AS dims, 1.0::DOUBLE AS norm FROM documents")

@@ -106,27 +106,79 @@ def _block_offsets(counted: DataFrame) -> DataFrame:
         F.max("start_no").alias("n_starts"),
         F.max("last_start").alias("last_start"),
     )
-    # One narrow row per block of lines, ordered within its file; no conversation spans two files.
-    ordered = Window.partitionBy("file").orderBy(*_BLOCK)
+    # Sums run in three levels: over the blocks of a split, the splits of a file, and the files.
+    in_split = Window.partitionBy("file", "split").orderBy("block")
+    inside = per_block.withColumn("open_before", ~F.lag("last_breaks").over(in_split)).withColumns(
+        {
+            "at_start": F.row_number().over(in_split) == 1,
+            # Whether the first block of a split opens a conversation depends on the split before.
+            "opens_inside": F.col("first_is_content") & ~F.coalesce("open_before", F.lit(True)),
+        }
+    )
+    before = in_split.rowsBetween(Window.unboundedPreceding, -1)
+    starts = F.col("n_starts") + F.col("opens_inside").cast("long")
+    summed = inside.withColumns(
+        {
+            "starts": starts,
+            "starts_before": F.coalesce(F.sum(starts).over(before), F.lit(0)),
+            "content_before": F.coalesce(F.sum("n_content").over(before), F.lit(0)),
+        }
+    )
+    latest = F.coalesce(
+        F.col("content_before") + F.col("last_start"),
+        F.when(F.col("opens_inside"), F.col("content_before") + 1),
+    )
+    summed = summed.withColumns({"latest": latest, "carried_inside": F.last(latest, ignorenulls=True).over(before)})
+    splits = _split_offsets(summed)
+    opens = F.col("opens_inside") | (F.col("at_start") & F.col("split_opens"))
+    # What the first block of a split opens counts for the blocks after it.
+    opened = F.when(~F.col("at_start") & F.col("split_opens"), 1).otherwise(0)
+    carried = F.coalesce(
+        F.col("content_offset") + F.col("carried_inside"),
+        F.when(~F.col("at_start") & F.col("split_opens"), F.col("content_offset") + 1),
+        F.col("carried_start"),
+    )
+    return summed.join(splits, ["file", "split"]).select(
+        *_BLOCK,
+        opens.alias("opens"),
+        (F.col("start_offset") + F.col("starts_before") + opened).alias("start_offset"),
+        (F.col("content_offset") + F.col("content_before")).alias("content_offset"),
+        carried.alias("carried_start"),
+    )
+
+
+def _split_offsets(blocks: DataFrame) -> DataFrame:
+    """One row per split: whether it opens a conversation, and what precedes it in its file and the files before."""
+    per_split = blocks.groupBy("file", "split").agg(
+        F.min_by("first_is_content", "block").alias("first_is_content"),
+        F.max_by("last_breaks", "block").alias("last_breaks"),
+        F.sum("n_content").alias("n_content"),
+        F.sum("starts").alias("n_starts"),
+        F.max("latest").alias("latest"),
+    )
+    ordered = Window.partitionBy("file").orderBy("split")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    continues = ~F.lag("last_breaks").over(ordered)
-    opened = per_block.withColumn("opens", F.col("first_is_content") & ~F.coalesce(continues, F.lit(False)))
-    placed = opened.withColumn(
-        "start_offset",
-        F.coalesce(F.sum(F.col("n_starts") + F.col("opens").cast("long")).over(before), F.lit(0)),
-    ).withColumn("content_offset", F.coalesce(F.sum("n_content").over(before), F.lit(0)))
+    continues = ~F.coalesce(F.lag("last_breaks").over(ordered), F.lit(True))
+    opened = per_split.withColumn("split_opens", F.col("first_is_content") & ~continues)
+    starts = F.col("n_starts") + F.col("split_opens").cast("long")
+    placed = opened.withColumns(
+        {
+            "start_offset": F.coalesce(F.sum(starts).over(before), F.lit(0)),
+            "content_offset": F.coalesce(F.sum("n_content").over(before), F.lit(0)),
+        }
+    )
     latest = F.coalesce(
-        F.col("content_offset") + F.col("last_start"),
-        F.when(F.col("opens"), F.col("content_offset") + 1),
+        F.col("content_offset") + F.col("latest"), F.when(F.col("split_opens"), F.col("content_offset") + 1)
     )
-    carried = F.last(latest, ignorenulls=True).over(before)
-    # Then one row per file: the starts in all files before it.
-    totals = placed.groupBy("file").agg(F.sum(F.col("n_starts") + F.col("opens").cast("long")).alias("n"))
+    # No conversation spans two files.
+    placed = placed.withColumn("carried_start", F.last(latest, ignorenulls=True).over(before))
+    totals = placed.groupBy("file").agg(F.sum(starts).alias("n"))
     files_before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = totals.select("file", F.coalesce(F.sum("n").over(files_before), F.lit(0)).alias("file_offset"))
-    return placed.withColumn("carried_start", carried).join(files, "file").select(
-        *_BLOCK,
-        "opens",
+    return placed.join(files, "file").select(
+        "file",
+        "split",
+        "split_opens",
         (F.col("start_offset") + F.col("file_offset")).alias("start_offset"),
         "content_offset",
         "carried_start",
