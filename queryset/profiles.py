@@ -177,6 +177,18 @@ def sample_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_convs(turns(spark, sf_dir), 80, seed=42).select(*KEY, "text")
 
 
+@query(
+    with_sql(TURNS, RATED)
+    + f"""SELECT {KEY_SQL}, text, round(satisfaction_mean, 6) AS satisfaction_mean FROM rated
+    WHERE satisfaction_mean IS NOT NULL ORDER BY rated.satisfaction_mean, {KEY_SQL} LIMIT 20"""
+)
+def lowest_rated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A look at the twenty turns with the lowest mean rating."""
+    rated = rated_turns(spark, sf_dir).filter("satisfaction_mean is not null")
+    mean = F.round("satisfaction_mean", 6).alias("satisfaction_mean")
+    return profile.preview(rated, 20, ["satisfaction_mean", *KEY]).select(*KEY, "text", mean)
+
+
 @query("SELECT doc_id, lang, source, n_chars FROM documents ORDER BY md5('7|' || doc_id), doc_id LIMIT 800")
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_n_rows(table(spark, sf_dir, "documents"), 800, 7, ["doc_id"]).select(

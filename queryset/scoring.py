@@ -41,7 +41,7 @@ from turnlens.sources.replies import (
     read_cache,
     stored_replies,
 )
-from turnlens.sources.tables import read_table, scratch_path
+from turnlens.sources.tables import pin, read_table, scratch_path
 
 ASKED = "speaker = 'USER' AND NOT is_overall"
 SHORT = sql_fill(SATISFACTION_SHORT, user_text=strip("text"), last_system_text=strip("last_system_text"))
@@ -211,6 +211,13 @@ def scoring_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return short.join(detailed, KEY)
 
 
+@query(with_sql(TURNS, CONTEXT) + f"SELECT {KEY_SQL}, {SHORT} AS prompt FROM ctx WHERE speaker = 'USER'")
+def prompts_without_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turn tables without the column for overall ratings: every user turn is scored."""
+    base = turns(spark, sf_dir).drop("is_overall")
+    return scoring_requests(base, "default").filter("prompt is not null").select(*KEY, "prompt")
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring_requests(turns(spark, sf_dir), "default").filter("request_key is not null")
 
@@ -293,6 +300,38 @@ def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup(asked, stored_replies(spark, path, "satisfaction_score", "default")).select("request_key", "response_json")
 
 
+def failing_stub():
+    """Every third prompt fails twice before a reply comes, every fifth always, by the length of the prompt."""
+    failed: dict[str, int] = {}
+
+    def score(prompt: str):
+        n = len(prompt)
+        failed[prompt] = failed.get(prompt, 0) + 1
+        if n % 5 == 0:
+            raise TimeoutError
+        if n % 3 == 0 and failed[prompt] < 3:
+            raise ConnectionError
+        return {"score": 1 + n % 5, "calls": failed[prompt]}
+
+    return score
+
+
+@query(
+    with_sql(TURNS, CONTEXT, REQUESTS)
+    + """SELECT request_key, CASE WHEN n % 5 <> 0 THEN 1 + n % 5 END::INT AS score,
+      CASE WHEN n % 5 <> 0 THEN CASE WHEN n % 3 = 0 THEN 3 ELSE 1 END END::INT AS calls,
+      CASE WHEN n % 5 = 0 THEN 'TimeoutError' END AS error
+    FROM (SELECT request_key, min(length(prompt)) AS n FROM requests GROUP BY request_key)"""
+)
+def retried_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls that fail are tried three times; those that never succeed are given up with their error."""
+    asked = annotate.distinct_requests(requests(spark, sf_dir))
+    policy = annotate.CallPolicy(on_error="fallback", max_retries=3, base_sleep=0.0)
+    replies = pin(annotate.call_model(asked, failing_stub(), policy), "retried")
+    value = lambda name: F.get_json_object("response_json", f"$.{name}").cast("int").alias(name)
+    return replies.select("request_key", value("score"), value("calls"), "error")
+
+
 IMPORTED = f"""{REQUESTS},
 lines AS (
   SELECT request_key, length(prompt) AS n, turn_id, row_number() OVER (ORDER BY conv_id, turn_id) AS line

@@ -28,9 +28,10 @@ from queryset.adapter import (
 )
 from queryset.registry import query
 from queryset.scoring import LABEL_PAIR, SCORED, SNIPPET
-from turnlens.functions.prompts import ISSUES_SHORT, REPAIR_SHORT
+from turnlens.functions.prompts import ISSUES_SHORT, REPAIR_DETAILED, REPAIR_SHORT
 from turnlens.functions.replies import normalize_repair, parse_reply
 from turnlens.operators import dashboard
+from turnlens.operators.profile import preview, topic_turn_count
 from turnlens.operators.annotate import annotate
 from turnlens.operators.context import write_turns
 from turnlens.operators.repairs import describe_topics, rank_topics, repair_requests, repair_topics
@@ -136,6 +137,41 @@ def repair_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_requests(describe_topics(summary, attached), "default").select("topic_id", "prompt")
 
 
+DETAILED_PROMPT = sql_fill(REPAIR_DETAILED, topic_description="topic_description")
+
+
+@query(with_sql(*TOPIC_PARTS, TURN_TOPICS, EXTRA) + f"SELECT topic_id, {DETAILED_PROMPT} AS prompt FROM described")
+def repair_prompts_detailed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detailed prompt of the strict rules, which has keys of its own."""
+    _, summary, attached = flow(spark, sf_dir)
+    described = describe_topics(summary, attached)
+    short = repair_requests(described, "default").select(F.col("request_key").alias("short_key"))
+    detailed = repair_requests(described, "default", strict=True)
+    return detailed.join(short, detailed.request_key == short.short_key, "left_anti").select("topic_id", "prompt")
+
+
+@query(
+    with_sql(*TOPIC_PARTS, TURN_TOPICS)
+    + """SELECT count(*) FILTER (WHERE topic_id >= 0) AS n_assigned FROM turn_topics"""
+)
+def topic_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns that are in a topic."""
+    return topic_turn_count(flow(spark, sf_dir)[2])
+
+
+@query(
+    with_sql(*TOPIC_PARTS)
+    + """SELECT topic_id, topic_label, n_examples, array_to_string(top_issues, '|') AS top_issues
+    FROM summary ORDER BY topic_id LIMIT 1"""
+)
+def first_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A look at the topic with the smallest id."""
+    summary = summarize_topics(rows(spark, sf_dir))
+    return shown(preview(summary, 1, ["topic_id"]), "top_issues").select(
+        "topic_id", "topic_label", "n_examples", "top_issues"
+    )
+
+
 REPAIRS = f"""{EXTRA},
 repairs AS (
   SELECT topic_id, topic_label, CASE WHEN n % 11 = 0 THEN '' ELSE 'cause ' || n END AS root_cause,
@@ -240,6 +276,19 @@ def dashboard_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(back, "suggested_prompt_changes", "guardrail_rules", "evaluation_checks")
 
 
+@query(
+    with_sql(*TOPIC_PARTS)
+    + """SELECT topic_id, CASE WHEN topic_id % 2 = 0 THEN 'Topic ' || topic_id ELSE topic_label END AS topic_label
+    FROM summary"""
+)
+def topic_label_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of the dashboard where every other repair has none."""
+    clustered, summary, _, repairs = repair_flow(spark, sf_dir)
+    repairs = repairs.withColumn("topic_label", F.when(F.col("topic_id") % 2 != 0, F.col("topic_label")))
+    enriched = dashboard.enrich_turns(tagged_turns(spark, sf_dir), clustered, repairs)
+    return dashboard.dashboard_topics(summary, enriched, repairs).select("topic_id", "topic_label")
+
+
 @query(
     with_sql(*TOPIC_PARTS, TURN_TOPICS, METRICS, REPAIRS)
     + """SELECT row_number() OVER (ORDER BY n_examples DESC, n_user_turns DESC, topic_id) AS priority_rank, topic_id,
