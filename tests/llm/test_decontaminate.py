@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+import pytest
 
 from turnlens.llm import decontaminate
-from turnlens.llm.decontaminate import contaminated
+from turnlens.llm.decontaminate import COLUMNS, SLOTS, Items, Retrieval, contaminated, running_sums
 
 
 def bench(spark, rows):
@@ -37,3 +38,27 @@ def test_axes_are_fitted_on_every_passage():
     # More words than fitted the former bound of 2^20 passages, of which only a share was taken.
     texts = (np.full(1 << 20, i, np.uint32) for i in range(34))
     assert sum(len(columns) for columns in decontaminate._passages(texts, 32)) == 34 << 20
+
+
+@pytest.mark.parametrize("count", [1, 31, 32, 33, 1000])
+def test_running_sums(count):
+    rows = np.random.default_rng(count).standard_normal((count, 5)).astype(np.float32)
+    want = np.concatenate((np.zeros((1, 5)), np.cumsum(rows.astype(np.float64), axis=0)))
+    assert running_sums(rows) == pytest.approx(want, abs=1e-4)
+
+
+def test_enough_counts_words_near_a_window():
+    """Against a count by hand, with windows at both ends of the texts."""
+    rng, how = np.random.default_rng(2), Retrieval()
+    axes = rng.standard_normal((COLUMNS, 4)).astype(np.float32)
+    known = Items([(i, " ".join(f"w{x}" for x in rng.integers(0, 40, 12))) for i in range(3)], axes, how)
+    own, present = known.classes[0][1], known.classes[0][3]
+    text = rng.choice(np.concatenate(known.tokens + [np.arange(60, dtype=np.uint32)]), 300)
+    slots, texts = (text % SLOTS).astype(np.int32), [(0, 120), (120, 180)]
+    cases = [(w, first, begin, n) for w in range(len(own)) for first, n in texts for begin in (0, 3, 50, n - 12, n - 1)]
+    which, firsts, begins, lengths = (np.array(c, np.int64) for c in zip(*cases))
+    got = known.enough(own[which], present, which, slots, firsts, begins, lengths, at_once=64)
+    for (w, first, begin, n), found in zip(cases, got):
+        size = len(known.tokens[own[w]])
+        near = slots[first + max(0, begin - size // 2) : min(first + n, first + begin + size + size // 2)]
+        assert found == (sum(bool(present[w, x]) for x in near) >= how.paraphrased * size)

@@ -152,6 +152,18 @@ def common_words(item: np.ndarray, text: np.ndarray) -> int:
     return len(item) - bin(row).count("1")
 
 
+def running_sums(rows: np.ndarray, block: int = 32) -> np.ndarray:
+    """Row i: the sum of the first i rows. Blocks of rows are summed up by one product, then their totals."""
+    count, width = rows.shape
+    padded = np.zeros((-(-count // block) * block, width), np.float32)
+    padded[:count] = rows
+    sums = np.zeros((len(padded) + 1, width), np.float32)
+    blocks = sums[1:].reshape(-1, block, width)
+    np.matmul(np.tri(block, dtype=np.float32), padded.reshape(-1, block, width), out=blocks)
+    blocks[1:] += np.cumsum(blocks[:-1, -1], axis=0)[:, None]
+    return sums[: count + 1]
+
+
 class Items:
     """Benchmark items, in classes of like length, with their latent vectors."""
 
@@ -200,13 +212,14 @@ class Items:
         low = firsts + np.maximum(0, begins - reach)
         high = np.minimum(firsts + lengths, firsts + begins + sizes + reach)
         width = int((high - low).max())
-        step = max(1, at_once // max(1, width))
+        step, flat = max(1, at_once // max(1, width)), present.reshape(-1)
+        following = np.lib.stride_tricks.sliding_window_view(np.append(slots, np.zeros(width, slots.dtype)), width)
+        row = (which * SLOTS).astype(np.int32)
         for start in range(0, len(items), step):
             part = slice(start, start + step)
-            places = low[part, None] + np.arange(width)
-            inside = places < high[part, None]
-            hits = present[which[part, None], slots[np.minimum(places, len(slots) - 1)]] & inside
-            out[part] = hits.sum(axis=1) >= self.how.paraphrased * sizes[part]
+            hits = flat.take(following[low[part]] + row[part, None])
+            hits &= np.arange(width) < (high - low)[part, None]
+            out[part] = np.count_nonzero(hits, axis=1) >= self.how.paraphrased * sizes[part]
         return out
 
     def matches(self, texts: list[np.ndarray]) -> Iterator[tuple]:
@@ -217,14 +230,16 @@ class Items:
         joined = np.concatenate(texts) if texts else np.empty(0, np.uint32)
         if not len(joined):
             return
-        sums = np.zeros((len(joined) + 1, self.axes.shape[1]), np.float32)
-        np.cumsum(self.axes[columns_of(joined)], axis=0, out=sums[1:])
+        sums = running_sums(self.axes.take(columns_of(joined), axis=0))
         slots = (joined % SLOTS).astype(np.int32)
         best: dict[tuple[int, int], tuple] = {}
         for length, own, vectors, present in self.classes:
             size = min(length, len(joined))
-            starts = np.append(np.arange(0, len(joined) - size, max(1, length // self.how.step)), len(joined) - size)
-            windows = sums[starts + size] - sums[starts]
+            last, step = len(joined) - size, max(1, length // self.how.step)
+            starts = np.append(np.arange(0, last, step), last)
+            windows = np.empty((len(starts), sums.shape[1]), np.float32)
+            np.subtract(sums[size : size + last : step], sums[0:last:step], out=windows[:-1])
+            np.subtract(sums[last + size], sums[last], out=windows[-1])
             scale = np.sqrt(np.einsum("ij,ij->i", windows, windows))
             cosines = windows @ vectors.T
             at, which = np.nonzero(cosines >= self.how.cosine * np.maximum(scale, 1e-12)[:, None])
