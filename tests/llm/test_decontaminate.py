@@ -44,7 +44,7 @@ def test_axes_are_fitted_on_every_passage():
 def test_running_sums(count):
     rows = np.random.default_rng(count).standard_normal((count, 5)).astype(np.float32)
     want = np.concatenate((np.zeros((1, 5)), np.cumsum(rows.astype(np.float64), axis=0)))
-    assert running_sums(rows) == pytest.approx(want, abs=1e-4)
+    assert running_sums(rows[::-1], np.arange(count)[::-1]) == pytest.approx(want, abs=1e-4)
 
 
 def test_enough_counts_words_near_a_window():

@@ -127,9 +127,10 @@ def fit_axes(tokens: DataFrame, weight: np.ndarray, how: Retrieval) -> np.ndarra
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         product = np.zeros((basis.shape[1], COLUMNS + 1))
         for columns in _passages(_each(batches), how.passage):
-            passages = projection[columns].reshape(-1, how.passage, basis.shape[1]).sum(axis=1)
-            for axis in range(basis.shape[1]):
-                product[axis] += np.bincount(columns, np.repeat(passages[:, axis], how.passage), COLUMNS + 1)
+            places = columns.astype(np.intp)
+            passages = projection.take(places, axis=0).reshape(-1, how.passage, basis.shape[1]).sum(axis=1)
+            for total, axis in zip(product, np.ascontiguousarray(passages.T, np.float64)):
+                total += np.bincount(places, np.repeat(axis, how.passage), COLUMNS + 1)
         yield pa.RecordBatch.from_arrays([pa.array([product[:, :COLUMNS].T.tobytes()], pa.binary())], ["part"])
 
     total = sum_arrays(few(tokens).mapInArrow(sketch, "part binary"), basis.size).reshape(basis.shape)
@@ -152,12 +153,14 @@ def common_words(item: np.ndarray, text: np.ndarray) -> int:
     return len(item) - bin(row).count("1")
 
 
-def running_sums(rows: np.ndarray, block: int = 32) -> np.ndarray:
-    """Row i: the sum of the first i rows. Blocks of rows are summed up by one product, then their totals."""
-    count, width = rows.shape
-    padded = np.zeros((-(-count // block) * block, width), np.float32)
-    padded[:count] = rows
-    sums = np.zeros((len(padded) + 1, width), np.float32)
+def running_sums(table: np.ndarray, rows: np.ndarray, block: int = 32) -> np.ndarray:
+    """Row i: the sum of the first i of ``rows`` of a table. Blocks are summed up by one product, then their totals."""
+    count, width = len(rows), table.shape[1]
+    padded = np.empty((-(-count // block) * block, width), np.float32)
+    table.take(rows, axis=0, out=padded[:count], mode="clip")
+    padded[count:] = 0
+    sums = np.empty((len(padded) + 1, width), np.float32)
+    sums[0] = 0
     blocks = sums[1:].reshape(-1, block, width)
     np.matmul(np.tri(block, dtype=np.float32), padded.reshape(-1, block, width), out=blocks)
     blocks[1:] += np.cumsum(blocks[:-1, -1], axis=0)[:, None]
@@ -230,7 +233,7 @@ class Items:
         joined = np.concatenate(texts) if texts else np.empty(0, np.uint32)
         if not len(joined):
             return
-        sums = running_sums(self.axes.take(columns_of(joined), axis=0))
+        sums = running_sums(self.axes, columns_of(joined))
         slots = (joined % SLOTS).astype(np.int32)
         best: dict[tuple[int, int], tuple] = {}
         for length, own, vectors, present in self.classes:
