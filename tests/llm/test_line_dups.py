@@ -5,7 +5,7 @@ import pytest
 
 from turnlens.llm.alignment import similar
 from turnlens.llm.hashing import WordHashes, words
-from turnlens.llm.line_dups import LineRule, dedup_lines, keys_of
+from turnlens.llm.line_dups import LineRule, Tokens, dedup_lines, keys_of, parities
 
 
 def with_edits(line, edits, rng):
@@ -18,7 +18,7 @@ def with_edits(line, edits, rng):
 
 @pytest.mark.parametrize("similarity", [0.8, 0.9])
 def test_every_pair_of_similar_lines_shares_a_key(prose, similarity):
-    rng, hashes, pairs = random.Random(4), WordHashes(), []
+    rng, hashes, pairs = random.Random(4), Tokens(), []
     for length in [*range(5, 41), 60, 79, 100, 101, 150, 199, 200]:
         for _ in range(20):
             line = prose(length, rng.randrange(10**6))
@@ -36,6 +36,16 @@ def test_every_pair_of_similar_lines_shares_a_key(prose, similarity):
     assert all(set(a.tolist()) & set(b.tolist()) for a, b in zip(keys[::2], keys[1::2]))
 
 
+def test_sketches_rule_out_no_similar_lines(prose):
+    rng, hashes = random.Random(9), Tokens()
+    for length in [*range(5, 60, 3), 100, 199]:
+        for edits in range(0, length // 5 + 1):
+            line = prose(length, rng.randrange(10**6))
+            both = [hashes.of(words(x)) for x in (line, with_edits(line, edits, rng))]
+            one, other = parities(np.concatenate(both), np.array([len(x) for x in both]))
+            assert sum(((a ^ b) & ((1 << 64) - 1)).bit_count() for a, b in zip(one.tolist(), other.tolist())) <= 2 * edits
+
+
 def test_short_lines_and_long_passages_with_a_fifth_changed(make_docs, prose):
     rng, rows = random.Random(6), []
     for number, length in enumerate((5, 6, 10, 15, 20, 60, 100, 200)):

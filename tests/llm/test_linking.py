@@ -46,7 +46,7 @@ def test_every_similar_pair_ends_in_one_group_even_under_one_popular_key(spark):
         x, y = values.toDF("a", "x"), values.toDF("b", "y")
         return pairs.join(x, "a").join(y, "b").filter("x = y")
 
-    roots = {r.id: r.root for r in verified_groups(keyed, verify, refine=0).collect()}
+    roots = {r.id: r.root for r in verified_groups(keyed, verify).collect()}
     assert roots == {101 + 2 * i: 100 + 2 * i for i in range(20)}
 
 
@@ -73,7 +73,8 @@ def test_chains_under_popular_keys_with_default_rounds(spark):
     near = lambda i, j: 0 < (j - i) % 120 <= 3 and rng.random() < 0.8
     like = [(i, j) for i in keyed for j in keyed if i < j and near(i, j)]
     want = brute_roots([(i, j) for i, j in like if set(keyed[i]) & set(keyed[j])])
-    assert grouped(spark, keyed, like) == {x: r for x, r in want.items() if x != r}
+    for choices in (2, 16):
+        assert grouped(spark, keyed, like, choices=choices) == {x: r for x, r in want.items() if x != r}
 
 
 def test_no_keys(spark):

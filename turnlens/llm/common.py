@@ -34,7 +34,7 @@ class Scratch:
         """Write and read back: cuts the lineage, and survives lost executors."""
         path = scratch_path(self.spark, name)
         self.paths.append(path)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def bucketed(self, df: DataFrame, key: str, name: str) -> DataFrame:
@@ -45,7 +45,7 @@ class Scratch:
         self.paths.append(path)
         self.tables.append(table_name)
         writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
-        writer.format("parquet").option("path", path).saveAsTable(table_name)
+        writer.format("parquet").option("compression", "zstd").option("path", path).saveAsTable(table_name)
         return self.spark.table(table_name)
 
     def drop(self, keep: int = 0) -> None:

@@ -15,15 +15,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnlens.llm.common import Scratch, text_or_empty
+from turnlens.llm.alignment import similar
+from turnlens.llm.common import Scratch
 from turnlens.llm.hashing import WordHashes, mix, words
 from turnlens.llm.linking import verified_groups
-from turnlens.llm.near_dups import aligned, with_bags
+from turnlens.llm.near_dups import bag, bags_fit
 
 
 @dataclass(frozen=True)
@@ -34,9 +36,14 @@ class LineRule:
     similarity: float = 0.8
 
 
-#: A line occurrence: its place, two hashes of its words, and its keys.
-LINE = pa.struct([("line", pa.int32()), ("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.list_(pa.int64()))])
-LINE_SQL = "struct<line:int,d1:bigint,d2:bigint,keys:array<bigint>>"
+#: Longs of the sketch of a line, which says how far apart two lines are at least.
+SKETCH = 3
+
+#: A line occurrence: its row and place, two hashes of its words, their number, sketch and tokens.
+LINE_SQL = "line int, d1 bigint, d2 bigint, n int, " + ", ".join(f"s{i} bigint" for i in range(SKETCH)) + ", tokens binary"
+
+#: Lines of which a task remembers that their tokens were given.
+LINES_KNOWN = 1 << 20
 
 #: Words whose keys are computed at once.
 WORDS_AT_ONCE = 1 << 16
@@ -89,8 +96,8 @@ def line_keys(tokens: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, rule:
     return line[kept], key[kept].view(np.int64)
 
 
-def digests(tokens: np.ndarray) -> tuple[int, int]:
-    value = xxhash.xxh3_128_intdigest(tokens.tobytes())
+def digests(tokens: bytes) -> tuple[int, int]:
+    value = xxhash.xxh3_128_intdigest(tokens)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     return signed(value >> 64), signed(value & ((1 << 64) - 1))
 
@@ -109,74 +116,136 @@ def keys_of(parts: list[np.ndarray], sizes: list[np.ndarray], rule: LineRule) ->
     return made
 
 
+def token_of(word: str) -> int:
+    """32 bits that stand for a word: its length, up to 15, above 28 bits of its hash."""
+    value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+    return (min(len(word), 15) << 28) | (value & 0xFFFFFFF)
+
+
+def parities(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """One row of longs a line: whether the number of its words that fall to each bit is odd.
+
+    A word taken away or added turns one bit, a changed one two, so that lines differ in no more
+    bits than twice their edits.
+    """
+    places = 64 * SKETCH
+    line = np.repeat(np.arange(len(lengths)), lengths)
+    bit = (mix(tokens, 59) % np.uint64(places)).astype(np.int64)
+    odd = np.bincount(line * places + bit, minlength=len(lengths) * places).astype(np.uint8).reshape(-1, places) & 1
+    return np.packbits(odd, axis=1).view(np.int64).reshape(-1, SKETCH)
+
+
+def may_be_similar(rule: LineRule) -> Column:
+    """Condition on n and the sketch of two lines that all similar ones fulfil."""
+    longer = F.greatest("n", "rep_n")
+    bits = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"rep_s{i}"))) for i in range(SKETCH)), F.lit(0))
+    most = F.floor((1.0 - rule.similarity) * longer + 1e-6)
+    return (longer - F.least("n", "rep_n") <= most) & (bits <= 2 * most)
+
+
 def hashed_lines(rows: DataFrame, rule: LineRule) -> DataFrame:
-    """row and found (LINE) of the lines long enough, from (row, text)."""
+    """row, rank and LINE_SQL of the lines long enough, from (row, rank, text).
+
+    Tokens are null where the task has given them for an equal line before.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, known = Tokens(), set()
         for whole in batches:
             for first in range(0, len(whole), 100):
                 batch = whole.slice(first, 100)
-                places, parts, sizes = [], [], []
-                for number, text in enumerate(batch.column(1)):
+                rows_of, lines, parts = [], [], []
+                for number, text in enumerate(batch.column(2)):
                     for line, content in enumerate(text.as_py().split("\n")):
                         named = words(content)
                         if len(named) >= rule.min_words:
-                            places.append((number, line))
+                            rows_of.append(number)
+                            lines.append(line)
                             parts.append(hashes.of(named))
-                            sizes.append(np.fromiter(map(len, named), np.int64, len(named)))
-                found: list[list[dict]] = [[] for _ in range(len(batch))]
-                for (number, line), part, keys in zip(places, parts, keys_of(parts, sizes, rule)):
-                    d1, d2 = digests(part)
-                    found[number].append({"line": line, "d1": d1, "d2": d2, "keys": keys.tolist()})
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(LINE))], ["row", "found"])
+                if not parts:
+                    continue
+                lengths = np.array([len(p) for p in parts])
+                tokens = [p.astype(np.uint32).tobytes() for p in parts]
+                pairs = [digests(t) for t in tokens]
+                given: list[bytes | None] = []
+                for pair, token in zip(pairs, tokens):
+                    given.append(None if pair in known else token)
+                    if len(known) >= LINES_KNOWN:
+                        known.clear()
+                    known.add(pair)
+                sketch = np.concatenate([parities(np.concatenate(parts[i : i + 1000]), lengths[i : i + 1000]) for i in range(0, len(parts), 1000)])
+                taken = pa.array(rows_of, pa.int64())
+                columns = [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(lines, pa.int32())]
+                d1, d2 = zip(*pairs)
+                columns += [pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(lengths, pa.int32())]
+                columns += [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH)] + [pa.array(given, pa.binary())]
+                names = ["row", "rank", *[c.split()[0] for c in LINE_SQL.split(", ")]]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return rows.mapInArrow(run, f"row long, rank {rows.schema['rank'].dataType.simpleString()}, {LINE_SQL}")
+
+
+class Tokens(WordHashes):
+    """Like WordHashes, but with ``token_of`` each word."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        value = token_of(word)
+        if len(word) <= 64:
+            self[word] = value
+        return value
+
+
+def with_keys(lines: DataFrame, rule: LineRule) -> DataFrame:
+    """id and keys, from (id, tokens)."""
 
-    return rows.mapInArrow(run, f"row long, found array<{LINE_SQL}>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for first in range(0, len(whole), 1000):
+                batch = whole.slice(first, 1000)
+                parts = [np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column(1)]
+                keys = keys_of(parts, [(p >> np.uint32(28)).astype(np.int64) for p in parts], rule)
+                ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(ends, np.concatenate(keys))], ["id", "keys"])
 
+    return lines.mapInArrow(run, "id long, keys array<bigint>")
 
-def tokens_of_lines(rows: DataFrame) -> DataFrame:
-    """id and tokens of lines, from (text, wanted): ``wanted`` holds (line, id) of the text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for batch in batches:
-            ids, tokens = [], []
-            for text, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
-                lines = text.as_py().split("\n")
-                for x in wanted:
-                    ids.append(x["id"])
-                    tokens.append(hashes.of(words(lines[x["line"]])).astype(np.uint32).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(tokens, pa.binary())], ["id", "tokens"])
+def aligned_lines(pairs: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+    """Those pairs (a, b) of lines (id, tokens) that have an edit similarity of ``threshold``."""
+
+    @F.pandas_udf("boolean")
+    def match(left: pd.Series, right: pd.Series) -> pd.Series:
+        found = np.zeros(len(left), bool)
+        x, y = left.tolist(), right.tolist()
+        for first in range(0, len(x), 1000):
+            xs, ys = x[first : first + 1000], y[first : first + 1000]
+            most = np.array([int((1.0 - threshold) * (max(len(i), len(j)) // 4) + 1e-6) for i, j in zip(xs, ys)])
+            for i in np.flatnonzero(bags_fit([bag(t) for t in xs], [bag(t) for t in ys], most)):
+                found[first + i] = similar(np.frombuffer(xs[i], np.uint32), np.frombuffer(ys[i], np.uint32), threshold)
+        return pd.Series(found)
 
-    return rows.mapInArrow(run, "id long, tokens binary")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    tokens = lines.join(wanted, "id", "left_semi")
+    both = pairs.join(tokens.toDF("b", "y"), "b").join(tokens.toDF("a", "x"), "a")
+    return both.filter(match("x", "y"))
 
 
-def line_groups(found: DataFrame, lines: DataFrame, texts: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame:
+def line_groups(lines: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame:
     """d1, d2, group, first: each distinct line with its group and the group's first occurrence.
 
-    ``found`` has (row, found), ``lines`` (rank, row, line, d1, d2), where rank orders the texts,
-    and ``texts`` (row, text).
+    ``lines`` has (id, row, rank) and LINE_SQL, where rank orders the texts.
     """
+    marks = ["n", *[f"s{i}" for i in range(SKETCH)]]
     place = F.struct("rank", "row", "line")
-    distinct = scratch.pin(lines.groupBy("d1", "d2").agg(F.min(place).alias("first")), "lines")
-    # d1 names a line; of two lines that share d1, which is next to impossible, one stays out.
-    named = distinct.groupBy("d1").agg(F.min("d2").alias("d2"))
-    # Only lines that share a key with another one are looked at further.
-    entries = found.select(F.explode("found").alias("x")).select(F.col("x.d1").alias("id"), F.explode("x.keys").alias("key"))
-    entries = entries.groupBy("key", "id").agg(F.count(F.lit(1)).alias("n"))
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    keys = entries.select("key", "id").join(shared, "key").groupBy("id").agg(F.collect_set("key").alias("keys"))
-    keys = scratch.pin(keys, "keys")
-    heads = distinct.join(named, ["d1", "d2"]).join(keys.select(F.col("id").alias("d1")), "d1", "left_semi")
-    heads = heads.select("first.row", F.struct(F.col("first.line").alias("line"), F.col("d1").alias("id")).alias("x"))
-    wanted = heads.groupBy("row").agg(F.collect_list("x").alias("wanted"))
-    content = scratch.bucketed(with_bags(tokens_of_lines(texts.join(wanted, "row").select("text", "wanted"))), "id", "content")
-    roots = verified_groups(keys, lambda pairs: aligned(pairs, content, rule.similarity))
-    roots = roots.withColumnRenamed("id", "d1")
-    grouped = distinct.join(named.withColumn("in", F.lit(True)), ["d1", "d2"], "left").join(roots, "d1", "left")
-    group = F.when(F.col("in") & F.col("root").isNotNull(), F.col("root")).otherwise(F.col("d1"))
-    apart = F.when(F.col("in"), F.lit(0)).otherwise(F.col("d2"))
-    grouped = grouped.select("d1", "d2", F.struct(group.alias("d1"), apart.alias("apart")).alias("group"), "first")
+    named = F.min(F.when(F.col("tokens").isNotNull(), F.struct("id", *marks)))
+    distinct = lines.groupBy("d1", "d2").agg(named.alias("x"), F.min(place).alias("first"))
+    distinct = scratch.pin(distinct.select("d1", "d2", "x.*", "first"), "lines")
+    given = lines.filter(F.col("tokens").isNotNull()).select("id", "tokens")
+    verify = lambda pairs: aligned_lines(pairs, given, rule.similarity)
+    roots = verified_groups(with_keys(given, rule), verify, may_be_similar(rule), distinct.select("id", *marks))
+    grouped = distinct.join(roots, "id", "left").select("d1", "d2", F.coalesce("root", "id").alias("group"), "first")
     firsts = grouped.groupBy("group").agg(F.min("first").alias("first"))
     return grouped.drop("first").join(firsts, "group")
 
@@ -196,18 +265,15 @@ def dedup_lines(
     columns = [c for c in docs.columns if c != "lines_removed"]
     scratch, spark = Scratch(docs.sparkSession), docs.sparkSession
     numbered = docs.select(F.monotonically_increasing_id().alias("row_"), F.struct(*[F.col(f"`{c}`") for c in columns]).alias("d_"))
-    # The result reads this table, so it stays; texts are laid out by row and move only once.
-    source = Scratch(spark).bucketed(numbered, "row_", "texts")
+    # The result reads this table, so it stays.
+    source = Scratch(spark).pin(numbered, "texts")
     text = F.coalesce(F.col("d_").getField(text_col).cast("string"), F.lit(""))
-    texts = source.select(F.col("row_").alias("row"), text.alias("text"))
     rank = F.struct(F.col("d_").getField(id_col).isNull().alias("no_id"), F.col("d_").getField(id_col).alias("id"))
-    ranks = source.select(F.col("row_").alias("row"), rank.alias("rank"))
-    found = scratch.pin(hashed_lines(texts, rule).filter(F.size("found") > 0), "found")
-    lines = found.join(ranks, "row").select("rank", "row", F.explode("found").alias("x"))
-    lines = lines.select("rank", "row", "x.line", "x.d1", "x.d2")
-    groups = line_groups(found, lines, texts, rule, scratch)
+    found = hashed_lines(source.select(F.col("row_").alias("row"), rank.alias("rank"), text.alias("text")), rule)
+    lines = scratch.pin(found.withColumn("id", F.monotonically_increasing_id()), "found")
+    groups = line_groups(lines, rule, scratch)
     gone = (
-        lines.drop("rank")
+        lines.select("row", "line", "d1", "d2")
         .join(groups, ["d1", "d2"])
         .filter(~((F.col("row") == F.col("first.row")) & (F.col("line") == F.col("first.line"))))
         .groupBy("row")

@@ -1,87 +1,84 @@
 """Groups of rows connected by verified links between rows that share a key.
 
-Rows that share a key are not compared with each other in pairs. Each key names a
-representative among its rows, and every row is compared with those; rows that no
-representative matched meet again in finer keys, where other representatives are chosen. These
-rounds find most links at little cost. At the end every key is gone through until no two of its
-rows are both of different groups and uncompared. Keys are reduced by partial aggregation, and
-rows meet their representatives in a join that adaptive execution can split, so a key that a
-third of all rows share is no single task.
+Rows that share a key are not compared with each other in pairs. Each key names its smallest row,
+and every row is compared with that one, which finds most links at little cost. Then every key
+is gone through until no two of its rows are both of different groups and uncompared. What rows
+say of themselves, such as their length, is compared inside the join that lets them meet. Keys
+are reduced by partial aggregation, and rows meet their representatives in a join that adaptive
+execution can split, so a key that a third of all rows share is no single task there; only the
+search for keys that occur once streams the rows of a key through one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnlens.llm.common import Scratch
 
 
 def _meetings(entries: DataFrame) -> DataFrame:
-    """id, key, rep for every key with two rows or more."""
-    named = entries.groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    return entries.join(named.filter("n > 1").select("key", "rep"), "key").select("id", "key", "rep")
+    """key, id, rep: the entries (key, id) of keys with two rows or more, and the smallest row of the key.
 
-
-def _representatives(entries: DataFrame, choices: int) -> DataFrame:
-    """key, rep, rep_group: up to ``choices`` rows of each key, none of the key's largest group."""
-    share = F.pmod(F.xxhash64("id", "key"), F.lit(choices))
-    named = entries.filter("group <> most").groupBy("key", share).agg(F.min(F.struct("id", "group")).alias("x"))
-    return named.select("key", F.col("x.id").alias("rep"), F.col("x.group").alias("rep_group"))
-
-
-def _finer(rest: DataFrame) -> DataFrame:
-    """Keys of two keys that follow each other: what is left to rows that share much, but no popular key alone."""
-    keys = rest.groupBy("id").agg(F.array_sort(F.collect_set("key")).alias("keys")).filter(F.size("keys") > 1)
-    pairs = F.zip_with(F.slice("keys", 1, F.size("keys") - 1), F.slice("keys", 2, F.size("keys")), lambda x, y: F.xxhash64(x, y))
-    return keys.select("id", F.explode(pairs).alias("key"))
+    Entries are moved once, to their key, and read from there for both sides of the join.
+    """
+    dealt = entries.repartition("key")
+    named = dealt.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last"))
+    return dealt.join(named.filter("rep < last").select("key", "rep"), "key")
 
 
-def _undecided(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """id, key, group, most: the rows of keys that hold several groups, and the group with most rows of the key."""
-    if roots is None:
-        grouped = entries.select("id", "key", F.col("id").alias("group"))
-    else:
-        grouped = entries.join(roots, "id", "left").select("id", "key", F.coalesce("root", "id").alias("group"))
-    sizes = grouped.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
-    keys = sizes.groupBy("key").agg(F.max(F.struct("n", "group")).alias("top"), F.count(F.lit(1)).alias("groups"))
-    return grouped.join(keys.filter("groups > 1").select("key", F.col("top.group").alias("most")), "key")
+def _undecided(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """key, id, group, most: the entries of keys that hold several groups, and the group with most rows of the key."""
+    grouped = entries.join(groups, "id").select("key", "id", "group")
+    keys = grouped.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("last")).filter("least < last")
+    apart = grouped.join(keys.select("key"), "key", "left_semi")
+    sizes = apart.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
+    return apart.join(sizes.groupBy("key").agg(F.max_by("group", F.struct("n", "group")).alias("most")), "key")
 
 
-def _apart(met: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """Rows (id, rep, ...) that are not yet known to be of one group."""
-    if roots is None:
-        return met.filter("id <> rep")
-    both = met.filter("id <> rep").join(roots.toDF("id", "root_id"), "id", "left").join(roots.toDF("rep", "root_rep"), "rep", "left")
-    apart = F.coalesce("root_id", "id") != F.coalesce("root_rep", "rep")
-    return both.filter(apart).select(*met.columns)
+def _representatives(entries: DataFrame, choices: int, marks: list[str]) -> DataFrame:
+    """key, rep, rep_group and rep_<mark>: up to ``choices`` rows of each key, none of the key's largest group."""
+    share = F.pmod(F.xxhash64("id", "key"), F.lit(choices))
+    named = entries.filter("group <> most").groupBy("key", share).agg(F.min(F.struct("id", "group", *marks)).alias("x"))
+    return named.select(
+        "key", F.col("x.id").alias("rep"), F.col("x.group").alias("rep_group"), *[F.col(f"x.{m}").alias(f"rep_{m}") for m in marks]
+    )
 
 
 def verified_groups(
-    rows: DataFrame, verify: Callable[[DataFrame], DataFrame], batches: int = 4, refine: int = 2
+    rows: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    may: Column | None = None,
+    marked: DataFrame | None = None,
+    choices: int = 16,
 ) -> DataFrame:
     """id, root: the groups of rows (id, keys) that verified links connect; others are left out.
 
+    ``marked``, if given, has id and the marks of the rows that count; other rows are left out.
+
     ``verify`` takes distinct pairs (a, b), a < b, that share a key and returns those that match.
-    First come cheap rounds: keys are taken in ``batches`` by their hash, within a batch the rows
-    of a known group that share a key count as one, and every row meets the smallest row of each
-    of its keys. Rows that stayed apart meet again by pairs of keys, ``refine`` times over. Then
-    all rows, each member of a group among them, go through all their keys: the rows outside the
-    largest group of a key meet every row of the key that is of another group, some at a time and
-    ever more, until no key holds two rows of different groups that have not met. No likeness is
+    ``may`` is a condition on the marks of a row, ``n`` say, and of the one it meets, ``rep_n``,
+    that all matching pairs fulfil; it is part of the join, so no other pair is ever written.
+
+    First every row meets the smallest row of each of its keys. Then all rows of keys that hold
+    several groups, each member of a group among them, go on: the rows outside the largest group
+    of a key meet every row of the key that is of another group, ``choices`` at a time and ever
+    more, until no key holds two rows of different groups that have not met. No likeness is
     taken for granted but that of one group, and no row is dropped for the size of its key.
     """
     spark = rows.sparkSession
     scratch = Scratch(spark)
-    left: DataFrame | None = None
+    marked = rows.select("id") if marked is None else marked
+    marks = [c for c in marked.columns if c != "id"]
+    may = F.lit(True) if may is None else may
     roots: DataFrame | None = None
     tried: DataFrame | None = None
 
-    def link(pairs: DataFrame) -> None:
+    def link(met: DataFrame) -> None:
         nonlocal roots, tried
-        ordered = pairs.select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
+        ordered = met.select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
         if tried is not None:
             ordered = ordered.join(tried, ["a", "b"], "left_anti")
         ordered = scratch.pin(ordered, "pairs")
@@ -90,44 +87,33 @@ def verified_groups(
         if not links.isEmpty():
             roots = components(links if roots is None else links.union(roots.select("id", "root")))
 
-    def round_of(entries: DataFrame, first_only: bool = False) -> DataFrame:
-        """Compare with one representative a key, and return the meetings of rows that stay apart."""
-        held = Scratch(spark)
-        met = held.pin(_meetings(entries), "met")
-        if met.isEmpty():
-            return met
-        pairs = _apart(met, roots)
-        link(pairs.groupBy("id").agg(F.min("rep").alias("rep")) if first_only else pairs.select("id", "rep"))
-        apart = scratch.pin(_apart(met, roots).select("id", "key", "rep"), "apart")
-        held.drop()
-        return apart
-
-    for batch in range(batches):
-        own = rows if roots is None else rows.join(roots, "id", "left")
-        group = F.col("id") if roots is None else F.coalesce("root", "id")
-        part = F.filter("keys", lambda k: F.pmod(k, F.lit(batches)) == batch)
-        entries = own.select("id", group.alias("group"), F.explode(part).alias("key"))
-        entries = entries.groupBy("key", "group").agg(F.min("id").alias("id")).select("id", "key")
-        rest = round_of(entries, first_only=True)
-        left = rest if left is None else left.union(rest)
-    for _ in range(refine):
-        left = round_of(_finer(left.select("id", "key").distinct()))
-        if left.isEmpty():
-            break
-
-    entries, choices, before = rows.select("id", F.explode(F.array_distinct("keys")).alias("key")), 8, None
+    def meet(entries: DataFrame, reps: DataFrame, apart: Column) -> DataFrame:
+        own, other = entries.alias("own"), reps.withColumnRenamed("key", "rep_key")
+        return own.join(other, (F.col("own.key") == F.col("rep_key")) & apart & may).select("id", "rep")
+
+    def groups() -> DataFrame:
+        if roots is None:
+            return marked.select("id", F.col("id").alias("group"))
+        return marked.select("id").join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("group"))
+
+    held = Scratch(spark)
+    met = held.pin(_meetings(rows.select(F.explode(F.array_distinct("keys")).alias("key"), "id")), "met")
+    first = met.filter("id <> rep").select("id", "rep").distinct().join(marked, "id")
+    other = marked.select(F.col("id").alias("rep"), *[F.col(m).alias(f"rep_{m}") for m in marks])
+    link(first.join(other, "rep").filter(may))
+    entries = met.select("key", "id")
     while True:
-        held = Scratch(spark)
-        entries = held.pin(_undecided(entries, roots), "entries")
-        if before is not None:
-            before.drop()
+        before, held = held, Scratch(spark)
+        entries = _undecided(entries, groups())
+        entries = held.pin(entries.join(marked, "id") if marks else entries, "entries")
+        before.drop()
         if entries.isEmpty():
             break
-        reps = held.pin(_representatives(entries, choices), "reps")
-        link(entries.join(reps, "key").filter("group <> rep_group").select("id", "rep"))
+        reps = held.pin(_representatives(entries, choices, marks), "reps")
+        link(meet(entries, reps, F.col("group") != F.col("rep_group")))
         # A representative has met every row of its key.
-        entries = entries.select("id", "key").join(reps.select(F.col("rep").alias("id"), "key"), ["id", "key"], "left_anti")
-        choices, before = choices * 8, held
+        entries = entries.select("key", "id").join(reps.select(F.col("rep").alias("id"), "key"), ["id", "key"], "left_anti")
+        choices *= 16
     held.drop()
     if roots is None:
         scratch.drop()

@@ -192,7 +192,9 @@ def classes(made: DataFrame, members: DataFrame, omh: OrderMinHash) -> DataFrame
     scratch = Scratch(made.sparkSession)
     content = scratch.bucketed(with_bags(distinct.select(F.col("row").alias("id"), "tokens")), "id", "content")
     keys = distinct.select(F.col("row").alias("id"), "keys")
-    roots = verified_groups(keys, lambda pairs: aligned(pairs, content, omh.similarity))
+    longer, shorter = F.greatest("n", "rep_n"), F.least("n", "rep_n")
+    fits = shorter >= longer * omh.similarity - 0.001
+    roots = verified_groups(keys, lambda pairs: aligned(pairs, content, omh.similarity), fits, content.select("id", "n"))
     scratch.drop()
     group = F.coalesce("root", "first").alias("group")
     placed = members.join(firsts, "digest").join(roots.withColumnRenamed("id", "first"), "first", "left")
