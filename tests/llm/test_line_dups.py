@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 
 from turnlens.llm.alignment import similar
-from turnlens.llm.hashing import WordHashes, words
-from turnlens.llm.line_dups import LineRule, Tokens, dedup_lines, keys_of, parities
+from turnlens.llm.hashing import WordHashes, parities, words
+from turnlens.llm.line_dups import LineRule, Tokens, dedup_lines, keys_of
 
 
 def with_edits(line, edits, rng):
@@ -42,7 +42,7 @@ def test_sketches_rule_out_no_similar_lines(prose):
         for edits in range(0, length // 5 + 1):
             line = prose(length, rng.randrange(10**6))
             both = [hashes.of(words(x)) for x in (line, with_edits(line, edits, rng))]
-            one, other = parities(np.concatenate(both), np.array([len(x) for x in both]))
+            one, other = parities(np.concatenate(both), np.array([len(x) for x in both]), 3)
             assert sum(((a ^ b) & ((1 << 64) - 1)).bit_count() for a, b in zip(one.tolist(), other.tolist())) <= 2 * edits
 
 

@@ -60,5 +60,18 @@ def rolling(values: np.ndarray, size: int) -> np.ndarray:
     return mix(out, size)
 
 
+def parities(tokens: np.ndarray, lengths: np.ndarray, longs: int) -> np.ndarray:
+    """One row of longs a text: whether the number of its words that fall to each bit is odd.
+
+    ``tokens`` holds the words of all texts. A word taken away or added turns one bit, a changed
+    one two, so that texts differ in no more bits than twice their edits.
+    """
+    places = 64 * longs
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    bit = (mix(tokens, 59) % np.uint64(places)).astype(np.int64)
+    odd = np.bincount(text * places + bit, minlength=len(lengths) * places).astype(np.uint8).reshape(-1, places) & 1
+    return np.packbits(odd, axis=1).view(np.int64).reshape(-1, longs)
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)

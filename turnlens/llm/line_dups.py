@@ -18,13 +18,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnlens.llm.alignment import similar
 from turnlens.llm.common import Scratch
-from turnlens.llm.hashing import WordHashes, mix, words
-from turnlens.llm.linking import verified_groups
+from turnlens.llm.hashing import WordHashes, mix, parities, words
+from turnlens.llm.linking import may_be_similar, verified_groups
 from turnlens.llm.near_dups import bag, bags_fit
 
 
@@ -93,7 +93,8 @@ def line_keys(tokens: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, rule:
     key, line = key[order], line[order]
     start = np.searchsorted(line, np.arange(len(lengths)))
     kept = np.arange(len(line)) - start[line] < keys_in(lengths, size, rule)[line]
-    return line[kept], key[kept].view(np.int64)
+    # 48 bits are enough to tell keys apart, and move in fewer bytes.
+    return line[kept], (key[kept] >> np.uint64(16)).view(np.int64)
 
 
 def digests(tokens: bytes) -> tuple[int, int]:
@@ -122,27 +123,6 @@ def token_of(word: str) -> int:
     return (min(len(word), 15) << 28) | (value & 0xFFFFFFF)
 
 
-def parities(tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """One row of longs a line: whether the number of its words that fall to each bit is odd.
-
-    A word taken away or added turns one bit, a changed one two, so that lines differ in no more
-    bits than twice their edits.
-    """
-    places = 64 * SKETCH
-    line = np.repeat(np.arange(len(lengths)), lengths)
-    bit = (mix(tokens, 59) % np.uint64(places)).astype(np.int64)
-    odd = np.bincount(line * places + bit, minlength=len(lengths) * places).astype(np.uint8).reshape(-1, places) & 1
-    return np.packbits(odd, axis=1).view(np.int64).reshape(-1, SKETCH)
-
-
-def may_be_similar(rule: LineRule) -> Column:
-    """Condition on n and the sketch of two lines that all similar ones fulfil."""
-    longer = F.greatest("n", "rep_n")
-    bits = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"rep_s{i}"))) for i in range(SKETCH)), F.lit(0))
-    most = F.floor((1.0 - rule.similarity) * longer + 1e-6)
-    return (longer - F.least("n", "rep_n") <= most) & (bits <= 2 * most)
-
-
 def hashed_lines(rows: DataFrame, rule: LineRule) -> DataFrame:
     """row, rank and LINE_SQL of the lines long enough, from (row, rank, text).
 
@@ -173,7 +153,7 @@ def hashed_lines(rows: DataFrame, rule: LineRule) -> DataFrame:
                     if len(known) >= LINES_KNOWN:
                         known.clear()
                     known.add(pair)
-                sketch = np.concatenate([parities(np.concatenate(parts[i : i + 1000]), lengths[i : i + 1000]) for i in range(0, len(parts), 1000)])
+                sketch = np.concatenate([parities(np.concatenate(parts[i : i + 1000]), lengths[i : i + 1000], SKETCH) for i in range(0, len(parts), 1000)])
                 taken = pa.array(rows_of, pa.int64())
                 columns = [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(lines, pa.int32())]
                 d1, d2 = zip(*pairs)
@@ -244,7 +224,7 @@ def line_groups(lines: DataFrame, rule: LineRule, scratch: Scratch) -> DataFrame
     distinct = scratch.pin(distinct.select("d1", "d2", "x.*", "first"), "lines")
     given = lines.filter(F.col("tokens").isNotNull()).select("id", "tokens")
     verify = lambda pairs: aligned_lines(pairs, given, rule.similarity)
-    roots = verified_groups(with_keys(given, rule), verify, may_be_similar(rule), distinct.select("id", *marks))
+    roots = verified_groups(with_keys(given, rule), verify, may_be_similar(rule.similarity, SKETCH), distinct.select("id", *marks))
     grouped = distinct.join(roots, "id", "left").select("d1", "d2", F.coalesce("root", "id").alias("group"), "first")
     firsts = grouped.groupBy("group").agg(F.min("first").alias("first"))
     return grouped.drop("first").join(firsts, "group")

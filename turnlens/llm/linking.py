@@ -47,12 +47,20 @@ def _representatives(entries: DataFrame, choices: int, marks: list[str]) -> Data
     )
 
 
+def may_be_similar(similarity: float, longs: int) -> Column:
+    """Condition on n and the sketch (s0, s1, ..., of ``parities``) of two rows that all similar ones fulfil."""
+    longer = F.greatest("n", "rep_n")
+    bits = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"rep_s{i}"))) for i in range(longs)), F.lit(0))
+    most = F.floor((1.0 - similarity) * longer + 1e-6)
+    return (longer - F.least("n", "rep_n") <= most) & (bits <= 2 * most)
+
+
 def verified_groups(
     rows: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     may: Column | None = None,
     marked: DataFrame | None = None,
-    choices: int = 16,
+    choices: int = 256,
 ) -> DataFrame:
     """id, root: the groups of rows (id, keys) that verified links connect; others are left out.
 
@@ -113,7 +121,7 @@ def verified_groups(
         link(meet(entries, reps, F.col("group") != F.col("rep_group")))
         # A representative has met every row of its key.
         entries = entries.select("key", "id").join(reps.select(F.col("rep").alias("id"), "key"), ["id", "key"], "left_anti")
-        choices *= 16
+        choices *= 64
     held.drop()
     if roots is None:
         scratch.drop()

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from turnlens.llm.alignment import similar
 from turnlens.llm.common import Scratch, text_or_empty, with_row
-from turnlens.llm.hashing import WordHashes, mix, offset, rolling, scramble, words
-from turnlens.llm.linking import verified_groups
+from turnlens.llm.hashing import WordHashes, mix, offset, parities, rolling, scramble, words
+from turnlens.llm.linking import may_be_similar, verified_groups
 from turnlens.sources.tables import pin
 
 
@@ -162,26 +162,32 @@ def near_duplicates(
     )
 
 
+#: Longs of the sketch of a text, which says how far apart two texts are at least.
+SKETCH = 16
+MARKS = [f"s{i}" for i in range(SKETCH)]
+
+
 def sketches(source: DataFrame, omh: OrderMinHash) -> DataFrame:
-    """row, id, digest of the words, their 32-bit hashes and the keys, from (row, text, id)."""
+    """row, id, digest of the words, their 32-bit hashes, the keys, the number of words and MARKS, from (row, text, id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            made = []
+            made, marks = [], []
             for text in batch.column(1):
                 words_in = hashes.of(words(text.as_py()))
                 # Without any word only the text itself can be equal to another.
                 content = words_in.tobytes() if len(words_in) else b"\0" + text.as_py().encode("utf-8", "surrogatepass")
-                made.append((xxhash.xxh3_128_digest(content), words_in.astype(np.uint32).tobytes(), order_keys(words_in, omh)))
+                made.append((xxhash.xxh3_128_digest(content), words_in.astype(np.uint32).tobytes(), order_keys(words_in, omh), len(words_in)))
+                marks.append(parities(words_in, np.array([len(words_in)]), SKETCH))
             if made:
-                digest, tokens, keys = zip(*made)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(digest), pa.array(tokens), pa.array(keys, pa.list_(pa.int64()))],
-                    ["row", "id", "digest", "tokens", "keys"],
-                )
+                digest, tokens, keys, n = zip(*made)
+                columns = [batch.column(0), batch.column(2), pa.array(digest), pa.array(tokens), pa.array(keys, pa.list_(pa.int64()))]
+                columns += [pa.array(n, pa.int32()), *map(pa.array, np.ascontiguousarray(np.concatenate(marks).T))]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "id", "digest", "tokens", "keys", "n", *MARKS])
 
-    schema = f"row long, id {source.schema['id'].dataType.simpleString()}, digest binary, tokens binary, keys array<long>"
+    schema = f"row long, id {source.schema['id'].dataType.simpleString()}, digest binary, tokens binary, keys array<long>, n int, "
+    schema += ", ".join(f"{m} long" for m in MARKS)
     return source.mapInArrow(run, schema)
 
 
@@ -192,9 +198,9 @@ def classes(made: DataFrame, members: DataFrame, omh: OrderMinHash) -> DataFrame
     scratch = Scratch(made.sparkSession)
     content = scratch.bucketed(with_bags(distinct.select(F.col("row").alias("id"), "tokens")), "id", "content")
     keys = distinct.select(F.col("row").alias("id"), "keys")
-    longer, shorter = F.greatest("n", "rep_n"), F.least("n", "rep_n")
-    fits = shorter >= longer * omh.similarity - 0.001
-    roots = verified_groups(keys, lambda pairs: aligned(pairs, content, omh.similarity), fits, content.select("id", "n"))
+    marked = distinct.select(F.col("row").alias("id"), "n", *MARKS)
+    fits = may_be_similar(omh.similarity, SKETCH)
+    roots = verified_groups(keys, lambda pairs: aligned(pairs, content, omh.similarity), fits, marked)
     scratch.drop()
     group = F.coalesce("root", "first").alias("group")
     placed = members.join(firsts, "digest").join(roots.withColumnRenamed("id", "first"), "first", "left")
