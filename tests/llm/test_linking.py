@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -80,3 +81,28 @@ def test_chains_under_popular_keys_with_default_rounds(spark):
 def test_no_keys(spark):
     none = spark.createDataFrame([(1, [])], "id long, keys array<long>")
     assert verified_groups(none, lambda p: p).collect() == []
+
+
+def test_pinned_tables_leave_no_shuffle_files(spark):
+    from turnlens.llm.common import Scratch
+    from turnlens.sources.tables import SHUFFLE_CLEANUP_CONF, pin
+
+    folder = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f.toString() for f in _scala_list(folder.getAllFiles()) if f.getName().startswith("shuffle_")}
+
+    def _scala_list(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    before, set_before = files(), spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    counted = spark.range(5000).groupBy((F.col("id") % 50).alias("k")).count()
+    scratch = Scratch(spark)
+    made = [scratch.pin(counted, "x"), scratch.bucketed(counted, "k", "y"), pin(counted.repartition(3), "z")]
+    for _ in range(50):  # files go in the background
+        if not (left := files() - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP_CONF, None) == set_before
+    assert [m.count() for m in made] == [50] * 3
+    scratch.drop()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnlens.sources.tables import scratch_path
+from turnlens.sources.tables import scratch_path, shuffles_dropped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +34,8 @@ class Scratch:
         """Write and read back: cuts the lineage, and survives lost executors."""
         path = scratch_path(self.spark, name)
         self.paths.append(path)
-        df.write.option("compression", "zstd").parquet(path)
+        with shuffles_dropped(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def bucketed(self, df: DataFrame, key: str, name: str) -> DataFrame:
@@ -45,7 +46,8 @@ class Scratch:
         self.paths.append(path)
         self.tables.append(table_name)
         writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
-        writer.format("parquet").option("compression", "zstd").option("path", path).saveAsTable(table_name)
+        with shuffles_dropped(self.spark):
+            writer.format("parquet").option("compression", "zstd").option("path", path).saveAsTable(table_name)
         return self.spark.table(table_name)
 
     def drop(self, keep: int = 0) -> None:

@@ -156,10 +156,11 @@ def near_duplicates(
     a new number, or ``row_col``, whole numbers that differ from row to row.
     """
     source = with_row(docs, F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"), row_col=row_col)
-    made = pin(sketches(source.select("row", "text", "id"), omh), "sketches")
-    return classes(made, made.select("row", "digest", "id"), omh).select(
-        "row", F.col("id").alias(id_col), "class_id", "class_size", "kept"
-    )
+    scratch = Scratch(docs.sparkSession)
+    made = scratch.pin(sketches(source.select("row", "text", "id"), omh), "sketches")
+    found = classes(made, made.select("row", "digest", "id"), omh)
+    scratch.drop()
+    return found.select("row", F.col("id").alias(id_col), "class_id", "class_size", "kept")
 
 
 #: Longs of the sketch of a text, which says how far apart two texts are at least.
@@ -193,18 +194,19 @@ def sketches(source: DataFrame, omh: OrderMinHash) -> DataFrame:
 
 def classes(made: DataFrame, members: DataFrame, omh: OrderMinHash) -> DataFrame:
     """members with class_id, class_size and kept, from their sketches."""
-    firsts = pin(made.groupBy("digest").agg(F.min("row").alias("first")), "firsts")
-    distinct = made.join(firsts.select(F.col("first").alias("row")), "row", "left_semi")
     scratch = Scratch(made.sparkSession)
+    firsts = scratch.pin(made.groupBy("digest").agg(F.min("row").alias("first")), "firsts")
+    distinct = made.join(firsts.select(F.col("first").alias("row")), "row", "left_semi")
     content = scratch.bucketed(with_bags(distinct.select(F.col("row").alias("id"), "tokens")), "id", "content")
     keys = distinct.select(F.col("row").alias("id"), "keys")
     marked = distinct.select(F.col("row").alias("id"), "n", *MARKS)
     fits = may_be_similar(omh.similarity, SKETCH)
     roots = verified_groups(keys, lambda pairs: aligned(pairs, content, omh.similarity), fits, marked)
-    scratch.drop()
     group = F.coalesce("root", "first").alias("group")
     placed = members.join(firsts, "digest").join(roots.withColumnRenamed("id", "first"), "first", "left")
+    # The result reads this table, so it stays.
     placed = pin(placed.select(*members.columns, group), "placed")
+    scratch.drop()
     best = placed.groupBy("group").agg(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("best"), F.count(F.lit(1)).alias("class_size")
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import hashlib
 import json
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+#: Spark's setting that a query's shuffle files are deleted when the query ends.
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Folder inside a bucketed table that holds its layout.
 LAYOUT_FOLDER = "_layout"
 
@@ -46,6 +50,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries run in here leave no shuffle files behind; without it they stay until the driver collects garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP_CONF)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     """Overwrite a Parquet table (parent folders are created); a bucket layout of an earlier one goes."""
     if path_exists(df.sparkSession, f"{path.rstrip('/')}/{LAYOUT_FOLDER}"):
@@ -82,7 +100,8 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     times. The table outlives lost executors.
     """
     spark = df.sparkSession
-    path = write_table(df, scratch_path(spark, name))
+    with shuffles_dropped(spark):
+        path = write_table(df, scratch_path(spark, name))
     return spark.read.schema(df.schema).parquet(path)
 
 
