@@ -46,6 +46,16 @@ def test_sketches_rule_out_no_similar_lines(prose):
             assert sum(((a ^ b) & ((1 << 64) - 1)).bit_count() for a, b in zip(one.tolist(), other.tolist())) <= 2 * edits
 
 
+def test_the_bound_on_sketches_counts_added_words_once(spark):
+    from pyspark.sql import functions as F
+
+    from turnlens.llm.linking import may_be_similar
+
+    # 100 and 80 words: 20 added ones are all the edits there may be, so no more than 20 bits differ.
+    rows = spark.createDataFrame([(80, 100, (1 << 20) - 1, 0), (80, 100, (1 << 21) - 1, 0), (100, 100, (1 << 40) - 1, 0)], "n int, rep_n int, s0 long, rep_s0 long")
+    assert [r[0] for r in rows.select(may_be_similar(0.8, 1)).collect()] == [True, False, True]
+
+
 def test_short_lines_and_long_passages_with_a_fifth_changed(make_docs, prose):
     rng, rows = random.Random(6), []
     for number, length in enumerate((5, 6, 10, 15, 20, 60, 100, 200)):

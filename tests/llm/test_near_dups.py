@@ -48,6 +48,25 @@ def test_texts_near_the_threshold_share_a_key(length, similarity):
     assert found >= 99
 
 
+@pytest.mark.parametrize("length", [1250, 1400, 1500, 1600, 3000])
+@pytest.mark.parametrize("similarity", [0.8, 0.85])
+def test_long_texts_near_the_threshold_share_a_key(length, similarity):
+    rng, found = np.random.default_rng(length), 0
+    for _ in range(60):
+        text = rng.integers(0, 1 << 40, length)
+        other = np.delete(text, rng.choice(length, int((1 - similarity) * length + 1e-9), replace=False))
+        found += len(np.intersect1d(order_keys(text, OrderMinHash()), order_keys(other, OrderMinHash()))) > 0
+    assert found == 60
+
+
+def test_long_texts_seldom_share_a_key_for_one_passage():
+    rng, found = np.random.default_rng(2), 0
+    passage = rng.integers(0, 1 << 40, 60)
+    keys = [order_keys(np.concatenate((rng.integers(0, 1 << 40, 1500), passage, rng.integers(0, 1 << 40, 1500))), OrderMinHash()) for _ in range(40)]
+    found = sum(len(np.intersect1d(x, y)) > 0 for i, x in enumerate(keys) for y in keys[:i])
+    assert found < 0.05 * 780
+
+
 def test_bags_rule_out_no_pair_of_few_edits():
     rng = np.random.default_rng(3)
     for _ in range(200):

@@ -48,11 +48,14 @@ def _representatives(entries: DataFrame, choices: int, marks: list[str]) -> Data
 
 
 def may_be_similar(similarity: float, longs: int) -> Column:
-    """Condition on n and the sketch (s0, s1, ..., of ``parities``) of two rows that all similar ones fulfil."""
-    longer = F.greatest("n", "rep_n")
+    """Condition on n and the sketch (s0, s1, ..., of ``parities``) of two rows that all similar ones fulfil.
+
+    A changed word turns two bits at most and an added one a single bit, and as many are added as lengths differ.
+    """
+    longer, apart = F.greatest("n", "rep_n"), F.abs(F.col("n") - F.col("rep_n"))
     bits = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"rep_s{i}"))) for i in range(longs)), F.lit(0))
     most = F.floor((1.0 - similarity) * longer + 1e-6)
-    return (longer - F.least("n", "rep_n") <= most) & (bits <= 2 * most)
+    return (apart <= most) & (bits <= 2 * most - apart)
 
 
 def verified_groups(

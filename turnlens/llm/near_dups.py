@@ -1,11 +1,12 @@
 """Near duplicates by order MinHash, verified by banded alignment.
 
 A text is a sequence of words. Its k-mers are runs of five words, each labelled with how often
-it has occurred before in the text. For each of several hash functions the few smallest
+it has occurred before in the text. Of each of several ranges of a hash function the few smallest
 labelled k-mers are taken and put in text order; their hash is one key. Two texts share a key
 with a probability that falls with their edit distance, as order counts. The smallest k-mer of
-each of more hash functions is a key as well, which texts near the threshold still share. Texts that share a
-key are aligned within a band, and linked from an edit similarity of 0.8 words on.
+each of more ranges is a key as well, which texts near the threshold still share. Long texts have more
+keys, of three k-mers each, so that a passage alone seldom gives two of them a common key. Texts that
+share a key are aligned within a band, and linked from an edit similarity of 0.8 words on.
 """
 
 from __future__ import annotations
@@ -29,17 +30,28 @@ from turnlens.sources.tables import pin
 
 @dataclass(frozen=True)
 class OrderMinHash:
-    """``keys`` sketches of ``sampled`` k-mers of ``k`` words each, and ``singles`` of one k-mer."""
+    """``keys`` sketches of ``sampled`` k-mers of ``k`` words each, and ``singles`` of one k-mer.
+
+    Texts of ``long_words`` or more, which hold a popular passage more often than not, have
+    ``long_keys`` sketches of ``long_sampled`` k-mers of ``long_k`` words instead.
+    """
 
     k: int = 5
     sampled: int = 2
     keys: int = 24
     singles: int = 64
     similarity: float = 0.8
+    long_words: int = 1200
+    long_k: int = 3
+    long_sampled: int = 3
+    long_keys: int = 256
 
 
 def labelled(kmers: np.ndarray) -> np.ndarray:
     """Each k-mer with the number of its earlier occurrences mixed in."""
+    ordered = np.sort(kmers)
+    if (ordered[1:] != ordered[:-1]).all():
+        return mix(kmers, 17)
     order = np.argsort(kmers, kind="stable")
     ordered = kmers[order]
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
@@ -49,29 +61,41 @@ def labelled(kmers: np.ndarray) -> np.ndarray:
     return mix(kmers + earlier * np.uint64(0x9FB21C651E98DF25), 17)
 
 
+def bin_keys(marked: np.ndarray, bins: int, take: int, seed: int) -> np.ndarray:
+    """A key for each of ``bins`` ranges of hashes that has k-mers: its ``take`` smallest ones, in text order.
+
+    Ranges of one hash function stand for as many functions, at the cost of one.
+    """
+    hashed = scramble(marked + offset(seed))
+    order = np.argsort(hashed)
+    of = ((hashed[order] >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
+    if take == 1:
+        return mix(marked[order[first]], 37)  # the same k-mer is the same key, whatever range it is in
+    at = first[:, None] + np.arange(take)
+    inside = at < np.append(first[1:], len(order))[:, None]
+    places = np.sort(np.where(inside, order.take(at, mode="clip"), len(order)), axis=1)
+    values, key = np.append(marked, np.uint64(0)), of[first] + np.uint64(seed)
+    for place in places.T:
+        key = mix(key ^ values[place], 31)
+    return key
+
+
 def order_keys(tokens: np.ndarray, omh: OrderMinHash) -> np.ndarray:
-    """The distinct keys of one text; a text shorter than k words is one k-mer."""
+    """The distinct keys of one text; a text shorter than k words is one k-mer.
+
+    Lengths around ``long_words`` have the keys of both kinds, so that similar texts share one.
+    """
     if not len(tokens):
         return np.empty(0, np.int64)
-    marked = labelled(rolling(tokens, min(omh.k, len(tokens))))
-    take = min(omh.sampled, len(marked))
-    together = max(1, (1 << 20) // len(marked))  # hash functions at once, so that very long texts fit
     keys = []
-    most = max(omh.keys, omh.singles)
-    for first in range(0, most, together):
-        numbers = np.arange(first, min(most, first + together))
-        seeds = np.array([offset(100 + int(i)) for i in numbers], np.uint64)
-        hashed = scramble(marked[None, :] + seeds[:, None])
-        single = marked[hashed[numbers < omh.singles].argmin(axis=1)]
-        keys.append(mix(single, 37))  # the same k-mer is the same key, whichever function took it
-        numbers, hashed = numbers[numbers < omh.keys], hashed[numbers < omh.keys]
-        if not len(numbers):
-            continue
-        smallest = np.sort(np.argpartition(hashed, take - 1, axis=1)[:, :take], axis=1)
-        key = numbers.astype(np.uint64)
-        for place in range(take):
-            key = mix(key ^ marked[smallest[:, place]], 31)
-        keys.append(key)
+    if len(tokens) * omh.similarity < omh.long_words:
+        marked = labelled(rolling(tokens, min(omh.k, len(tokens))))
+        keys.append(bin_keys(marked, omh.singles, 1, 100) if len(marked) > omh.singles else mix(marked, 37))
+        keys.append(bin_keys(marked, omh.keys, omh.sampled, 101))
+    if len(tokens) >= omh.long_words:
+        marked = labelled(rolling(tokens, omh.long_k))
+        keys.append(bin_keys(marked, omh.long_keys, omh.long_sampled, 102))
     return np.unique(np.concatenate(keys).view(np.int64))
 
 
