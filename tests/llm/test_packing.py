@@ -81,3 +81,13 @@ def test_best_fit_and_fullest_first():
 
 def test_empty_table(make_docs):
     assert pack(make_docs([]), PATH).collect() == []
+
+
+def test_new_chunks_are_encoded_together_and_like_whole_texts(monkeypatch):
+    tokens = WordTokens(public_tokenizers.path("word_bpe_49k.json"), 1)
+    texts = ["µm ªº K kK Å ÅB Ünï.. a²b x.! it's İ z _a_ ÿ, ×÷ A×B é, É! İI Ǆ ﬁn", "A1 b2 c3! (d) e-f g_h Plain words, here. " + "Z" * 60, ""]
+    want = [tokens.ids(t) + tokens.end for t in texts]
+    calls = []
+    monkeypatch.setattr(tokens, "ids", lambda text: calls.append(text))
+    assert tokens.encode(texts) == want and tokens.encode(texts[::-1]) == want[::-1]
+    assert not calls

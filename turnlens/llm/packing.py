@@ -10,6 +10,8 @@ merged across partitions in a tree, a bounded number of windows at a time, until
 from __future__ import annotations
 
 import functools
+import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,8 @@ LEVEL_BITS, GROUP_BITS = 55, 27
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 #: Marks that the tokenizer parts from the letters before them.
 MARKS = ".,;:!?"
-
+#: Of each line its word and closing mark, if it is a Latin-1 word of letters and at most one mark.
+WORD_AND_MARK = re.compile(f"(?m)^(?:([A-Za-zªµºÀ-ÖØ-öø-ÿ]+)([{MARKS}]?)|.+)$")
 
 #: Memory of one cached chunk besides its characters: two objects and their place in the table.
 ENTRY_BYTES = 250
@@ -54,11 +57,13 @@ class WordTokens:
     ):
         from tokenizers import Tokenizer
 
+        # A task has one core; threads of the tokenizer's own would only wait for each other.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.end = end_id.to_bytes(WIDTH, "little")
         self.cache: dict[str, bytes] = {}
         self.limit, self.chunk_chars, self.held = cache_bytes, chunk_chars, 0
-        self.marks = {mark: self.ids(mark) for mark in MARKS}
+        self.marks = {"": b""} | {mark: self.ids(mark) for mark in MARKS}
 
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -77,35 +82,40 @@ class WordTokens:
             if len(stops) != len(part):
                 self.cache.update((w, self.ids(w)) for w in part)
                 continue
-            raw, start = ids.tobytes(), 0
-            for word, stop in zip(part, stops.tolist()):
-                self.cache[word] = raw[start:stop]
-                start = stop
-
-    @staticmethod
-    def split(chunk: str) -> tuple[str, str]:
-        """(word, closing mark) of a chunk that is a Latin-1 word of letters and at most one mark."""
-        word, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in MARKS else (chunk, "")
-        return (word.lower(), mark) if word.isalpha() and max(word) < "\u0100" else ("", "")
+            raw, stops = ids.tobytes(), stops.tolist()
+            self.cache.update(zip(part, [raw[a:b] for a, b in zip([0, *stops], stops)]))
 
-    def learn(self, chunks: set[str]) -> None:
-        parts = {c: self.split(c) for c in chunks}
+    def learn(self, chunks: list[str]) -> None:
         before = len(self.cache)
-        self.learn_words(sorted({w for w, _ in parts.values() if w and w not in self.cache}))
-        for chunk, (word, mark) in parts.items():
-            if not word:
-                self.cache[chunk] = self.ids(chunk)
-            elif chunk not in self.cache:
-                self.cache[chunk] = self.cache[word] + (self.marks[mark] if mark else b"")
+        parts = WORD_AND_MARK.findall("\n".join(chunks)) if chunks else []
+        lower = [word.lower() for word, _ in parts]
+        self.learn_words(list({w for w in lower if w}.difference(self.cache)))
+        odd = [c for c, w in zip(chunks, lower) if not w]
+        coded = self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)
+        self.cache.update((c, np.asarray(code.ids, "<u4").tobytes()) for c, code in zip(odd, coded))
+        cache, marks = self.cache, self.marks
+        cache.update([(c, cache[w] + marks[mark]) for c, w, (_, mark) in zip(chunks, lower, parts) if w])
         self.held += (len(self.cache) - before) * ENTRY_BYTES + sum(map(len, chunks))
 
+    @staticmethod
+    def folded(text: str) -> str:
+        """The text in lower case, where that changes no id: its chunks are fewer. Tokens such as <|endoftext|> are told by case."""
+        if "<" in text:
+            return text
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+        return text.lower()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id; new chunks of all texts are learned together."""
-        split = [None if any(c in t for c in ODD_SPACE) else t.split() for t in texts]
+        split = [None if any(c in t for c in ODD_SPACE) else self.folded(t).split() for t in texts]
         if self.held > self.limit:
             self.cache.clear()
             self.held = 0
-        new = set().union(*filter(None, split)).difference(self.cache)
+        new = list(set().union(*filter(None, split)).difference(self.cache))
         self.learn(new)
         ids = self.cache.__getitem__
         made = [
