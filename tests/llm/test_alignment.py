@@ -1,7 +1,11 @@
+import random
+import re
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from turnlens.llm import hashing
 from turnlens.llm.alignment import edit_distance, similar
 from turnlens.llm.decontaminate import common_words
 
@@ -40,3 +44,12 @@ def test_similar_at_the_threshold():
     assert similar(a, np.append(a[:8], [90, 91]), 0.8)
     assert not similar(a, np.append(a[:7], [90, 91, 92]), 0.8)
     assert similar(a[:0], a[:0], 0.8) and not similar(a[:0], a, 0.8)
+
+
+def test_words_of_latin_texts_need_no_pattern(monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(chr(rng.randrange(high)) for _ in range(200)) for high in (128, 256, 0x250, 0x2200) for _ in range(200)]
+    texts += ["", "İstanbul ΣΑΣ K", "".join(map(chr, range(256))), "a_b ²x ½ ªº µM ÀÉ×÷ß\x85\xa0\x1c", "\ud800 lone"]
+    assert all(hashing.words(t) == re.findall(r"\w+", t.lower()) for t in texts)
+    monkeypatch.setattr(hashing, "WORD", None)
+    assert hashing.words("Élan, VITAL: 2nd_try!") == ["élan", "vital", "2nd_try"]

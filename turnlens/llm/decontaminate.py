@@ -99,7 +99,7 @@ def frequencies(tokens: DataFrame) -> tuple[np.ndarray, float]:
     return total[:COLUMNS], total[COLUMNS]
 
 
-def _passages(texts: Iterator[np.ndarray], length: int, size: int = 1 << 16) -> Iterator[np.ndarray]:
+def _passages(texts: Iterator[np.ndarray], length: int, size: int = 1 << 17) -> Iterator[np.ndarray]:
     """Columns of all passages of many texts.
 
     The last passage of a text is filled up with COLUMNS.
