@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from turnlens.llm.collocations import OVERLAP, Mining, chunk_bounds, collocations, words_and_breaks
+from turnlens.llm.collocations import BREAK, OVERLAP, Mining, WordsAndBreaks, chunk_bounds, collocations, words_and_breaks
 from turnlens.llm.hashing import WordHashes
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -120,3 +120,18 @@ def test_odd_rows(spark, make_docs, odd_rows):
     docs = make_docs(odd_rows, extra=True).withColumnRenamed("label", "lang").withColumnRenamed("words", "phrase")
     assert result(collocations(docs)) == brute_force([("x", t) for _, t in odd_rows])
     assert collocations(docs.limit(0)).count() == 0
+
+
+def test_words_and_breaks_by_a_table_are_those_of_the_pattern():
+    text = "".join(map(chr, range(0x250))) + " A.B,;c\t\tD E  f\n\nİg\r\n\x0b\x0c!? \U0001f600X"
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    pieces = [[w for w in re.split("[ \t]+", piece) if w] for piece in re.split("[.,;:!?\n-\r]", lowered)]
+    named = words_and_breaks(text.encode())
+    got = [[]]
+    for word, hashed in zip(named, WordsAndBreaks(10).of(named).tolist()):
+        assert (hashed == -1) == (word == BREAK) and hashed >= -1
+        if hashed == -1:
+            got.append([])
+        else:
+            got[-1].append(word)
+    assert [p for p in got if p] == [p for p in pieces if p]

@@ -11,13 +11,13 @@ three words are looked at only where both of their pairs are frequent enough.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import NGram
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from turnlens.llm.common import Scratch, text_or_empty
 from turnlens.llm.hashing import WordHashes, mix
 
-#: Characters that end a piece, and those that end a word. Fixed by the contract.
-PIECE_END = re.compile("[.,;:!?\n-\r]+")
 #: Stands between pieces in a list of words; no word holds it.
 BREAK = "\n"
+#: UTF-8 bytes in lower case, with BREAK for those that end a piece and a space for those that end a word. Fixed by the contract.
+BYTES = bytes(10 if b in b".,;:!?\n\v\f\r" else 32 if b == 9 else ord(chr(b).lower()) if b < 128 else b for b in range(256))
 #: Words that a chunk shares with the next one: all but one word of the longest phrase.
 OVERLAP = 2
 
@@ -50,8 +50,14 @@ class Mining:
 
 def words_and_breaks(raw: bytes) -> list[str]:
     """The words of a text, with a break between its pieces."""
-    lowered = PIECE_END.sub(" \n ", raw.lower().decode("utf-8"))
-    return [w for w in lowered.replace("\t", " ").split(" ") if w]
+    return list(filter(None, raw.translate(BYTES).replace(b"\n", b" \n ").decode("utf-8").split(" ")))
+
+
+class WordsAndBreaks(WordHashes):
+    """Like WordHashes, with -1 for a break; hashes of words are not negative."""
+
+    def __missing__(self, word: str) -> int:
+        return -1 if word == BREAK else super().__missing__(word)
 
 
 def chunk_bounds(hashes: np.ndarray, breaks: np.ndarray, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,7 +89,7 @@ def parse(texts: DataFrame, every: int, held: int = 100_000) -> DataFrame:
     schema = pa.schema([("lang", pa.string()), ("chunk", pa.string()), ("last", pa.bool_()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes(200_000)
+        hashes = WordsAndBreaks(200_000)
         counts: dict[str, Counter] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -102,13 +108,11 @@ def parse(texts: DataFrame, every: int, held: int = 100_000) -> DataFrame:
                 named = words_and_breaks(value.as_buffer().to_pybytes())
                 if not named:
                     continue
-                breaks = np.fromiter((w == BREAK for w in named), bool, len(named))
-                starts, ends, last = chunk_bounds(hashes.of(named), breaks, every)
-                mark = [""] * len(starts)
-                for i in np.flatnonzero(~last.astype(bool)).tolist():
-                    mark[i] = BREAK
+                hashed = hashes.of(named)
+                breaks = hashed == -1
+                starts, ends, last = chunk_bounds(hashed, breaks, every)
                 found = counts.setdefault(lang, Counter())
-                found.update([" ".join(named[a:b]) + m for a, b, m in zip(starts.tolist(), ends.tolist(), mark)])
+                found.update([" ".join(named[a:b]) if z else " ".join(named[a:b]) + BREAK for a, b, z in zip(starts.tolist(), ends.tolist(), last.tolist())])
                 found[""] += len(named) - int(breaks.sum())
                 if sum(map(len, counts.values())) >= held:
                     yield from flush()
@@ -192,19 +196,18 @@ def long_runs(dictionary: DataFrame, bits: bytes) -> DataFrame:
         hashes, known = WordHashes(), PairFilter(np.frombuffer(kept.value, np.uint8))
         for batch in batches:
             langs = batch.column(0).to_pylist()
-            parts = [c.split(" ") for c in batch.column(1).to_pylist()]
-            sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-            named = [w for part in parts for w in part]
+            sizes = pc.count_substring(batch.column(1), " ").to_numpy() + 1
+            named = " ".join(batch.column(1).to_pylist()).split(" ")
             if len(named) < 3:
                 continue
-            chunk = np.repeat(np.arange(len(parts)), sizes)
+            chunk = np.repeat(np.arange(len(sizes)), sizes)
             frequent = known.has(pair_hashes(hashes.of(named), _lang_hashes(hashes, langs)[chunk]))
             # Every chunk holds its last three words whole, so no start needs to be left out but those at its end.
             whole = chunk[:-2] == chunk[2:]
             starts = np.flatnonzero(frequent[:-1] & frequent[1:] & whole)
             phrases = [" ".join(named[i : i + 3]) for i in starts.tolist()]
-            columns = [pa.array([langs[i] for i in chunk[starts].tolist()], pa.string()), pa.array(phrases, pa.string()),
-                       batch.column(2).take(pa.array(chunk[starts]))]
+            of = pa.array(chunk[starts])
+            columns = [batch.column(0).take(of), pa.array(phrases, pa.string()), batch.column(2).take(of)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     rows = dictionary.filter("chunk <> ''").select("lang", "chunk", "n").mapInArrow(run, "lang string, phrase string, n long")
