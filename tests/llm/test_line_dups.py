@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 
 from turnlens.llm.alignment import similar
-from turnlens.llm.hashing import WordHashes, parities, words
-from turnlens.llm.line_dups import LineRule, Tokens, dedup_lines, keys_of
+from turnlens.llm.common import Scratch
+from turnlens.llm.hashing import WordHashes, characters, cut, parities, word_hash, words
+from turnlens.llm.line_dups import PLACES, LineRule, Tokens, dedup_lines, gram_size, grams, keys_of
 
 
 def with_edits(line, edits, rng):
@@ -95,3 +96,53 @@ def test_passages_of_many_words_in_two_documents(make_docs, prose):
 
 def test_empty_table(make_docs):
     assert dedup_lines(make_docs([])).collect() == []
+
+
+def test_words_cut_at_once_are_those_of_the_pattern(prose):
+    rng = random.Random(12)
+    texts = ["".join(chr(rng.choice([10, 32, rng.randrange(high)])) for _ in range(300)) for high in (128, 256, 0x250, 0x2200) for _ in range(60)]
+    texts += ["", "\n", "a\n\nb", "İstanbul ΣΑΣ\nΣ K", "\ud800 lone", "x" * (1 << 21), prose(300_000, 1)]
+    for text in texts:
+        hashed, sizes, line = cut(characters(text))
+        want = [(word_hash(w), len(w), i) for i, content in enumerate(text.split("\n")) for w in words(content)]
+        assert list(zip(hashed.tolist(), sizes.tolist(), line.tolist())) == want
+
+
+def test_lines_of_a_popular_passage_do_not_meet_for_it(prose):
+    rng = random.Random(13)
+    passage = " ".join("".join(rng.choice("aeioulmnrst") for _ in range(12)) for _ in range(8))  # long words come first
+    lines = [words(f"{prose(15, 2 * i)} {passage} {prose(15, 2 * i + 1)}") for i in range(300)]
+    tokens, sizes = [Tokens().of(x).astype(np.uint32) for x in lines], [np.array([len(w) for w in x]) for x in lines]
+    size = gram_size(LineRule())
+    all_of = [grams(t, s, np.array([len(t)]), size)[1] for t, s in zip(tokens, sizes)]
+    gram, n = np.unique(np.concatenate(all_of), return_counts=True)
+    common = np.zeros(PLACES, np.uint8)
+    common[(gram & np.uint64(PLACES - 1)).astype(np.int64)] = np.log2(n)
+    met = lambda keys: sum(n * (n - 1) // 2 for n in np.unique(np.concatenate(keys), return_counts=True)[1])
+    assert met(keys_of(tokens, sizes, LineRule())) > 300_000
+    assert met(keys_of(tokens, sizes, LineRule(), common)) < 1000
+
+
+def test_similar_lines_share_a_key_in_any_order_of_grams(prose):
+    rng, common = random.Random(14), np.random.default_rng(14).integers(0, 31, PLACES).astype(np.uint8)
+    for length in [*range(5, 41), 60, 101]:
+        line = prose(length, rng.randrange(10**6))
+        pair = [words(x) for x in (line, with_edits(line, int(0.2 * length + 1e-9), rng))]
+        tokens, sizes = [Tokens().of(x) for x in pair], [np.array([len(w) for w in x]) for x in pair]
+        if min(map(len, pair)) >= 5 and similar(*tokens, 0.8):
+            one, other = keys_of(tokens, sizes, LineRule(), common)
+            assert set(one.tolist()) & set(other.tolist())
+
+
+def test_files_are_read_in_place(spark, make_docs, odd_rows, prose, tmp_path, monkeypatch):
+    line = prose(40, 1)
+    rows = odd_rows + [(20 + i, f"{line}\n{prose(20, 70 + i)}") for i in range(6)] + [(20, f"{line}\n{prose(20, 70)}")]
+    make_docs(rows).repartition(3).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    want = sorted(map(str, dedup_lines(docs.filter("true or rand() < 2")).collect()))
+    pinned, pin = [], Scratch.pin
+    monkeypatch.setattr(Scratch, "pin", lambda self, df, name: pinned.append(name) or pin(self, df, name))
+    assert sorted(r.text or "" for r in dedup_lines(docs.select("doc_id", "text")).collect()) == sorted(r.text or "" for r in dedup_lines(docs).collect())
+    got = dedup_lines(docs)
+    assert sorted(map(str, got.collect())) == want and "texts" not in pinned and "found" in pinned
+    assert sum(r.lines_removed for r in got.collect()) >= 7

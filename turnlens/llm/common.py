@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +23,27 @@ def with_row(docs: DataFrame, *columns: str, row_col: str | None = None) -> Data
     return docs.select(row.alias("row"), *columns)
 
 
+def rows_in_place(docs: DataFrame, row_col: str) -> DataFrame | None:
+    """``docs`` with numbers that are the same whenever they are read: the place of a row in its file.
+
+    Only Parquet files that are read as they are, or some columns of them, have such numbers; None is returned for all else.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() == "Project" and plan.deterministic():
+        plan = plan.child()
+    if plan.nodeName() != "LogicalRelation" or "_metadata" in docs.columns:
+        return None
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    try:
+        placed = docs.select(*columns, F.col("_metadata.file_path").alias("file_"), F.col("_metadata.row_index").alias("at_"))
+    except AnalysisException:  # no files, or of another format
+        return None
+    paths = sorted(r[0] for r in placed.select("file_").distinct().collect())
+    files = docs.sparkSession.createDataFrame(list(enumerate(paths)), "number_ long, file_ string")
+    row = F.col("number_") * F.lit(1 << 40) + F.col("at_")
+    return placed.join(F.broadcast(files), "file_").select(row.alias(row_col), *columns)
+
+
 class Scratch:
     """Intermediate tables in the shared folder, deleted together when their owner is done."""
 

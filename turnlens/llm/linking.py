@@ -3,30 +3,22 @@
 Rows that share a key are not compared with each other in pairs. Each key names its smallest row,
 and every row is compared with that one, which finds most links at little cost. Then every key
 is gone through until no two of its rows are both of different groups and uncompared. What rows
-say of themselves, such as their length, is compared inside the join that lets them meet. Keys
-are reduced by partial aggregation, and rows meet their representatives in a join that adaptive
-execution can split, so a key that a third of all rows share is no single task there; only the
-search for keys that occur once streams the rows of a key through one task.
+say of themselves, such as their length, is compared inside the join that lets them meet. Rows
+meet their representatives in a join that adaptive execution can split, so a key that a third of
+all rows share is no single task there; only the search for keys that occur once sees all rows of
+a key in one task, a few bytes each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnlens.llm.common import Scratch
-
-
-def _meetings(entries: DataFrame) -> DataFrame:
-    """key, id, rep: the entries (key, id) of keys with two rows or more, and the smallest row of the key.
-
-    Entries are moved once, to their key, and read from there for both sides of the join.
-    """
-    dealt = entries.repartition("key")
-    named = dealt.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last"))
-    return dealt.join(named.filter("rep < last").select("key", "rep"), "key")
+from turnlens.llm.shared_keys import Keys, listed, shared_keys
 
 
 def _undecided(entries: DataFrame, groups: DataFrame) -> DataFrame:
@@ -64,9 +56,11 @@ def verified_groups(
     may: Column | None = None,
     marked: DataFrame | None = None,
     choices: int = 256,
+    keyed: Callable[[pa.RecordBatch], Keys] = listed,
 ) -> DataFrame:
     """id, root: the groups of rows (id, keys) that verified links connect; others are left out.
 
+    ``keyed``, if given, makes the keys of rows that have other columns instead of keys.
     ``marked``, if given, has id and the marks of the rows that count; other rows are left out.
 
     ``verify`` takes distinct pairs (a, b), a < b, that share a key and returns those that match.
@@ -108,11 +102,12 @@ def verified_groups(
         return marked.select("id").join(roots, "id", "left").select("id", F.coalesce("root", "id").alias("group"))
 
     held = Scratch(spark)
-    met = held.pin(_meetings(rows.select(F.explode(F.array_distinct("keys")).alias("key"), "id")), "met")
-    first = met.filter("id <> rep").select("id", "rep").distinct().join(marked, "id")
+    met = held.pin(shared_keys(rows, keyed), "met")
+    first = met.select("rep", F.explode("ids").alias("id")).filter("id <> rep").distinct().join(marked, "id")
     other = marked.select(F.col("id").alias("rep"), *[F.col(m).alias(f"rep_{m}") for m in marks])
     link(first.join(other, "rep").filter(may))
-    entries = met.select("key", "id")
+    # The two rows of other keys have met.
+    entries = met.filter("several").select("key", F.explode("ids").alias("id"))
     while True:
         before, held = held, Scratch(spark)
         entries = _undecided(entries, groups())
