@@ -82,3 +82,23 @@ def test_bags_rule_out_no_pair_of_few_edits():
 
 def test_empty_table(make_docs):
     assert near_duplicates(make_docs([])).collect() == []
+
+
+@pytest.mark.parametrize("length", [20, 50, 100, 200, 400, 1000])
+def test_texts_with_every_fifth_word_changed_share_a_key(length):
+    rng, found = np.random.default_rng(length), 0
+    for _ in range(100):
+        text = rng.integers(0, 1 << 40, length)
+        other = text.copy()
+        other[2::5] = rng.integers(0, 1 << 40, len(other[2::5]))
+        found += len(np.intersect1d(order_keys(text, OrderMinHash()), order_keys(other, OrderMinHash()))) > 0
+    assert found >= 97
+
+
+@pytest.mark.parametrize("length", [100, 250, 600])
+def test_texts_seldom_share_a_key_for_one_passage(length):
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 1 << 40, 10)
+    keys = [order_keys(np.concatenate((rng.integers(0, 1 << 40, length), passage, rng.integers(0, 1 << 40, 20))), OrderMinHash()) for _ in range(60)]
+    found = sum(len(np.intersect1d(x, y)) > 0 for i, x in enumerate(keys) for y in keys[:i])
+    assert found < 0.05 * 1770

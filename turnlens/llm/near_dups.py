@@ -1,12 +1,11 @@
 """Near duplicates by order MinHash, verified by banded alignment.
 
-A text is a sequence of words. Its k-mers are runs of five words, each labelled with how often
-it has occurred before in the text. Of each of several ranges of a hash function the few smallest
+A text is a sequence of words. Its k-mers are runs of two words, each labelled with how often
+it has occurred before in the text. Of each of several ranges of hash functions the few smallest
 labelled k-mers are taken and put in text order; their hash is one key. Two texts share a key
-with a probability that falls with their edit distance, as order counts. The smallest k-mer of
-each of more ranges is a key as well, which texts near the threshold still share. Long texts have more
-keys, of three k-mers each, so that a passage alone seldom gives two of them a common key. Texts that
-share a key are aligned within a band, and linked from an edit similarity of 0.8 words on.
+with a probability that falls with their edit distance, as order counts. No key is a single
+k-mer, so that a passage alone seldom gives two texts a common key; long texts have more
+keys. Texts that share a key are aligned within a band, and linked from an edit similarity of 0.8 words on.
 """
 
 from __future__ import annotations
@@ -30,16 +29,17 @@ from turnlens.sources.tables import pin
 
 @dataclass(frozen=True)
 class OrderMinHash:
-    """``keys`` sketches of ``sampled`` k-mers of ``k`` words each, and ``singles`` of one k-mer.
+    """``keys`` sketches or more of ``sampled`` k-mers of ``k`` words each, of very short texts one k-mer less.
 
+    Each hash function gives up to ``ranges`` of them.
     Texts of ``long_words`` or more, which hold a popular passage more often than not, have
     ``long_keys`` sketches of ``long_sampled`` k-mers of ``long_k`` words instead.
     """
 
-    k: int = 5
-    sampled: int = 2
-    keys: int = 24
-    singles: int = 64
+    k: int = 2
+    sampled: int = 3
+    keys: int = 80
+    ranges: int = 64
     similarity: float = 0.8
     long_words: int = 1200
     long_k: int = 3
@@ -61,38 +61,50 @@ def labelled(kmers: np.ndarray) -> np.ndarray:
     return mix(kmers + earlier * np.uint64(0x9FB21C651E98DF25), 17)
 
 
-def bin_keys(marked: np.ndarray, bins: int, take: int, seed: int) -> np.ndarray:
-    """A key for each of ``bins`` ranges of hashes that has k-mers: its ``take`` smallest ones, in text order.
+def bin_keys(marked: np.ndarray, bins: int, take: int, seed: int, functions: int = 1) -> np.ndarray:
+    """A key for each of ``bins`` ranges of hashes, of each function: its ``take`` smallest k-mers, in text order.
 
-    Ranges of one hash function stand for as many functions, at the cost of one.
+    Ranges of one hash function stand for as many functions, at the cost of one. Ranges of too few
+    k-mers have no key if others have one.
     """
-    hashed = scramble(marked + offset(seed))
-    order = np.argsort(hashed)
-    of = ((hashed[order] >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
+    hashed = scramble((marked + offset(seed))[None, :] + np.arange(functions).astype(np.uint64)[:, None] * offset(seed + 1)).ravel()
+    bin_of = ((hashed >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
+    bin_of += np.repeat(np.arange(functions).astype(np.uint64) * np.uint64(bins), len(marked))
+    order = np.argsort(bin_of << np.uint64(48) | hashed & np.uint64((1 << 48) - 1))
+    of = bin_of[order]
     first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-    if take == 1:
-        return mix(marked[order[first]], 37)  # the same k-mer is the same key, whatever range it is in
     at = first[:, None] + np.arange(take)
     inside = at < np.append(first[1:], len(order))[:, None]
-    places = np.sort(np.where(inside, order.take(at, mode="clip"), len(order)), axis=1)
+    whole = inside.all(axis=1)
+    if whole.any():
+        at, inside, first = at[whole], inside[whole], first[whole]
+    places = np.sort(np.where(inside, order.take(at, mode="clip") % len(marked), len(marked)), axis=1)
     values, key = np.append(marked, np.uint64(0)), of[first] + np.uint64(seed)
     for place in places.T:
         key = mix(key ^ values[place], 31)
     return key
 
 
+def length_class(words: int, omh: OrderMinHash) -> int:
+    """The logarithm of the number of ranges that leaves about twice as many k-mers to each as are taken."""
+    return max(1, min(omh.ranges, words // (2 * omh.sampled))).bit_length() - 1
+
+
 def order_keys(tokens: np.ndarray, omh: OrderMinHash) -> np.ndarray:
     """The distinct keys of one text; a text shorter than k words is one k-mer.
 
-    Lengths around ``long_words`` have the keys of both kinds, so that similar texts share one.
+    Short texts have fewer ranges of more functions, so that a key is never a single k-mer. Lengths
+    around a bound have the keys of both sides, so that similar texts share one.
     """
     if not len(tokens):
         return np.empty(0, np.int64)
     keys = []
+    least = int(len(tokens) * omh.similarity)
     if len(tokens) * omh.similarity < omh.long_words:
         marked = labelled(rolling(tokens, min(omh.k, len(tokens))))
-        keys.append(bin_keys(marked, omh.singles, 1, 100) if len(marked) > omh.singles else mix(marked, 37))
-        keys.append(bin_keys(marked, omh.keys, omh.sampled, 101))
+        for c in {length_class(least, omh), length_class(len(tokens), omh)}:
+            take = omh.sampled if c > 1 else omh.sampled - 1
+            keys.append(bin_keys(marked, 1 << c, take, 1000 + 10 * c, -(-omh.keys >> c)))
     if len(tokens) >= omh.long_words:
         marked = labelled(rolling(tokens, omh.long_k))
         keys.append(bin_keys(marked, omh.long_keys, omh.long_sampled, 102))
