@@ -5,8 +5,8 @@ and every row is compared with that one, which finds most links at little cost.
 is gone through until no two of its rows are both of different groups and uncompared. What rows
 say of themselves, such as their length, is compared inside the join that lets them meet. Rows
 meet their representatives in a join that adaptive execution can split, so a key that a third of
-all rows share is no single task there; only the search for keys that occur once sees all rows of
-a key in one task, a few bytes each.
+all rows share is no single task there; only the searches for keys
+that occur once and for keys of several groups see all rows of a key in one task.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from turnlens.llm.shared_keys import Keys, listed, shared_keys
 
 def _undecided(entries: DataFrame, groups: DataFrame) -> DataFrame:
     """key, id, group, most: the entries of keys that hold several groups, and the group with most rows of the key."""
-    grouped = entries.join(groups, "id").select("key", "id", "group")
+    # Moved once, to their keys: all that follows is by key, with one row of each on the other side.
+    grouped = entries.join(groups, "id").select("key", "id", "group").repartition("key")
     keys = grouped.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("last")).filter("least < last")
     apart = grouped.join(keys.select("key"), "key", "left_semi")
     sizes = apart.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
